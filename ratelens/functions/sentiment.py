@@ -63,10 +63,10 @@ def normalise(total: Column) -> Column:
 
 
 def plain_compound(text: Column, lexicon: dict[str, float]) -> Column:
-    """Sum of word valences over a-z tokens, squashed into [-1, 1]. Null text scores 0."""
+    """Sum of word valences over a-z tokens, squashed into [-1, 1], four digits. Null text scores 0."""
     find = dictionary_lookup(lexicon)
     valences = F.transform(alpha_tokens(text), lambda t: F.coalesce(find(t), F.lit(0.0)))
-    return normalise(F.aggregate(valences, F.lit(0.0), lambda acc, v: acc + v))
+    return F.round(normalise(F.aggregate(valences, F.lit(0.0), lambda acc, v: acc + v)), 4)
 
 
 def _is_upper(word: Column) -> Column:
