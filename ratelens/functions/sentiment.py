@@ -44,7 +44,8 @@ NEGATORS = frozenset(
 )
 CONTRAST = "but"
 
-PUNCTUATION = r"!-/:-@\[-`{-~"
+# ASCII punctuation.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,9 @@ def plain_compound(text: Column, lexicon: dict[str, float]) -> Column:
     """Sum of word valences over a-z tokens, squashed into [-1, 1], four digits. Null text scores 0."""
     find = dictionary_lookup(lexicon)
     valences = F.transform(alpha_tokens(text), lambda t: F.coalesce(find(t), F.lit(0.0)))
-    return F.round(normalise(F.aggregate(valences, F.lit(0.0), lambda acc, v: acc + v)), 4)
+    # The squashing runs in the fold's last step: outside, it would repeat the fold per mention of its result.
+    # The constant keeps the column non-nullable: a later null filter then folds away instead of scoring again.
+    return F.coalesce(F.round(F.aggregate(valences, F.lit(0.0), lambda acc, v: acc + v, normalise), 4), F.lit(0.0))
 
 
 def _is_upper(word: Column) -> Column:
@@ -76,31 +79,20 @@ def _is_upper(word: Column) -> Column:
 def rule_compound(df: DataFrame, text: str, rules: Rules, out: str = "vader_compound") -> DataFrame:
     """Add the full rule-based score as column `out`, rounded to four digits."""
     find = dictionary_lookup(rules.lexicon)
+    valence = dictionary_lookup({t: v for t, v in rules.lexicon.items() if t not in rules.boosters})
     boost = dictionary_lookup(rules.boosters)
     negate = dictionary_lookup(dict.fromkeys(rules.negators, 1.0))
 
-    def stripped(w: Column) -> Column:
-        core = F.regexp_replace(w, f"^[{PUNCTUATION}]+|[{PUNCTUATION}]+$", "")
-        return F.when(F.length(core) <= 2, w).otherwise(core)
-
-    staged = df.withColumn("_w", F.transform(words(F.col(text)), stripped))
-    staged = staged.withColumn("_low", F.transform("_w", F.lower))
-    upper_words = F.size(F.filter("_w", _is_upper))
+    # Words lose the punctuation around them unless at most two characters would be left.
+    cores = F.transform("_w", lambda w: F.btrim(w, F.lit(PUNCTUATION)))
+    plain = F.transform(cores, lambda c, i: F.lower(F.when(F.length(c) <= 2, F.get("_w", i)).otherwise(c)))
+    hits = F.transform("_low", lambda t, i: F.struct(i.alias("i"), valence(t).alias("v")))
     staged = (
-        staged.withColumn("_mixed", (upper_words > 0) & (upper_words < F.size("_w")))
+        df.withColumn("_w", words(F.col(text)))
+        .withColumn("_low", plain)
+        .withColumn("_mixed", F.exists("_w", _is_upper) & ~F.forall("_w", _is_upper))
         .withColumn("_contrast", F.array_position("_low", rules.contrast) - 1)
-        .withColumn(
-            "_hits",
-            F.filter(
-                F.transform(
-                    "_low",
-                    lambda w, i: F.struct(
-                        i.alias("i"), F.when(boost(w).isNull(), find(w)).alias("v")
-                    ),
-                ),
-                lambda h: h["v"].isNotNull(),
-            ),
-        )
+        .withColumn("_hits", F.filter(hits, lambda h: h["v"].isNotNull()))
     )
     w, low, mixed, cut = F.col("_w"), F.col("_low"), F.col("_mixed"), F.col("_contrast")
 
@@ -136,7 +128,8 @@ def rule_compound(df: DataFrame, text: str, rules: Rules, out: str = "vader_comp
     staged = staged.withColumn("_total", total).withColumn(
         "_total", F.col("_total") + F.signum("_total") * push
     )
-    return staged.withColumn(out, F.round(normalise(F.col("_total")), 4)).drop(
+    score = F.coalesce(F.round(normalise(F.col("_total")), 4), F.lit(0.0))
+    return staged.withColumn(out, score).drop(
         "_w", "_low", "_mixed", "_contrast", "_hits", "_total"
     )
 

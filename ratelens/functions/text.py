@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that separate words (Unicode white space).
-WHITESPACE = r"[\s\x0B\x1C-\x1F\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
-
+# The characters that separate words (Unicode white space and the ASCII separators).
+WHITESPACE = r"(?U)[\s\x1C-\x1F]+"
 
 # Stop words of the corpus profile.
 STOP_WORDS = ("the", "and", "that", "for", "was", "with", "this", "are", "from")
@@ -15,8 +14,7 @@ STOP_WORDS = ("the", "and", "that", "for", "was", "with", "this", "are", "from")
 
 def words(text: Column) -> Column:
     """White-space separated words; null text gives an empty array."""
-    parts = F.split(F.coalesce(text, F.lit("")), WHITESPACE)
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITESPACE), "")
 
 
 def word_count(text: Column) -> Column:
@@ -25,8 +23,7 @@ def word_count(text: Column) -> Column:
 
 def alpha_tokens(text: Column) -> Column:
     """Maximal runs of a-z in the lower-cased text, in order."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z]+")
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z]+"), "")
 
 
 def clean_text(text: Column) -> Column:

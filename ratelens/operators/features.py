@@ -65,19 +65,22 @@ def join_topics(reviews: DataFrame, topics: DataFrame | None) -> DataFrame:
 
 
 def feature_matrix(scored: DataFrame, topics: DataFrame | None = None,
-                   threshold: float = DIVERGENCE_THRESHOLD, keep: tuple[str, ...] = ()) -> DataFrame:
+                   threshold: float = DIVERGENCE_THRESHOLD, keep: tuple[str, ...] = (),
+                   need: tuple[str, ...] = ("vader_compound", "sentiment_star_divergence")) -> DataFrame:
     """One row per review with all features and the proxy label.
 
     `scored` carries text or review_length_words plus the sentiment columns. Text is reduced to a word
     count before the join, so the only shuffled columns are narrow.
-    `keep` carries further columns through, such as the date.
+    `keep` carries further columns through, such as the date. Rows lacking a column of `need` are dropped;
+    pass ("stars",) when the scores come from with_sentiment, where they are missing only with the stars:
+    a filter on a score column would be pushed below it and score the text twice.
     """
     if "review_length_words" not in scored.columns:
         scored = scored.withColumn("review_length_words", word_count(F.col("text")))
     narrow = scored.select(
         "review_id", "business_id", "stars", "useful", "funny", "cool", "review_length_words",
         "vader_compound", "sentiment_star_divergence", "suspicious", *keep,
-    ).dropna(subset=["vader_compound", "sentiment_star_divergence"])
+    ).dropna(subset=list(need))
     return join_topics(narrow, topics).withColumn(
         "suspicious_label", divergence_flag(F.col("sentiment_star_divergence"), threshold)
     )

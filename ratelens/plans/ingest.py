@@ -340,7 +340,7 @@ def _(spark, sf):
 
 @query("feature_matrix_no_topics", "SELECT " + _FCOLS.format(t="-1 AS topic_id, 1 AS is_topic_outlier") + " FROM tfeat", "tfeat")
 def _(spark, sf):
-    return _feature_columns(features.feature_matrix(scored_text(spark, sf)))
+    return _feature_columns(features.feature_matrix(scored_text(spark, sf), need=("stars",)))
 
 
 @query("feature_matrix_volume", """SELECT topic_id, is_topic_outlier, suspicious_label, count(*) AS n, CAST(sum(review_length_words) AS BIGINT) AS words,

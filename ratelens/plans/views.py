@@ -110,11 +110,15 @@ def scored_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_features(spark: SparkSession, sf: str) -> DataFrame:
-    return feature_matrix(scored_text(spark, sf), document_topics(spark, sf), keep=("date",))
+    return feature_matrix(scored_text(spark, sf), document_topics(spark, sf), keep=("date", "user_id"), need=("stars",))
+
+
+def ruled_features(spark: SparkSession, sf: str) -> DataFrame:
+    return feature_matrix(ruled_text(spark, sf), document_topics(spark, sf), keep=("date", "user_id"), need=("stars",))
 
 
 def number_features(spark: SparkSession, sf: str) -> DataFrame:
-    return feature_matrix(scored_numbers(spark, sf), number_topics(spark, sf), keep=("date",))
+    return feature_matrix(scored_numbers(spark, sf), number_topics(spark, sf), keep=("date", "user_id"), need=("stars",))
 
 
 def label_cache(spark: SparkSession, sf: str) -> DataFrame:
@@ -245,6 +249,7 @@ def _features(source: str, topics: str, length: str) -> str:
   FROM {source} s LEFT JOIN {topics} t ON t.review_id = s.review_id"""
 
 
+view("rfeat", _features("ruled", "dtopics", _WORDS), "ruled", "dtopics")
 view("tfeat", _features("scored", "dtopics", _WORDS), "scored", "dtopics")
 view("nfeat", _features("rns", "rntopics", "review_length_words"), "rns", "rntopics")
 
@@ -263,6 +268,7 @@ def trust_sql(source: str, min_reviews: int = 10, key: str = "business_id") -> s
 
 
 view("ttrust", trust_sql("tfeat"), "tfeat")
+view("rtrust", trust_sql("rfeat"), "rfeat")
 view("ntrust", trust_sql("nfeat"), "nfeat")
 view("utrust", trust_sql("nfeat", 1, "user_id"), "nfeat")
 

@@ -36,7 +36,7 @@ def run(reviews: DataFrame, rules: Rules, computed_at: str, *, topics: DataFrame
     """
     if sample:
         reviews = hash_sample(reviews, "review_id", sample)
-    features = feature_matrix(with_sentiment(reviews, rules, plain), topics, keep=("date",))
+    features = feature_matrix(with_sentiment(reviews, rules, plain), topics, keep=("date",), need=("stars",))
     metrics = None
     if fit_model:
         scored, _, metrics = models.fit_and_score(features, rounds, depth)
