@@ -7,7 +7,6 @@ from pyspark.sql import types as T
 
 from ratelens import workflow
 from ratelens.config import FEATURES
-from ratelens.functions.canonical import digests
 from ratelens.functions.text import is_nonempty
 from ratelens.operators import cleaning, features, lookups, profile, records, scoring, terms, topics
 from ratelens.plans.registry import query
@@ -350,7 +349,3 @@ def _(spark, sf):
         F.count("*").alias("n"), F.sum("review_length_words").alias("words"), F.sum("vader_compound").alias("compound")
     ), "compound", digits=4)
 
-
-@query("digest_text", "SELECT doc_id, sha256(text) AS sha256 FROM documents")
-def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", digests(F.col("text"))["sha256"].alias("sha256"))
