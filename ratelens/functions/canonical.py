@@ -6,10 +6,10 @@ same bytes as when it was written.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratelens.functions.bind import bind
+
 _RAW = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.DecimalType, T.ShortType, T.BooleanType)
 
 
@@ -22,44 +22,39 @@ def raw_schema(schema: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(schema, _RAW) else schema
 
 
-def _escaped(s: Column) -> Column:
-    """JSON string with every non-ASCII character as \\uXXXX (surrogate pairs above the first plane)."""
-    body = F.to_json(F.struct(s.alias("v")))
-    inner = F.substring(body, F.lit(6), F.length(body) - 6)
-
-    def code(c: Column) -> Column:
-        cp = F.ascii(c)
-
-        def unit(u: Column) -> Column:
-            return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(u.cast("long")), 4, "0")))
+def _quoted(value: str) -> str:
+    """SQL text: JSON string, non-ASCII characters as four-digit escapes (surrogate pairs above the first plane)."""
+    def unit(code: str) -> str:
+        return rf"concat(r'\u', lower(lpad(hex({code}), 4, '0')))"
 
-        pair = F.concat(
-            unit(F.floor((cp - 65536) / 1024) + 55296), unit((cp - 65536) % 1024 + 56320)
-        )
-        return F.when(cp < 127, c).when(cp < 65536, unit(cp)).otherwise(pair)
+    pair = f"concat({unit('floor((ascii(c) - 65536) / 1024) + 55296')}, {unit('(ascii(c) - 65536) % 1024 + 56320')})"
+    char = f"case when ascii(c) < 127 then c when ascii(c) < 65536 then {unit('cast(ascii(c) as bigint)')} else {pair} end"
+    inner = bind(f"to_json(named_struct('v', {value}))", "j", "substring(j, 6, length(j) - 6)")
+    plain = rf"if(q rlike r'^[\x00-\x7E]*$', q, array_join(transform(split(q, ''), c -> {char}), ''))"
+    return bind(inner, "q", plain)
 
-    wide = F.array_join(F.transform(F.split(inner, ""), code), "")
-    return F.when(inner.rlike(r"^[\x00-\x7E]*$"), inner).otherwise(wide)
 
-
-def canonical_json(value: Column, schema: T.DataType) -> Column:
-    """Sorted keys, no blanks, nulls kept. `value` has type raw_schema(schema)."""
+def canonical_sql(value: str, schema: T.DataType, level: int = 0) -> str:
+    """SQL text: sorted keys, no blanks, nulls kept. `value` has type raw_schema(schema)."""
+    v = f"v{level}"
     if isinstance(schema, T.StructType):
-        parts: list[Column] = []
-        for i, f in enumerate(sorted(schema.fields, key=lambda f: f.name)):
-            parts.append(F.lit(("," if i else "") + f'"{f.name}":'))
-            parts.append(canonical_json(value[f.name], f.dataType))
-        return F.when(value.isNull(), "null").otherwise(F.concat(F.lit("{"), *parts, F.lit("}")))
+        fields = sorted(schema.fields, key=lambda f: f.name)
+        parts = [f"""'{"," if i else "{"}"{f.name}":', {canonical_sql(f"{v}.{f.name}", f.dataType, level + 1)}""" for i, f in enumerate(fields)]
+        return bind(value, v, f"if({v} is null, 'null', concat({', '.join(parts)}, '}}'))")
     if isinstance(schema, T.ArrayType):
-        items = F.transform(value, lambda v: canonical_json(v, schema.elementType))
-        return F.when(value.isNull(), "null").otherwise(
-            F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
-        )
+        items = f"transform({value}, {v} -> {canonical_sql(v, schema.elementType, level + 1)})"
+        return f"coalesce(concat('[', array_join({items}, ','), ']'), 'null')"
     if isinstance(schema, _RAW):
-        return F.coalesce(value.cast("string"), F.lit("null"))
-    return F.when(value.isNull(), "null").otherwise(_escaped(value))
+        return f"coalesce(cast({value} as string), 'null')"
+    return f"if({value} is null, 'null', {_quoted(value)})"
+
+
+def canonical_json(columns: T.StructType) -> str:
+    """SQL text: canonical JSON object of the named columns."""
+    row = ", ".join(f"'{f.name}', {f.name}" for f in columns.fields)
+    return canonical_sql(f"named_struct({row})", columns)
 
 
-def digests(text: Column) -> Column:
-    """Two independent digests of the canonical text, as one struct."""
-    return F.struct(F.sha2(text, 256).alias("sha256"), F.sha2(text, 512).alias("sha512"))
+def digests(text: str) -> str:
+    """SQL text: two independent digests of a text, as one struct."""
+    return bind(text, "t", "named_struct('sha256', sha2(t, 256), 'sha512', sha2(t, 512))")

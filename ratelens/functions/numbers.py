@@ -5,30 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ratelens.functions.bind import bind
 
-def round_half_even_exact(x: Column, digits: int) -> Column:
-    """Round as correctly-rounded decimal output does: on the exact binary value, ties to even.
+
+def round_half_even_exact(x: str, digits: int) -> str:
+    """SQL text: round as correctly-rounded decimal output does, on the exact binary value, ties to even.
 
     `round` works on the shortest decimal form of a double and takes ties upwards, so 4.0625 at three
     digits differs. The sign of (x - tie) is computed without error by splitting x into two halves
     (Dekker 1971); every product below is exact in double arithmetic.
     """
-    scale = 10.0 ** digits
-    y = x * F.lit(scale)
-    f = F.floor(y).cast("double")
-    c = x * F.lit(134217729.0)
-    hi = c - (c - x)
-    lo = x - hi
-    off = (hi * F.lit(2.0 * scale) - (f * 2.0 + 1.0)) + lo * F.lit(2.0 * scale)
-    even = f + F.when(F.pmod(f, F.lit(2.0)) == 1.0, 1.0).otherwise(0.0)
-    n = F.when(off > 0, f + 1.0).when(off < 0, f).otherwise(even)
-    return F.when(x.isNotNull(), n / F.lit(scale))
-
-
-def decimal_text(x: Column, digits: int) -> Column:
-    """Shortest plain decimal text of a value already rounded to `digits` places, with at least one decimal."""
-    s = x.cast(f"decimal(28,{digits})").cast("string")
-    return F.regexp_replace(F.regexp_replace(s, "0+$", ""), r"\.$", ".0")
+    scale, twice = f"{10 ** digits}D", f"{2 * 10 ** digits}D"
+    high = "(134217729D * v.x - (134217729D * v.x - v.x))"
+    off = f"({high} * {twice} - (v.f * 2D + 1D)) + (v.x - {high}) * {twice}"
+    settled = bind(off, "o", f"(case when o > 0 then v.f + 1D when o < 0 then v.f else v.f + pmod(v.f, 2D) end) / {scale}")
+    return bind(f"named_struct('x', {x}, 'f', cast(floor(({x}) * {scale}) as double))", "v", settled)
+
+
+def decimal_text(x: str, digits: int) -> str:
+    """SQL text: shortest plain decimal form of a value rounded to `digits` places, with at least one decimal."""
+    return rf"regexp_replace(regexp_replace(cast(cast({x} as decimal(28,{digits})) as string), '0+$', ''), r'\.$', '.0')"
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

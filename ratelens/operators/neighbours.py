@@ -74,16 +74,18 @@ def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 15, block_rows: int =
     sent = queries.select(
         "id", "u", "bound", "cell", "chunk", F.pmod(F.xxhash64(F.col("id"), F.lit(7)), F.lit(salts)).cast("int").alias("salt"),
         F.inline(targets),
-    ).filter(~((F.col("t_cell") == F.col("cell")) & (F.col("t_chunk") == F.col("chunk")))).drop("cell", "chunk")
+    ).filter((F.col("t_cell") != F.col("cell")) | (F.col("t_chunk") != F.col("chunk"))).select(
+        F.col("id").alias("id"), F.col("u").alias("u"), "bound", "salt", "t_cell", "t_chunk"
+    )
     corpus = blocks.select(
-        F.col("id"), "u", F.col("cell").alias("t_cell"), F.col("chunk").alias("t_chunk"),
+        F.col("id").alias("c_id"), F.col("u").alias("c_u"), F.col("cell").alias("t_cell"), F.col("chunk").alias("t_chunk"),
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
     )
 
     def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"id": [], "neighbour": [], "similarity": []}).astype({"id": "int64", "neighbour": "int64"})
-        return _closest(q, c, k, q["bound"].to_numpy())
+        return _closest(q, c.rename(columns={"c_id": "id", "c_u": "u"}), k, q["bound"].to_numpy())
 
     keys = ["t_cell", "t_chunk", "salt"]
     rest = sent.groupBy(*keys).cogroup(corpus.groupBy(*keys)).applyInPandas(compare, "id long, neighbour long, similarity double")

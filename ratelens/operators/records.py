@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.config import DATA_SOURCE, LIMITATIONS, MODELS, SCHEMA_VERSION, TENANT_ID
+from ratelens.functions.bind import bind
 from ratelens.functions.canonical import canonical_json, digests
 from ratelens.functions.numbers import decimal_text, round_half_even_exact
 
@@ -49,13 +50,16 @@ def build_records(covered: DataFrame, computed_at: str, *, agreement_rate: Colum
     `computed_at` is a job parameter, so a rerun gives the same bytes.
     """
     def num(c: str, digits: int) -> Column:
-        return decimal_text(round_half_even_exact(F.col(c), digits), digits)
+        return F.expr(decimal_text(round_half_even_exact(c, digits), digits))
 
     def model(m: dict) -> Column:
         return F.struct(*[F.lit(v).alias(k) for k, v in m.items()])
 
-    rate = F.lit(None).cast("string") if agreement_rate is None else decimal_text(round_half_even_exact(agreement_rate, 6), 6)
     text = [*limitations, *extra_limitations]
+    if agreement_rate is None:
+        rate = F.lit(None).cast("string")
+    else:
+        covered, rate = covered.withColumn("_rate", agreement_rate), num("_rate", 6)
     return covered.select(
         F.lit(schema_version).alias("schema_version"), F.lit(tenant).alias("tenant_id"), "business_id",
         F.lit(computed_at).alias("computed_at"),
@@ -78,26 +82,25 @@ def build_records(covered: DataFrame, computed_at: str, *, agreement_rate: Colum
     )
 
 
-def body_text(records: DataFrame, schema: T.StructType = BODY_SCHEMA) -> Column:
+def body_text(schema: T.StructType = BODY_SCHEMA) -> Column:
     """Canonical JSON of a record without its signature."""
-    return canonical_json(F.struct(*[F.col(f.name) for f in schema.fields]), schema)
+    return F.expr(canonical_json(schema))
 
 
 def sign_records(records: DataFrame, schema: T.StructType = BODY_SCHEMA) -> DataFrame:
     """Add the two digests; an existing signature is replaced."""
-    return records.withColumn("dual_hash", digests(body_text(records, schema)))
+    return records.withColumn("dual_hash", F.expr(digests(canonical_json(schema))))
 
 
 def documents(signed: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
     """Key and JSON document of every record, as written to a store."""
-    return signed.select("business_id", canonical_json(F.struct(*[F.col(f.name) for f in schema.fields]), schema).alias("value"))
+    return signed.select("business_id", F.expr(canonical_json(schema)).alias("value"))
 
 
 def verify_records(signed: DataFrame, schema: T.StructType = BODY_SCHEMA) -> DataFrame:
     """Add `verified`: both stored digests are there and equal the recomputed ones."""
-    now = digests(body_text(signed, schema))
-    ok = (F.col("dual_hash.sha256") == now["sha256"]) & (F.col("dual_hash.sha512") == now["sha512"])
-    return signed.withColumn("verified", F.coalesce(ok, F.lit(False)))
+    same = "now.sha256 = dual_hash.sha256 and now.sha512 = dual_hash.sha512"
+    return signed.withColumn("verified", F.expr(f"coalesce({bind(digests(canonical_json(schema)), 'now', same)}, false)"))
 
 
 def typed(raw: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
@@ -107,12 +110,11 @@ def typed(raw: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
 
 def event_envelope(df: DataFrame, event_type: str, ts: str, payload: T.StructType, tenant: str = TENANT_ID) -> DataFrame:
     """Wrap rows as events: type, time, tenant, digest of the payload, then the payload itself."""
-    raw = F.struct(*[F.col(f.name).cast("string").alias(f.name) for f in payload.fields])
     has_tenant = "tenant_id" in df.columns
     return df.select(
         F.lit(event_type).alias("receipt_type"), F.lit(ts).alias("ts"),
         (F.coalesce(F.col("tenant_id"), F.lit(tenant)) if has_tenant else F.lit(tenant)).alias("tenant_id"),
-        digests(canonical_json(raw, payload)).alias("payload_hash"),
+        F.expr(digests(canonical_json(payload))).alias("payload_hash"),
         *[f.name for f in payload.fields if f.name != "tenant_id"],
     )
 
@@ -122,7 +124,7 @@ def verification_anomalies(verified: DataFrame) -> DataFrame:
     return verified.filter(~F.col("verified")).select(
         F.lit("receipt_verify").alias("metric"), F.lit(-1).alias("delta"), F.lit("violation").alias("classification"),
         F.lit("halt").alias("action"), "business_id",
-        F.col("dual_hash.sha256").alias("expected_sha256"), F.sha2(body_text(verified), 256).alias("actual_sha256"),
+        F.col("dual_hash.sha256").alias("expected_sha256"), F.sha2(body_text(), 256).alias("actual_sha256"),
     )
 
 

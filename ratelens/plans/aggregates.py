@@ -401,10 +401,10 @@ def _(spark, sf):
 @query("scalar_math", f"""SELECT o_orderkey, abs(o_custkey - o_orderkey) AS gap, least(o_totalprice, 250000.0::DOUBLE) AS clipped,
   {py_round_sql('o_totalprice / 16.0::DOUBLE', 2)} AS rounded, {dec_text_sql(py_round_sql('o_totalprice / 16.0::DOUBLE', 2), 2)} AS rounded_text FROM orders""")
 def _(spark, sf):
-    r = round_half_even_exact(F.col("o_totalprice") / 16.0, 2)
+    r = round_half_even_exact("o_totalprice / 16D", 2)
     return table(spark, sf, "orders").select(
         "o_orderkey", F.abs(F.col("o_custkey") - F.col("o_orderkey")).alias("gap"),
-        F.least("o_totalprice", F.lit(250000.0)).alias("clipped"), r.alias("rounded"), decimal_text(r, 2).alias("rounded_text"),
+        F.least("o_totalprice", F.lit(250000.0)).alias("clipped"), F.expr(r).alias("rounded"), F.expr(decimal_text(r, 2)).alias("rounded_text"),
     )
 
 

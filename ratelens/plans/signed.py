@@ -98,7 +98,7 @@ def _(spark, sf):
 @query("receipt_sign", "SELECT business_id, sha256(body) AS sha256, length(body) AS body_length FROM nbody", "nbody")
 def _(spark, sf):
     s = _signed(spark, sf)
-    return s.select("business_id", F.col("dual_hash.sha256").alias("sha256"), F.length(records.body_text(s)).cast("long").alias("body_length"))
+    return s.select("business_id", F.col("dual_hash.sha256").alias("sha256"), F.length(records.body_text()).cast("long").alias("body_length"))
 
 
 @query("receipt_second_digest")
@@ -178,9 +178,9 @@ def _answer(spark, sf, limit=20, **bounds):
     return q.select("business_id", F.col("scores.manipulation_delta").alias("delta"), F.col("scores.suspicious_review_pct").alias("pct"))
 
 
-@query("query_receipts_by_id", _Q.format("business_id = 'b7'", 20), "nstore")
+@query("query_receipts_by_id", _Q.format("business_id = 'b1'", 20), "nstore")
 def _(spark, sf):
-    return _answer(spark, sf, business_id="b7")
+    return _answer(spark, sf, business_id="b1")
 
 
 @query("query_receipts_min_delta", _Q.format("delta >= 0.02", 20), "nstore")
@@ -230,19 +230,19 @@ def _(spark, sf):
         T.StructField("labels", T.ArrayType(T.IntegerType())),
     ])
     r = clean_reviews(spark, sf)
-    raw = F.struct(
+    raw = r.select(
         "review_id", "business_id",
         F.struct(F.lit(None).cast("string").alias("missing"), F.col("cool").cast("string").alias("cool")).alias("scores"),
         F.array(F.col("stars").cast("string"), F.col("useful").cast("string")).alias("labels"),
     )
-    return r.select("review_id", canonical_json(raw, schema).alias("canonical"))
+    return raw.select("review_id", F.expr(canonical_json(schema)).alias("canonical"))
 
 
 @query("sha256_text", "SELECT doc_id, sha256(text) AS sha256 FROM documents")
 def _(spark, sf):
     from ratelens.plans.views import table
 
-    return table(spark, sf, "documents").select("doc_id", digests(F.col("text"))["sha256"].alias("sha256"))
+    return table(spark, sf, "documents").select("doc_id", F.expr(digests("text"))["sha256"].alias("sha256"))
 
 
 @query("merkle_root", """RECURSIVE +leaf AS (SELECT sha256(body) AS h, row_number() OVER (ORDER BY sha256(body)) - 1 AS pos FROM nbody),
