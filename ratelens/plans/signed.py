@@ -23,7 +23,7 @@ from ratelens.plans.views import (
 from ratelens.session import scratch_path
 from ratelens.sources import record_store
 
-_DAY = F.date_format("date_max", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+_STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def _by_business(spark, sf) -> DataFrame:
@@ -202,7 +202,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Records stamped with the date of their last review, so the text comparison splits the store."""
     covered = scoring.coverage(_by_business(spark, sf))
-    stamped = records.build_records(covered, COMPUTED_AT).join(covered.select("business_id", _DAY.alias("stamp")), "business_id")
+    stamped = records.build_records(covered, COMPUTED_AT).join(covered.select("business_id", F.date_format("date_max", _STAMP).alias("stamp")), "business_id")
     stamped = stamped.withColumn("computed_at", F.col("stamp")).drop("stamp")
     path = scratch_path(spark, "dated")
     record_store.write_records(records.sign_records(stamped), path)
