@@ -54,9 +54,8 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
         F.percentile_approx("v", F.array(*[F.lit(p) for p in near]), F.lit(10000)).alias("cuts"),
         F.count("*").alias("n"),
     )
-    sliced = data.join(cuts.select(*keys, "cuts"), keys).withColumn(
-        "slice", F.size(F.filter("cuts", lambda c: c <= F.col("v")))
-    )
+    below = [(F.get("cuts", F.lit(i)) <= F.col("v")).cast("int") for i in range(len(near))]
+    sliced = data.join(cuts.select(*keys, "cuts"), keys).withColumn("slice", sum(below[1:], below[0])).drop("cuts")
     per_slice = sliced.groupBy(*keys, "slice").agg(F.count("*").alias("c"))
     order = Window.partitionBy(*keys).orderBy("slice")
     starts = per_slice.withColumn("start", F.sum("c").over(order) - F.col("c"))

@@ -16,11 +16,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelens.operators.sampling import hash_sample
-from ratelens.operators.topics import unit
 
 MAX_PIVOTS = 256
 
 
+def _unit_rows(vectors) -> np.ndarray:
+    m = np.stack([np.asarray(v, dtype="float64") for v in vectors])
+    return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
+
+
 def _closest(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, limit: np.ndarray) -> pd.DataFrame:
     """k best corpus rows per query (not itself), dropping those farther than the query's limit."""
     q, c = np.stack(queries["u"].to_numpy()), np.stack(corpus["u"].to_numpy())
@@ -37,18 +41,18 @@ def _closest(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, limit: np.ndar
 
 def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 15, block_rows: int = 4096, pivots: int | None = None) -> DataFrame:
     """The k most similar other vectors of every vector, ranked; ties by neighbour id."""
-    base = df.select(F.col(key).alias("id"), unit(F.col(vec)).alias("u"))
+    base = df.select(F.col(key).cast("long").alias("id"), F.col(vec).alias("v"))
     n = df.count()
     n_pivots = max(1, min(MAX_PIVOTS, pivots or math.ceil(n / block_rows)))
-    chosen = hash_sample(base, "id", n_pivots).collect()  # at most MAX_PIVOTS vectors
-    centre = np.array([r["u"] for r in chosen])
+    centre = _unit_rows([r["v"] for r in hash_sample(base, "id", n_pivots).collect()])  # at most MAX_PIVOTS vectors
 
-    @F.pandas_udf("array<double>")
-    def pivot_distance(u: pd.Series) -> pd.Series:
-        d = np.sqrt(np.maximum(2.0 - 2.0 * (np.stack(u.to_numpy()) @ centre.T), 0.0))
-        return pd.Series(list(d))
+    def place(batches):
+        for pdf in batches:
+            u = _unit_rows(pdf["v"])
+            d = np.sqrt(np.maximum(2.0 - 2.0 * (u @ centre.T), 0.0))
+            yield pd.DataFrame({"id": pdf["id"], "u": list(u), "d": list(d), "cell": d.argmin(axis=1)})
 
-    placed = base.withColumn("d", pivot_distance("u")).withColumn("cell", F.array_position("d", F.array_min("d")).cast("int") - 1)
+    placed = base.mapInPandas(place, "id long, u array<double>, d array<double>, cell int")
     stats = placed.groupBy("cell").agg(F.count("*").alias("c"), F.max(F.array_min("d")).alias("radius"))
     stats = stats.withColumn("chunks", F.ceil(F.col("c") / F.lit(block_rows)).cast("int"))
     blocks = placed.join(F.broadcast(stats.select("cell", "chunks")), "cell").withColumn(  # at most MAX_PIVOTS rows

@@ -78,15 +78,15 @@ def entity_majority_label(mentions: DataFrame) -> DataFrame:
 def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, tokens: str = "tokens") -> DataFrame:
     """The most frequent terms with total and document frequency.
 
-    Each document emits its tokens and, tagged, its distinct tokens, so both frequencies come from one
-    grouped sum on the term; there is no shuffle by document.
+    Each document emits its tokens followed by its distinct tokens; the position tells them apart, so both
+    frequencies come from one grouped sum on the term and there is no shuffle by document.
     """
     if max_features > MAX_VOCABULARY:
         raise ValueError(f"max_features above {MAX_VOCABULARY} would make the vocabulary too large to broadcast")
-    every = F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-    once = F.transform(F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
-    flat = docs.select(F.inline(F.concat(every, once)))
-    freq = flat.groupBy("term").agg(F.sum("tf").alias("total"), F.sum("df").alias("df"))
+    flat = docs.select(F.size(tokens).alias("n"), F.posexplode(F.concat(tokens, F.array_distinct(tokens))).alias("pos", "term"))
+    freq = flat.groupBy("term").agg(
+        F.count_if(F.col("pos") < F.col("n")).alias("total"), F.count_if(F.col("pos") >= F.col("n")).alias("df")
+    )
     return freq.filter(F.col("df") >= min_df).orderBy(F.desc("total"), "term").limit(max_features)
 
 

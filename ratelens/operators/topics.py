@@ -72,8 +72,9 @@ def _dot(a: Column, b: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """Vector scaled to length one."""
-    d = F.transform(v, lambda x: x.cast("double"))
-    return F.transform(d, lambda x: x / F.sqrt(_dot(v, v)))
+    # The length is bound to a lambda variable; inside the inner lambda it would be recomputed per component.
+    scaled = F.transform(F.array(F.sqrt(_dot(v, v))), lambda n: F.transform(v, lambda x: x.cast("double") / n))
+    return F.get(scaled, F.lit(0))
 
 
 def label_vectors(vectors: DataFrame, label: str, vec: str) -> DataFrame:
@@ -105,36 +106,36 @@ def zero_shot_assign(docs: DataFrame, key: str, vec: str, labels: DataFrame, lab
     )
 
 
-def topic_gram(weights: DataFrame, group: str) -> DataFrame:
-    """Dot products of all topic vectors, long form (a, b, dot) with integer positions of the sorted topics.
+def topic_gram(weights: DataFrame, group: str, groups: DataFrame) -> DataFrame:
+    """Dot products of all topic vectors, long form (topic_a, topic_b, dot) with their positions a and b.
 
     Terms are grouped with the (at most MAX_TOPICS) weights they have; each task adds its terms into one
     topics x topics matrix, and only those matrices are shuffled. No pair of entries is ever a row before.
+    `groups` holds the topics; passing it saves deriving them from the weights.
     """
-    ids = weights.select(group).distinct()
-    order = ids.agg(
+    order = groups.select(group).distinct().agg(
         F.when(F.count("*") <= MAX_TOPICS, F.array_sort(F.collect_list(group)))
         .otherwise(F.raise_error(F.lit("too many topics for a similarity matrix"))).alias("o")
     ).scalar()
-    placed = weights.withColumn("p", F.array_position(order, F.col(group)) - 1)
-    rows = placed.groupBy("term").agg(F.collect_list(F.struct("p", "weight")).alias("e"))
-    rows = rows.select(F.transform("e", lambda s: s["p"].cast("int")).alias("p"), F.transform("e", lambda s: s["weight"]).alias("w"))
+    placed = weights.select("term", F.struct((F.array_position(order, F.col(group)) - 1).cast("int").alias("p"), "weight").alias("e"))
+    rows = placed.groupBy("term").agg(F.collect_list("e").alias("e")).select(
+        F.col("e.p").alias("p"), F.col("e.weight").alias("w")
+    )
 
     def add(batches):
-        total = None
+        total = np.zeros((0, 0))
         for pdf in batches:
-            for p, w in zip(pdf["p"], pdf["w"]):
-                need = int(max(p)) + 1
-                if total is None:
-                    total = np.zeros((need, need))
-                elif need > len(total):
-                    grown = np.zeros((need, need))
-                    grown[: len(total), : len(total)] = total
-                    total = grown
-                total[np.ix_(p, p)] += np.outer(w, w)
-        if total is not None:
-            a, b = np.nonzero(total)
-            yield pd.DataFrame({"a": a, "b": b, "dot": total[a, b]})
+            for start in range(0, len(pdf), 2048):
+                part = pdf.iloc[start:start + 2048]
+                sizes = part["p"].map(len).to_numpy()
+                p, w = np.concatenate(part["p"].to_numpy()), np.concatenate(part["w"].to_numpy())
+                block = np.zeros((len(part), max(len(total), int(p.max()) + 1)))
+                block[np.repeat(np.arange(len(part)), sizes), p] = w
+                gram = block.T @ block
+                gram[: len(total), : len(total)] += total
+                total = gram
+        a, b = np.nonzero(total)
+        yield pd.DataFrame({"a": a, "b": b, "dot": total[a, b]})
 
     partial = rows.mapInPandas(add, "a int, b int, dot double")
     summed = partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"))

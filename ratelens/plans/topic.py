@@ -77,12 +77,12 @@ def _(spark, sf):
   FROM cw a JOIN cw b ON a.term = b.term AND a.source < b.source GROUP BY ALL) JOIN (SELECT source AS topic_a, sqrt(sum(weight * weight)) AS na FROM cw GROUP BY 1) USING (topic_a)
   JOIN (SELECT source AS topic_b, sqrt(sum(weight * weight)) AS nb FROM cw GROUP BY 1) USING (topic_b)""", "cw")
 def _(spark, sf):
-    return rounded(topics.pair_similarity(topics.topic_gram(_weights(spark, sf), "source")), "similarity")
+    return rounded(topics.pair_similarity(topics.topic_gram(_weights(spark, sf), "source", table(spark, sf, "documents"))), "similarity")
 
 
 def _merges(spark, sf, down_to):
     sizes = table(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("n"))
-    return topics.merge_order(topics.topic_gram(_weights(spark, sf), "source"), sizes, "source", down_to)
+    return topics.merge_order(topics.topic_gram(_weights(spark, sf), "source", table(spark, sf, "documents")), sizes, "source", down_to)
 
 
 @query("topic_reduce")
