@@ -34,6 +34,15 @@ def _quoted(value: str) -> str:
     return bind(inner, "q", plain)
 
 
+def _plain_number(x: str) -> str:
+    """Number text without the JVM's early exponents: plain from 1e-4 up to 1e16, else a form like 1.5e-07."""
+    plain = rf"regexp_replace(regexp_replace(cast(cast({x} as decimal(38,20)) as string), '0+$', ''), r'\.$', '.0')"
+    power = f"cast(substring_index({x}, 'E', -1) as int)"
+    digits = rf"regexp_replace(substring_index({x}, 'E', 1), r'\.0$', '')"
+    short = f"concat({digits}, if({power} < 0, 'e-', 'e+'), lpad(cast(abs({power}) as string), 2, '0'))"
+    return f"case when {x} is null then 'null' when not contains({x}, 'E') then {x} when {power} between -4 and 15 then {plain} else {short} end"
+
+
 def canonical_sql(value: str, schema: T.DataType, level: int = 0) -> str:
     """SQL text: sorted keys, no blanks, nulls kept. `value` has type raw_schema(schema)."""
     v = f"v{level}"
@@ -44,6 +53,8 @@ def canonical_sql(value: str, schema: T.DataType, level: int = 0) -> str:
     if isinstance(schema, T.ArrayType):
         items = f"transform({value}, {v} -> {canonical_sql(v, schema.elementType, level + 1)})"
         return f"coalesce(concat('[', array_join({items}, ','), ']'), 'null')"
+    if isinstance(schema, (T.DoubleType, T.FloatType)):
+        return bind(f"cast({value} as string)", v, _plain_number(v))
     if isinstance(schema, _RAW):
         return f"coalesce(cast({value} as string), 'null')"
     return f"if({value} is null, 'null', {_quoted(value)})"
