@@ -487,7 +487,8 @@ def _(spark, sf):
 
 
 @query("balanced_sample_union", """SELECT review_id, stars FROM (SELECT review_id, stars, row_number() OVER (PARTITION BY stars ORDER BY md5(review_id || ':42'), review_id) AS k
-  FROM rtc WHERE stars IN (1, 5)) WHERE k <= 20""", "rtc")
+  FROM rtc WHERE stars IN (1, 5)) WHERE k <= 20
+  AND (SELECT least(count(*) FILTER (WHERE stars = 1), count(*) FILTER (WHERE stars = 5)) FROM rtc) >= 20""", "rtc")
 def _(spark, sf):
     r = clean_reviews(spark, sf)
     return sampling.balanced_sample(r, "stars", [1, 5], 40, "review_id").select("review_id", "stars")

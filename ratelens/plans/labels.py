@@ -38,7 +38,8 @@ def _(spark, sf):
 
 
 @query("balanced_sample", """SELECT review_id, stars FROM (SELECT review_id, stars, row_number() OVER (PARTITION BY stars ORDER BY md5(review_id || ':42'), review_id) AS k
-  FROM rn WHERE stars IN (1, 5)) WHERE k <= 20""", "rn")
+  FROM rn WHERE stars IN (1, 5)) WHERE k <= 20
+  AND (SELECT least(count(*) FILTER (WHERE stars = 1), count(*) FILTER (WHERE stars = 5)) FROM rn) >= 20""", "rn")
 def _(spark, sf):
     return sampling.balanced_sample(number_reviews(spark, sf), "stars", [1, 5], 40, "review_id").select("review_id", "stars")
 
@@ -66,7 +67,8 @@ def _(spark, sf):
 
 @query("label_cache_replay", """SELECT s.review_id, CASE WHEN stars >= 4 THEN 1 ELSE 0 END AS true_label, zero_shot_label, few_shot_label, primary_label, comparator_label,
   primary_label IS NOT NULL AND primary_label IS NOT DISTINCT FROM comparator_label AS multi_model_agreement FROM
-  (SELECT review_id, stars FROM (SELECT review_id, stars, row_number() OVER (PARTITION BY stars ORDER BY md5(review_id || ':42'), review_id) AS k FROM rtc WHERE stars IN (1, 5)) WHERE k <= 40) s
+  (SELECT review_id, stars FROM (SELECT review_id, stars, row_number() OVER (PARTITION BY stars ORDER BY md5(review_id || ':42'), review_id) AS k FROM rtc WHERE stars IN (1, 5)) WHERE k <= 40
+  AND (SELECT least(count(*) FILTER (WHERE stars = 1), count(*) FILTER (WHERE stars = 5)) FROM rtc) >= 40) s
   LEFT JOIN (SELECT * FROM cache WHERE ord = 0) c USING (review_id)""", "rtc", "cache")
 def _(spark, sf):
     sample = sampling.balanced_sample(clean_reviews(spark, sf), "stars", [1, 5], 80, "review_id").select("review_id", "stars")

@@ -103,7 +103,7 @@ def _(spark, sf):
 
 @query("receipt_second_digest")
 def _(spark, sf):
-    return _signed(spark, sf).select("business_id", F.col("dual_hash.sha512").alias("sha512"))
+    return _signed(spark, sf, _by_user(spark, sf)).select("business_id", F.col("dual_hash.sha512").alias("sha512"))
 
 
 @query("receipt_verify", "SELECT business_id, true AS verified FROM ncovered", "ncovered")
