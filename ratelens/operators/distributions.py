@@ -39,13 +39,17 @@ def histogram(df: DataFrame, value: Column, bins: int, upper: float | None = Non
     )
 
 
-def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float],
+                    bounded_groups: bool = False) -> DataFrame:
     """Linear-interpolated quantiles, exact for any number of distinct values and any group size.
 
     A sketch proposes cut points close to each wanted rank; rows are counted between the cuts, which
     tells exactly in which narrow slice the rank lies; only values inside those slices are sorted, after
     equal values have been counted together. The result does not depend on the sketch's accuracy.
+    `bounded_groups` says that the number of groups is fixed by the caller (such as a list of columns), so
+    the tables with a few rows per group are broadcast; otherwise joins go by key.
     """
+    small = F.broadcast if bounded_groups or not groups else (lambda t: t)
     keys = list(groups) or ["_all"]
     data = (df if groups else df.withColumn("_all", F.lit(1))).select(*keys, F.col(value).cast("double").alias("v"))
     data = data.filter(F.col("v").isNotNull())
@@ -55,7 +59,7 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
         F.count("*").alias("n"),
     )
     below = [(F.get("cuts", F.lit(i)) <= F.col("v")).cast("int") for i in range(len(near))]
-    sliced = data.join(cuts.select(*keys, "cuts"), keys).withColumn("slice", sum(below[1:], below[0])).drop("cuts")
+    sliced = data.join(small(cuts.select(*keys, "cuts")), keys).withColumn("slice", sum(below[1:], below[0])).drop("cuts")
     per_slice = sliced.groupBy(*keys, "slice").agg(F.count("*").alias("c"))
     order = Window.partitionBy(*keys).orderBy("slice")
     starts = per_slice.withColumn("start", F.sum("c").over(order) - F.col("c"))
@@ -67,7 +71,7 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
     located = ranks.join(starts, keys).filter(
         (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("c"))
     ).select(*keys, "slice", "start", "p", "pos", "rank")
-    inside = sliced.join(located.select(*keys, "slice", "start").distinct(), [*keys, "slice"])
+    inside = sliced.join(small(located.select(*keys, "slice", "start").distinct()), [*keys, "slice"])
     valued = inside.groupBy(*keys, "slice", "start", "v").agg(F.count("*").alias("c"))
     run = Window.partitionBy(*keys, "slice").orderBy("v")
     valued = valued.withColumn("upto", F.col("start") + F.sum("c").over(run))
@@ -90,7 +94,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.count("v").alias("n_values"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"),
     )
-    q = exact_quantiles(long, ["column_name"], "v", [0.25, 0.5, 0.75])
+    q = exact_quantiles(long, ["column_name"], "v", [0.25, 0.5, 0.75], bounded_groups=True)
     wide = q.groupBy("column_name").agg(*[
         F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
     ])

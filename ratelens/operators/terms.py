@@ -6,7 +6,7 @@ Term tables stay long (document, term, value) and are never densified. Vocabular
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +21,23 @@ def clean_tokens(text: Column, min_length: int = 3, stop_words: Sequence[str] =
     return F.filter(alpha_tokens(text), lambda t: (F.length(t) >= min_length) & ~t.isin(*stop_words))
 
 
+def raw_tokens(text: Column) -> Column:
+    """Pieces between non-letters of the lower-cased text, blanks included: cheap to build and to explode.
+
+    Conditions on terms are applied after the explode, in generated code, not inside the array.
+    """
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z]+")
+
+
+def keep_terms(min_length: int = 3, stop_words: Sequence[str] = STOP_WORDS) -> Callable[[Column], Column]:
+    """The same condition as clean_tokens, as a predicate on an exploded term."""
+    return lambda t: (F.length(t) >= min_length) & ~t.isin(*stop_words)
+
+
+def any_term(t: Column) -> Column:
+    return t != ""
+
+
 def token_summary(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Number of kept and of distinct kept tokens per document; computed in the row."""
     toks = docs.select(key, clean_tokens(F.col(text), **options).alias("t"))
@@ -37,8 +54,8 @@ def top_per_group(counts: DataFrame, group: str, term: str, n: str, k: int) -> D
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def topk_terms(docs: DataFrame, group: str, k: int, tokens: Column) -> DataFrame:
-    counts = docs.select(group, F.explode(tokens).alias("term")).groupBy(group, "term").agg(F.count("*").alias("n"))
+def topk_terms(docs: DataFrame, group: str, k: int, tokens: Column, keep: Callable[[Column], Column] = any_term) -> DataFrame:
+    counts = docs.select(group, F.explode(tokens).alias("term")).filter(keep(F.col("term"))).groupBy(group, "term").agg(F.count("*").alias("n"))
     return top_per_group(counts, group, "term", "n", k)
 
 
@@ -75,7 +92,8 @@ def entity_majority_label(mentions: DataFrame) -> DataFrame:
     )
 
 
-def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, tokens: str = "tokens") -> DataFrame:
+def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, tokens: str = "tokens",
+               keep: Callable[[Column], Column] = any_term) -> DataFrame:
     """The most frequent terms with total and document frequency.
 
     Each document emits its tokens followed by its distinct tokens; the position tells them apart, so both
@@ -84,7 +102,7 @@ def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, tokens: str
     if max_features > MAX_VOCABULARY:
         raise ValueError(f"max_features above {MAX_VOCABULARY} would make the vocabulary too large to broadcast")
     flat = docs.select(F.size(tokens).alias("n"), F.posexplode(F.concat(tokens, F.array_distinct(tokens))).alias("pos", "term"))
-    freq = flat.groupBy("term").agg(
+    freq = flat.filter(keep(F.col("term"))).groupBy("term").agg(
         F.count_if(F.col("pos") < F.col("n")).alias("total"), F.count_if(F.col("pos") >= F.col("n")).alias("df")
     )
     return freq.filter(F.col("df") >= min_df).orderBy(F.desc("total"), "term").limit(max_features)
@@ -155,10 +173,10 @@ def token_sequences(docs: DataFrame, index: DataFrame, key: str, length: int = 1
 
 def nb_log_prob(train: DataFrame, vocab: DataFrame, label: str, key: str, tokens: str = "tokens") -> DataFrame:
     """Log probability of each vocabulary term in class 0 and 1 with add-one smoothing: one row per term."""
-    flat = train.select(label, F.explode(tokens).alias("term")).groupBy("term").agg(
+    known = F.broadcast(vocab.select("term"))
+    per = train.select(label, F.explode(tokens).alias("term")).join(known, "term", "left_semi").groupBy("term").agg(
         F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")
     )
-    per = F.broadcast(vocab.select("term")).join(flat, "term")
     sums = per.agg(F.struct(F.sum("n0").alias("s0"), F.sum("n1").alias("s1"), F.count("*").alias("v")).alias("x")).scalar()
     staged = per.withColumn("x", sums)
 
@@ -192,9 +210,9 @@ def nb_top_terms(log_prob: DataFrame, k: int = 15) -> DataFrame:
     return top_per_group(long, "class", "term", "log_prob", k)
 
 
-def ctfidf(docs: DataFrame, group: str, tokens: str = "tokens") -> DataFrame:
+def ctfidf(docs: DataFrame, group: str, tokens: str = "tokens", keep: Callable[[Column], Column] = any_term) -> DataFrame:
     """Class-based TF-IDF: term count in the class times ln(1 + mean class size / term count)."""
-    tf = docs.select(group, F.explode(tokens).alias("term")).groupBy(group, "term").agg(F.count("*").alias("tf"))
+    tf = docs.select(group, F.explode(tokens).alias("term")).filter(keep(F.col("term"))).groupBy(group, "term").agg(F.count("*").alias("tf"))
     mean_size = tf.agg((F.sum("tf") / F.count_distinct(group).cast("double")).alias("a")).scalar()
     freq = tf.groupBy("term").agg(F.sum("tf").alias("f"))
     return tf.join(freq, "term").select(

@@ -47,7 +47,7 @@ def _(spark, sf):
 
 
 def _train_test(spark, sf):
-    d = binary_documents(spark, sf)
+    d = binary_documents(spark, sf, lambda text: terms.clean_tokens(text, 2))
     return d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
 
 

@@ -25,7 +25,7 @@ _TOP = """SELECT {g}, term, n, row_number() OVER (PARTITION BY {g} ORDER BY n DE
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "source", terms.clean_tokens(F.col("text")).alias("tokens"))
+    return table(spark, sf, "documents").select("doc_id", "source", terms.raw_tokens(F.col("text")).alias("tokens"))
 
 
 def _train(spark, sf):
@@ -53,7 +53,7 @@ view("nbpred", """SELECT d.doc_id, d.y, d.split, coalesce(s0, 0) + ln((SELECT co
 @query("topk_terms_by_group", "SELECT * FROM (" + _TOP.format(g="stars", src="(SELECT stars, term, count(*) AS n FROM ctok JOIN rtc USING (doc_id) GROUP BY ALL)") + ") WHERE rank <= 20", "ctok", "rtc")
 def _(spark, sf):
     r = clean_reviews(spark, sf)
-    return terms.topk_terms(r, "stars", 20, terms.clean_tokens(F.col("text"))).withColumn("rank", F.col("rank").cast("long"))
+    return terms.topk_terms(r, "stars", 20, terms.raw_tokens(F.col("text")), terms.keep_terms()).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query("clean_tokens", "SELECT d.doc_id, CAST(count(term) AS INTEGER) AS n_tokens, CAST(count(DISTINCT term) AS INTEGER) AS n_distinct FROM documents d LEFT JOIN ctok c USING (doc_id) GROUP BY d.doc_id", "ctok")
@@ -91,7 +91,7 @@ def _(spark, sf):
 
 
 def _vocab(train):
-    return terms.vocabulary(train, 1000, 2)
+    return terms.vocabulary(train, 1000, 2, keep=terms.keep_terms(2))
 
 
 @query("count_vectors", "SELECT doc_id, term, tf FROM tf", "tf")
@@ -121,7 +121,7 @@ def _(spark, sf):
 
 @query("top_terms_count", "SELECT term, CAST(total AS BIGINT) AS total FROM vocab ORDER BY total DESC, term LIMIT 20", "vocab")
 def _(spark, sf):
-    return terms.vocabulary(_train(spark, sf), 20, 2).select("term", "total")
+    return terms.vocabulary(_train(spark, sf), 20, 2, keep=terms.keep_terms(2)).select("term", "total")
 
 
 _TOPW = """SELECT term, round(sum(weight) / (SELECT count(*) FROM bdocs WHERE split = 'train')::DOUBLE, 6) AS mean_weight FROM tfidf WHERE split = 'train'
@@ -143,7 +143,7 @@ def _(spark, sf):
 @query("top_terms_difference", f"""+a AS (SELECT term FROM vocab ORDER BY total DESC, term LIMIT 10), b AS ({_TOPW.format(k=10)})
   SELECT term, 'counts' AS only_in FROM a WHERE term NOT IN (SELECT term FROM b) UNION ALL SELECT term, 'tfidf' FROM b WHERE term NOT IN (SELECT term FROM a)""", "vocab", "tfidf", "bdocs")
 def _(spark, sf):
-    return terms.top_difference(terms.vocabulary(_train(spark, sf), 10, 2), _top_weights(spark, sf, 10))
+    return terms.top_difference(terms.vocabulary(_train(spark, sf), 10, 2, keep=terms.keep_terms(2)), _top_weights(spark, sf, 10))
 
 
 @query("tf_density", """SELECT count(*) AS nnz, (SELECT count(*) FROM bdocs)::DOUBLE AS n_docs, (SELECT count(*) FROM vocab)::DOUBLE AS n_terms,
@@ -234,7 +234,7 @@ view("ct", "SELECT source, term, count(*) AS tf FROM ctok JOIN documents USING (
 
 @query("ctfidf_top_terms", """SELECT * FROM (SELECT source, term, tf, round(weight, 6) AS weight, row_number() OVER (PARTITION BY source ORDER BY round(weight, 6) DESC, term) AS rank FROM cw) WHERE rank <= 10""", "cw")
 def _(spark, sf):
-    w = rounded(terms.ctfidf(_docs(spark, sf), "source"), "weight")
+    w = rounded(terms.ctfidf(_docs(spark, sf), "source", keep=terms.keep_terms()), "weight")
     return terms.top_per_group(w, "source", "term", "weight", 10).withColumn("rank", F.col("rank").cast("long"))
 
 

@@ -13,11 +13,11 @@ _UNIT = "list_transform({v}, lambda x: x::DOUBLE)"
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "source", terms.clean_tokens(F.col("text")).alias("tokens"))
+    return table(spark, sf, "documents").select("doc_id", "source", terms.raw_tokens(F.col("text")).alias("tokens"))
 
 
 def _weights(spark, sf):
-    return terms.ctfidf(_docs(spark, sf), "source")
+    return terms.ctfidf(_docs(spark, sf), "source", keep=terms.keep_terms())
 
 
 @query("topic_outlier_rate", "SELECT count(*) AS n, count(*) FILTER (WHERE topic_id = -1) AS n_outliers, round(avg(CASE WHEN topic_id = -1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS outlier_rate FROM dtopics", "dtopics")

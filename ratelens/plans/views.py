@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ratelens.functions.sentiment import Rules
 from ratelens.functions.text import words
 from ratelens.operators.cleaning import drop_invalid_ids
 from ratelens.operators.features import feature_matrix, with_divergence, with_sentiment
-from ratelens.operators.terms import clean_tokens
+from ratelens.operators.terms import raw_tokens
 from ratelens.plans.registry import view
 
 # Invented valences for frequent tokens of the test corpus.
@@ -144,12 +146,12 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
                                         (1 - F.col("toxic")).alias("y_other"), "text")
 
 
-def binary_documents(spark: SparkSession, sf: str) -> DataFrame:
+def binary_documents(spark: SparkSession, sf: str, tokens: Callable[[Column], Column] = raw_tokens) -> DataFrame:
     """Cleaned reviews without the middle star, with tokens, label and split."""
     from ratelens.operators.sampling import stratified_split
 
     r = clean_reviews(spark, sf).filter(F.col("stars") != 3).select(
-        "doc_id", (F.col("stars") > 3).cast("int").alias("y"), clean_tokens(F.col("text"), 2).alias("tokens")
+        "doc_id", (F.col("stars") > 3).cast("int").alias("y"), tokens(F.col("text")).alias("tokens")
     )
     split = stratified_split(r.select("doc_id", "y"), "y", "doc_id").select("doc_id", "split")
     return r.join(split, "doc_id")
