@@ -103,15 +103,16 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def boxplot(df: DataFrame, group: str, value: str) -> DataFrame:
+def boxplot(df: DataFrame, group: str, value: str, bounded_groups: bool = False) -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 IQR, and the number of points beyond."""
-    q = exact_quantiles(df, [group], value, [0.25, 0.5, 0.75]).groupBy(group).agg(*[
+    q = exact_quantiles(df, [group], value, [0.25, 0.5, 0.75], bounded_groups).groupBy(group).agg(*[
         F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "med"), (0.75, "q3"))
     ])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     q = q.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
     v = F.col(value).cast("double")
     inside = (v >= F.col("low")) & (v <= F.col("high"))
+    q = F.broadcast(q) if bounded_groups else q
     return df.select(group, value).join(q, group).groupBy(group, "q1", "med", "q3").agg(
         F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
         F.count_if(~inside).alias("n_outliers"),

@@ -15,6 +15,7 @@ from ratelens.config import FEATURES, GBT_DEPTH, GBT_ROUNDS, GBT_STEP, NO_TOPIC,
 from ratelens.operators.evaluation import binary_metrics
 from ratelens.operators.sampling import stratified_split
 from ratelens.operators.scoring import label_as_score
+from ratelens.session import materialise
 
 
 def assemble(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
@@ -49,7 +50,11 @@ def score_suspicion(features: DataFrame, model: GBTClassificationModel | None) -
 
 def fit_and_score(features: DataFrame, rounds: int = GBT_ROUNDS, depth: int = GBT_DEPTH
                   ) -> tuple[DataFrame, GBTClassificationModel | None, DataFrame | None]:
-    """Fit on the training part, score every row, measure on the test part."""
+    """Fit on the training part, score every row, measure on the test part.
+
+    The features are written once first: fitting takes several passes, and none should score text again.
+    """
+    features = materialise(features, "features")
     if is_degenerate(features):
         return label_as_score(features), None, None
     split = stratified_split(features, "suspicious_label", "review_id")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ratelens.config import SEED
 
 PREFIX = 4  # hex digits, 65 536 slices of the hash range
+MAX_CLASSES = 1000
 
 
 def hash_order(key: str, seed: int = SEED) -> Column:
@@ -53,20 +54,28 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.
     per_slice = h.groupBy(label, "_b").agg(F.count("*").alias("c"))
     upto = F.sum("c").over(Window.partitionBy(label).orderBy("_b"))
     total = F.sum("c").over(Window.partitionBy(label))
-    edge = (
-        per_slice.withColumns({"upto": upto, "k": F.ceil(total * F.lit(test_share))})
-        .filter((F.col("k") > F.col("upto") - F.col("c")) & (F.col("k") <= F.col("upto")))
-        .select(F.col(label).alias("_l"), F.col("_b").alias("_eb"), (F.col("k") - F.col("upto") + F.col("c")).alias("_r"))
+    edge = per_slice.withColumns({"upto": upto, "k": F.ceil(total * F.lit(test_share))}).filter(
+        (F.col("k") > F.col("upto") - F.col("c")) & (F.col("k") <= F.col("upto"))
+    ).select(F.col(label).alias("l"), F.struct(F.col("_b").alias("slice"), (F.col("k") - F.col("upto") + F.col("c")).alias("rank")).alias("v"))
+    in_edge = h.withColumn("_e", F.try_element_at(_per_class(edge), F.col(label))).filter(F.col("_b") == F.col("_e.slice"))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", key))
+    cut = in_edge.withColumn("_n", rank).filter(F.col("_n") == F.col("_e.rank")).select(
+        F.col(label).alias("l"), F.struct(F.col("_h").alias("h"), F.col(key).alias("k")).alias("v")
     )
-    in_edge = h.join(edge, (F.col(label) == F.col("_l")) & (F.col("_b") == F.col("_eb")))
-    rank = F.row_number().over(Window.partitionBy("_l").orderBy("_h", key))
-    cut = in_edge.select("_l", "_r", "_h", key, rank.alias("rank")).filter(F.col("rank") == F.col("_r")).select(
-        "_l", F.col("_h").alias("_ch"), F.col(key).alias("_ck")
-    )
-    before = (F.col("_h") < F.col("_ch")) | ((F.col("_h") == F.col("_ch")) & (F.col(key) <= F.col("_ck")))
-    return h.join(cut, F.col(label) == F.col("_l"), "left").withColumn(
-        "split", F.when(before, "test").otherwise("train")
-    ).drop("_h", "_b", "_l", "_ch", "_ck")
+    staged = h.withColumn("_c", F.try_element_at(_per_class(cut), F.col(label)))
+    before = F.struct(F.col("_h").alias("h"), F.col(key).alias("k")) <= F.col("_c")
+    return staged.withColumn("split", F.when(before, "test").otherwise("train")).drop("_h", "_b", "_c")
+
+
+def _per_class(table: DataFrame) -> Column:
+    """A (l, v) table with one row per class as a map in a scalar subquery; its size is checked.
+
+    Joining on the class instead would shuffle all rows to as many tasks as there are classes.
+    """
+    return table.agg(
+        F.when(F.count("*") <= MAX_CLASSES, F.map_from_entries(F.collect_list(F.struct("l", "v"))))
+        .otherwise(F.raise_error(F.lit("too many classes for a stratified split"))).alias("m")
+    ).scalar()
 
 
 def split_report(split: DataFrame, label: str) -> DataFrame:

@@ -238,7 +238,7 @@ def _(spark, sf):
   count(*) FILTER (WHERE NOT (w BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) AS n_outliers FROM d JOIN q USING (stars) GROUP BY d.stars, q1, med, q3""", "rtc")
 def _(spark, sf):
     d = clean_reviews(spark, sf).select("stars", tx.word_count(F.col("text")).alias("w"))
-    return rounded(distributions.boxplot(d, "stars", "w"), "q1", "med", "q3")
+    return rounded(distributions.boxplot(d, "stars", "w", bounded_groups=True), "q1", "med", "q3")
 
 
 @query("reviews_per_user", "SELECT user_id, count(*) AS n FROM rn GROUP BY user_id", "rn")
