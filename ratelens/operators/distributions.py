@@ -12,17 +12,17 @@ def histogram(df: DataFrame, value: Column, bins: int, upper: float | None = Non
               bounds: tuple[float, float] | None = None, group: str | None = None) -> DataFrame:
     """Equal-width bins between minimum and maximum (last bin closed), optionally clipped above.
 
-    The two bounds are scalar subqueries unless given. Empty bins are kept with count 0.
+    The bounds are one scalar subquery unless given, so the input is read twice: write costly values
+    (such as text lengths) to a table first. Empty bins are kept with count 0.
     """
     x = F.least(value.cast("double"), F.lit(float(upper))) if upper is not None else value.cast("double")
     keep = [group] if group else []
     data = df.select(*keep, x.alias("x")).filter(F.col("x").isNotNull())
     if bounds:
-        lo, hi = F.lit(float(bounds[0])), F.lit(float(bounds[1]))
+        ends = F.struct(F.lit(float(bounds[0])).alias("lo"), F.lit(float(bounds[1])).alias("hi"))
     else:
-        lo = data.agg(F.min("x").alias("m")).scalar()
-        hi = data.agg(F.max("x").alias("m")).scalar()
-    data = data.withColumns({"lo": lo, "hi": hi})
+        ends = data.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("m")).scalar()
+    data = data.withColumn("_m", ends).select(*keep, "x", "_m.lo", "_m.hi")
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     slot = F.when(F.col("hi") <= F.col("lo"), 0).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
@@ -46,6 +46,7 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
     A sketch proposes cut points close to each wanted rank; rows are counted between the cuts, which
     tells exactly in which narrow slice the rank lies; only values inside those slices are sorted, after
     equal values have been counted together. The result does not depend on the sketch's accuracy.
+    The input is read several times: write costly values to a table first.
     `bounded_groups` says that the number of groups is fixed by the caller (such as a list of columns), so
     the tables with a few rows per group are broadcast; otherwise joins go by key.
     """

@@ -28,6 +28,7 @@ from ratelens.plans.views import (
     text_features,
     text_reviews,
 )
+from ratelens.session import materialise
 
 _W = r"len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''))"
 
@@ -211,7 +212,8 @@ def _hist(source: str, x: str, bins: int, group: str = "", bounds: str | None =
 
 @query("histogram_length", _hist("rtc", f"least({_W}, 500)", 40), "rtc")
 def _(spark, sf):
-    h = distributions.histogram(clean_reviews(spark, sf).withColumn("w", tx.word_count(F.col("text"))), F.col("w"), 40, upper=500)
+    lengths = materialise(clean_reviews(spark, sf).select(tx.word_count(F.col("text")).alias("w")), "lengths")
+    h = distributions.histogram(lengths, F.col("w"), 40, upper=500)
     return rounded(h, "bin_lo", "bin_hi")
 
 
@@ -237,7 +239,7 @@ def _(spark, sf):
   max(w) FILTER (WHERE w BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::DOUBLE AS whisker_hi,
   count(*) FILTER (WHERE NOT (w BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) AS n_outliers FROM d JOIN q USING (stars) GROUP BY d.stars, q1, med, q3""", "rtc")
 def _(spark, sf):
-    d = clean_reviews(spark, sf).select("stars", tx.word_count(F.col("text")).alias("w"))
+    d = materialise(clean_reviews(spark, sf).select("stars", tx.word_count(F.col("text")).alias("w")), "lengths")
     return rounded(distributions.boxplot(d, "stars", "w", bounded_groups=True), "q1", "med", "q3")
 
 

@@ -12,11 +12,12 @@ from ratelens.functions.sentiment import Rules
 from ratelens.operators import models, records, scoring
 from ratelens.operators.features import feature_matrix, with_sentiment
 from ratelens.operators.sampling import hash_sample
+from ratelens.session import materialise
 
 
 @dataclass
 class Result:
-    """Lazy tables of a run; nothing but the optional model fit has been executed."""
+    """Tables of a run. The features have been written once; everything after them is lazy."""
 
     scored_reviews: DataFrame
     by_business: DataFrame
@@ -31,8 +32,8 @@ def run(reviews: DataFrame, rules: Rules, computed_at: str, *, topics: DataFrame
         rounds: int = GBT_ROUNDS, depth: int = GBT_DEPTH, min_reviews: int = MIN_REVIEWS, plain: bool = False) -> Result:
     """Sentiment, features, suspicion, aggregation and records for cleaned reviews.
 
-    Text is scored in the scan stage and dropped; only narrow columns are shuffled, once per business
-    aggregation (and once for the topic join when topics are given).
+    Text is scored in the scan stage and dropped; the narrow features are written to the scratch folder, so
+    ranking, records and totals read them and never the text again.
     """
     if sample:
         reviews = hash_sample(reviews, "review_id", sample)
@@ -41,7 +42,7 @@ def run(reviews: DataFrame, rules: Rules, computed_at: str, *, topics: DataFrame
     if fit_model:
         scored, _, metrics = models.fit_and_score(features, rounds, depth)
     else:
-        scored = scoring.label_as_score(features)
+        scored = scoring.label_as_score(materialise(features, "features"))
     by = scoring.trust_score(scored, min_reviews=min_reviews, ordered=False, extra=records.business_evidence())
     signed = records.sign_records(records.build_records(scoring.coverage(by), computed_at, agreement_rate=label_agreement))
     skipped = [name for name, gone in (("topics", topics is None), ("labels", label_agreement is None)) if gone]
