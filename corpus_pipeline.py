@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import langid, packing
-from ratelens.llm.queries import word_bpe
+from ratelens.llm import chosen_path, langid, mixing, packing, pii
+from ratelens.llm.queries import PII_KEY, word_bpe
 from ratelens.session import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -26,6 +26,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select(*COLUMNS), model).filter(~F.col("rejected")).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id. Null ids are kept as they are."""
+    found = chosen_path.near_duplicates(docs, percent=80)
+    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced; `n_chars` counts the new text."""
+    done = pii.pseudonymise(docs.select(*COLUMNS), key=PII_KEY)
+    return done.withColumn("n_chars", F.when(F.col("entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of a mixture in which sources weigh as the square root of their size."""
+    plain = docs.select(*COLUMNS)
+    return mixing.mix(plain, mixing.balanced_weights(plain), seed=2).orderBy("turn", "place").select(*COLUMNS)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return packing.pack(docs, word_bpe(), end_id=0, capacity=2048)
@@ -33,10 +52,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("language", language),
+    ("duplicates", duplicates),
+    ("private", private),
+    ("mixture", mixture),
     ("pack", pack),
 ]
 
-#: Compression, token ids and best-fit planning are not expressible in SQL.
+#: Compression, similarity joins, token ids and best-fit planning are not expressible in SQL.
 ORACLE_SQL: str | None = None
 
 

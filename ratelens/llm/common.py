@@ -22,20 +22,12 @@ def ranked(df: DataFrame, groups: list[str], key: str, ties: list[str], name: st
     """Add the 0-based rank of every row within its group, ordered by a 64-bit hash column and then `ties`.
 
     Rows are counted per (group, slice of the hash range); a rank is the rows in earlier slices plus the rank inside the
-    slice. A group that holds a third of all rows is sorted by many tasks.
+    slice. A group that holds a third of all rows is sorted by many tasks. Group columns must not be null.
     """
     cut = df.withColumn("_slice", slice_of(F.col(key), slices))
     keys = [*groups, "_slice"]
     counts = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    named = starts.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], "_start")
-    same = [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(key, *ties)) - 1
-    return (
-        cut.withColumn("_inside", inside).join(named, on, "inner").withColumn(name, F.col("_start") + F.col("_inside"))
-        .drop("_slice", "_start", "_inside", *[f"_s{i}" for i in range(len(keys))])
-    )
+    return cut.withColumn("_inside", inside).join(starts, keys).withColumn(name, F.col("_start") + F.col("_inside")).drop("_slice", "_start", "_inside")

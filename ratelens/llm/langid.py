@@ -14,10 +14,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratelens.llm.common import ranked
+
 #: The model's sample: so many documents per language (those with the smallest hash of their id), and of each of them at
 #: most so many characters, from its middle. The only bound in this operator; prediction reads whole texts.
 SAMPLE_DOCS, SAMPLE_CHARS = 600, 1000
@@ -39,9 +41,9 @@ def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_CHARS)
     """Dictionary of every language: middles of the sampled documents. Rows without text or label are left out."""
     rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
-    order = F.xxhash64("doc_id")
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    picked = rows.select("doc_id", "lang", "text").withColumn("rank", first).filter(F.col("rank") <= docs)
+    narrow = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"))
+    picked = ranked(narrow, ["lang"], "_order", ["doc_id"], "rank").filter(F.col("rank") < docs).select("doc_id", "lang", "rank")
+    picked = rows.join(picked.dropDuplicates(["doc_id", "lang"]), ["doc_id", "lang"])
     start = F.greatest(F.lit(1), ((F.length("text") - size) / 2).cast("int"))
     sample = picked.select("lang", "rank", F.substring(F.col("text"), start, F.lit(size)).alias("text")).orderBy("lang", F.desc("rank")).collect()
     model: dict[str, bytes] = {}

@@ -7,19 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import langid, packing, repair, sharding, winnowing
+from ratelens.llm import chat, chosen_path, langid, mixing, multi_index, packing, pii, repair, sharding, winnowing
 from ratelens.llm.common import table
 from ratelens.session import scratch_path
 
+#: Key of the surrogates; a deployment sets its own.
+PII_KEY = "replace-in-deployment"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 CHECK_SQL: dict[str, str] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql:
+            CHECK_SQL[fn.__name__] = sql
+        return fn
+
+    return register
 
 
 def word_bpe() -> str:
@@ -28,7 +36,20 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@query
+@query()
+def op1_chosen_path_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets are alike by 85 %."""
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query()
+def op2_pfair_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's turn in a mixture in which sources weigh as the square root of their size."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs, mixing.balanced_weights(docs), seed=2)
+
+
+@query()
 def op3_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as ids in grammar-compressed files, read back."""
     path = scratch_path(spark, "token-files")
@@ -36,7 +57,13 @@ def op3_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(spark, path)
 
 
-@query
+@query()
+def op4_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors by inner product of every twentieth vector."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20)
+
+
+@query()
 def op5_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from four fifths of them."""
     docs = table(spark, sf_dir, "documents")
@@ -46,13 +73,13 @@ def op5_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-@query
+@query()
 def op6_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in as few sequences of 2048 tokens as best-fit needs."""
     return packing.pack(table(spark, sf_dir, "documents"), word_bpe(), end_id=0, capacity=2048)
 
 
-@query
+@query()
 def op7_matrix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents shuffled uniformly into 40 shards whose row counts are at most one apart."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -61,7 +88,53 @@ def op7_matrix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query
+@query()
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, key=PII_KEY)
+
+
+def _chat_sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    controls = ", ".join(quoted(c) for c in chat.CONTROL)
+    escaped = "replace(text, '\\', '\\\\')"
+    for c in chat.CONTROL:
+        escaped = f"replace({escaped}, {quoted(c)}, {quoted(c[0] + chr(92) + c[1:])})"
+    return f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, len(list_filter([{controls}], c -> contains(text, c))) > 0 AS held, {escaped} AS changed FROM rows
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({len(chat.START) + 1 + len(chat.END)} + length(role) + CASE WHEN held THEN {len(chat.ESCAPED)} + length(changed) ELSE length(text) END) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
+@query(_chat_sql())
+def op9_grammar_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and what is read back from the formatted text."""
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    done = chat.format_conversations(talk.unionByName(own))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = chat.under_mask(F.col("formatted"), chat.loss_mask(F.col("turns")))
+    read = done.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), loss.alias("loss"), "formatted")
+    return read.select(
+        "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query()
 def op10_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and how alike they are."""
     return winnowing.edited_fingerprints(table(spark, sf_dir, "documents"))
