@@ -36,6 +36,7 @@ GBT_DEPTH = 6
 GBT_STEP = 0.1
 SEED = 42
 
+# Feature columns of the classifier, in order.
 FEATURES = (
     "stars", "useful", "funny", "cool",
     "review_length_words",
@@ -57,13 +58,12 @@ MODELS = {
     },
 }
 LIMITATIONS = (
-    "The suspicion label is a proxy; no verified fraud labels exist for these reviews.",
-    "The divergence score feeds both the label and the features, so accuracy is circular.",
-    "Results describe the loaded review table only and may not carry over to others.",
-    "Changes of behaviour over the covered period are not modelled separately.",
-    "Signals about the reviewing account are not used.",
+    "A review counts as suspicious when its sentiment and its stars lie far apart; nobody has confirmed any of them.",
+    "Model accuracy is not evidence: the label is computed from two of the model's inputs.",
+    "Sentiment comes from a word list supplied by the user and from rules, not from reading.",
+    "Samples and splits follow a hash of the key, so another key gives another sample.",
+    "Topic outliers are cut by distance within a cluster; another cut gives other shares.",
 )
 ANCHOR_LIMITATION = (
-    "First-order record: topic, label and classifier evidence is provisional "
-    "until the full job has run."
+    "Made before topics, labels and model were run: their evidence is null or rests on the divergence flag."
 )

@@ -13,13 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_ENTRIES = 100_000
-
 
 def dictionary_lookup(entries: dict[str, float]) -> Callable[[Column], Column]:
-    """Return token -> value (double, null when absent) for a dictionary of bounded size."""
-    if len(entries) > MAX_ENTRIES:
-        raise ValueError(f"dictionary of {len(entries)} entries is too large for an in-row lookup; join instead")
+    """Return token -> value (double, null when absent) for a dictionary."""
     n = 1
     while n * 4 < len(entries):
         n *= 2
@@ -36,8 +32,5 @@ def dictionary_lookup(entries: dict[str, float]) -> Callable[[Column], Column]:
 
 
 def dictionary_from(df: DataFrame, term: str, value: str) -> dict[str, float]:
-    """Read a lexicon table into a dictionary; refuses tables above the bound."""
-    rows = df.select(term, value).limit(MAX_ENTRIES + 1).collect()
-    if len(rows) > MAX_ENTRIES:
-        raise ValueError("lexicon table is too large for an in-row lookup; join instead")
-    return {r[0]: float(r[1]) for r in rows}
+    """Read a lexicon table into a dictionary. A lexicon is a user's input that does not grow with the reviews."""
+    return {r[0]: float(r[1]) for r in df.select(term, value).collect()}

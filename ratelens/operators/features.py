@@ -46,18 +46,20 @@ def sentiment_scores(df: DataFrame, rules: Rules, plain: bool = False) -> DataFr
 
 
 def join_sentiment(reviews: DataFrame, scores: DataFrame) -> DataFrame:
-    """Left join of stored scores; reviews without a score keep nulls."""
-    return reviews.join(
-        scores.select("review_id", "vader_compound", "sentiment_star_divergence", "suspicious"),
-        "review_id", "left",
-    )
+    """Left join of stored scores, one per review; reviews without a score keep nulls."""
+    return reviews.join(_one_per_review(scores, "vader_compound", "sentiment_star_divergence", "suspicious"), "review_id", "left")
+
+
+def _one_per_review(table: DataFrame, *columns: str) -> DataFrame:
+    """The smallest row of each review: a review that is listed twice must not be counted twice."""
+    return table.groupBy("review_id").agg(F.min(F.struct(*columns)).alias("_one")).select("review_id", "_one.*")
 
 
 def join_topics(reviews: DataFrame, topics: DataFrame | None) -> DataFrame:
-    """Left join of topic ids. Unmatched reviews, or a skipped topic step, count as outliers."""
+    """Left join of topic ids, one per review. Unmatched reviews, or a skipped topic step, count as outliers."""
     if topics is None:
         return reviews.withColumns({"topic_id": F.lit(NO_TOPIC), "is_topic_outlier": F.lit(NO_TOPIC_OUTLIER)})
-    joined = reviews.join(topics.select("review_id", "topic_id", "is_topic_outlier"), "review_id", "left")
+    joined = reviews.join(_one_per_review(topics, "topic_id", "is_topic_outlier"), "review_id", "left")
     return joined.withColumns({
         "topic_id": F.coalesce(F.col("topic_id").cast("int"), F.lit(NO_TOPIC)),
         "is_topic_outlier": F.coalesce(F.col("is_topic_outlier").cast("int"), F.lit(NO_TOPIC_OUTLIER)),

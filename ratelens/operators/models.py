@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LinearSVC
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.clustering import LDA, BisectingKMeans
-from pyspark.ml.feature import PCA, CountVectorizer, VectorAssembler
+from pyspark.ml.feature import PCA, CountVectorizer, CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from ratelens.config import FEATURES, GBT_DEPTH, GBT_ROUNDS, GBT_STEP, NO_TOPIC,
 from ratelens.operators.evaluation import binary_metrics
 from ratelens.operators.sampling import stratified_split
 from ratelens.operators.scoring import label_as_score
+from ratelens.operators.terms import vocabulary
 from ratelens.session import materialise
 
 
@@ -74,11 +76,12 @@ def feature_importance(scored: DataFrame, model: GBTClassificationModel, columns
 
 
 def linear_svm(train: DataFrame, test: DataFrame, text_tokens: str, label: str, max_features: int = 1000,
-               min_df: int = 2, max_iter: int = 20, idf: bool = False) -> DataFrame:
+               min_df: int = 2, max_iter: int = 2000, idf: bool = False) -> DataFrame:
     """Linear SVM on sparse count (or TF-IDF) vectors; accuracy and F1 of the test part."""
     from pyspark.ml.feature import IDF, Normalizer
 
-    cv = CountVectorizer(inputCol=text_tokens, outputCol="counts", vocabSize=max_features, minDF=min_df).fit(train)
+    words = [r["term"] for r in vocabulary(train, max_features, min_df, text_tokens).collect()]  # max_features rows, ties by term
+    cv = CountVectorizerModel.from_vocabulary(words, inputCol=text_tokens, outputCol="counts")
     tr, te, column = cv.transform(train), cv.transform(test), "counts"
     if idf:
         weights = IDF(inputCol="counts", outputCol="weighted").fit(tr)
@@ -89,38 +92,16 @@ def linear_svm(train: DataFrame, test: DataFrame, text_tokens: str, label: str,
     return binary_metrics(out.withColumn("_p", F.col("prediction").cast("int")), label, "_p")
 
 
-def logistic_gd(df: DataFrame, columns: Sequence[str], label: str, epochs: int = 20, rate: float = 0.1) -> list[tuple]:
-    """Full-batch gradient descent for logistic regression: (epoch, loss, weights) per epoch.
+def logistic_fit(df: DataFrame, columns: Sequence[str], label: str, max_iter: int = 5000, tol: float = 1e-8):
+    """Logistic regression to convergence; `summary.objectiveHistory` holds the loss of every step."""
+    data = assemble(df, columns).select("features", F.col(label).cast("double").alias("label"))
+    return LogisticRegression(maxIter=max_iter, tol=tol).fit(data)
 
-    Each epoch is one aggregate returning len(columns) + 2 numbers; rows stay on the executors.
-    """
-    w = [0.0] * (len(columns) + 1)
-    xs = [F.lit(1.0), *[F.col(c).cast("double") for c in columns]]
-    y = F.col(label).cast("double")
-    history = []
-    for epoch in range(1, epochs + 1):
-        z = sum((F.lit(wi) * xi for wi, xi in zip(w[1:], xs[1:])), F.lit(w[0]))
-        p = 1.0 / (1.0 + F.exp(-z))
-        clipped = F.greatest(F.lit(1e-15), F.least(F.lit(1.0 - 1e-15), p))
-        loss = -(y * F.ln(clipped) + (1.0 - y) * F.ln(1.0 - clipped))
-        row = df.agg(F.avg(loss), *[F.avg((p - y) * x) for x in xs]).first()
-        history.append((epoch, float(row[0]), list(w)))
-        w = [wi - rate * g for wi, g in zip(w, row[1:])]
-    return history
-
-
-def linear_gd(df: DataFrame, columns: Sequence[str], target: str, epochs: int = 20, rate: float = 0.1) -> list[tuple]:
-    """Full-batch gradient descent for linear regression: (epoch, mse, weights) per epoch."""
-    w = [0.0] * (len(columns) + 1)
-    xs = [F.lit(1.0), *[F.col(c).cast("double") for c in columns]]
-    y = F.col(target).cast("double")
-    history = []
-    for epoch in range(1, epochs + 1):
-        err = sum((F.lit(wi) * xi for wi, xi in zip(w[1:], xs[1:])), F.lit(w[0])) - y
-        row = df.agg(F.avg(err * err), *[F.avg(2.0 * err * x) for x in xs]).first()
-        history.append((epoch, float(row[0]), list(w)))
-        w = [wi - rate * g for wi, g in zip(w, row[1:])]
-    return history
+
+def linear_fit(df: DataFrame, columns: Sequence[str], target: str, max_iter: int = 5000, tol: float = 1e-9):
+    """Least squares by Spark's solver; `summary` holds mean squared error and R squared."""
+    data = assemble(df, columns).select("features", F.col(target).cast("double").alias("label"))
+    return LinearRegression(maxIter=max_iter, tol=tol).fit(data)
 
 
 def linear_closed_form(df: DataFrame, x: Column, y: Column) -> DataFrame:
@@ -132,34 +113,36 @@ def linear_closed_form(df: DataFrame, x: Column, y: Column) -> DataFrame:
     )
 
 
-def lda_topics(docs: DataFrame, tokens: str, ks: Sequence[int], vocab: int = 1000, max_iter: int = 10, seed: int = SEED) -> list[tuple]:
-    """LDA for several topic counts: (k, log perplexity)."""
-    data = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocab, minDF=2).fit(docs).transform(docs).select("features")
-    data = data.persist()
-    try:
-        return [(k, float(LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online").fit(data).logPerplexity(data))) for k in ks]
-    finally:
-        data.unpersist()
+def lda_topics(docs: DataFrame, tokens: str, ks: Sequence[int], vocab: int = 1000, max_iter: int = 20, words: int = 5,
+               seed: int = SEED) -> list[tuple]:
+    """LDA for several topic counts: (k, log perplexity, topic, its first words)."""
+    data = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocab, minDF=2).fit(docs)
+    names, vectors = data.vocabulary, materialise(data.transform(docs).select("features"), "lda")
+    out = []
+    for k in ks:
+        model = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online").fit(vectors)
+        fit = float(model.logPerplexity(vectors))
+        out += [(k, fit, r["topic"], [names[i] for i in r["termIndices"]]) for r in model.describeTopics(words).collect()]
+    return out
 
 
 def topic_clusters(vectors: DataFrame, key: str, vec: str, k: int = 15, min_size: int = 15, components: int = 5,
-                   outlier_share: float = 0.05, seed: int = SEED) -> DataFrame:
+                   spread: float = 3.0, seed: int = SEED) -> DataFrame:
     """Clusters of embedding vectors with outliers as -1.
 
-    PCA, then bisecting k-means; clusters below the minimum size and the farthest rows become outliers.
-    The distance cut is a sketch quantile, so nothing is sorted.
+    PCA, then bisecting k-means; clusters below the minimum size, and rows that lie more than `spread` standard
+    deviations farther from their centre than their cluster's rows do on average, become outliers.
     """
     data = vectors.select(key, array_to_vector(F.transform(vec, lambda x: x.cast("double"))).alias("v"))
-    reduced = PCA(k=components, inputCol="v", outputCol="features").fit(data).transform(data).select(key, "features")
+    reduced = materialise(PCA(k=components, inputCol="v", outputCol="features").fit(data).transform(data).select(key, "features"), "reduced")
     model = BisectingKMeans(k=k, seed=seed, minDivisibleClusterSize=float(min_size)).fit(reduced)
     centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
     placed = model.transform(reduced).withColumn("x", vector_to_array("features")).withColumn("c", F.get(centres, F.col("prediction")))
     dist = F.aggregate(F.zip_with("x", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
-    placed = placed.select(key, "prediction", dist.alias("d"))
-    size = placed.groupBy("prediction").agg(F.count("*").alias("size"))
-    cut = placed.agg(F.percentile_approx("d", F.lit(1.0 - outlier_share), F.lit(10000)).alias("q")).scalar()
+    placed = placed.select(key, "prediction", F.sqrt(dist).alias("d"))
+    size = placed.groupBy("prediction").agg(F.count("*").alias("size"), (F.avg("d") + spread * F.stddev_pop("d")).alias("cut"))
     joined = placed.join(F.broadcast(size), "prediction")  # at most k rows
-    outlier = (F.col("size") < min_size) | (F.col("d") > cut)
+    outlier = (F.col("size") < min_size) | (F.col("d") > F.col("cut"))
     topic = F.when(outlier, NO_TOPIC).otherwise(F.col("prediction"))
     return joined.select(key, topic.alias("topic_id"), (topic == NO_TOPIC).cast("int").alias("is_topic_outlier"))
 
@@ -178,3 +161,16 @@ def apply_scorer(df: DataFrame, column: str, scorer, out: str = "score") -> Data
             yield pdf.assign(**{out: [float(x) for x in scorer(pdf[column].fillna("").tolist())]})
 
     return df.mapInPandas(run, schema)
+
+
+def apply_answers(df: DataFrame, column: str, ask, out: str) -> DataFrame:
+    """Answers of a user's batch function (list of prompts -> list of texts), in Arrow batches on the executors."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType(), True)])
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf.assign(**{out: list(ask(pdf[column].fillna("").tolist()))})
+
+    return df.mapInPandas(run, schema)

@@ -40,9 +40,12 @@ def _closest(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, limit: np.ndar
 
 
 def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 15, block_rows: int = 4096, pivots: int | None = None) -> DataFrame:
-    """The k most similar other vectors of every vector, ranked; ties by neighbour id."""
-    base = df.select(F.col(key).cast("long").alias("id"), F.col(vec).alias("v"))
-    n = df.count()
+    """The k most similar other vectors of every vector, ranked; ties by neighbour id.
+
+    Vectors without a direction (null, all zero) have no cosine and take no part.
+    """
+    base = df.select(F.col(key).cast("long").alias("id"), F.col(vec).alias("v")).filter(F.exists("v", lambda x: x != 0))
+    n = base.count()
     n_pivots = max(1, min(MAX_PIVOTS, pivots or math.ceil(n / block_rows)))
     centre = _unit_rows([r["v"] for r in hash_sample(base, "id", n_pivots).collect()])  # at most MAX_PIVOTS vectors
 

@@ -16,7 +16,8 @@ def matching(store: DataFrame, *, business_id: str | None = None, min_delta: flo
              max_delta: float | None = None, min_suspicion_pct: float | None = None,
              date_after: str | None = None, limitation: str | None = None) -> DataFrame:
     """Records meeting every given bound. Bounds are inclusive, a null metric fails a given bound, and
-    the date bound compares ISO text. Conditions are plain column predicates, so they reach the scan."""
+    the date bound compares ISO text. Conditions are plain column predicates: on a store of Parquet files
+    (record_store.read_store) they reach the scan."""
     delta, pct = F.col("scores.manipulation_delta"), F.col("scores.suspicious_review_pct")
     if business_id:
         store = store.filter(F.col("business_id") == business_id)

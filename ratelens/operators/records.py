@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelens.config import DATA_SOURCE, LIMITATIONS, MODELS, SCHEMA_VERSION, TENANT_ID
+from ratelens.config import ANCHOR_COUNT, ANCHOR_LIMITATION, DATA_SOURCE, LIMITATIONS, MODELS, SCHEMA_VERSION, TENANT_ID
 from ratelens.functions.bind import bind
 from ratelens.functions.canonical import canonical_json, digests
 from ratelens.functions.numbers import decimal_text, round_half_even_exact
+from ratelens.operators.scoring import anchor_candidates, first_order_scores
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
@@ -73,8 +74,7 @@ def build_records(covered: DataFrame, computed_at: str, *, agreement_rate: Colum
             num("manipulation_delta", 3).alias("manipulation_delta"), num("suspicion_pct", 2).alias("suspicious_review_pct"),
         ).alias("scores"),
         F.struct(
-            F.coalesce(num("mean_divergence", 4), F.lit("0.0")).alias("mean_divergence"),
-            F.coalesce(num("topic_outlier_pct", 4), F.lit("0.0")).alias("topic_outlier_pct"),
+            num("mean_divergence", 4).alias("mean_divergence"), num("topic_outlier_pct", 4).alias("topic_outlier_pct"),
             rate.alias("label_agreement_rate"), num("mean_suspicion_score", 4).alias("mean_suspicion_score"),
         ).alias("evidence"),
         F.struct(*[model(m).alias(k) for k, m in models.items()]).alias("models"),
@@ -82,6 +82,23 @@ def build_records(covered: DataFrame, computed_at: str, *, agreement_rate: Colum
     )
 
 
+def anchor_records(reviews: DataFrame, computed_at: str, k: int = ANCHOR_COUNT, **options) -> DataFrame:
+    """Unsigned first-order records of the k most reviewed, well rated businesses.
+
+    Only the divergence flag is known at this point: topic and label evidence is null, the flag's share stands for the
+    suspicion score, and the record says so in a limitation of its own.
+    """
+    picked = anchor_candidates(reviews, k).select("business_id")
+    flags = reviews.join(picked, "business_id", "left_semi")
+    first = first_order_scores(flags).select(
+        "business_id", "review_count", "raw_avg_stars", "adjusted_stars",
+        (F.col("raw_avg_stars") - F.col("adjusted_stars")).alias("manipulation_delta"),
+        F.col("suspicious_review_pct").alias("suspicion_pct"), (F.col("suspicious_review_pct") / 100.0).alias("mean_suspicion_score"),
+        "mean_divergence", F.lit(None).cast("double").alias("topic_outlier_pct"), "date_min", "date_max",
+    )
+    return build_records(first, computed_at, extra_limitations=(ANCHOR_LIMITATION,), **options)
+
+
 def body_text(schema: T.StructType = BODY_SCHEMA) -> Column:
     """Canonical JSON of a record without its signature."""
     return F.expr(canonical_json(schema))
@@ -97,10 +114,20 @@ def documents(signed: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFr
     return signed.select("business_id", F.expr(canonical_json(schema)).alias("value"))
 
 
-def verify_records(signed: DataFrame, schema: T.StructType = BODY_SCHEMA) -> DataFrame:
-    """Add `verified`: both stored digests are there and equal the recomputed ones."""
+def verify_records(signed: DataFrame, schema: T.StructType = BODY_SCHEMA, document: str = "document") -> DataFrame:
+    """Add `verified`: both stored digests are there and equal the recomputed ones, and nothing else was stored.
+
+    Digests are recomputed from the fields of the schema. If the stored text is there, it must also hold just these fields
+    with these types: an added or removed field or a number turned into a text is a mismatch. Order of keys and blanks do
+    not matter.
+    """
     same = "now.sha256 = dual_hash.sha256 and now.sha512 = dual_hash.sha512"
-    return signed.withColumn("verified", F.expr(f"coalesce({bind(digests(canonical_json(schema)), 'now', same)}, false)"))
+    good = F.expr(f"coalesce({bind(digests(canonical_json(schema)), 'now', same)}, false)")
+    if document in signed.columns:
+        whole = T.StructType([*schema.fields, RECORD_SCHEMA["dual_hash"]])
+        stored, read = F.try_parse_json(document), F.try_parse_json(F.expr(canonical_json(whole)))
+        good = good & F.coalesce(F.to_json(stored) == F.to_json(read), F.lit(False))
+    return signed.withColumn("verified", good)
 
 
 def typed(raw: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
@@ -121,6 +148,7 @@ def event_envelope(df: DataFrame, event_type: str, ts: str, payload: T.StructTyp
 
 def verification_anomalies(verified: DataFrame) -> DataFrame:
     """One row per record that fails verification, with expected and actual digest."""
+    # Metric, classification and action names of an anomaly.
     return verified.filter(~F.col("verified")).select(
         F.lit("receipt_verify").alias("metric"), F.lit(-1).alias("delta"), F.lit("violation").alias("classification"),
         F.lit("halt").alias("action"), "business_id",

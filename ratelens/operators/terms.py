@@ -1,7 +1,7 @@
 """Term statistics: tokens, vocabularies, count and TF-IDF vectors, naive Bayes as aggregates.
 
-Term tables stay long (document, term, value) and are never densified. Vocabularies are cut to
-`max_features`, so joining one is a broadcast of known size.
+Term tables stay long (document, term, value) and are never densified. Vocabularies are joined by term and may
+have any size; whether one is sent to all tasks is decided by its measured size.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.text import STOP_WORDS, alpha_tokens, capitalised_spans, pad_truncate, sentences
 
-MAX_VOCABULARY = 100_000
-
 
 def clean_tokens(text: Column, min_length: int = 3, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Lower-cased alphabetic tokens of a minimum length without stop words, as an array."""
@@ -99,8 +97,6 @@ def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, tokens: str
     Each document emits its tokens followed by its distinct tokens; the position tells them apart, so both
     frequencies come from one grouped sum on the term and there is no shuffle by document.
     """
-    if max_features > MAX_VOCABULARY:
-        raise ValueError(f"max_features above {MAX_VOCABULARY} would make the vocabulary too large to broadcast")
     flat = docs.select(F.size(tokens).alias("n"), F.posexplode(F.concat(tokens, F.array_distinct(tokens))).alias("pos", "term"))
     freq = flat.filter(keep(F.col("term"))).groupBy("term").agg(
         F.count_if(F.col("pos") < F.col("n")).alias("total"), F.count_if(F.col("pos") >= F.col("n")).alias("df")
@@ -111,11 +107,10 @@ def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, tokens: str
 def count_vectors(docs: DataFrame, vocab: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     """Term frequencies per document, restricted to the vocabulary.
 
-    Tokens outside the (broadcast, bounded) vocabulary are dropped before the shuffle, and a task's
-    tokens of one document are combined there too, as a document never spans tasks.
+    Tokens outside the vocabulary are dropped by the join, before anything is counted.
     """
     flat = docs.select(key, F.explode(tokens).alias("term"))
-    kept = flat.join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    kept = flat.join(vocab.select("term"), "term", "left_semi")
     return kept.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
@@ -125,7 +120,7 @@ def tfidf_vectors(docs: DataFrame, vocab: DataFrame, key: str, n_docs: Column, t
     tf = count_vectors(docs, vocab, key, tokens)
     idf = vocab.select("term", (F.ln((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
     scale = (F.ln("tf") + 1.0) if sublinear else F.col("tf").cast("double")
-    raw = tf.join(F.broadcast(idf), "term").select(key, "term", "tf", (scale * F.col("idf")).alias("w"))
+    raw = tf.join(idf, "term").select(key, "term", "tf", (scale * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", "tf", (F.col("w") / norm).alias("weight"))
 
@@ -162,7 +157,7 @@ def word_index(docs: DataFrame, num_words: int, tokens: str = "tokens") -> DataF
 def token_sequences(docs: DataFrame, index: DataFrame, key: str, length: int = 100, tokens: str = "tokens") -> DataFrame:
     """Fixed-length id sequences: unknown words are 1, short texts are padded with 0 at the end."""
     flat = docs.select(key, F.size(tokens).alias("n_tokens"), F.posexplode_outer(F.slice(tokens, 1, length)).alias("pos", "term"))
-    ids = flat.join(F.broadcast(index.select("term", "word_id")), "term", "left").withColumn(
+    ids = flat.join(index.select("term", "word_id"), "term", "left").withColumn(
         "word_id", F.when(F.col("term").isNotNull(), F.coalesce("word_id", F.lit(1)))
     )
     seq = ids.groupBy(key, "n_tokens").agg(
@@ -173,7 +168,7 @@ def token_sequences(docs: DataFrame, index: DataFrame, key: str, length: int = 1
 
 def nb_log_prob(train: DataFrame, vocab: DataFrame, label: str, key: str, tokens: str = "tokens") -> DataFrame:
     """Log probability of each vocabulary term in class 0 and 1 with add-one smoothing: one row per term."""
-    known = F.broadcast(vocab.select("term"))
+    known = vocab.select("term")
     per = train.select(label, F.explode(tokens).alias("term")).join(known, "term", "left_semi").groupBy("term").agg(
         F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")
     )
@@ -186,6 +181,31 @@ def nb_log_prob(train: DataFrame, vocab: DataFrame, label: str, key: str, tokens
     return staged.select("term", lp("n0", "s0").alias("log_prob_0"), lp("n1", "s1").alias("log_prob_1"))
 
 
+def nb_weight_log_prob(vectors: DataFrame, labels: DataFrame, vocab: DataFrame, label: str, key: str) -> DataFrame:
+    """As nb_log_prob, from weighted vectors (such as TF-IDF) instead of counts."""
+    y, w = F.col(label), F.col("weight")
+    per = vectors.join(labels.select(key, label), key).groupBy("term").agg(
+        F.sum(F.when(y == 0, w).otherwise(0.0)).alias("n0"), F.sum(F.when(y == 1, w).otherwise(0.0)).alias("n1")
+    )
+    per = vocab.select("term").join(per, "term", "left").select("term", F.coalesce("n0", F.lit(0.0)).alias("n0"), F.coalesce("n1", F.lit(0.0)).alias("n1"))
+    staged = per.withColumn("x", per.agg(F.struct(F.sum("n0").alias("s0"), F.sum("n1").alias("s1"), F.count("*").alias("v")).alias("x")).scalar())
+
+    def lp(n: str, s: str) -> Column:
+        return F.ln((F.col(n) + 1.0) / (F.col(f"x.{s}") + F.col("x.v")))
+
+    return staged.select("term", lp("n0", "s0").alias("log_prob_0"), lp("n1", "s1").alias("log_prob_1"))
+
+
+def nb_weight_predict(docs: DataFrame, vectors: DataFrame, log_prob: DataFrame, priors: DataFrame, key: str) -> DataFrame:
+    """Class scores of documents from weighted vectors; documents without known terms get the priors. Ties go to class 0."""
+    p = priors.select(F.struct("prior_0", "prior_1").alias("p")).scalar()
+    per = vectors.join(log_prob, "term").groupBy(key).agg(
+        F.sum(F.col("weight") * F.col("log_prob_0")).alias("s0"), F.sum(F.col("weight") * F.col("log_prob_1")).alias("s1"))
+    summed = docs.select(key).join(per, key, "left").withColumn("p", p)
+    scored = summed.select(key, (F.coalesce("s0", F.lit(0.0)) + F.col("p.prior_0")).alias("score_0"), (F.coalesce("s1", F.lit(0.0)) + F.col("p.prior_1")).alias("score_1"))
+    return scored.withColumn("predicted", F.when(F.col("score_1") > F.col("score_0"), 1).otherwise(0))
+
+
 def nb_priors(train: DataFrame, label: str) -> DataFrame:
     n = F.count("*").cast("double")
     return train.agg(F.ln(F.count_if(F.col(label) == 0) / n).alias("prior_0"), F.ln(F.count_if(F.col(label) == 1) / n).alias("prior_1"))
@@ -195,7 +215,7 @@ def nb_predict(docs: DataFrame, log_prob: DataFrame, priors: DataFrame, key: str
     """Class scores per document; documents without known terms get the priors. Ties go to class 0."""
     p = priors.select(F.struct("prior_0", "prior_1").alias("p")).scalar()
     flat = docs.select(key, F.explode_outer(tokens).alias("term"))
-    summed = flat.join(F.broadcast(log_prob), "term", "left").groupBy(key).agg(
+    summed = flat.join(log_prob, "term", "left").groupBy(key).agg(
         F.coalesce(F.sum("log_prob_0"), F.lit(0.0)).alias("s0"), F.coalesce(F.sum("log_prob_1"), F.lit(0.0)).alias("s1")
     ).withColumn("p", p)
     scored = summed.select(key, (F.col("s0") + F.col("p.prior_0")).alias("score_0"), (F.col("s1") + F.col("p.prior_1")).alias("score_1"))

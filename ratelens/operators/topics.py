@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ratelens.config import NO_TOPIC
 
-MAX_TOPICS = 1000
+#: Labels compared in one row, and topics per block of a similarity matrix.
+LABEL_BLOCK, GRAM_BLOCK = 256, 512
 
 
 def outlier_rate(topics: DataFrame) -> DataFrame:
@@ -29,18 +30,20 @@ def topic_info(topics: DataFrame) -> DataFrame:
 
 
 def topic_labels(ranked_terms: DataFrame, sizes: DataFrame, group: str, words: int = 3) -> DataFrame:
-    """Topic name: id, top words joined by underscores, and the size in brackets."""
-    names = ranked_terms.filter(F.col("rank") <= words).groupBy(group).agg(
+    """Topic name: top words joined by underscores, and the size in brackets; and all the ranked words given."""
+    names = ranked_terms.groupBy(group).agg(
         F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("t")
     )
     joined = names.join(sizes, group)
-    body = F.array_join(F.transform("t", lambda x: x["term"]), "_")
-    return joined.select(group, F.concat(body, F.lit(" ("), F.format_number(F.col("n"), 0), F.lit(")")).alias("topic_label"))
+    terms = F.transform("t", lambda x: x["term"])
+    body = F.array_join(F.slice(terms, 1, words), "_")
+    name = F.concat(body, F.lit(" ("), F.format_number(F.col("n"), 0), F.lit(")"))
+    return joined.select(group, name.alias("topic_label"), F.array_join(terms, " ").alias("top_words"))
 
 
 def topic_report(docs: DataFrame, labels: DataFrame, group: str, key: str) -> DataFrame:
-    """Topic name per document; documents outside every topic say so."""
-    return docs.join(labels, group, "left").select(key, group, F.coalesce("topic_label", F.lit("outlier")).alias("topic_name"))
+    """Topic name and top words per document; documents outside every topic say so and have no words."""
+    return docs.join(labels, group, "left").select(key, group, F.coalesce("topic_label", F.lit("outlier")).alias("topic_name"), "top_words")
 
 
 def one_hot(topics: DataFrame, key: str, top: Sequence[int]) -> DataFrame:
@@ -71,9 +74,9 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def unit(v: Column) -> Column:
-    """Vector scaled to length one."""
+    """Vector scaled to length one; null if it has no length."""
     # The length is bound to a lambda variable; inside the inner lambda it would be recomputed per component.
-    scaled = F.transform(F.array(F.sqrt(_dot(v, v))), lambda n: F.transform(v, lambda x: x.cast("double") / n))
+    scaled = F.transform(F.array(F.sqrt(_dot(v, v))), lambda n: F.when(n > 0, F.transform(v, lambda x: x.cast("double") / n)))
     return F.get(scaled, F.lit(0))
 
 
@@ -86,56 +89,61 @@ def label_vectors(vectors: DataFrame, label: str, vec: str) -> DataFrame:
 
 
 def zero_shot_assign(docs: DataFrame, key: str, vec: str, labels: DataFrame, label: str, min_similarity: float = 0.4) -> DataFrame:
-    """Nearest label by cosine, or none below the minimum.
+    """Nearest label by cosine (ties: the first in order), or none below the minimum.
 
-    The label list is given by the user and bounded (checked): it is one array value from a scalar
-    subquery, and every document is compared with it inside its row. Nothing is joined or shuffled.
+    Labels of any type go in blocks of LABEL_BLOCK; a document meets each block in one row and keeps the best label of
+    all blocks. Null and all-zero vectors have no similarity and are not assigned.
     """
-    table = labels.agg(
-        F.when(F.count("*") <= MAX_TOPICS, F.array_sort(F.collect_list(F.struct(label, unit(F.col("label_vec")).alias("u")))))
-        .otherwise(F.raise_error(F.lit("too many labels for an in-row comparison"))).alias("t")
-    ).scalar()
-    sims = F.transform(
-        F.col("_t"), lambda t: F.struct(_dot(F.col("_u"), t["u"]).alias("similarity"), (-t[label]).alias("neg"))
-    )
-    staged = docs.select(key, unit(F.col(vec)).alias("_u")).withColumn("_t", table)
-    best = staged.select(key, F.array_max(sims).alias("b"))
-    return best.select(
-        key, F.when(F.col("b.similarity") >= min_similarity, -F.col("b.neg")).alias("assigned"),
-        F.col("b.similarity").alias("similarity"),
+    place = labels.agg(F.array_sort(F.collect_list(label)).alias("o")).scalar()
+    numbered = labels.withColumn("_i", (F.array_position(place, F.col(label)) - 1).cast("int"))
+    blocks = numbered.groupBy(F.floor(F.col("_i") / LABEL_BLOCK).cast("int").alias("_block")).agg(
+        F.collect_list(F.struct("_i", F.col(label).alias("label"), unit(F.col("label_vec")).alias("u"))).alias("_t")
     )
+    last = numbered.agg(F.coalesce(F.floor(F.max("_i") / LABEL_BLOCK), F.lit(0)).cast("int").alias("n")).scalar()
+    sims = F.transform("_t", lambda t: F.struct(_dot(F.col("_u"), t["u"]).alias("similarity"), (-t["_i"]).alias("first"), t["label"].alias("label")))
+    staged = docs.select(key, unit(F.col(vec)).alias("_u")).withColumn("_block", F.explode(F.sequence(F.lit(0), last)))
+    best = staged.join(blocks, "_block", "left").select(key, F.array_max(F.filter(sims, lambda x: x["similarity"].isNotNull())).alias("b"))
+    best = best.groupBy(key).agg(F.max("b").alias("b"))
+    return best.select(key, F.when(F.col("b.similarity") >= min_similarity, F.col("b.label")).alias("assigned"), F.col("b.similarity").alias("similarity"))
 
 
 def topic_gram(weights: DataFrame, group: str, groups: DataFrame) -> DataFrame:
     """Dot products of all topic vectors, long form (topic_a, topic_b, dot) with their positions a and b.
 
-    Terms are grouped with the (at most MAX_TOPICS) weights they have; each task adds its terms into one
-    topics x topics matrix, and only those matrices are shuffled. No pair of entries is ever a row before.
-    `groups` holds the topics; passing it saves deriving them from the weights.
+    Terms are grouped with the weights they have; each task adds its terms into blocks of the topics x topics matrix, and
+    only the blocks' entries are shuffled. No pair of entries is ever a row before. A task holds a bounded number of
+    blocks and hands them on when there are more. `groups` holds the topics; passing it saves deriving them.
     """
-    order = groups.select(group).distinct().agg(
-        F.when(F.count("*") <= MAX_TOPICS, F.array_sort(F.collect_list(group)))
-        .otherwise(F.raise_error(F.lit("too many topics for a similarity matrix"))).alias("o")
-    ).scalar()
+    order = groups.select(group).distinct().agg(F.array_sort(F.collect_list(group)).alias("o")).scalar()
     placed = weights.select("term", F.struct((F.array_position(order, F.col(group)) - 1).cast("int").alias("p"), "weight").alias("e"))
     rows = placed.groupBy("term").agg(F.collect_list("e").alias("e")).select(
         F.col("e.p").alias("p"), F.col("e.weight").alias("w")
     )
 
+    def entries(blocks):
+        for (i, j), m in blocks.items():
+            a, b = np.nonzero(m)
+            yield pd.DataFrame({"a": a + i * GRAM_BLOCK, "b": b + j * GRAM_BLOCK, "dot": m[a, b]})
+
     def add(batches):
-        total = np.zeros((0, 0))
+        blocks: dict = {}
         for pdf in batches:
             for start in range(0, len(pdf), 2048):
                 part = pdf.iloc[start:start + 2048]
                 sizes = part["p"].map(len).to_numpy()
-                p, w = np.concatenate(part["p"].to_numpy()), np.concatenate(part["w"].to_numpy())
-                block = np.zeros((len(part), max(len(total), int(p.max()) + 1)))
-                block[np.repeat(np.arange(len(part)), sizes), p] = w
-                gram = block.T @ block
-                gram[: len(total), : len(total)] += total
-                total = gram
-        a, b = np.nonzero(total)
-        yield pd.DataFrame({"a": a, "b": b, "dot": total[a, b]})
+                row, p, w = np.repeat(np.arange(len(part)), sizes), np.concatenate(part["p"].to_numpy()), np.concatenate(part["w"].to_numpy())
+                strips = {}
+                for i in np.unique(p // GRAM_BLOCK):
+                    at = p // GRAM_BLOCK == i
+                    strips[i] = np.zeros((len(part), GRAM_BLOCK))
+                    strips[i][row[at], p[at] % GRAM_BLOCK] = w[at]
+                for i, x in strips.items():
+                    for j, y in strips.items():
+                        blocks[i, j] = blocks.get((i, j), 0.0) + x.T @ y
+                        if len(blocks) >= 64:
+                            yield from entries(blocks)
+                            blocks = {}
+        yield from entries(blocks)
 
     partial = rows.mapInPandas(add, "a int, b int, dot double")
     summed = partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"))
@@ -145,8 +153,8 @@ def topic_gram(weights: DataFrame, group: str, groups: DataFrame) -> DataFrame:
 def pair_similarity(gram: DataFrame) -> DataFrame:
     """Cosine of every topic pair with a shared term (a before b)."""
     norm = gram.filter(F.col("a") == F.col("b")).select(F.col("a").alias("k"), F.sqrt("dot").alias("norm"))
-    na = F.broadcast(norm.select(F.col("k").alias("a"), F.col("norm").alias("na")))  # at most MAX_TOPICS rows
-    nb = F.broadcast(norm.select(F.col("k").alias("b"), F.col("norm").alias("nb")))
+    na = norm.select(F.col("k").alias("a"), F.col("norm").alias("na"))
+    nb = norm.select(F.col("k").alias("b"), F.col("norm").alias("nb"))
     return gram.filter(F.col("a") < F.col("b")).join(na, "a").join(nb, "b").select(
         "topic_a", "topic_b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("similarity")
     )
@@ -155,11 +163,13 @@ def pair_similarity(gram: DataFrame) -> DataFrame:
 def merge_order(gram: DataFrame, sizes: DataFrame, group: str, down_to: int) -> list[tuple]:
     """Greedy merging of the smallest topic into its most similar one, on the bounded topics table.
 
-    Returns (step, source, target, similarity, merged size). The input is at most MAX_TOPICS squared
-    numbers, so the loop runs on the driver. Merged vectors add up, hence so do their dot products.
+    Returns (step, source, target, similarity, merged size). Merging is one decision after the other, so the topics x
+    topics matrix is taken to the driver: its size is the number of topics that the user's topic model was given, and
+    does not grow with the documents. Merged vectors add up, hence so do their dot products.
     """
     g = gram.select("topic_a", "topic_b", "dot").toPandas().pivot(index="topic_a", columns="topic_b", values="dot").fillna(0.0)
-    n = {r[0]: int(r[1]) for r in sizes.select(group, "n").limit(MAX_TOPICS).collect()}
+    known = gram.select(F.col("topic_a").alias(group)).distinct()
+    n = {r[0]: int(r[1]) for r in sizes.select(group, "n").join(known, group, "left_semi").collect()}
     names = list(g.index)
     m = g.to_numpy(copy=True)
     steps = []

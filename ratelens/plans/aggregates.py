@@ -9,7 +9,7 @@ from ratelens.functions import text as tx
 from ratelens.functions.numbers import decimal_text, round_half_even_exact
 from ratelens.functions.sentiment import normalised_stars
 from ratelens.operators import distributions, evaluation, profile, sampling, scoring
-from ratelens.plans.registry import query
+from ratelens.plans.registry import query, view
 from ratelens.plans.views import (
     clean_reviews,
     day,
@@ -47,9 +47,13 @@ def _(spark, sf):
     return profile.distinct_counts(number_reviews(spark, sf), ["business_id", "user_id", "review_id"])
 
 
-@query("distinct_counts_sketch")
+@query("distinct_counts_sketch", "SELECT true AS n_business_id, true AS n_user_id, true AS n_review_id FROM (SELECT count(*) AS n FROM rn) WHERE n > 0", "rn")
 def _(spark, sf):
-    return profile.approx_distinct_counts(number_reviews(spark, sf), ["business_id", "user_id", "review_id"])
+    """Whether the sketch is within a tenth of the exact counts."""
+    columns, rows = ["business_id", "user_id", "review_id"], number_reviews(spark, sf)
+    near = profile.approx_distinct_counts(rows, columns).select(F.struct("*").alias("near")).scalar()
+    exact = rows.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in columns]).withColumn("near", near)
+    return exact.select(*[(F.abs(F.col(f"near.n_{c}") - F.col(f"n_{c}")) <= 0.1 * F.col(f"n_{c}")).alias(f"n_{c}") for c in columns])
 
 
 @query("token_vocab_size", r"""SELECT count(*) AS n_tokens, count(DISTINCT t) AS vocabulary FROM
@@ -153,19 +157,23 @@ def _(spark, sf):
     return rounded(profile.class_balance(scored_numbers(spark, sf), "suspicious"), "share")
 
 
-@query("schema_report")
+_REVIEW_TYPES = (("doc_id", "bigint"), ("review_id", "string"), ("user_id", "string"), ("business_id", "string"), ("stars", "int"), ("useful", "int"),
+                 ("funny", "int"), ("cool", "int"), ("text", "string"), ("date", "timestamp_ntz"))
+
+
+@query("schema_report", "SELECT (SELECT count(*) FROM rt) AS n_rows, * FROM (VALUES " + ", ".join(
+    f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(_REVIEW_TYPES)) + ") AS t(position, column_name, data_type)", "rt")
 def _(spark, sf):
     return profile.schema_report(text_reviews(spark, sf))
 
 
-@query("null_counts", """SELECT u.column_name, u.n_null FROM (SELECT count(*) FILTER (WHERE review_id IS NULL) AS review_id,
-  count(*) FILTER (WHERE primary_label IS NULL) AS primary_label, count(*) FILTER (WHERE few_shot_label IS NULL) AS few_shot_label,
-  count(*) FILTER (WHERE comparator_label IS NULL) AS comparator_label FROM cache)
-  UNPIVOT (n_null FOR column_name IN (review_id, primary_label, few_shot_label, comparator_label)) AS u""", "cache")
-def _(spark, sf):
-    from ratelens.plans.views import label_cache
+_REVIEW_COLUMNS = ("review_id", "user_id", "business_id", "stars", "useful", "funny", "cool", "text", "date")
 
-    return profile.null_counts(label_cache(spark, sf).select("review_id", "primary_label", "few_shot_label", "comparator_label"))
+
+@query("null_counts", "SELECT u.column_name, u.n_null FROM (SELECT " + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in _REVIEW_COLUMNS)
+       + f" FROM rt) UNPIVOT (n_null FOR column_name IN ({', '.join(_REVIEW_COLUMNS)})) AS u", "rt")
+def _(spark, sf):
+    return profile.null_counts(text_reviews(spark, sf).select(*_REVIEW_COLUMNS))
 
 
 def _describe(c: str, source: str) -> str:
@@ -183,13 +191,17 @@ def _(spark, sf):
 
 
 def _describe_text(c: str) -> str:
-    return f"""SELECT '{c}' AS column_name, (SELECT count({c}) FROM rt) AS n_values, (SELECT count(DISTINCT {c}) FROM rt) AS n_unique, {c} AS top_value, n AS freq
-  FROM (SELECT {c}, count(*) AS n FROM rt GROUP BY {c} ORDER BY n DESC, {c} LIMIT 1)"""
+    return f"""SELECT '{c}' AS column_name, (SELECT count({c}) FROM rtd) AS n_values, (SELECT count(DISTINCT {c}) FROM rtd) AS n_unique, {c} AS top_value, n AS freq
+  FROM (SELECT {c}, count(*) AS n FROM rtd GROUP BY {c} ORDER BY n DESC, {c} LIMIT 1)"""
+
+
+view("rtd", "SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM rt", "rt")
 
 
-@query("describe_string", " UNION ALL ".join(f"SELECT * FROM ({_describe_text(c)})" for c in ("review_id", "user_id", "business_id")), "rt")
+@query("describe_string", " UNION ALL ".join(f"SELECT * FROM ({_describe_text(c)})" for c in ("review_id", "user_id", "business_id", "text", "date")), "rtd")
 def _(spark, sf):
-    return profile.describe_string(text_reviews(spark, sf), ["review_id", "user_id", "business_id"])
+    reviews = text_reviews(spark, sf).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    return profile.describe_string(reviews, ["review_id", "user_id", "business_id", "text", "date"])
 
 
 @query("length_stats", f"""SELECT round(avg(w), 6) AS mean_words, median(w)::DOUBLE AS median_words, min(w) AS min_words, max(w) AS max_words,
@@ -260,12 +272,13 @@ def _(spark, sf):
     return profile.monthly_volume(text_reviews(spark, sf))
 
 
-@query("monthly_volume_sparse", """+m AS (SELECT date_trunc('month', o_orderdate)::DATE AS month, count(*) AS n FROM orders WHERE o_totalprice > 450000 GROUP BY 1),
+@query("monthly_volume_sparse", """+m AS (SELECT date_trunc('month', o_orderdate + to_months(CAST(month(o_orderdate) % 2 AS INTEGER)))::DATE AS month, count(*) AS n FROM orders GROUP BY 1),
   s AS (SELECT unnest(generate_series((SELECT min(month) FROM m)::TIMESTAMP, (SELECT max(month) FROM m)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS month)
   SELECT last_day(s.month) AS month_end, coalesce(m.n, 0) AS n FROM s LEFT JOIN m ON m.month = s.month""".replace("+m", "WITH m", 1))
 def _(spark, sf):
-    """Few orders are this large, so some months are empty and must show 0."""
-    return profile.monthly_volume(table(spark, sf, "orders").filter(F.col("o_totalprice") > 450000), "o_orderdate")
+    """Orders of odd months are booked a month later, so odd months are empty and must show 0."""
+    orders = table(spark, sf, "orders")
+    return profile.monthly_volume(orders.withColumn("booked", F.add_months("o_orderdate", F.month("o_orderdate") % 2)), "booked")
 
 
 @query("topic_monthly", """SELECT date_trunc('month', date)::DATE AS month, topic_id, count(*) AS n FROM nfeat WHERE topic_id IN
@@ -278,14 +291,14 @@ def _(spark, sf):
 
 
 @query("topic_star_dense", """+t AS (SELECT topic_id FROM nfeat WHERE topic_id <> -1 GROUP BY topic_id ORDER BY count(*) DESC, topic_id LIMIT 6),
-  c AS (SELECT topic_id, stars, count(*) AS n FROM nfeat WHERE stars <> 2 GROUP BY ALL)
+  c AS (SELECT topic_id, stars, count(*) AS n FROM nfeat GROUP BY ALL)
   SELECT t.topic_id, s.stars, coalesce(c.n, 0) AS n FROM t, (SELECT unnest(range(1, 6))::INTEGER AS stars) s LEFT JOIN c ON c.topic_id = t.topic_id AND c.stars = s.stars""", "nfeat")
 def _(spark, sf):
     from ratelens.operators import lookups, topics
 
     f = number_features(spark, sf).select("topic_id", "stars")
     top = topics.topic_info(f).limit(6).select("topic_id")
-    counts = profile.value_counts(lookups.members(f.filter(F.col("stars") != 2), top, "topic_id"), "topic_id", "stars", ordered=False)
+    counts = profile.value_counts(lookups.members(f, top, "topic_id"), "topic_id", "stars", ordered=False)
     spine = top.select("topic_id", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("stars"))
     return lookups.densify(counts, spine, ["topic_id", "stars"], "n").select("topic_id", "stars", "n")
 

@@ -61,11 +61,13 @@ def _(spark, sf):
     )
 
 
-@query("row_count_expectation", """SELECT 'raw' AS expectation, 1000::BIGINT AS expected, count(*) AS actual, count(*) = 1000 AS ok FROM rt
-  UNION ALL SELECT 'clean', 970::BIGINT, count(*), count(*) = 970 FROM rtc""", "rtc")
+@query("row_count_expectation", """SELECT 'raw' AS expectation, (SELECT count(DISTINCT doc_id) FROM documents) AS expected, count(*) AS actual, count(*) = (SELECT count(DISTINCT doc_id) FROM documents) AS ok FROM rt
+  UNION ALL SELECT 'clean', (SELECT count(DISTINCT doc_id) FROM documents), count(*), count(*) = (SELECT count(DISTINCT doc_id) FROM documents) FROM rtc""", "rtc")
 def _(spark, sf):
-    return cleaning.row_count_expectation(text_reviews(spark, sf), 1000, "raw").unionByName(
-        cleaning.row_count_expectation(clean_reviews(spark, sf), 970, "clean")
+    """The documents say how many reviews to expect; cleaning drops some, so its expectation is not met."""
+    expected = table(spark, sf, "documents").agg(F.count_distinct("doc_id")).first()[0]
+    return cleaning.row_count_expectation(text_reviews(spark, sf), expected, "raw").unionByName(
+        cleaning.row_count_expectation(clean_reviews(spark, sf), expected, "clean")
     )
 
 
@@ -124,7 +126,7 @@ def _(spark, sf):
     return vectors.read_vectors(spark, path).select("term", F.size("vector").cast("long").alias("dim"), F.round(total, 6).alias("total"))
 
 
-@query("receipt_sink_partitions")
+@query("receipt_sink_partitions", "SELECT business_id, 1::BIGINT AS n_documents FROM tcovered", "tcovered")
 def _(spark, sf):
     """One folder per business; the folder name is read back as the partition column."""
     path = scratch_path(spark, "per-key")
@@ -159,16 +161,20 @@ def _(spark, sf):
     return out.select("receipt_type", "ts", "tenant_id", F.col("payload_hash.sha256").alias("sha256"), "review_id", "model", "input_chars")
 
 
-@query("event_log_append", """SELECT event_type AS receipt_type, count(*) AS n FROM events GROUP BY event_type
-  UNION ALL SELECT 'ingest', 1::BIGINT""")
+@query("event_log_append", """SELECT receipt_type, '2024-01-01T00:00:00Z' AS ts, tenant_id, count(*) AS n, count(*) AS n_signed FROM
+  (SELECT event_type AS receipt_type, 'default-tenant' AS tenant_id FROM events UNION ALL SELECT 'ingest', 'default-tenant') GROUP BY ALL""")
 def _(spark, sf):
-    """Two appends to one event log, read back by type."""
+    """Two appends of event envelopes to one log, read back by type; a digest belongs to each."""
     path = scratch_path(spark, "log")
-    ev = table(spark, sf, "events").select(F.col("event_type").alias("receipt_type"), F.col("user_id").cast("string").alias("tenant_id"))
-    record_store.append_events(ev, path)
-    record_store.append_events(cleaning.ingest_event(table(spark, sf, "documents"), "documents").select("receipt_type", "tenant_id"), path)
-    schema = T.StructType([T.StructField("receipt_type", T.StringType()), T.StructField("tenant_id", T.StringType())])
-    return spark.read.schema(schema).json(path).groupBy("receipt_type").agg(F.count("*").alias("n"))
+    ev = table(spark, sf, "events").select("event_type", "event_id", "user_id")
+    payload = ev.select("event_id", "user_id").schema
+    done = records.event_envelope(ev, "event", COMPUTED_AT, payload)
+    typed = ev.select("event_id", F.col("event_type").alias("receipt_type"))
+    record_store.append_events(done.drop("receipt_type").join(typed, "event_id").select("receipt_type", *[c for c in done.columns if c != "receipt_type"]), path)
+    load = cleaning.ingest_event(table(spark, sf, "documents"), "documents").select("source_type", "source_path", "row_count")
+    record_store.append_events(records.event_envelope(load, "ingest", COMPUTED_AT, load.schema), path)
+    log = spark.read.schema("receipt_type string, ts string, tenant_id string, payload_hash struct<sha256: string, sha512: string>").json(path)
+    return log.groupBy("receipt_type", "ts", "tenant_id").agg(F.count("*").alias("n"), F.count_if(F.length("payload_hash.sha256") == 64).alias("n_signed"))
 
 
 @query("clean_corrupted", "SELECT review_id, business_id, user_id, stars FROM rtc", "rtc")
@@ -199,11 +205,12 @@ def _(spark, sf):
 
 
 @query("features_dropna", """SELECT s.review_id, s.stars, round(s.sentiment_star_divergence, 6) AS sentiment_star_divergence, s.suspicious AS suspicious_label
-  FROM scored s JOIN labels l USING (doc_id)""", "scored")
+  FROM scored s WHERE stars <> 2""", "scored")
 def _(spark, sf):
-    """Scores exist only for labelled documents; the others lose their features and are dropped."""
+    """Scores of two-star reviews are null; these reviews lose their features and are dropped."""
     r = clean_reviews(spark, sf)
-    stored = scored_text(spark, sf).join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    known = F.col("stars") != 2
+    stored = scored_text(spark, sf).withColumns({c: F.when(known, F.col(c)) for c in ("vader_compound", "sentiment_star_divergence")})
     f = features.feature_matrix(features.join_sentiment(r, stored))
     return rounded(f.select("review_id", "stars", "sentiment_star_divergence", "suspicious_label"), "sentiment_star_divergence")
 
@@ -245,9 +252,10 @@ def _(spark, sf):
 
 
 @query("features_left_join", """SELECT r.review_id, r.stars, round(s.vader_compound, 6) AS vader_compound, s.suspicious
-  FROM rtc r LEFT JOIN (SELECT s.* FROM scored s JOIN labels USING (doc_id)) s ON r.review_id = s.review_id""", "rtc", "scored")
+  FROM rtc r LEFT JOIN scored s ON r.review_id = s.review_id AND s.stars <> 2""", "rtc", "scored")
 def _(spark, sf):
-    stored = scored_text(spark, sf).join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    """Scores of two-star reviews are stored under another id, so these reviews find none."""
+    stored = scored_text(spark, sf).withColumn("review_id", F.when(F.col("stars") == 2, F.concat(F.lit("x"), "review_id")).otherwise(F.col("review_id")))
     out = features.join_sentiment(clean_reviews(spark, sf).select("review_id", "stars"), stored)
     return rounded(out.select("review_id", "stars", "vader_compound", "suspicious"), "vader_compound")
 

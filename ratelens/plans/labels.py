@@ -117,7 +117,7 @@ def _(spark, sf):
     return rows.select("review_id", name("y_true").alias("true_name"), name("y_pred").alias("predicted_name"), preview(F.col("text"), 100).alias("preview"))
 
 
-@query("fraction_sample")
+@query("fraction_sample", "SELECT o_orderkey FROM orders WHERE ('0x' || substr(md5(o_orderkey || ':42'), 1, 8))::BIGINT < 429496729")
 def _(spark, sf):
     """About a tenth of the orders, chosen by hash without a sort."""
-    return sampling.fraction_sample(table(spark, sf, "orders"), "o_orderkey", 0.1).agg(F.count("*").alias("n_sampled"))
+    return sampling.fraction_sample(table(spark, sf, "orders"), "o_orderkey", 0.1).select("o_orderkey")

@@ -47,6 +47,13 @@ def _store(spark, sf, by=None) -> DataFrame:
     return record_store.read_records(spark, path)
 
 
+def _queryable(spark, sf, by=None, signed=None) -> DataFrame:
+    """The records as a typed Parquet store."""
+    path = scratch_path(spark, "store")
+    record_store.write_store(_signed(spark, sf, by) if signed is None else signed, path)
+    return record_store.read_store(spark, path)
+
+
 def _t(x: str, d: int) -> str:
     return dec_text_sql(py_round_sql(x, d), d)
 
@@ -101,9 +108,24 @@ def _(spark, sf):
     return s.select("business_id", F.col("dual_hash.sha256").alias("sha256"), F.length(records.body_text()).cast("long").alias("body_length"))
 
 
-@query("receipt_second_digest")
+@query("receipt_second_digest", "SELECT business_id, 128::BIGINT AS n_digits, true AS is_of_body, true AS differs FROM ncovered", "ncovered")
 def _(spark, sf):
-    return _signed(spark, sf, _by_user(spark, sf)).select("business_id", F.col("dual_hash.sha512").alias("sha512"))
+    """The second check engine has no SHA-512, so its properties are returned."""
+    s, second = _signed(spark, sf), F.col("dual_hash.sha512")
+    return s.select("business_id", F.length(second).cast("long").alias("n_digits"), (second == F.sha2(records.body_text(), 512)).alias("is_of_body"),
+                    (F.substring(second, 1, 64) != F.col("dual_hash.sha256")).alias("differs"))
+
+
+@query("anchor_records", """SELECT user_id AS business_id, count(review_id) AS review_count, 6 AS n_limitations, true AS outlier_is_null, true AS verified FROM rns
+  GROUP BY user_id HAVING count(review_id) >= 10 AND avg(stars) >= 4.0 ORDER BY review_count DESC, business_id LIMIT 5""", "rns")
+def _(spark, sf):
+    """Picked, built from the divergence flag, signed, written, read and verified."""
+    r = scored_numbers(spark, sf).drop("business_id").withColumnRenamed("user_id", "business_id")
+    path = scratch_path(spark, "anchors")
+    record_store.write_records(records.sign_records(records.anchor_records(r, COMPUTED_AT)), path)
+    v = records.verify_records(record_store.read_records(spark, path))
+    return v.select("business_id", F.col("input.review_count").cast("long").alias("review_count"), F.size("limitations").alias("n_limitations"),
+                    F.col("evidence.topic_outlier_pct").isNull().alias("outlier_is_null"), "verified")
 
 
 @query("receipt_verify", "SELECT business_id, true AS verified FROM ncovered", "ncovered")
@@ -112,15 +134,27 @@ def _(spark, sf):
 
 
 def _tampered(spark, sf) -> DataFrame:
-    """Every seventh business by number gets another raw rating after signing; some lose their signature."""
-    s = _store(spark, sf)
+    """Records changed in their stored text: another rating, no second digest, added fields, a number as text, a lost field."""
+    path = scratch_path(spark, "tampered")
     n = F.substring("business_id", 2, 10).cast("int")
-    scores = F.col("scores").withField("raw_rating", F.when(n % 7 == 0, F.lit("5.0")).otherwise(F.col("scores.raw_rating")))
-    sign = F.when(n % 11 == 0, F.col("dual_hash").withField("sha512", F.lit(None).cast("string"))).otherwise(F.col("dual_hash"))
-    return s.withColumns({"scores": scores, "dual_hash": sign})
+    docs = records.documents(_signed(spark, sf)).withColumn("n", n)
+    text = F.col("value")
+    changes = [
+        (n % 7 == 0, F.regexp_replace(text, '"raw_rating":[0-9.]+', '"raw_rating":5.0')),
+        (n % 11 == 0, F.regexp_replace(text, '"sha512":"[0-9a-f]+"', '"sha512":null')),
+        (n % 13 == 0, F.regexp_replace(text, r"\}$", ',"note":"added"}')),
+        (n % 17 == 0, F.regexp_replace(text, r'"scores":\{', '"scores":{"bonus":1.0,')),
+        (n % 19 == 0, F.regexp_replace(text, '"review_count":([0-9]+)', '"review_count":"$1"')),
+        (n % 23 == 0, F.regexp_replace(text, '"label_agreement_rate":null,', "")),
+    ]
+    for when, changed in changes:
+        docs = docs.withColumn("value", F.when(when, changed).otherwise(text))
+    docs.select("value").write.text(path)
+    return record_store.read_records(spark, path)
 
 
-_BAD = "(CAST(substr(business_id, 2) AS INTEGER) % 7 = 0 AND raw_rating <> 5.0) OR CAST(substr(business_id, 2) AS INTEGER) % 11 = 0"
+_N = "CAST(substr(business_id, 2) AS INTEGER)"
+_BAD = f"({_N} % 7 = 0 AND raw_rating <> 5.0) OR " + " OR ".join(f"{_N} % {p} = 0" for p in (11, 13, 17, 19, 23))
 
 
 @query("receipt_verify_tampered", f"SELECT business_id, NOT ({_BAD}) AS verified FROM nstore", "nstore")
@@ -165,7 +199,7 @@ def _(spark, sf):
     """Records per reviewer: few reviews each, so every class occurs; unknown customers have no record."""
     from ratelens.plans.views import table
 
-    store = records.typed(_store(spark, sf, _by_user(spark, sf)))
+    store = _queryable(spark, sf, _by_user(spark, sf))
     ids = table(spark, sf, "customer").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("business_id"))
     return rq.classify(store, ids.union(store.select("business_id")).distinct())
 
@@ -174,7 +208,7 @@ _Q = "SELECT business_id, delta, pct FROM nstore WHERE {} ORDER BY coalesce(delt
 
 
 def _answer(spark, sf, limit=20, **bounds):
-    q = rq.query_records(records.typed(_store(spark, sf)), limit, **bounds)
+    q = rq.query_records(_queryable(spark, sf), limit, **bounds)
     return q.select("business_id", F.col("scores.manipulation_delta").alias("delta"), F.col("scores.suspicious_review_pct").alias("pct"))
 
 
@@ -204,20 +238,24 @@ def _(spark, sf):
     covered = scoring.coverage(_by_business(spark, sf))
     stamped = records.build_records(covered, COMPUTED_AT).join(covered.select("business_id", F.date_format("date_max", _STAMP).alias("stamp")), "business_id")
     stamped = stamped.withColumn("computed_at", F.col("stamp")).drop("stamp")
-    path = scratch_path(spark, "dated")
-    record_store.write_records(records.sign_records(stamped), path)
-    q = rq.query_records(records.typed(record_store.read_records(spark, path)), 20, date_after="2001")
+    q = rq.query_records(_queryable(spark, sf, signed=records.sign_records(stamped)), 20, date_after="2001")
     return q.select("business_id", F.col("scores.manipulation_delta").alias("delta"), F.col("scores.suspicious_review_pct").alias("pct"))
 
 
-@query("query_receipts_limitation", _Q.format("true", 20), "nstore")
+@query("query_receipts_limitation", _Q.format("review_count % 3 = 0", 20), "nstore")
 def _(spark, sf):
-    return _answer(spark, sf, limitation=LIMITATIONS[0])
+    """A third of the records, by their number of reviews, carry a limitation of their own."""
+    covered, more = scoring.coverage(_by_business(spark, sf)), "counts rounded"
+    third = F.col("review_count") % 3 == 0
+    built = records.build_records(covered.filter(third), COMPUTED_AT, extra_limitations=(more,))
+    built = built.unionByName(records.build_records(covered.filter(~third), COMPUTED_AT))
+    q = rq.query_records(_queryable(spark, sf, signed=records.sign_records(built)), 20, limitation=more)
+    return q.select("business_id", F.col("scores.manipulation_delta").alias("delta"), F.col("scores.suspicious_review_pct").alias("pct"))
 
 
 @query("query_summary", """SELECT (SELECT count(*) FROM nstore) AS total_in_store, count(*) AS match_count, least(20, count(*)) AS returned FROM nstore WHERE delta >= 0.02""", "nstore")
 def _(spark, sf):
-    return rq.query_summary(records.typed(_store(spark, sf)), 20, min_delta=0.02)
+    return rq.query_summary(_queryable(spark, sf), 20, min_delta=0.02)
 
 
 @query("canonical_json", r"""SELECT review_id, '{"business_id":' || to_json(business_id) || ',"labels":[' || stars || ',' || useful || '],"review_id":' || to_json(review_id) || ',"scores":{"cool":' || cool || ',"missing":null}}' AS canonical FROM rtc""", "rtc")

@@ -221,6 +221,35 @@ def _(spark, sf):
     return rounded(evaluation.binary_metrics(p, "y", "predicted"), *evaluation.METRICS)
 
 
+@query("nb_tfidf_predict", """+w AS (SELECT t.doc_id, t.term, t.weight, b.y, b.split FROM tfidf t JOIN bdocs b ON t.doc_id = b.doc_id),
+  p AS (SELECT v.term, coalesce(sum(w.weight) FILTER (WHERE w.y = 0), 0.0::DOUBLE) AS n0, coalesce(sum(w.weight) FILTER (WHERE w.y = 1), 0.0::DOUBLE) AS n1
+    FROM vocab v LEFT JOIN (SELECT * FROM w WHERE split = 'train') w ON v.term = w.term GROUP BY v.term),
+  l AS (SELECT term, ln((n0 + 1) / ((SELECT sum(n0) FROM p) + (SELECT count(*) FROM p))) AS l0, ln((n1 + 1) / ((SELECT sum(n1) FROM p) + (SELECT count(*) FROM p))) AS l1 FROM p),
+  pr AS (SELECT ln(count(*) FILTER (WHERE y = 0) / count(*)::DOUBLE) AS p0, ln(count(*) FILTER (WHERE y = 1) / count(*)::DOUBLE) AS p1 FROM bdocs WHERE split = 'train'),
+  s AS (SELECT b.doc_id, coalesce(sum(w.weight * l.l0), 0.0::DOUBLE) + any_value(p0) AS s0, coalesce(sum(w.weight * l.l1), 0.0::DOUBLE) + any_value(p1) AS s1
+    FROM bdocs b CROSS JOIN pr LEFT JOIN w ON w.doc_id = b.doc_id LEFT JOIN l ON l.term = w.term WHERE b.split = 'test' GROUP BY b.doc_id)
+  SELECT doc_id, round(s0, 4) AS score_0, round(s1, 4) AS score_1, CASE WHEN s1 > s0 THEN 1 ELSE 0 END AS predicted FROM s""", "tfidf", "vocab", "bdocs")
+def _(spark, sf):
+    d = binary_documents(spark, sf)
+    train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
+    vocab = _vocab(train)
+    vectors = terms.tfidf_vectors(d, vocab, "doc_id", _count(train))
+    lp = terms.nb_weight_log_prob(vectors, train, vocab, "y", "doc_id")
+    return rounded(terms.nb_weight_predict(test, vectors, lp, terms.nb_priors(train, "y"), "doc_id"), "score_0", "score_1", digits=4)
+
+
+@query("tfidf_vectors_no_stop_words", """+k AS (SELECT b.doc_id, b.split, a.term FROM bdocs b JOIN atok a ON a.doc_id = b.doc_id WHERE length(a.term) >= 2),
+  v AS (SELECT term, count(DISTINCT doc_id) AS df FROM k WHERE split = 'train' GROUP BY term HAVING count(DISTINCT doc_id) >= 2 ORDER BY count(*) DESC, term LIMIT 5000),
+  f AS (SELECT doc_id, term, count(*) AS tf FROM k JOIN v USING (term) GROUP BY ALL),
+  x AS (SELECT f.doc_id, f.term, tf, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM bdocs WHERE split = 'train')) / (1.0::DOUBLE + df)) + 1) AS w FROM f JOIN v USING (term))
+  SELECT doc_id, term, tf, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM x""", "bdocs", "atok")
+def _(spark, sf):
+    d = binary_documents(spark, sf)
+    train = d.filter(F.col("split") == "train")
+    vocab = terms.vocabulary(train, 5000, 2, keep=lambda t: F.length(t) >= 2)
+    return rounded(terms.tfidf_vectors(d, vocab, "doc_id", _count(train)), "weight")
+
+
 @query("nb_top_terms", """SELECT class, term, round(log_prob, 6) AS log_prob, rank FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY log_prob DESC, term) AS rank FROM
   (SELECT 0 AS class, term, log_prob_0 AS log_prob FROM nb UNION ALL SELECT 1, term, log_prob_1 FROM nb)) WHERE rank <= 15""", "nb")
 def _(spark, sf):

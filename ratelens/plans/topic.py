@@ -32,22 +32,22 @@ def _(spark, sf):
 
 
 view("ctop", """SELECT source, term, row_number() OVER (PARTITION BY source ORDER BY round(weight, 6) DESC, term) AS rank FROM cw""", "cw")
-view("clabel", """SELECT source, string_agg(term, '_' ORDER BY rank) || ' (' || n || ')' AS topic_label FROM ctop JOIN (SELECT source, count(*) AS n FROM documents GROUP BY 1) USING (source)
-  WHERE rank <= 3 GROUP BY source, n""", "ctop")
+view("clabel", """SELECT source, string_agg(term, '_' ORDER BY rank) FILTER (rank <= 3) || ' (' || n || ')' AS topic_label, string_agg(term, ' ' ORDER BY rank) AS top_words FROM ctop JOIN (SELECT source, count(*) AS n FROM documents GROUP BY 1) USING (source)
+  WHERE rank <= 5 GROUP BY source, n""", "ctop")
 
 
 def _labels(spark, sf):
-    ranked = terms.top_per_group(rounded(_weights(spark, sf), "weight"), "source", "term", "weight", 3)
+    ranked = terms.top_per_group(rounded(_weights(spark, sf), "weight"), "source", "term", "weight", 5)
     sizes = table(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("n"))
     return topics.topic_labels(ranked, sizes, "source")
 
 
 @query("topic_label", "SELECT source, topic_label FROM clabel", "clabel")
 def _(spark, sf):
-    return _labels(spark, sf)
+    return _labels(spark, sf).select("source", "topic_label")
 
 
-@query("topic_report", """SELECT doc_id, source, coalesce(topic_label, 'outlier') AS topic_name FROM (SELECT doc_id, CASE WHEN n_chars % 9 = 0 THEN 'none' ELSE source END AS source FROM documents)
+@query("topic_report", """SELECT doc_id, source, coalesce(topic_label, 'outlier') AS topic_name, top_words FROM (SELECT doc_id, CASE WHEN n_chars % 9 = 0 THEN 'none' ELSE source END AS source FROM documents)
   LEFT JOIN clabel USING (source)""", "clabel")
 def _(spark, sf):
     """Documents whose source is hidden have no topic."""
@@ -55,20 +55,20 @@ def _(spark, sf):
     return topics.topic_report(d, _labels(spark, sf), "source", "doc_id")
 
 
-@query("topic_one_hot", """SELECT doc_id, topic_id, """ + ", ".join(f"CAST(topic_id = r.ids[{i + 1}] AS INTEGER) AS top_{i + 1}" for i in range(5))
+@query("topic_one_hot", """SELECT doc_id, topic_id, """ + ", ".join(f"CAST(coalesce(topic_id = r.ids[{i + 1}], false) AS INTEGER) AS top_{i + 1}" for i in range(14))
        + """, CAST(NOT list_contains(r.ids, topic_id) AS INTEGER) AS topic_other FROM dtopics, (SELECT list(topic_id ORDER BY n DESC, topic_id) AS ids FROM
-  (SELECT topic_id, count(*) AS n FROM dtopics WHERE topic_id <> -1 GROUP BY 1 ORDER BY n DESC, topic_id LIMIT 5)) r""", "dtopics")
+  (SELECT topic_id, count(*) AS n FROM dtopics WHERE topic_id <> -1 GROUP BY 1 ORDER BY n DESC, topic_id LIMIT 14)) r""", "dtopics")
 def _(spark, sf):
-    return topics.one_hot_top(document_topics(spark, sf), "doc_id", 5)
+    return topics.one_hot_top(document_topics(spark, sf), "doc_id", 14)
 
 
-@query("zeroshot_assign", """+cent AS (SELECT label, i, avg(x) AS m FROM (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY ALL),
+@query("zeroshot_assign", """+cent AS (SELECT label, i, avg(x) AS m FROM (SELECT 'topic ' || label AS label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY ALL),
   cv AS (SELECT label, list(m ORDER BY i) AS v FROM cent GROUP BY label),
   s AS (SELECT e.vec_id, c.label, list_cosine_similarity(list_transform(e.embedding, lambda x: x::DOUBLE), c.v) AS sim FROM embeddings e, cv c),
   b AS (SELECT vec_id, label, sim, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, label) AS k FROM s)
   SELECT vec_id, CASE WHEN sim >= 0.4 THEN label END AS assigned, round(sim, 6) AS similarity FROM b WHERE k = 1""".replace("+cent", "WITH cent", 1))
 def _(spark, sf):
-    e = table(spark, sf, "embeddings")
+    e = table(spark, sf, "embeddings").withColumn("label", F.concat(F.lit("topic "), F.col("label").cast("string")))
     got = topics.zero_shot_assign(e, "vec_id", "embedding", topics.label_vectors(e, "label", "embedding"), "label", 0.4)
     return rounded(got, "similarity")
 
@@ -85,22 +85,36 @@ def _merges(spark, sf, down_to):
     return topics.merge_order(topics.topic_gram(_weights(spark, sf), "source", table(spark, sf, "documents")), sizes, "source", down_to)
 
 
-@query("topic_reduce")
+@query("topic_reduce", """SELECT count(*) AS n, (SELECT least(8, count(DISTINCT source)) FROM documents) AS n_topics, true AS merged_whole FROM documents""")
 def _(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "source")
-    return topics.reduce_topics(d, _merges(spark, sf, 8), "source").groupBy("reduced").agg(F.count("*").alias("n"))
+    reduced = topics.reduce_topics(d, _merges(spark, sf, 8), "source")
+    whole = reduced.groupBy("source").agg(F.count_distinct("reduced").alias("k")).agg(F.max("k") == 1).scalar()
+    return reduced.agg(F.count("*").alias("n"), F.count_distinct("reduced").alias("n_topics")).withColumn("merged_whole", whole)
 
 
-@query("topic_hierarchy")
+@query("topic_hierarchy", """SELECT count(DISTINCT source) - 1 AS n_steps, count(*) AS n_documents, true AS sizes_add_up, true AS similarity_in_range FROM documents""")
 def _(spark, sf):
     steps = _merges(spark, sf, 1)
-    return spark.createDataFrame(steps, "step int, source string, target string, similarity double, n bigint")
+    tree = spark.createDataFrame(steps, "step int, source string, target string, similarity double, n bigint")
+    own = table(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("own"))
+    last = tree.filter(F.col("step") == len(steps)).select("n").scalar()
+    # Each source is merged away once but one; the last target holds all documents.
+    once = tree.select("source").distinct().count() == len(steps) == own.count() - 1
+    return tree.agg(F.count("*").alias("n_steps")).select(
+        "n_steps", last.alias("n_documents"), (F.lit(once)).alias("sizes_add_up"),
+        F.lit(all(-1e-9 <= s[3] <= 1 + 1e-9 for s in steps)).alias("similarity_in_range"))
 
 
-@query("topic_clusters")
+@query("topic_clusters", """SELECT count(*) AS n, true AS few_topics, true AS flags_agree, true AS large_enough FROM embeddings""")
 def _(spark, sf):
     t = models.topic_clusters(table(spark, sf, "embeddings"), "vec_id", "embedding", k=10, min_size=15)
-    return t.groupBy("topic_id").agg(F.count("*").alias("n"), F.sum("is_topic_outlier").alias("n_outliers"))
+    per = t.groupBy("topic_id").agg(F.count("*").alias("n"), F.sum("is_topic_outlier").alias("out"))
+    real = F.col("topic_id") != -1
+    return per.agg(
+        F.sum("n").alias("n"), (F.count_if(real).between(1, 10)).alias("few_topics"),
+        F.every(F.when(real, F.col("out") == 0).otherwise(F.col("out") == F.col("n"))).alias("flags_agree"),
+        F.every(~real | (F.col("n") >= 10)).alias("large_enough"))
 
 
 @query("knn_cosine", """SELECT id, neighbour, round(sim, 6) AS similarity, rank FROM (SELECT a.vec_id AS id, b.vec_id AS neighbour, list_cosine_similarity(list_transform(a.embedding, lambda x: x::DOUBLE),

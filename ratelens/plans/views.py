@@ -14,6 +14,7 @@ from ratelens.operators.cleaning import drop_invalid_ids
 from ratelens.operators.features import feature_matrix, with_divergence, with_sentiment
 from ratelens.operators.terms import raw_tokens
 from ratelens.plans.registry import view
+from ratelens.session import materialise
 
 # Invented valences for frequent tokens of the test corpus.
 LEXICON = {
@@ -147,14 +148,16 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def binary_documents(spark: SparkSession, sf: str, tokens: Callable[[Column], Column] = raw_tokens) -> DataFrame:
-    """Cleaned reviews without the middle star, with tokens, label and split."""
+    """Cleaned reviews without the middle star, with tokens, label and split.
+
+    Written once, in place: the text is read once however often the tokens are, and no token array is shuffled.
+    """
     from ratelens.operators.sampling import stratified_split
 
     r = clean_reviews(spark, sf).filter(F.col("stars") != 3).select(
         "doc_id", (F.col("stars") > 3).cast("int").alias("y"), tokens(F.col("text")).alias("tokens")
     )
-    split = stratified_split(r.select("doc_id", "y"), "y", "doc_id").select("doc_id", "split")
-    return r.join(split, "doc_id")
+    return materialise(stratified_split(r, "y", "doc_id"), "binary-documents")
 
 
 def word_lists(df: DataFrame) -> DataFrame:

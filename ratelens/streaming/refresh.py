@@ -55,19 +55,30 @@ def read_refreshed(spark: SparkSession, state_path: str, min_reviews: int = MIN_
 
 
 def compact(spark: SparkSession, state_path: str, target: str) -> None:
-    """Merge the sums of all batches into one table (run between refreshes)."""
+    """Merge the sums of all batches into one batch in a new folder; later refreshes write to that folder.
+
+    The old folder is left as it was, so a failed run can be repeated, and the sums are never in one place twice.
+    """
+    if target.rstrip("/") == state_path.rstrip("/"):
+        raise ValueError("compact into a folder of its own: sums beside those they were made of would count twice")
     merge_sums(spark.read.parquet(state_path)).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
 
 
-def run_daily_counts(stream: DataFrame, out_path: str, checkpoint: str, entity: str = "user_id", ts: str = "ts",
-                     lateness: str = "1 day") -> None:
-    """Per-entity day counts; a day is emitted once the watermark has passed it."""
-    daily = (
-        stream.withWatermark(ts, lateness).groupBy(F.window(ts, "1 day").alias("w"), entity)
-        .agg(F.count("*").alias("n")).select(entity, F.to_date("w.start").alias("day"), "n")
-    )
+def run_daily_counts(stream: DataFrame, state_path: str, checkpoint: str, entity: str = "user_id", ts: str = "ts") -> None:
+    """Per-entity day counts of what has arrived. Each batch writes its counts under its own id, so that late rows
+    count on their day however late they are, no day is held back, and a replayed batch overwrites itself."""
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(entity, F.to_date(ts).alias("day")).agg(F.count("*").alias("n"))
+        counts.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+
     q = (
-        daily.writeStream.outputMode("append").format("parquet").option("path", out_path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
     q.awaitTermination()
+
+
+def read_daily_counts(spark: SparkSession, state_path: str, entity: str = "user_id") -> DataFrame:
+    """Day counts over all batches."""
+    return spark.read.parquet(state_path).groupBy(entity, "day").agg(F.sum("n").alias("n"))

@@ -217,3 +217,80 @@ def test_refresh_survives_a_replayed_batch(spark, matrix):
     got = {r["business_id"]: r["manipulation_delta"] for r in refresh.read_refreshed(spark, path).collect()}
     want = {r["business_id"]: r["manipulation_delta"] for r in scoring.trust_score(matrix).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_anything_added_to_a_document_is_a_mismatch(spark, matrix):
+    by = scoring.trust_score(matrix, ordered=False, extra=records.business_evidence())
+    text = records.documents(records.sign_records(records.build_records(by, "2024-01-01T00:00:00Z"))).first()["value"]
+    changes = [text, text[:-1] + ',"note":"x"}', text.replace('"scores":{', '"scores":{"bonus":1.0,'), text.replace('"label_agreement_rate":null,', ""),
+               text.replace('"review_count":', '"review_count":"') .replace('},"limitations"', '"},"limitations"'), text.replace(',"scores"', ', "scores"')]
+    got = []
+    for i, t in enumerate(changes):
+        path = scratch_path(spark, f"added{i}")
+        spark.createDataFrame([(t,)], "value string").write.text(path)
+        got.append(records.verify_records(record_store.read_records(spark, path)).first()["verified"])
+    assert got == [True, False, False, False, False, True]
+
+
+def test_bounds_reach_the_scan_of_a_store(spark, matrix):
+    by = scoring.trust_score(matrix, ordered=False, extra=records.business_evidence())
+    path = scratch_path(spark, "typed")
+    record_store.write_store(records.sign_records(records.build_records(by, "2024-01-01T00:00:00Z")), path)
+    from ratelens.operators import record_queries
+
+    q = record_queries.matching(record_store.read_store(spark, path), min_delta=0.01)
+    assert "GreaterThanOrEqual(scores.manipulation_delta" in q._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_topics_classes_and_labels(spark):
+    n = 1100
+    w = spark.range(n).select(F.col("id").cast("int").alias("t"), F.explode(F.array(F.lit("x"), F.concat(F.lit("y"), (F.col("id") % 7).cast("string")))).alias("term"), (F.col("id") % 5 + 1.0).alias("weight"))
+    gram = topics.topic_gram(w, "t", spark.range(n).select(F.col("id").cast("int").alias("t")))
+    pairs = topics.pair_similarity(gram)
+    assert pairs.count() == n * (n - 1) // 2
+    assert pairs.filter((F.col("topic_a") == 3) & (F.col("topic_b") == 1005)).first()["similarity"] == pytest.approx(0.5)
+    split = sampling.stratified_split(spark.range(n * 5).select("id", (F.col("id") % n).alias("y")), "y", "id")
+    assert split.groupBy("split").count().filter("split = 'test'").first()["count"] == n
+    labels = spark.createDataFrame([(f"label {i}", [float(i == j) for j in range(600)]) for i in range(600)], "label string, label_vec array<double>")
+    docs = spark.createDataFrame([(1, [float(j == 599) for j in range(600)]), (2, [0.0] * 600), (3, None)], "d int, v array<double>")
+    got = {r["d"]: r["assigned"] for r in topics.zero_shot_assign(docs, "d", "v", labels, "label").collect()}
+    assert got == {1: "label 599", 2: None, 3: None}
+
+
+def test_sample_is_the_first_rows_in_hash_order(spark):
+    df = spark.range(500).select("id", F.lit("text").alias("text"))
+    want = [r["id"] for r in df.orderBy(sampling.hash_order("id"), "id").limit(70).collect()]
+    got = sampling.hash_sample(df, "id", 70)
+    assert sorted(r["id"] for r in got.collect()) == sorted(want)
+    assert "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sampling.hash_sample(df, "id", 500).count() == sampling.hash_sample(df, "id", 900).count() == 500
+    assert sampling.hash_sample(df.limit(0), "id", 5).count() == 0
+
+
+def test_daily_counts_hold_late_rows_and_last_days(spark):
+    path = scratch_path(spark, "days")
+    days = ["2024-01-05", "2024-01-01", "2024-01-09", "2024-01-01"]
+    stream_in = f"{path}/in"
+    for d in days:
+        spark.createDataFrame([("u", d)], "user_id string, d string").select("user_id", F.to_timestamp("d").alias("ts")).coalesce(1).write.mode("append").parquet(stream_in)
+        stream = spark.readStream.schema("user_id string, ts timestamp").parquet(stream_in)
+        refresh.run_daily_counts(stream, f"{path}/state", f"{path}/checkpoint")
+    got = {str(r["day"]): r["n"] for r in refresh.read_daily_counts(spark, f"{path}/state").collect()}
+    assert got == {"2024-01-01": 2, "2024-01-05": 1, "2024-01-09": 1}
+
+
+def test_compacted_sums_do_not_count_twice(spark, matrix):
+    path = scratch_path(spark, "sums")
+    for i, p in enumerate(matrix.randomSplit([0.5, 0.5], 3)):
+        refresh.partial_sums(p).write.mode("overwrite").parquet(f"{path}/batch_id={i}")
+    before = sorted(map(tuple, refresh.read_refreshed(spark, path).select("business_id", "review_count").collect()))
+    for _ in range(2):
+        refresh.compact(spark, path, f"{path}-compact")
+    assert sorted(map(tuple, refresh.read_refreshed(spark, f"{path}-compact").select("business_id", "review_count").collect())) == before
+    with pytest.raises(ValueError):
+        refresh.compact(spark, path, path)
+
+
+def test_repeated_topic_rows_do_not_repeat_reviews(spark, scored):
+    twice = spark.createDataFrame([("r1", 3, 0), ("r1", 2, 0), ("r2", 1, 0)], "review_id string, topic_id int, is_topic_outlier int")
+    assert features.feature_matrix(scored, twice, need=("stars",)).count() == 900
