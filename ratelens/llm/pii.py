@@ -33,22 +33,31 @@ _NAME = r"\p{Lu}[\p{Ll}'’-]+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "|".join((*FEMALE_TITLES, *MALE_TITLES, *OTHER_TITLES))
 
-#: Kind and pattern, in the order in which they are tried at a place. None has a group, and none matches nothing.
+#: Kind and pattern, in the order in which they are tried at a place where no word goes on. None has a group.
 PATTERNS = (
-    ("email", rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}._%+-]*+@(?:{_W}(?:[\p{{L}}\p{{N}}-]*{_W})?\.)+\p{{L}}{{2,}}(?!{_W})"),
-    ("ip", rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?{_W})"),
-    ("iban", rf"(?<!{_W})[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{3,7}}(?: [A-Z0-9]{{1,3}})?)(?!{_W})"),
-    ("secret", rf"(?<!{_W})(?:AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{30,}}|sk-[A-Za-z0-9_-]{{20,}}|(?=[A-Fa-f]*\d)(?=\d*[A-Fa-f])(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}))(?!{_W})"),
-    ("ssn", rf"(?<![\p{{L}}\p{{N}}-])\d{{3}}-\d{{2}}-\d{{4}}(?![\p{{L}}\p{{N}}]|-\d)"),
-    ("phone", rf"(?<!{_W})(?:\+\d{{1,3}}[ .-]?)?\(\d{{2,4}}\)[ .-]?\d{{3,4}}[ .-]?\d{{3,4}}(?!{_W})"
-              rf"|(?<!{_W})\+\d{{1,3}}(?:[ .-]?\d{{2,4}}){{2,5}}(?!{_W})"
-              rf"|(?<![\p{{L}}\p{{N}}.-])\d{{3}}[.-]\d{{3}}[.-]\d{{4}}(?!{_W}|[.-]\d)"),
-    ("card", rf"(?<![\p{{L}}\p{{N}}.-])\d{{4}}(?:[ -]?\d{{4}}){{2}}[ -]?\d{{1,7}}(?!{_W})"),
-    ("name", rf"(?<!{_W})(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?<!{_W})(?:{'|'.join((*FEMALE, *MALE))}) {_NAME}"),
+    ("ip", rf"(?<!\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?{_W})"),
+    ("ssn", rf"(?<!-)\d{{3}}-\d{{2}}-\d{{4}}(?!{_W}|-\d)"),
+    ("phone", rf"(?:\+\d{{1,3}}[ .-]?)?\(\d{{2,4}}\)[ .-]?\d{{3,4}}[ .-]?\d{{3,4}}(?!{_W})|\+\d{{1,3}}(?:[ .-]?\d{{2,4}}){{2,5}}(?!{_W})"
+              rf"|(?<![.-])\d{{3}}[.-]\d{{3}}[.-]\d{{4}}(?!{_W}|[.-]\d)"),
+    ("card", rf"(?<![.-])\d{{4}}(?:[ -]?\d{{4}}){{2}}[ -]?\d{{1,7}}(?!{_W})"),
+    ("iban", rf"[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{3,7}}(?: [A-Z0-9]{{1,3}})?)(?!{_W})"),
+    ("secret", rf"(?:AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{30,}}|sk-[A-Za-z0-9_-]{{20,}}|(?=[A-Fa-f]*\d)(?=\d*[A-Fa-f])(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}))(?!{_W})"),
+    ("email", rf"(?<![._%+-]){_W}[\p{{L}}\p{{N}}._%+-]*+@(?:{_W}(?:[\p{{L}}\p{{N}}-]*{_W})?\.)+\p{{L}}{{2,}}(?!{_W})"),
+    ("name", rf"(?=[A-Z])(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{'|'.join((*FEMALE, *MALE))}) {_NAME})"),
 )
-ANY = "|".join(f"(?:{p})" for _, p in PATTERNS)
+_OF = dict(PATTERNS)
+
+
+def _any(kinds: tuple[str, ...]) -> str:
+    return "(?:" + "|".join(f"(?:{_OF[k]})" for k in kinds) + ")"
+
+
+#: All patterns, behind one test that no word goes on and one look at the first character.
+ANY = (rf"(?<!{_W})(?:(?=[0-9+(]){_any(('ip', 'ssn', 'phone', 'card', 'secret'))}|(?=[A-Z]){_any(('iban', 'secret', 'name'))}"
+       rf"|(?=[a-gs]){_any(('secret',))}|{_any(('email',))})")
 #: A text that has none of these has no entity; a cheap test for the many texts without one.
-HINT = rf"[0-9@]|(?:{_TITLE})\.? |(?:{'|'.join((*FEMALE, *MALE))}) "
+HINT = r"[0-9@]"
+HINT_NAME = rf"(?=[A-Z])(?<!{_W})(?:(?:{_TITLE})\.?|{'|'.join((*FEMALE, *MALE))}) \p{{Lu}}"
 _DIGIT_KINDS = ("ssn", "phone", "card")
 #: Attempts before an entity is given up, which ends the job. The share of refusals falls with every one.
 ATTEMPTS = 24
@@ -57,7 +66,7 @@ ATTEMPTS = 24
 def entities(text: Column) -> Column:
     """Entities of a text in order; an empty list if it has none."""
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    return F.when(text.rlike(HINT), found).otherwise(F.array().cast("array<string>"))
+    return F.when(text.rlike(HINT) | text.rlike(HINT_NAME), found).otherwise(F.array().cast("array<string>"))
 
 
 def kind_of(entity: Column) -> Column:
@@ -187,7 +196,8 @@ def surrogates(spellings: DataFrame, key: str) -> DataFrame:
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows with every entity in `text` replaced; `entities` counts them, `kinds` lists their kinds."""
-    rows = docs.drop("entities", "kinds").withColumn("_found", entities(F.col(text).cast("string")))
+    rows = docs.drop("entities", "kinds").withColumn("_found", F.coalesce(entities(F.col(text).cast("string")), F.array().cast("array<string>")))
+    rows = materialise(rows, "pii-rows")  # texts are searched once
     # Entities of each text that has some; equal texts are one row.
     per_text = rows.filter(F.size("_found") > 0).select(F.md5(F.col(text)).alias("_md5"), F.array_distinct("_found").alias("found")).dropDuplicates(["_md5"])
     per_text = materialise(per_text, "pii-found")
@@ -206,10 +216,9 @@ def _replaced(rows: DataFrame, maps: DataFrame, text: str) -> DataFrame:
     # The rows without an entity stay where they are; only the others meet their replacements.
     columns = [c for c in rows.columns if c != "_found"]
     none = F.array().cast("array<string>")
-    same = rows.filter(F.coalesce(F.size("_found"), F.lit(0)) <= 0).select(*columns, F.lit(0).alias("entities"), none.alias("kinds"))
-    # Found again behind the join, so that the texts travel alone.
-    met = rows.filter(F.size("_found") > 0).drop("_found").withColumn("_md5", F.md5(F.col(text))).join(maps, "_md5")
-    met = met.withColumn("_found", F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))).withColumn("_between", F.split(F.col(text), ANY, -1))
+    same = rows.filter(F.size("_found") == 0).select(*columns, F.lit(0).alias("entities"), none.alias("kinds"))
+    met = rows.filter(F.size("_found") > 0).withColumn("_md5", F.md5(F.col(text))).join(maps, "_md5")
+    met = met.withColumn("_between", F.split(F.col(text), ANY, -1))
     pieces = F.zip_with("_between", "_found", lambda b, e: F.concat(b, F.coalesce(F.try_element_at(F.col("_map"), e)["instead"], F.lit(""))))
     kinds = F.array_sort(F.array_distinct(F.transform(F.map_values("_map"), lambda v: v["kind"])))
     changed = met.select(*[c for c in columns if c != text], F.array_join(pieces, "").alias(text), F.size("_found").alias("entities"), kinds.alias("kinds"))
