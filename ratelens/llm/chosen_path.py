@@ -27,13 +27,14 @@ from ratelens.session import materialise
 
 WORDS = 5
 #: Minwise tokens of a sketch, and independent trees: a pair at similarity 0.8 shares a first branch with 1 - 0.2 ** 8.
-TOKENS, TREES = 64, 8
+TOKENS, TREES = 128, 8
 #: Nodes of at most so many documents are compared exhaustively, in one task.
 SMALL = 256
-#: Levels that a large node descends at a time.
-LEVELS = 2
-#: Sketches propose a pair if they agree on the threshold less this share: over four standard errors of 64 tokens.
-SLACK = 0.22
+#: Levels that large nodes descend at a time by size alone, how often, and after they have met their centre. Documents that
+#: agree on half of their tokens are 64 times fewer after the first descents, so what is still large holds near copies.
+LEVELS, DESCENTS, MORE_LEVELS = 2, 3, 4
+#: Sketches propose a pair if they agree on the threshold less this share: four standard errors of 128 tokens.
+SLACK = 0.14
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 _A = (np.random.default_rng(11).integers(0, 2**63, TOKENS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -109,8 +110,9 @@ def signatures(docs: DataFrame) -> DataFrame:
     return plain.mapInArrow(run, "doc_id long, n_shingles long, x long, y long, sketch array<int>")
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Full sets (id, items) of some documents."""
+def _sets_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Full sets (id, items) of the documents of some pairs."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
     def run(batches):
         for batch in batches:
@@ -140,11 +142,11 @@ def _branch(rows: DataFrame, level: int, threshold: float, levels: int) -> DataF
     return rows
 
 
-def _propose(nodes: DataFrame, threshold: float, first: bool) -> DataFrame:
+def _propose(nodes: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of small nodes whose sketches are alike and whose components differ.
 
-    In the first round only links to the most central member of each group of alike members are proposed, afterwards all.
-    nodes: rows (node, id, n, comp, sketch), a node's rows together.
+    A node that is seen for the first time links each group of alike members to its most central one, which is a; a node
+    that was seen before proposes all such pairs. nodes: rows (node, seen, id, n, comp, sketch).
     """
     least = threshold - SLACK
 
@@ -160,8 +162,8 @@ def _propose(nodes: DataFrame, threshold: float, first: bool) -> DataFrame:
                 same += s[:, t, None] == s[None, :, t]
             alike = (same >= least * TOKENS) & (np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]))
             np.fill_diagonal(alike, False)
-            if first:
-                weight, open_ = (same * alike).sum(1), np.ones(len(s), bool)
+            if not rows.column("seen")[0].as_py():
+                weight, open_ = (same * alike).sum(1), alike.any(axis=1)
                 while open_.any():
                     centre = int(np.lexsort((ids, -weight * open_, ~open_))[0])
                     open_[centre] = False
@@ -175,7 +177,7 @@ def _propose(nodes: DataFrame, threshold: float, first: bool) -> DataFrame:
 
         def out(parts):
             got = list(pairs(parts))
-            return pa.RecordBatch.from_arrays([pa.array([min(p) for p in got], pa.int64()), pa.array([max(p) for p in got], pa.int64())], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in got], pa.int64()), pa.array([p[1] for p in got], pa.int64())], ["a", "b"])
 
         for batch in batches:
             node = batch.column("node").to_numpy()
@@ -193,28 +195,27 @@ def _propose(nodes: DataFrame, threshold: float, first: bool) -> DataFrame:
         if held:
             yield out(held)
 
-    ordered = nodes.select("node", "id", "n", "comp", "sketch").repartition("node").sortWithinPartitions("node", "id")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    ordered = nodes.select("node", "seen", "id", "n", "comp", "sketch").repartition("node").sortWithinPartitions("node", "id")
+    return ordered.mapInArrow(run, "a long, b long")
 
 
 def _centres(large: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of the most central member of each large node with the members whose sketches are like its own.
+    """Pairs (a, b) of the most central member of each large node, a, with the members whose sketches are like its own.
 
-    Central is who agrees with most others on two groups of eight tokens.
+    Central is who agrees with most others on a group of twelve tokens.
     """
-    tokens = [F.xxhash64(F.slice("sketch", 1 + 8 * g, 8)).alias(f"t{g}") for g in range(2)]
-    rows = large.select("node", "id", "n", "comp", "sketch", *tokens)
-    for g in range(2):
-        rows = rows.join(rows.groupBy("node", f"t{g}").agg(F.count(F.lit(1)).alias(f"n{g}")), ["node", f"t{g}"])
-    best = rows.groupBy("node").agg(F.min(F.struct((-(F.col("n0") + F.col("n1"))).alias("w"), F.col("id").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"), F.col("sketch").alias("cs"))).alias("m"))
+    rows = large.select("node", "id", "n", "comp", "sketch", F.xxhash64(F.slice("sketch", 1, 12)).alias("t"))
+    rows = rows.join(rows.groupBy("node", "t").agg(F.count(F.lit(1)).alias("agreeing")), ["node", "t"])
+    best = rows.groupBy("node").agg(F.min(F.struct((-F.col("agreeing")).alias("w"), F.col("id").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"), F.col("sketch").alias("cs"))).alias("m"))
     met = large.join(best.select("node", "m.*"), "node").filter(F.col("comp") != F.col("cc"))
     agree = F.size(F.filter(F.zip_with("sketch", "cs", lambda x, y: x == y), lambda x: x))
     near = met.filter((agree >= F.lit(threshold - SLACK) * TOKENS) & (F.least("n", "cn") >= F.lit(threshold) * F.greatest("n", "cn")))
-    return near.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+    return near.select(F.col("c").alias("a"), F.col("id").alias("b"))
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the threshold: 100 * intersection >= percent * union."""
+    sets = materialise(_sets_of(docs, pairs), "full-sets")
     left = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("right")), "b")
     both = left.join(sets.select(F.col("id").alias("a"), F.col("items").alias("left")), "a")
     common = F.size(F.array_intersect("left", "right"))
@@ -222,6 +223,35 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(common * 100 >= union * percent).select("a", "b")
 
 
+def _descend(nodes: DataFrame, reps: DataFrame, level: int, threshold: float, small: int) -> tuple[DataFrame, int]:
+    """Nodes (id, node) of more than one member; those that are too large have branched a few times. Also the next level."""
+    done: list[DataFrame] = []
+    for step in range(DESCENTS + 1):
+        sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+        held = materialise(nodes.join(sizes, "node"), "held-nodes")
+        large = held.filter(F.col("members") > small)
+        if step == DESCENTS or large.isEmpty():
+            done.append(held.select("id", "node"))
+            break
+        done.append(held.filter(F.col("members") <= small).select("id", "node"))
+        nodes = _branch(large.join(reps, "id").select("node", "id", "sketch"), level, threshold, LEVELS).select("id", "node")
+        level += LEVELS
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out, level
+
+
+def _joined(comp: DataFrame | None, merged: DataFrame) -> DataFrame:
+    """Components after some of them, or single documents, were merged."""
+    if comp is None:
+        return merged
+    to = merged.select(F.col("id").alias("comp"), F.col("comp").alias("to"))
+    kept = comp.join(to, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp"))
+    alone = merged.join(comp.select("id"), "id", "left_anti")
+    return materialise(kept.unionByName(alone), "components")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept (doc_id = component_id) for every row."""
     threshold = percent / 100
@@ -232,51 +262,33 @@ def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES, smal
     reps = materialise(reps.select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id"]), "set-sketches")
 
     roots = [F.lit(t).cast("long") for t in range(trees)]
-    level, comp = 1, None
     first = F.flatten(F.array(*[F.transform(_chosen(r, 0, threshold), lambda i, r=r: F.xxhash64(r, i, F.get("sketch", i))) for r in roots]))
-    nodes = reps.select("id", F.explode(first).alias("node"))
-    links: list[DataFrame] = []
-    sets: list[DataFrame] = []
-    small_left: DataFrame | None = None
+    nodes, level = _descend(reps.select("id", F.explode(first).alias("node")), reps, 1, threshold, small)
+    nodes = nodes.withColumn("seen", F.lit(False))
+    comp: DataFrame | None = None
     while True:
-        # Members of nodes that hold more than one component; of nodes with the same members, one stays.
+        # Members of nodes that hold more than one component.
         rows = nodes.withColumn("comp", F.col("id")) if comp is None else nodes.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        stats = rows.groupBy("node").agg(
-            F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who"),
-        ).filter("low < high")
-        once = stats.groupBy("members", "who").agg(F.min("node").alias("node"))
-        open_ = rows.join(once.select("node", "members"), "node").join(reps, "id")
-        open_ = materialise(open_.select("node", "members", "id", "n", "comp", "sketch"), "open-nodes")
+        stats = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+        open_ = materialise(rows.join(stats.select("node", "members"), "node").join(reps, "id"), "open-nodes")
         if open_.isEmpty():
             break
         few, many = open_.filter(F.col("members") <= small), open_.filter(F.col("members") > small)
         more = not many.isEmpty()
-        fresh = few if small_left is None else few.join(small_left, "node", "left_anti")
-        proposed = _propose(fresh, threshold, first=True)
-        if small_left is not None:
-            proposed = proposed.unionByName(_propose(few.join(small_left, "node", "left_semi"), threshold, first=False))
-        if more:
-            proposed = proposed.unionByName(_centres(many, threshold))
+        proposed = _propose(few, threshold).unionByName(_centres(many, threshold)) if more else _propose(few, threshold)
         proposed = materialise(proposed.distinct(), "proposed")
-        ids = proposed.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        for known in sets:
-            ids = ids.join(known.select("id"), "id", "left_anti")
-        sets.append(materialise(_sets_of(docs, ids), "full-sets"))
-        every = sets[0]
-        for s in sets[1:]:
-            every = every.unionByName(s)
-        links.append(materialise(_confirm(proposed, every, percent), "confirmed"))
-        linked = links[0]
-        for x in links[1:]:
-            linked = linked.unionByName(x)
-        comp = components(linked).select("id", "comp")
-        # Small nodes of this round are compared in full in the next one, then they are done; large ones branch.
-        kept = fresh.select("id", "node")
-        small_left = materialise(fresh.select("node").distinct(), "small-nodes")
+        linked = materialise(_confirm(proposed, docs, percent), "confirmed")
+        if comp is not None:
+            of = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
+            linked = linked.join(of, "a", "left").join(comp.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b", "left")
+            linked = linked.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        comp = _joined(comp, components(linked))
+        # Small nodes are compared in full when they come again, then they are done; large ones branch.
+        nodes = few.filter(~F.col("seen")).select("id", "node", F.lit(True).alias("seen"))
         if more:
-            kept = kept.unionByName(_branch(many.select("node", "id", "sketch"), level, threshold, LEVELS).select("id", "node"))
-            level += LEVELS
-        nodes = materialise(kept, "nodes")
+            nodes = nodes.unionByName(_branch(many.select("node", "id", "sketch"), level, threshold, MORE_LEVELS).select("id", "node", F.lit(False).alias("seen")))
+            level += MORE_LEVELS
+        nodes = materialise(nodes, "nodes")
     out = signed.join(classes.withColumnRenamed("id", "rep"), ["x", "y"], "left")
     if comp is not None:
         out = out.join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left")
