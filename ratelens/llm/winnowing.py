@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Code points per gram and grams per window, both powers of two: a shared passage of 143 code points is always seen.
-GRAM, WINDOW = 16, 128
+#: Code points per gram and grams per window, both powers of two: a shared passage of 23 code points is always seen, and about
+#: two hashes of nine are kept, so that short texts have enough of them to be compared.
+GRAM, WINDOW = 16, 8
 _STEP = 0x9E3779B97F4A7C15
 _LOW = np.uint64(0xFFFFFFFF)
 

@@ -181,6 +181,23 @@ def test_winnowing_chooses_the_rightmost_minimum():
         assert list(zip(got.hashes.tolist(), got.positions.tolist())) == slow_winnow(text, 4, 8)
 
 
+def test_near_copies_among_short_texts_are_seen():
+    rng = np.random.default_rng(5)
+
+    def text(n):
+        return "".join(rng.choice(list("etaoinshrdlu "), n))
+
+    likes = []
+    for n in rng.integers(60, 200, 300).tolist():
+        one = text(n)
+        likes.append(winnowing.winnow(one).likeness(winnowing.winnow(one[: n - n // 3] + text(n // 3))))
+    assert 0 < min(likes) and max(likes) < 1 and np.std(likes) < 0.12
+    for _ in range(200):
+        shared = text(winnowing.GRAM + winnowing.WINDOW - 1)
+        a, b = (winnowing.winnow(text(150) + shared + text(150)) for _ in range(2))
+        assert len(shared) < 32 and np.isin(a.hashes, b.hashes).any()
+
+
 def slow_edits(docs):
     order = sorted(docs, key=lambda d: (d is not None, d), reverse=True)
     out = {}
