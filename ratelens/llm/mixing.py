@@ -1,26 +1,35 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's documents are put in a keyed random order and cut into blocks. With n of W slots, block k of a source is released
-at floor(k W / n) and due at ceil((k + 1) W / n); in every slot, the released block that is due first is taken. So after any
-number of slots each source is less than one block away from its share. Weights are whole slots of a frame of W, after
-which the schedule repeats: only one frame is computed, and block k of a source then knows its turn by arithmetic.
-
-All rows are kept. When a source runs out, its turns are empty and the others go on in their proportions. A null source is a
-source of its own. Rows that are equal are placed each. An empty table gives no rows. Input columns named `block`, `turn` or
-`place` are replaced.
+A source's documents are put in a keyed random order and cut into blocks. Block k of a source of weight w (of a total of 1) is
+released at floor(k / w) and due at ceil((k + 1) / w); in every slot, the released block that is due first is taken. So after
+any number of slots each source is less than one block away from its target. Windows follow from the weights themselves and
+not from slots of a frame, so no rounding adds up.
+
+All rows are kept. When a source runs out, the others go on in their windows and slots in which none is released are empty. A
+null source is a source of its own. Rows that are equal are placed each. An empty table gives no rows. Input columns named
+`block`, `turn` or `place` are replaced.
 """
 
 from __future__ import annotations
 
+import math
+from array import array
+from collections.abc import Iterator
+from heapq import heappop, heappush
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.llm.common import ranked
+from ratelens.session import scratch_path
 
-#: Documents per block, and slots per frame.
-BLOCK, FRAME = 8, 1000
-#: Most sources of one mixture: the frame's plan is one row. Merge small sources before mixing more.
-MOST_SOURCES = 1000
+#: Documents per block.
+BLOCK = 8
+#: Blocks that the driver schedules before it writes them.
+FRAME = 1_000_000
+#: A window's end this near to a whole slot, as a share, is that slot: weights are doubles.
+_NEAR = 1e-13
 
 
 def source_key(source: Column) -> Column:
@@ -28,41 +37,51 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
-def frame_slots(weights: DataFrame, frame: int = FRAME) -> DataFrame:
-    """Rows (key, weight) to one row of arrays: keys in order and their whole slots, the largest remainders rounded up.
+def frame_slots(weights: DataFrame, frame: int = 1000) -> DataFrame:
+    """Rows (key, weight) to one row of arrays: keys in order and their whole slots of a frame, the largest remainders rounded up.
 
-    Every source gets a slot at least.
+    A summary of a mixture for readers; turns are not made from it.
     """
-    listed = weights.agg(F.array_sort(F.collect_list(F.struct("key", "weight"))).alias("all"), F.sum("weight").alias("total"), F.count(F.lit(1)).alias("n"))
-    fits = F.when(F.col("n") <= min(MOST_SOURCES, frame), F.col("all")).otherwise(F.raise_error(F.lit("too many sources for one mixture")))
-    ready = listed.filter(F.col("n") > 0).select(fits.alias("all"), "total", (F.lit(frame) - F.col("n")).alias("room"))
-    exact = F.transform("all", lambda s: F.struct(s["key"].alias("key"), (s["weight"] / F.col("total") * F.col("room")).alias("share")))
-    ready = ready.select("room", exact.alias("all"))
-    spare = F.col("room") - F.aggregate("all", F.lit(0).cast("bigint"), lambda a, s: a + F.floor(s["share"]))
+    listed = weights.agg(F.array_sort(F.collect_list(F.struct("key", "weight"))).alias("all"), F.sum("weight").alias("total")).filter("total > 0")
+    share = F.transform("all", lambda s: F.struct(s["key"].alias("key"), F.round(s["weight"] / F.col("total") * frame, 9).alias("share")))
+    ready = listed.select(share.alias("all"))
+    spare = F.lit(frame) - F.aggregate("all", F.lit(0).cast("bigint"), lambda a, s: a + F.floor(s["share"]))
     by_rest = F.array_sort(F.transform("all", lambda s: F.struct((F.floor(s["share"]) - s["share"]).alias("rest"), s["key"].alias("key"))))
     ready = ready.select("all", F.transform(F.slice(by_rest, F.lit(1), spare.cast("int")), lambda s: s["key"]).alias("up"))
     extra = lambda s: F.when(F.array_contains(F.col("up"), s["key"]), 1).otherwise(0)
     return ready.select(
         F.transform("all", lambda s: s["key"]).alias("keys"),
-        F.transform("all", lambda s: (F.floor(s["share"]) + 1 + extra(s)).cast("int")).alias("slots"),
+        F.transform("all", lambda s: (F.floor(s["share"]) + extra(s)).cast("int")).alias("slots"),
     )
 
 
-def schedule(slots: Column, frame: int = FRAME) -> Column:
-    """Index of the source that has each slot of a frame: earliest deadline first among the released blocks."""
-    none = F.struct(F.transform(slots, lambda n: F.lit(0)).alias("done"), F.array().cast("array<int>").alias("picks"))
+def schedule(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(source, block, turn) of all blocks in order of turns: earliest deadline first among the released blocks."""
+    total = math.fsum(weights)
+    every = [total / w for w in weights]  # slots between two blocks
 
-    def step(state: Column, slot: Column) -> Column:
-        def due(done: Column, i: Column) -> Column:
-            n = F.get(slots, i)
-            released = F.floor(done * frame / n) <= slot
-            return F.struct(F.when(released, F.ceil((done + 1) * frame / n)).otherwise(F.lit(2 * frame + 1)).alias("due"), i.alias("i"))
+    def release(i: int, k: int) -> int:
+        x = k * every[i]
+        return math.floor(x + x * _NEAR)
 
-        pick = F.array_min(F.transform(state["done"], due))["i"]
-        done = F.transform(state["done"], lambda d, i: F.when(i == pick, d + 1).otherwise(d))
-        return F.struct(done.alias("done"), F.concat(state["picks"], F.array(pick)).alias("picks"))
+    def due(i: int, k: int) -> int:
+        x = (k + 1) * every[i]
+        return math.ceil(x - x * _NEAR)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(frame - 1)), none, step)["picks"]
+    waiting = [(0, i, 0) for i, n in enumerate(blocks) if n]  # in order of release
+    ready: list[tuple[int, int, int]] = []  # in order of deadline
+    turn = 0
+    while waiting or ready:
+        if not ready and waiting[0][0] > turn:
+            turn = waiting[0][0]
+        while waiting and waiting[0][0] <= turn:
+            _, i, k = heappop(waiting)
+            heappush(ready, (due(i, k), i, k))
+        _, i, k = heappop(ready)
+        yield i, k, turn
+        if k + 1 < blocks[i]:
+            heappush(waiting, (release(i, k + 1), i, k + 1))
+        turn += 1
 
 
 def balanced_weights(docs: DataFrame, source: str = "source", power: float = 0.5) -> DataFrame:
@@ -70,23 +89,47 @@ def balanced_weights(docs: DataFrame, source: str = "source", power: float = 0.5
     return docs.groupBy(source_key(F.col(source)).alias("key")).agg(F.pow(F.count(F.lit(1)), F.lit(power)).alias("weight"))
 
 
+def block_turns(sources: DataFrame, block: int = BLOCK, frame: int = FRAME) -> DataFrame:
+    """Rows (key, weight, n): one per source, to rows (key, block, turn): one per block.
+
+    The driver holds one row per source and `frame` blocks at a time; a frame goes on where the one before it ended.
+    """
+    spark = sources.sparkSession
+    held = sorted((r["key"], r["weight"], r["n"]) for r in sources.select("key", "weight", "n").collect())
+    known = [w for _, w, _ in held if w and w > 0]
+    weights = [w if w and w > 0 else min(known, default=1.0) for _, w, _ in held]
+    path, kind = scratch_path(spark, "turns"), "source int, block long, turn long"
+
+    def write(*cols: array) -> None:
+        part = pa.table({c: pa.array(memoryview(v)) for c, v in zip(("source", "block", "turn"), cols)})
+        spark.createDataFrame(part, kind).write.mode("append").parquet(path)
+
+    cols = array("i"), array("q"), array("q")
+    put = [c.append for c in cols]
+    for i, k, turn in schedule(weights, [-(-n // block) for _, _, n in held]):
+        put[0](i)
+        put[1](k)
+        put[2](turn)
+        if len(cols[0]) >= frame:
+            write(*cols)
+            for c in cols:
+                del c[:]
+    write(*cols)
+    names = spark.createDataFrame([(i, k) for i, (k, _, _) in enumerate(held)], "source int, key string")
+    return spark.read.schema(kind).parquet(path).join(F.broadcast(names), "source").select("key", "block", "turn")
+
+
 def mix(docs: DataFrame, weights: DataFrame, source: str = "source", key: str = "doc_id", seed: int = 0, block: int = BLOCK, frame: int = FRAME) -> DataFrame:
     """Add `block` (number in its source), `turn` (slot from the start, one source each) and `place` (within the block).
 
-    weights: rows (key, weight), key as of source_key; sources that have no weight get the least. Ordering by turn and
-    place gives the mixture.
+    weights: rows (key, weight), key as of source_key; sources that have no weight get the least of the others. Ordering by
+    turn and place gives the mixture.
     """
     rows = docs.drop("block", "turn", "place").withColumn("_source", source_key(F.col(source))).withColumn("_order", F.xxhash64(F.lit(seed), key))
-    present = rows.select(F.col("_source").alias("key")).distinct()
+    present = rows.groupBy(F.col("_source").alias("key")).agg(F.count(F.lit(1)).alias("n"))
     known = present.join(weights.select("key", F.col("weight").cast("double").alias("weight")), "key", "left")
-    plan = frame_slots(known.select("key", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(1e-12)).alias("weight")), frame)
-    plan = plan.select("keys", "slots", schedule(F.col("slots"), frame).alias("picks"))
-    turns = plan.select(F.map_from_arrays("keys", F.transform("slots", lambda n, i: F.struct(
-        n.alias("n"), F.filter(F.transform("picks", lambda p, t: F.when(p == i, t)), lambda t: t.isNotNull()).alias("at"),
-    ))).alias("turns"))
-    order = ranked(rows, ["_source"], "_order", [key], "_rank")
-    mine = F.element_at(F.col("turns"), F.col("_source"))
-    number = F.floor(F.col("_rank") / F.lit(block))
-    out = order.withColumn("turns", turns.scalar()).withColumn("_mine", mine).withColumn("block", number)
-    turn = F.floor(F.col("block") / F.col("_mine.n")) * frame + F.get(F.col("_mine.at"), (F.col("block") % F.col("_mine.n")).cast("int"))
-    return out.withColumn("turn", turn.cast("long")).withColumn("place", (F.col("_rank") % block).cast("int")).drop("_source", "_order", "_rank", "turns", "_mine")
+    turns = block_turns(known, block, frame).withColumnRenamed("key", "_source")
+    order = ranked(rows, ["_source"], "_order", [key], "_rank").withColumn("block", F.floor(F.col("_rank") / F.lit(block)))
+    out = order.join(turns, ["_source", "block"])
+    columns = [c for c in rows.columns if c not in ("_source", "_order")]
+    return out.select(*columns, "block", "turn", (F.col("_rank") % block).cast("int").alias("place"))

@@ -112,6 +112,32 @@ def test_mixture_stays_within_a_block(spark):
             assert abs(slots[s] - n[key[s]] * (t + 1) / 100) < 1
 
 
+@pytest.mark.parametrize("weights", [[7.0] + [1 / 3 * 1.37**i for i in range(19)], [0.5] + [0.5 / 899] * 899, [1.0] * 1500, [0.5, 0.3, 0.15, 0.05]])
+def test_schedule_stays_within_a_block_of_the_target_weights(weights):
+    w = np.array(weights) / sum(weights)
+    done, turns, most = np.zeros(len(w)), 6000, 0.0
+    for t, (i, k, turn) in zip(range(turns), mixing.schedule(weights, [turns] * len(w))):
+        assert turn == t and k == done[i]
+        done[i] += 1
+        most = max(most, np.abs(done - w * (t + 1)).max())
+    assert most < 1 - 1e-9
+
+
+def test_mixture_follows_the_target_weights(spark):
+    """Two sources of 20 whose weights are no whole slots, over several frames; one source has no weight."""
+    rows = [(k * 10_000 + i, f"s{k}") for k in range(20) for i in range(400 if k else 4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = {f"=s{k}": 0.14 if k == 0 else 0.86 / 19 for k in range(19)}
+    got = mixing.mix(docs, spark.createDataFrame(list(weights.items()), "key string, weight double"), block=1, frame=2000).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(d for d, _ in rows)
+    assert len({r["turn"] for r in got}) == len(got)
+    first = sorted((r["turn"], r["source"]) for r in got)
+    done, end = 0, min(max(r["turn"] for r in got if r["source"] == f"s{k}") for k in range(1, 20))
+    for turn, source in first[: end + 1]:
+        done += source == "s0"
+        assert abs(done - 0.14 * (turn + 1)) < 1
+
+
 def test_mixture_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = queries.op2_pfair_mixture(spark, SF).collect()
