@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +47,14 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 2048 tokens."""
-    return packing.pack(docs, word_bpe(), end_id=0, capacity=2048)
+    """Pieces of all documents in sequences of 2048 tokens, taken in the order in which the mixture was written."""
+    try:
+        ordered = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        ordered.columns  # resolves the names
+    except AnalysisException:  # not read from files: partitions in order
+        at = F.monotonically_increasing_id()
+        ordered = docs.select("*", F.lpad(F.shiftright(at, 33).cast("string"), 10, "0").alias("_file"), at.bitwiseAND(F.lit(2**33 - 1)).alias("_row"))
+    return packing.pack(ordered, word_bpe(), end_id=0, capacity=2048, order=(F.col("_file"), F.col("_row")))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -278,6 +278,26 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in packed} == kept
 
 
+def test_sequences_follow_the_mixture(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i % 5} of a source", "en", "ab"[i % 3 == 0], 9) for i in range(3000)], "doc_id long, text string, lang string, source string, n_chars long")
+    weights, got = mixing.balanced_weights, []
+    for k, power in enumerate((0.5, 3.0, None)):
+        monkeypatch.setattr(mixing, "balanced_weights", lambda d, p=power: weights(d, power=p or 1.0))
+        mixed = docs if power is None else corpus_pipeline.mixture(spark, docs, SF)
+        mixed.write.parquet(str(tmp_path / str(k)))
+        read = spark.read.parquet(str(tmp_path / str(k)))
+        packed = corpus_pipeline.pack(spark, read, SF).collect()
+        assert Counter(r["doc_id"] for r in packed) == Counter(range(3000))
+        order = [r["doc_id"] for f in sorted((tmp_path / str(k)).glob("part-*")) for r in spark.read.parquet(str(f)).collect()]
+        at = {d: i for i, d in enumerate(order)}
+        first: dict = {}
+        for r in packed:
+            first[r["sequence_id"]] = min(first.get(r["sequence_id"], 10**9), at[r["doc_id"]])
+        assert sorted(first) == list(range(len(first))) and [first[s] for s in sorted(first)] == sorted(first.values())
+        got.append(sorted(map(tuple, packed)))
+    assert got[0] != got[1] and got[0] != got[2] and got[1] != got[2]
+
+
 def test_pipeline_stages_of_odd_rows(spark):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "das ist ein text und der ist gut", "de", "s", 5), (4, "das ist ein text und der ist gut", "de", None, 5),
             (5, "the text is good and that is it " * 3000, "en", "s", 9), (5, "the text is good and that is it " * 3000, "en", "s", 9)]
