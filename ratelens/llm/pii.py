@@ -2,7 +2,7 @@
 
 Entities are found by one pattern per kind. All spellings of an entity have one canonical form (the digits of a phone
 number, the lower-case address, the name without its title), and each canonical form gets one surrogate from a keyed hash:
-digits for digits, letters for letters of the same script, names of the same gender from name parts. A surrogate is refused
+digits for digits, letters for letters of the same script, names of the same gender and script from name parts. A surrogate is refused
 if another entity has it or if it is itself an entity of the corpus; refused entities try again with the next hash. So
 entities that differ stay different, and one entity has one surrogate in all documents. Each spelling is then rebuilt
 with its own format: separators, brackets and capitals stay where they were, card numbers keep a valid or invalid check digit.
@@ -17,9 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratelens.llm import given_names
 from ratelens.session import materialise
 
-# Name parts and titles. Given names by gender.
+# Name parts of surrogates, and titles. Given names by gender. What is found as a name is in given_names.
 FEMALE = ("Anna", "Clara", "Elena", "Emma", "Greta", "Ines", "Julia", "Laura", "Lucia", "Maria", "Marta", "Nora", "Olivia", "Paula", "Sarah", "Sofia")
 MALE = ("Adam", "Bruno", "Carlos", "David", "Felix", "Henry", "Hugo", "James", "John", "Lucas", "Martin", "Michael", "Oscar", "Paul", "Peter", "Thomas")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita")
@@ -28,8 +29,17 @@ OTHER_TITLES = ("Dr", "Prof", "Mx")
 SURNAME_STARTS = ("Al", "Bar", "Cor", "Dal", "Er", "Fal", "Gar", "Hol", "Kel", "Lan", "Mar", "Nor", "Or", "Pel", "Ros", "Sel", "Tal", "Ver", "Wal", "Zan")
 SURNAME_ENDS = ("bach", "berg", "dale", "dez", "feld", "ford", "gard", "hart", "ley", "man", "mont", "ner", "ric", "sen", "son", "stein", "ton", "vale", "well", "wick")
 
+#: Given names and surname parts of surrogates in other scripts.
+OTHER_SCRIPTS = {
+    "Cyrillic": (("Анна", "Елена", "Ирина", "Мария", "Нина", "Ольга", "София", "Юлия"), ("Андрей", "Борис", "Виктор", "Иван", "Максим", "Олег", "Павел", "Юрий"),
+                 ("Ал", "Бар", "Вер", "Гор", "Дал", "Зан", "Кор", "Лан", "Мар", "Нор", "Пел", "Рос", "Сел", "Тал", "Фал", "Хол"), ("берг", "вал", "енко", "зар", "кин", "лей", "монт", "нер", "рик", "сен", "тон", "ук")),
+    "Greek": (("Άννα", "Ειρήνη", "Ελένη", "Ιωάννα", "Μαρία", "Σοφία"), ("Ανδρέας", "Γιώργος", "Κώστας", "Νίκος", "Πέτρος", "Σπύρος"),
+              ("Αλ", "Βερ", "Γαρ", "Δαλ", "Ζαν", "Καλ", "Λαν", "Μαρ", "Νορ", "Παπ", "Ροδ", "Σελ", "Ταλ", "Φαλ"), ("άκης", "ίδης", "άτος", "έας", "ίνος", "όπουλος", "ώνης", "ούρης")),
+}
+
 _W = r"[\p{L}\p{N}]"
 _NAME = r"\p{Lu}[\p{Ll}'’-]+"
+_GIVEN = given_names.pattern((*given_names.of("f"), *given_names.of("m"), *FEMALE, *MALE))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "|".join((*FEMALE_TITLES, *MALE_TITLES, *OTHER_TITLES))
 
@@ -43,7 +53,7 @@ PATTERNS = (
     ("iban", rf"[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{3,7}}(?: [A-Z0-9]{{1,3}})?)(?!{_W})"),
     ("secret", rf"(?:AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{30,}}|sk-[A-Za-z0-9_-]{{20,}}|(?=[A-Fa-f]*\d)(?=\d*[A-Fa-f])(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}))(?!{_W})"),
     ("email", rf"(?<![._%+-]){_W}[\p{{L}}\p{{N}}._%+-]*+@(?:{_W}(?:[\p{{L}}\p{{N}}-]*{_W})?\.)+\p{{L}}{{2,}}(?!{_W})"),
-    ("name", rf"(?=[A-Z])(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{'|'.join((*FEMALE, *MALE))}) {_NAME})"),
+    ("name", rf"(?=\p{{Lu}})(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"),
 )
 _OF = dict(PATTERNS)
 
@@ -53,11 +63,11 @@ def _any(kinds: tuple[str, ...]) -> str:
 
 
 #: All patterns, behind one test that no word goes on and one look at the first character.
-ANY = (rf"(?<!{_W})(?:(?=[0-9+(]){_any(('ip', 'ssn', 'phone', 'card', 'secret'))}|(?=[A-Z]){_any(('iban', 'secret', 'name'))}"
+ANY = (rf"(?<!{_W})(?:(?=[0-9+(]){_any(('ip', 'ssn', 'phone', 'card', 'secret'))}|(?=[A-Z]){_any(('iban', 'secret'))}|(?=\p{{Lu}}){_any(('name',))}"
        rf"|(?=[a-gs]){_any(('secret',))}|{_any(('email',))})")
 #: A text that has none of these has no entity; a cheap test for the many texts without one.
 HINT = r"[0-9@]"
-HINT_NAME = rf"(?=[A-Z])(?<!{_W})(?:(?:{_TITLE})\.?|{'|'.join((*FEMALE, *MALE))}) \p{{Lu}}"
+HINT_NAME = rf"(?=\p{{Lu}})(?<!{_W})(?:(?:{_TITLE})\.?|{_GIVEN}) \p{{Lu}}"
 _DIGIT_KINDS = ("ssn", "phone", "card")
 #: Attempts before an entity is given up, which ends the job. The share of refusals falls with every one.
 ATTEMPTS = 24
@@ -91,7 +101,8 @@ def gender_of(entity: Column) -> Column:
     def first(words: tuple[str, ...]) -> Column:
         return entity.rlike(rf"^(?:{'|'.join(words)})\.? ")
 
-    return F.when(first(FEMALE_TITLES) | first(FEMALE), "f").when(first(MALE_TITLES) | first(MALE), "m").otherwise("n")
+    female, male = (first((*given_names.of(g), *own)) for g, own in (("f", FEMALE), ("m", MALE)))
+    return F.when(first(FEMALE_TITLES) | female, "f").when(first(MALE_TITLES) | male, "m").otherwise("n")
 
 
 def _byte(digest: Column, i: Column) -> Column:
@@ -132,7 +143,9 @@ def surrogate(kind: Column, canon: Column, gender: Column, key: str, attempt: in
     octets = F.array_join(F.transform(F.split(canon, r"\."), lambda c, i: (F.pmod(_byte(digest, i), F.lit(223)) + 1).cast("string")), ".")
     domain = F.split(F.substring_index(canon, "@", -1), r"\.")
     size = F.size(domain)
-    labels = F.transform(domain, lambda c, i: F.when(i == size - 1, c).when(i == size - 2, F.lit("example")).otherwise(
+    # The replaced label grows by two letters with every attempt, and the pool of addresses 676 times.
+    grown = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2 * attempt)), lambda i: F.char(F.lit(97) + F.pmod(_byte(digest, i + 45), F.lit(26)))), "") if attempt else F.lit("")
+    labels = F.transform(domain, lambda c, i: F.when(i == size - 1, c).when(i == size - 2, F.concat(F.lit("example"), grown)).otherwise(
         F.array_join(F.transform(F.split(c, ""), lambda ch, j: _same_class(ch, _byte(digest, j + 31))), "")))
     mail = F.concat(F.array_join(F.transform(F.split(F.substring_index(canon, "@", 1), ""), lambda c, i: _same_class(c, _byte(digest, i))), ""), F.lit("@"), F.array_join(labels, "."))
     # The last digit of a number is set so that the check of the original holds or fails again.
@@ -147,10 +160,15 @@ def surrogate(kind: Column, canon: Column, gender: Column, key: str, attempt: in
     def part(words: tuple[str, ...], at: int) -> Column:
         return F.get(F.array(*map(F.lit, words)), F.pmod(_byte(digest, F.lit(at)), F.lit(len(words))))
 
-    given = F.when(gender == "f", part(FEMALE, 1)).when(gender == "m", part(MALE, 1)).otherwise(part((*FEMALE, *MALE), 1))
-    middle = [F.lower(part(SURNAME_STARTS, 9 + 2 * i)) for i in range(1 + attempt // 4)]  # more syllables, more names
-    surname = F.concat(part(SURNAME_STARTS, 5), *middle, part(SURNAME_ENDS, 7))
-    name = F.when(canon.contains(" "), F.concat(given, F.lit(" "), surname)).otherwise(surname)
+    def person(female: tuple, male: tuple, starts: tuple, ends: tuple) -> Column:
+        given = F.when(gender == "f", part(female, 1)).when(gender == "m", part(male, 1)).otherwise(part((*female, *male), 1))
+        middle = [F.lower(part(starts, 9 + 2 * i)) for i in range(1 + attempt // 4)]  # more syllables, more names
+        surname = F.concat(part(starts, 5), *middle, part(ends, 7))
+        return F.when(canon.contains(" "), F.concat(given, F.lit(" "), surname)).otherwise(surname)
+
+    name = person(FEMALE, MALE, SURNAME_STARTS, SURNAME_ENDS)
+    for script, parts in OTHER_SCRIPTS.items():
+        name = F.when(canon.rlike(rf"^\p{{Is{script}}}"), person(*parts)).otherwise(name)
     return (
         F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "card", card).when(kind == "iban", iban)
         .when(kind == "secret", secret).when(kind == "name", F.lower(name)).otherwise(by_class)

@@ -224,6 +224,24 @@ def test_surrogates_are_distinct_when_values_are_few(spark):
     assert len({r["text"] for r in got}) == len(before) and not {r["text"] for r in got} & before
 
 
+def test_addresses_with_short_local_parts_all_get_surrogates(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"to {letters[i % 26]}{letters[i // 26 % 26]}@firm{i}.com now") for i in range(2000)]
+    got = pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()
+    new = {r["text"] for r in got}
+    assert len(new) == len(rows) and not new & {t for _, t in rows} and all(re.fullmatch(r"to [a-z]{2}@example[a-z]*\.com now", t) for t in new)
+
+
+def test_names_are_found_by_a_lexicon_apart_from_the_surrogates(spark):
+    texts = ["Then Robert Miller and Élise Dupont left.", "Потом Дмитрий Соколов ушёл.", "Ο Γιάννης Παππάς έφυγε.", "Robert went home. Then Berlin Station."]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), key="k").collect()}
+    assert [got[i]["entities"] for i in range(4)] == [2, 1, 1, 0] and got[3]["text"] == texts[3]
+    man, woman = re.fullmatch(r"Then (\w+) \w+ and (\w+) \w+ left\.", got[0]["text"]).groups()
+    assert man in pii.MALE and woman in pii.FEMALE and "Miller" not in got[0]["text"] and "Dupont" not in got[0]["text"]
+    assert re.fullmatch(r"Потом [А-Я][а-яё]+ [А-Я][а-яё]+ ушёл\.", got[1]["text"]) and "Соколов" not in got[1]["text"]
+    assert re.fullmatch(r"Ο [Ά-Ω][ά-ώ]+ [Α-Ω][ά-ώ]+ έφυγε\.", got[2]["text"]) and "Παππάς" not in got[2]["text"]
+
+
 def test_planted_data_is_gone_and_clean_text_is_not_touched(spark):
     docs = {r[0]: r[1] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()}
     planted = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\+\d+ \(\d+\) \d{3}-\d{4}|\b\d{16}\b|\b[0-9a-fA-F]{40}\b")
