@@ -16,6 +16,8 @@ returned each. Rows with a null id come back unlinked. Other columns are ignored
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,8 +28,10 @@ from ratelens.llm.components import components
 from ratelens.session import materialise
 
 WORDS = 5
-#: Minwise tokens of a sketch, and independent trees: a pair at similarity 0.8 shares a first branch with 1 - 0.2 ** 8.
+#: Minwise tokens of a sketch, and independent trees at least. Documents of nodes that descend get more (see trees_for).
 TOKENS, TREES = 128, 8
+#: Share of the pairs at the threshold that are to meet in a node that is compared.
+RECALL = 0.99
 #: Nodes of at most so many documents are compared exhaustively, in one task.
 SMALL = 256
 #: Levels that large nodes descend at a time by size alone, how often, and after they have met their centre. Documents that
@@ -40,6 +44,25 @@ _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19
 _A = (np.random.default_rng(11).integers(0, 2**63, TOKENS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
+def loss(threshold: float, level: int, trees: int) -> float:
+    """Share of the pairs at the threshold that part in all trees before `level` branches, by sketch spread and selection."""
+    k = np.arange(TOKENS + 1)
+    chance = np.array([math.comb(TOKENS, int(i)) for i in k], float) * threshold**k * (1 - threshold) ** (TOKENS - k)
+    two, together = 1 / threshold - 1, np.ones(TOKENS + 1)
+    for _ in range(level):
+        parted = 1 - k / TOKENS * together
+        together = 1 - ((1 - two) * parted + two * parted**2)
+    return float((chance * (1 - together) ** trees).sum())
+
+
+def trees_for(threshold: float, level: int, recall: float) -> int:
+    """Trees that nodes of a depth need for the recall."""
+    trees = 1
+    while loss(threshold, level, trees) > 1 - recall:
+        trees += 1
+    return trees
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -223,8 +246,11 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return both.filter(common * 100 >= union * percent).select("a", "b")
 
 
-def _descend(nodes: DataFrame, reps: DataFrame, level: int, threshold: float, small: int) -> tuple[DataFrame, int]:
-    """Nodes (id, node) of more than one member; those that are too large have branched a few times. Also the next level."""
+def _descend(nodes: DataFrame, reps: DataFrame, level: int, threshold: float, small: int, deep: list[DataFrame]) -> tuple[DataFrame, int]:
+    """Nodes (id, node) of more than one member; those that are too large have branched a few times. Also the next level.
+
+    Rows (id, depth) of the documents that branched are added to `deep`.
+    """
     done: list[DataFrame] = []
     for step in range(DESCENTS + 1):
         sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
@@ -236,6 +262,7 @@ def _descend(nodes: DataFrame, reps: DataFrame, level: int, threshold: float, sm
         done.append(held.filter(F.col("members") <= small).select("id", "node"))
         nodes = _branch(large.join(reps, "id").select("node", "id", "sketch"), level, threshold, LEVELS).select("id", "node")
         level += LEVELS
+        deep.append(large.select("id", F.lit(level).alias("depth")))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -252,20 +279,13 @@ def _joined(comp: DataFrame | None, merged: DataFrame) -> DataFrame:
     return materialise(kept.unionByName(alone), "components")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES, small: int = SMALL) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept (doc_id = component_id) for every row."""
-    threshold = percent / 100
-    signed = materialise(signatures(docs), "signatures")
-    filled = signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = materialise(filled.groupBy("x", "y").agg(F.min("doc_id").alias("id")), "set-classes")
-    reps = filled.join(classes, ["x", "y"]).filter(F.col("doc_id") == F.col("id"))
-    reps = materialise(reps.select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id"]), "set-sketches")
-
-    roots = [F.lit(t).cast("long") for t in range(trees)]
+def _grow(reps: DataFrame, docs: DataFrame, low: int, high: int, comp: DataFrame | None, percent: int, small: int) -> tuple[DataFrame | None, list[DataFrame]]:
+    """Components after trees low to high - 1 of some documents, and rows (id, depth) of those in nodes that descended."""
+    threshold, deep = percent / 100, []
+    roots = [F.lit(t).cast("long") for t in range(low, high)]
     first = F.flatten(F.array(*[F.transform(_chosen(r, 0, threshold), lambda i, r=r: F.xxhash64(r, i, F.get("sketch", i))) for r in roots]))
-    nodes, level = _descend(reps.select("id", F.explode(first).alias("node")), reps, 1, threshold, small)
+    nodes, level = _descend(reps.select("id", F.explode(first).alias("node")), reps, 1, threshold, small, deep)
     nodes = nodes.withColumn("seen", F.lit(False))
-    comp: DataFrame | None = None
     while True:
         # Members of nodes that hold more than one component.
         rows = nodes.withColumn("comp", F.col("id")) if comp is None else nodes.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
@@ -288,7 +308,40 @@ def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES, smal
         if more:
             nodes = nodes.unionByName(_branch(many.select("node", "id", "sketch"), level, threshold, MORE_LEVELS).select("id", "node", F.lit(False).alias("seen")))
             level += MORE_LEVELS
+            deep.append(many.select("id", F.lit(level).alias("depth")))
         nodes = materialise(nodes, "nodes")
+    return comp, deep
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES, small: int = SMALL, recall: float = RECALL) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept (doc_id = component_id) for every row.
+
+    Further trees are run on the documents of nodes that descended, until pairs at the threshold meet with `recall` at the depth
+    that was reached.
+    """
+    if not 0 < recall < 1:
+        raise ValueError("recall must be between 0 and 1")
+    threshold = percent / 100
+    signed = materialise(signatures(docs), "signatures")
+    filled = signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    classes = materialise(filled.groupBy("x", "y").agg(F.min("doc_id").alias("id")), "set-classes")
+    reps = filled.join(classes, ["x", "y"]).filter(F.col("doc_id") == F.col("id"))
+    reps = materialise(reps.select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id"]), "set-sketches")
+    comp, reached, some = None, None, reps
+    done, want = 0, max(trees, trees_for(threshold, 1, recall))
+    while want > done:
+        comp, deep = _grow(some, docs, done, want, comp, percent, small)
+        done = want
+        for d in deep:
+            reached = d if reached is None else reached.unionByName(d)
+        if reached is None:
+            break
+        reached = materialise(reached.groupBy("id").agg(F.max("depth").alias("depth")), "depths")
+        top = reached.agg(F.max("depth")).first()[0] or 1
+        want = trees_for(threshold, top, recall)
+        if want > done:
+            least = next(k for k in range(1, top + 1) if trees_for(threshold, k, recall) > done)
+            some = materialise(reps.join(reached.filter(F.col("depth") >= least).select("id"), "id", "left_semi"), "deep-sketches")
     out = signed.join(classes.withColumnRenamed("id", "rep"), ["x", "y"], "left")
     if comp is not None:
         out = out.join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left")

@@ -81,6 +81,21 @@ def test_large_nodes_branch_and_lose_no_component(spark):
     assert Counter((r["doc_id"], r["component_id"]) for r in chosen_path.near_duplicates(odd).collect()) == Counter([(None, None), (3, 3), (3, 3), (5, 3)])
 
 
+def test_threshold_pairs_in_a_hot_passage_group_are_found(spark):
+    rng = random.Random(3)
+    hot, docs = [f"h{k}" for k in range(60)], []
+    for pair in range(250):
+        own = [f"p{pair}w{k}" for k in range(60)]
+        docs += [" ".join(hot + own), " ".join(hot + own[:20] + [f"q{pair}w{k}" for k in range(8)] + own[28:])]
+    order = list(range(len(docs)))
+    rng.shuffle(order)
+    df = spark.createDataFrame([(i, docs[k]) for i, k in enumerate(order)], "doc_id long, text string")
+    comp = {order[r["doc_id"]]: r["component_id"] for r in chosen_path.near_duplicates(df, percent=80, small=8).collect()}
+    found = sum(comp[2 * p] == comp[2 * p + 1] for p in range(250))
+    assert found >= 0.98 * 250 and chosen_path.trees_for(0.8, 15, 0.99) > chosen_path.TREES
+    assert all(chosen_path.loss(0.8, k, chosen_path.trees_for(0.8, k, 0.99)) <= 0.01 for k in (1, 7, 15))
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     got = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
