@@ -159,7 +159,7 @@ def search(vectors: DataFrame, key: str, vec: str, is_query: Column, k: int = 20
     plan = spark.createDataFrame([(c, f, p) for c, (f, p) in enumerate(zip(firsts, parts))], "c int, first int, parts int")
     placed = index.join(F.broadcast(plan), F.col("cell") == F.col("c"))  # one row for each pair of centroids
     corpus = placed.select("id", "v", "cell", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("block"))
-    wanted = share * int(counts.sum())
+    wanted = max(share * int(counts.sum()), k + 1)  # the query's own vector is one of them
     block_of = [np.arange(f, f + p) for f, p in zip(firsts, parts)]
 
     def walk(batches):

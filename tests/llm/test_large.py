@@ -179,6 +179,14 @@ def test_nearest_vectors_are_found(spark):
     assert found / total >= 0.9, found / total
 
 
+@pytest.mark.parametrize("n", [5, 25])
+def test_small_tables_are_searched_whole(spark, n):
+    vectors = np.random.default_rng(n).normal(size=(n, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = multi_index.search(df, "vec_id", "embedding", F.col("vec_id") >= 0, k=20).collect()
+    assert len(got) == n * min(20, n - 1)
+
+
 def test_neighbours_of_odd_vectors(spark):
     same = [1.0, 2.0, 3.0]
     rows = [(i, same, 1) for i in range(60)] + [(100, None, 1), (101, [0.0, 0.0, 0.0], 1), (102, [1.0, None, 2.0], 1), (103, [1.0, float("nan"), 2.0], 1),
