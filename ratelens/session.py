@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Temporary folders of local sessions, by application: the setting itself cannot be changed in a running session.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def get_session(app: str = "ratelens", master: str | None = None, partitions: int | None = None) -> SparkSession:
     """Session with the settings the plans assume (AQE on, UTC, skew-join splitting on)."""
@@ -31,9 +34,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="ratelens-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="ratelens-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
