@@ -14,15 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dictionary_lookup(entries: dict[str, float]) -> Callable[[Column], Column]:
-    """Return token -> value (double, null when absent) for a dictionary."""
+def _lookup(entries: dict, kind: str) -> Callable[[Column], Column]:
     n = 1
     while n * 4 < len(entries):
         n *= 2
-    buckets: list[dict[str, float]] = [{} for _ in range(n)]
+    buckets: list[dict] = [{} for _ in range(n)]
     for term, value in entries.items():
-        buckets[zlib.crc32(term.encode("utf-8")) % n][term] = float(value)
-    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
+        buckets[zlib.crc32(term.encode("utf-8")) % n][term] = value
+    table = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{kind}>>")
 
     def find(token: Column) -> Column:
         slot = F.pmod(F.crc32(token), F.lit(n)).cast("int")
@@ -31,6 +30,16 @@ def dictionary_lookup(entries: dict[str, float]) -> Callable[[Column], Column]:
     return find
 
 
+def dictionary_lookup(entries: dict[str, float]) -> Callable[[Column], Column]:
+    """Return token -> value (double, null when absent) for a dictionary."""
+    return _lookup({term: float(value) for term, value in entries.items()}, "double")
+
+
+def text_lookup(entries: dict[str, str]) -> Callable[[Column], Column]:
+    """Return token -> text (null when absent) for a dictionary."""
+    return _lookup(entries, "string")
+
+
 def dictionary_from(df: DataFrame, term: str, value: str) -> dict[str, float]:
     """Read a lexicon table into a dictionary. A lexicon is a user's input that does not grow with the reviews."""
     return {r[0]: float(r[1]) for r in df.select(term, value).collect()}

@@ -28,7 +28,13 @@ LEXICON = {
 BOOSTERS = {"and": 0.293, "of": 0.293, "un": 0.293, "by": -0.293, "le": -0.293}
 NEGATORS = frozenset(("on", "la", "von", "is"))
 CONTRAST = "for"
-RULES = Rules(LEXICON, BOOSTERS, NEGATORS, CONTRAST)
+# Phrases of the test corpus that stand for idioms and the other phrase rules.
+IDIOMS = {"die der": 1.5, "de que": -2.0, "la des": 2.0, "und der und": -1.4, "rewh rewh rewh": 2.8, "der in": 0.4}
+PHRASE_BOOSTERS = {"und und": -0.293, "der der": 0.293, "the nd": -0.293}
+RULES = Rules(
+    LEXICON, BOOSTERS, NEGATORS, CONTRAST, IDIOMS, PHRASE_BOOSTERS, refusal="que", refusal_joined=("la", "der"), stress="to", stress_with=("the", "de"),
+    certain=("la", "a"), least="en", least_after=("de", "to"), hedge=("die", "in"),
+)
 
 # Word classes of the test corpus.
 WORD_CLASS = {
@@ -214,29 +220,51 @@ view("rword", f"""SELECT doc_id, pos, w, lower(w) AS low, (upper(w) = w AND lowe
   SELECT doc_id, pos, CASE WHEN length(core) <= 2 THEN w0 ELSE core END AS w
   FROM (SELECT *, regexp_replace(w0, '^[{_P}]+|[{_P}]+$', '', 'g') AS core FROM rtok))""", "rtok")
 view("rctx", """SELECT *, lag(low, 1) OVER p AS l1, lag(low, 2) OVER p AS l2, lag(low, 3) OVER p AS l3,
-  lag(up, 1) OVER p AS u1, lag(up, 2) OVER p AS u2, lag(up, 3) OVER p AS u3,
+  lead(low, 1) OVER p AS f1, lead(low, 2) OVER p AS f2, lag(up, 1) OVER p AS u1, lag(up, 2) OVER p AS u2, lag(up, 3) OVER p AS u3,
   (count(*) FILTER (WHERE up) OVER d > 0 AND count(*) FILTER (WHERE up) OVER d < count(*) OVER d) AS mixed,
   min(pos) FILTER (WHERE low = '""" + CONTRAST + """') OVER d AS cut
   FROM rword WINDOW p AS (PARTITION BY doc_id ORDER BY pos), d AS (PARTITION BY doc_id)""", "rword")
-view("rhit", """SELECT c.*, valence + CASE WHEN mixed AND up THEN CASE WHEN valence > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE 0.0::DOUBLE END AS v0
-  FROM rctx c JOIN lex ON lex.term = c.low WHERE c.low NOT IN (SELECT term FROM boosters)""", "rctx", "lex", "boosters")
+def _any(column: str, words: tuple[str, ...]) -> str:
+    return f"coalesce({column} IN ({', '.join(map(quote, words))}), false)"
+
+
+view("idioms", values(IDIOMS, "phrase, valence"))
+view("phraseboosts", values(PHRASE_BOOSTERS, "phrase, weight"))
+_NO = quote(RULES.refusal)
+view("rhit", f"""SELECT * EXCLUDE raw, raw + CASE WHEN mixed AND up THEN CASE WHEN raw > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE 0.0::DOUBLE END AS v0 FROM (
+  SELECT c.*, CASE WHEN l1 = {_NO} OR l2 = {_NO} OR (l3 = {_NO} AND {_any('l1', RULES.refusal_joined)}) THEN valence * -0.74::DOUBLE
+    WHEN low = {_NO} AND f1 IN (SELECT term FROM lex) THEN 0.0::DOUBLE ELSE valence END AS raw
+  FROM rctx c JOIN lex ON lex.term = c.low WHERE c.low NOT IN (SELECT term FROM boosters))""", "rctx", "lex", "boosters")
 
 
 def _step(k: int) -> str:
     damp = {1: "1.0", 2: "0.95", 3: "0.9"}[k]
     v, l, u = f"v{k - 1}", f"l{k}", f"u{k}"
+    near, without, doubt = _any("l1", RULES.stress_with), *map(quote, RULES.certain)
+    stressed = {1: "false", 2: f"l2 = {quote(RULES.stress)} AND {near}", 3: f"(l3 = {quote(RULES.stress)} AND {_any('l2', RULES.stress_with)}) OR {near}"}[k]
+    certain = {1: "false", 2: f"l2 = {without} AND l1 = {doubt}", 3: f"l3 = {without} AND (l2 = {doubt} OR l1 = {doubt})"}[k]
     return f"""SELECT h.*, CASE WHEN {l} IS NULL OR {l} IN (SELECT term FROM lex) THEN {v} ELSE
-    ({v} + CASE WHEN b.weight IS NULL THEN 0.0::DOUBLE ELSE (CASE WHEN {v} < 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END)
-      * (b.weight + CASE WHEN mixed AND {u} THEN 0.733::DOUBLE ELSE 0.0::DOUBLE END) * {damp}::DOUBLE END)
-    * CASE WHEN {l} IN (SELECT term FROM negators) OR contains({l}, 'n''t') THEN -0.74::DOUBLE ELSE 1.0::DOUBLE END END AS v{k}
+    ({v} + CASE WHEN b.weight IS NULL THEN 0.0::DOUBLE ELSE (CASE WHEN {v} < 0 THEN -b.weight ELSE b.weight END
+      + CASE WHEN mixed AND {u} THEN CASE WHEN {v} > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE 0.0::DOUBLE END) * {damp}::DOUBLE END)
+    * CASE WHEN {stressed} THEN 1.25::DOUBLE WHEN {certain} THEN 1.0::DOUBLE
+      WHEN {l} IN (SELECT term FROM negators) OR contains({l}, 'n''t') THEN -0.74::DOUBLE ELSE 1.0::DOUBLE END END AS v{k}
   FROM rhit{k - 1 if k > 1 else ''} h LEFT JOIN boosters b ON b.term = {l}"""
 
 
+def _one(table: str, column: str, *parts: str) -> str:
+    return f"(SELECT {column} FROM {table} WHERE phrase = " + " || ' ' || ".join(parts) + ")"
+
+
+_IDIOM = ", ".join(_one("idioms", "valence", *p.split()) for p in ("low f1 f2", "low f1", "l1 low", "l2 l1 low", "l2 l1", "l3 l2 l1", "l3 l2"))
+_MORE = " + ".join(f"coalesce({_one('phraseboosts', 'weight', *p.split())}, 0.0::DOUBLE)" for p in ("l3 l2 l1", "l3 l2", "l2 l1"))
 view("rhit1", _step(1), "rhit", "negators")
 view("rhit2", _step(2), "rhit1")
 view("rhit3", _step(3), "rhit2")
-view("rsum", """SELECT doc_id, sum(CASE WHEN cut IS NULL OR pos = cut THEN v3 WHEN pos < cut THEN v3 * 0.5::DOUBLE ELSE v3 * 1.5::DOUBLE END) AS s
-  FROM rhit3 GROUP BY doc_id""", "rhit3")
+view("rhit4", f"SELECT *, CASE WHEN l3 IS NULL OR l3 IN (SELECT term FROM lex) THEN v3 ELSE coalesce({_IDIOM}, v3) + {_MORE} END AS v4 FROM rhit3", "rhit3", "idioms", "phraseboosts")
+view("rhit5", f"""SELECT *, CASE WHEN low = {quote(RULES.hedge[0])} AND f1 = {quote(RULES.hedge[1])} THEN 0.0::DOUBLE
+    WHEN l1 = {quote(RULES.least)} AND l1 NOT IN (SELECT term FROM lex) AND NOT {_any('l2', RULES.least_after)} THEN v4 * -0.74::DOUBLE ELSE v4 END AS v5 FROM rhit4""", "rhit4")
+view("rsum", """SELECT doc_id, sum(CASE WHEN cut IS NULL OR pos = cut THEN v5 WHEN pos < cut THEN v5 * 0.5::DOUBLE ELSE v5 * 1.5::DOUBLE END) AS s
+  FROM rhit5 GROUP BY doc_id""", "rhit5")
 view("rtotal", """SELECT r.*, coalesce(s, 0.0::DOUBLE) + sign(coalesce(s, 0.0::DOUBLE)) * (
     least(length(text) - length(replace(text, '!', '')), 4) * 0.292::DOUBLE
     + CASE WHEN q <= 1 THEN 0.0::DOUBLE WHEN q <= 3 THEN q * 0.18::DOUBLE ELSE 0.96::DOUBLE END) AS t

@@ -96,40 +96,100 @@ def test_plain_compound_edge_cases(spark):
     assert got == [0.0, 0.0, round(3 / math.sqrt(24), 4), 0.0, 0.0]
 
 
+def read_emoji(body, emoji):
+    out, space = "", True
+    for c in body or "":
+        if c in emoji:
+            out += ("" if space else " ") + emoji[c]
+            space = False
+        else:
+            out += c
+            space = c == " "
+    return out
+
+
 def brute_force(body, rules):
     """The published rules, word by word."""
+    body = read_emoji(body, rules.emoji)
     punct = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-    ws = [w if len(w.strip(punct)) <= 2 else w.strip(punct) for w in (body or "").split()]
+    ws = [w if len(w.strip(punct)) <= 2 else w.strip(punct) for w in body.split()]
     low = [w.lower() for w in ws]
     caps = [w.isupper() for w in ws]
     mixed = any(caps) and not all(caps)
     total = 0.0
     cut = low.index(rules.contrast) if rules.contrast in low else None
+    back = lambda i, k: low[i - k] if i - k >= 0 else None
     for i, w in enumerate(low):
-        if w in rules.boosters or w not in rules.lexicon:
+        if w in rules.boosters or w not in rules.lexicon or tuple(low[i : i + 2]) == rules.hedge:
             continue
         v = rules.lexicon[w]
+        if w == rules.refusal and i + 1 < len(low) and low[i + 1] in rules.lexicon:
+            v = 0.0
+        if rules.refusal in (back(i, 1), back(i, 2)) or (back(i, 3) == rules.refusal and back(i, 1) in rules.refusal_joined):
+            v = rules.lexicon[w] * -0.74
         if mixed and caps[i]:
             v += 0.733 if v > 0 else -0.733
         for k, damp in ((1, 1.0), (2, 0.95), (3, 0.9)):
-            if i - k < 0 or low[i - k] in rules.lexicon:
+            p = back(i, k)
+            if p is None or p in rules.lexicon:
                 continue
-            p = low[i - k]
             if p in rules.boosters:
-                s = rules.boosters[p] + (0.733 if mixed and caps[i - k] else 0.0)
-                v += (-s if v < 0 else s) * damp
-            if p in rules.negators or "n't" in p:
-                v *= -0.74
+                s = rules.boosters[p] * (-1 if v < 0 else 1)
+                if mixed and caps[i - k]:
+                    s += 0.733 if v > 0 else -0.733
+                v += s * damp
+            negated = p in rules.negators or "n't" in p
+            without, doubt = rules.certain
+            if k == 1:
+                v *= -0.74 if negated else 1
+            elif k == 2:
+                if p == rules.stress and back(i, 1) in rules.stress_with:
+                    v *= 1.25
+                elif (p, back(i, 1)) != (without, doubt) and negated:
+                    v *= -0.74
+            else:
+                if (p == rules.stress and back(i, 2) in rules.stress_with) or back(i, 1) in rules.stress_with:
+                    v *= 1.25
+                elif not (p == without and doubt in (back(i, 1), back(i, 2))) and negated:
+                    v *= -0.74
+                found = [" ".join(low[i - a : i + b]) for a, b in ((1, 1), (2, 1), (2, 0), (3, 0), (3, -1))]
+                for f in found:
+                    if f in rules.idioms:
+                        v = rules.idioms[f]
+                        break
+                for ahead in (2, 3):
+                    if i + ahead <= len(low):
+                        v = rules.idioms.get(" ".join(low[i : i + ahead]), v)
+                for f in (found[3], found[4], found[2]):
+                    v += rules.phrase_boosters.get(f, 0)
+        if back(i, 1) == rules.least and rules.least not in rules.lexicon and (i < 2 or low[i - 2] not in rules.least_after):
+            v *= -0.74
         if cut is not None and i != cut:
             v *= 0.5 if i < cut else 1.5
         total += v
-    body = body or ""
     q = body.count("?")
     push = min(body.count("!"), 4) * 0.292 + (0 if q <= 1 else q * 0.18 if q <= 3 else 0.96)
     total += push if total > 0 else -push if total < 0 else 0
     return round(max(-1, min(1, total / math.sqrt(total * total + 15))), 4)
 
 
+def test_phrases_equal_brute_force(spark):
+    """Idioms, refusals, stress, certainty, least, hedges and emoji in every mixture of a small vocabulary."""
+    lexicon = {"good": 1.9, "bad": -2.5, "no": -1.2, "ass": -2.5, "heart": 3.2, "kind": 2.4, "death": -2.9, "doubt": -1.5, "die": -2.9, "like": 1.5}
+    emoji = {"\U0001f600": "grinning face good", "\U0001f494": "broken heart", "\u2764": "red heart"}
+    rng = random.Random(9)
+    pool = [*lexicon, "never", "so", "this", "without", "or", "nor", "least", "at", "very", "of", "sort", "just", "enough", "the", "bomb", "to", "for",
+            "NO", "Never", "SO", "broken", "beating", "bus", "stop", "yeah", "right", "kiss", "isn't", "but", "\U0001f600", "a\U0001f494", "\u2764\u2764!", "x", "(bad)", "ass!!"]
+    texts = ["no good", "no good or bad", "never so good", "it is never this bad thing", "without a doubt good", "without doubt good", "least good", "at least good",
+             "the least bad", "that is the shit man", "one of the kind of good", "x y z kiss of death", "a good heart to die for", "so good", "it was so good", "\U0001f600", " \U0001f494 ", "a\U0001f600\U0001f600b", "no", "NO way good"]
+    texts += [" ".join(rng.choice(pool) for _ in range(rng.randint(1, 14))) for _ in range(1200)]
+    for extra in ({}, {"doubt": 0.0}):
+        rules = Rules({k: v for k, v in lexicon.items() if k not in extra}, emoji=emoji)
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+        got = {r["i"]: r["s"] for r in rule_compound(df, "t", rules, "s").select("i", "s").collect()}
+        assert [t for i, t in enumerate(texts) if abs(got[i] - brute_force(t, rules)) > 1e-9] == []
+
+
 def test_rule_compound_equals_brute_force(spark):
     rules = Rules({"good": 1.9, "great": 3.1, "bad": -2.5, "awful": -2.0, "fine": 0.8})
     rng = random.Random(5)
