@@ -1,25 +1,41 @@
-"""Exact k nearest neighbours by cosine as a partitioned block join.
+"""k nearest neighbours by cosine: exact as a partitioned block join, and approximate by neighbour descent.
 
-Vectors are grouped around pivots; the k-th distance found inside a vector's own block bounds its
+Exact: vectors are grouped around pivots; the k-th distance found inside a vector's own block bounds its
 search, and the triangle inequality rules out whole cells (after Lu et al. 2012). Blocks are bounded in
 size, hot cells are split, queries are salted, and every block comparison is one matrix product that
-keeps only the k best per query: pairs are never rows.
+keeps only the k best per query: pairs are never rows. Its work grows faster than the table.
+
+Descent (after Dong, Moses & Li 2011): a first graph comes from leaves of random hyperplane trees. Then, round by round,
+the neighbours of a vector and the vectors it is a neighbour of are compared with each other, if one of the two is new
+on the list, and whoever finds a better neighbour keeps it. A vector's lists have a fixed width, so the work for a row does
+not depend on the number of rows. Which share of the true neighbours is found depends on the data: `recall` measures it
+against the exact products of some of the rows.
 """
 
 from __future__ import annotations
 
 import math
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelens.operators.sampling import hash_sample
+from ratelens.session import materialise
 
 MAX_PIVOTS = 256
 
 
+def has_direction(v: Column) -> Column:
+    """Whether a vector has a cosine: it is there, all its components are finite numbers, and one is not zero."""
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(~bad & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
 def _unit_rows(vectors) -> np.ndarray:
     m = np.stack([np.asarray(v, dtype="float64") for v in vectors])
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
@@ -42,9 +58,9 @@ def _closest(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, limit: np.ndar
 def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 15, block_rows: int = 4096, pivots: int | None = None) -> DataFrame:
     """The k most similar other vectors of every vector, ranked; ties by neighbour id.
 
-    Vectors without a direction (null, all zero) have no cosine and take no part.
+    Vectors without a direction (null, all zero, or with a component that is null or not finite) take no part.
     """
-    base = df.select(F.col(key).cast("long").alias("id"), F.col(vec).alias("v")).filter(F.exists("v", lambda x: x != 0))
+    base = df.select(F.col(key).cast("long").alias("id"), F.col(vec).alias("v")).filter(has_direction(F.col("v")))
     n = base.count()
     n_pivots = max(1, min(MAX_PIVOTS, pivots or math.ceil(n / block_rows)))
     centre = _unit_rows([r["v"] for r in hash_sample(base, "id", n_pivots).collect()])  # at most MAX_PIVOTS vectors
@@ -55,7 +71,7 @@ def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 15, block_rows: int =
             d = np.sqrt(np.maximum(2.0 - 2.0 * (u @ centre.T), 0.0))
             yield pd.DataFrame({"id": pdf["id"], "u": list(u), "d": list(d), "cell": d.argmin(axis=1)})
 
-    placed = base.mapInPandas(place, "id long, u array<double>, d array<double>, cell int")
+    placed = materialise(base.mapInPandas(place, "id long, u array<double>, d array<double>, cell int"), "placed-vectors")
     stats = placed.groupBy("cell").agg(F.count("*").alias("c"), F.max(F.array_min("d")).alias("radius"))
     stats = stats.withColumn("chunks", F.ceil(F.col("c") / F.lit(block_rows)).cast("int"))
     blocks = placed.join(F.broadcast(stats.select("cell", "chunks")), "cell").withColumn(  # at most MAX_PIVOTS rows
@@ -98,3 +114,179 @@ def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 15, block_rows: int =
     rest = sent.groupBy(*keys).cogroup(corpus.groupBy(*keys)).applyInPandas(compare, "id long, neighbour long, similarity double")
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour"))
     return first.unionByName(rest).withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+#: Vectors of a leaf of the first trees, trees, rounds at most, and the share of new entries below which the lists have settled.
+LEAF, TREES, ROUNDS, SETTLED = 256, 4, 12, 0.001
+#: Better neighbours that one list proposes to each of its members in a round, the best ones. A vector is in many lists.
+OFFERS = 8
+
+
+def _rows_of(batch, name: str) -> np.ndarray:
+    col = batch.column(name)
+    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    return np.asarray(col.flatten()).reshape(len(col), -1)
+
+
+def _leaf_neighbours(rows: pa.Table, width: int) -> pa.Table:
+    """The best neighbours of every vector of a leaf within it."""
+    ids, u = rows.column("id").to_numpy(), _rows_of(rows, "u")
+    sim = u @ u.T
+    np.fill_diagonal(sim, -np.inf)
+    sim[ids[:, None] == ids[None, :]] = -np.inf
+    take = min(width, len(ids) - 1)
+    at = np.argpartition(-sim, take - 1, axis=1)[:, :take] if take else np.zeros((len(ids), 0), np.int64)
+    found = np.take_along_axis(sim, at, axis=1)
+    keep = np.isfinite(found).ravel()
+    return pa.table({"id": np.repeat(ids, take)[keep], "neighbour": ids[at].ravel()[keep], "similarity": found.ravel()[keep].astype(np.float32)})
+
+
+def _first_graph(base: DataFrame, n: int, dims: int, width: int, trees: int, leaf: int, seed: int) -> DataFrame:
+    """Neighbours within the leaves of random hyperplane trees. A crowded leaf is dealt over several by a hash of the id."""
+    depth = max(0, math.ceil(math.log2(max(1, n / leaf))))
+    planes = np.random.default_rng(seed).standard_normal((trees, depth, dims)).astype(np.float32)
+
+    def place(batches):
+        for b in batches:
+            u = _rows_of(b, "u") if b.num_rows else np.zeros((0, dims), np.float32)
+            for t in range(trees):
+                code = ((u @ planes[t].T > 0) << np.arange(depth, dtype=np.int64)).sum(1) if depth else np.zeros(len(u), np.int64)
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("u"), pa.array(np.full(len(u), t), pa.int32()), pa.array(code, pa.int64())], ["id", "u", "tree", "code"])
+
+    placed = base.mapInArrow(place, "id long, u array<float>, tree int, code long")
+    parts = placed.groupBy("tree", "code").agg(F.ceil(F.count(F.lit(1)) / leaf).cast("int").alias("parts"))
+    dealt = placed.join(parts, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
+    found = dealt.groupBy("tree", "code", "part").applyInArrow(lambda rows: _leaf_neighbours(rows.select(["id", "u"]), width), "id long, neighbour long, similarity float")
+    return _nearest_of(found.withColumn("old", F.lit(0)), width)
+
+
+def _nearest_of(edges: DataFrame, width: int) -> DataFrame:
+    """The best entries of every list; an entry that was there before is not new."""
+    one = edges.groupBy("id", "neighbour").agg(F.max("similarity").alias("similarity"), F.max("old").alias("old"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour"))
+    return one.withColumn("rank", rank).filter(F.col("rank") <= width)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches of sorted rows, cut so that the rows of a key are never in two of them."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if held is not None and held.num_rows:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0] if batch.num_rows else held
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        last = int(np.searchsorted(keys, keys[-1], "left"))
+        if last:
+            yield batch.slice(0, last)
+        held = batch.slice(last)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _local_joins(members: DataFrame, dims: int) -> DataFrame:
+    """Better neighbours (id, neighbour, similarity) found by comparing the members of every list with each other.
+
+    members: rows (list, id, old, worst, u); worst is the similarity that a new neighbour of id has to pass.
+    """
+
+    def run(batches):
+        for batch in _whole_groups(batches, "list"):
+            at = batch.column("list").to_numpy()
+            starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            sizes = np.diff(np.append(starts, len(at)))
+            ids, old, worst, u = (batch.column("id").to_numpy(), batch.column("old").to_numpy(), batch.column("worst").to_numpy(), _rows_of(batch, "u"))
+            for size in np.unique(sizes):  # lists of one size are one stack of matrix products
+                where = starts[sizes == size]
+                for low in range(0, len(where), max(1, 1_000_000 // int(size * size))):
+                    rows = where[low : low + max(1, 1_000_000 // int(size * size))][:, None] + np.arange(size)
+                    x = u[rows]
+                    sim = x @ x.transpose(0, 2, 1)
+                    fresh = (old[rows][:, :, None] == 0) | (old[rows][:, None, :] == 0)
+                    better = fresh & (sim > worst[rows][:, :, None]) & (ids[rows][:, :, None] != ids[rows][:, None, :])
+                    sim[~better] = -np.inf
+                    take = min(OFFERS, size)
+                    best = np.argpartition(-sim, take - 1, axis=2)[:, :, :take]
+                    offered = np.take_along_axis(sim, best, axis=2)
+                    g, i, j = np.nonzero(np.isfinite(offered))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(ids[rows][g, i]), pa.array(ids[rows][g, best[g, i, j]]), pa.array(offered[g, i, j].astype(np.float32)),
+                    ], ["id", "neighbour", "similarity"])
+
+    ordered = members.select("list", "id", "old", "worst", "u").repartition("list").sortWithinPartitions("list")
+    return ordered.mapInArrow(run, "id long, neighbour long, similarity float")
+
+
+def _members(graph: DataFrame, width: int) -> DataFrame:
+    """Rows (list, id, old) of every vector's list: itself, its neighbours, and the nearest of those whose neighbour it is."""
+    back = graph.select(F.col("neighbour").alias("list"), "id", "similarity", "old")
+    rank = F.row_number().over(Window.partitionBy("list").orderBy(F.desc("similarity"), "id"))
+    back = back.withColumn("_r", rank).filter(F.col("_r") <= width)
+    both = graph.select(F.col("id").alias("list"), F.col("neighbour").alias("id"), "old").unionByName(back.select("list", "id", "old"))
+    own = graph.select(F.col("id").alias("list"), "id", F.lit(1).alias("old")).distinct()
+    return both.unionByName(own).groupBy("list", "id").agg(F.min("old").alias("old"))
+
+
+def knn_descent(
+    df: DataFrame, key: str, vec: str, k: int = 15, width: int | None = None, trees: int = TREES, leaf: int = LEAF, rounds: int = ROUNDS,
+    settled: float = SETTLED, seed: int = 0,
+) -> DataFrame:
+    """k similar other vectors of every vector: id, neighbour, similarity (single precision), rank; ties by neighbour id.
+
+    `width` is the length of the lists that are worked on (three times k by default): longer ones find more. Vectors without a
+    direction take no part; rows that repeat an id count once.
+    """
+    width = max(k, width or 3 * k)
+    plain = df.select(F.col(key).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter(F.col("id").isNotNull() & has_direction(F.col("v")))
+    first = plain.select(F.size("v")).first()
+    if first is None:
+        return df.sparkSession.createDataFrame([], "id long, neighbour long, similarity float, rank int")
+    dims = first[0]
+
+    def scale(batches):
+        for b in batches:
+            u = _rows_of(b, "v") if b.num_rows else np.zeros((0, dims))
+            u = (u / np.sqrt((u * u).sum(axis=1, keepdims=True))).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.FixedSizeListArray.from_arrays(pa.array(u.ravel()), dims).cast(pa.list_(pa.float32()))], ["id", "u"])
+
+    one = plain.filter(F.size("v") == dims).groupBy("id").agg(F.min("v").alias("v"))
+    base = materialise(one.mapInArrow(scale, "id long, u array<float>"), "unit-vectors")
+    n = base.count()
+    graph = materialise(_first_graph(base, n, dims, width, trees, leaf, seed), "descent-graph")
+    for _ in range(rounds):
+        worst = graph.groupBy("id").agg(F.when(F.count(F.lit(1)) >= width, F.min("similarity")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
+        members = _members(graph, width).join(worst, "id", "left").join(base, "id").withColumn("worst", F.coalesce("worst", F.lit(-2.0).cast("float")))
+        found = _local_joins(members, dims).withColumn("old", F.lit(0))
+        kept = graph.select("id", "neighbour", "similarity", F.lit(1).alias("old"))
+        graph = materialise(_nearest_of(kept.unionByName(found), width), "descent-graph")
+        new = graph.agg(F.sum(1 - F.col("old"))).first()[0] or 0
+        if new <= settled * n * width:
+            break
+    return graph.filter(F.col("rank") <= k).select("id", "neighbour", "similarity", "rank")
+
+
+def recall(found: DataFrame, df: DataFrame, key: str, vec: str, asked: Column, k: int = 15) -> DataFrame:
+    """One row (queries, recall): the share of the k nearest vectors of the rows marked by `asked` that `found` has for them.
+
+    The truth comes from products with all rows, in blocks, for a stated set of queries; a neighbour as near as the k-th counts.
+    """
+    usable = df.select(F.col(key).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v"), asked.alias("asked")).filter(has_direction(F.col("v")))
+    usable = materialise(usable, "recall-vectors")
+    queries = materialise(usable.filter("asked").select(F.col("id").alias("q"), F.col("v").alias("qv")), "recall-queries")
+    slices, parts = max(1, math.ceil(queries.count() / 512)), max(1, math.ceil(usable.count() / 8192))
+    sent = queries.select("q", "qv", F.pmod(F.xxhash64("q"), F.lit(slices)).cast("int").alias("slice"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    spread = usable.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("c_part"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("c_slice"))
+
+    def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or c.empty:
+            return pd.DataFrame({"id": [], "neighbour": [], "similarity": []}).astype({"id": "int64", "neighbour": "int64"})
+        left = pd.DataFrame({"id": q["q"], "u": list(_unit_rows(q["qv"]))})
+        right = pd.DataFrame({"id": c["id"], "u": list(_unit_rows(c["v"]))})
+        return _closest(left, right, k, np.full(len(left), np.inf))
+
+    best = sent.groupBy("slice", "part").cogroup(spread.groupBy("c_slice", "c_part")).applyInPandas(compare, "id long, neighbour long, similarity double")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour"))
+    truth = best.withColumn("rank", rank).filter(F.col("rank") <= k).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("least"))
+    near = found.join(truth, "id").groupBy("id", "n").agg(F.count_if(F.col("similarity") >= F.col("least") - 1e-6).alias("hits"))
+    hits = truth.select("id", "n").join(near.select("id", "hits"), "id", "left")
+    return hits.agg(F.count(F.lit(1)).alias("queries"), (F.sum(F.least("n", F.coalesce("hits", F.lit(0)))) / F.sum("n")).alias("recall"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import ratelens.plans.text  # noqa: F401  (registers the term views used below)
-from ratelens.operators import models, neighbours, terms, topics
+from ratelens.operators import density, models, neighbours, terms, topics
 from ratelens.plans.registry import query, view
 from ratelens.plans.views import document_topics, number_topics, rounded, table
+from ratelens.session import materialise
 
 _UNIT = "list_transform({v}, lambda x: x::DOUBLE)"
 
@@ -123,3 +124,45 @@ def _(spark, sf):
 def _(spark, sf):
     out = neighbours.knn_cosine(table(spark, sf, "embeddings"), "vec_id", "embedding", 15, block_rows=256)
     return rounded(out, "similarity").withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("knn_descent", "SELECT count(*) AS n, true AS lists_full, count(*) FILTER (WHERE vec_id % 10 = 0) AS n_asked, true AS recall_reached FROM embeddings")
+def _(spark, sf):
+    """The approximate neighbour graph of all vectors; its recall is measured against exact products of a tenth of them."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    graph = materialise(neighbours.knn_descent(e, "vec_id", "embedding", 15), "neighbour-graph")
+    per = graph.groupBy("id").agg(F.count("*").alias("c"), F.max("rank").alias("r"))
+    full = per.agg(F.count("*").alias("n"), F.every((F.col("c") == 15) & (F.col("r") == 15)).alias("lists_full"))
+    found = neighbours.recall(graph, e, "vec_id", "embedding", F.col("vec_id") % 10 == 0, 15)
+    return full.withColumns({"n_asked": found.select("queries").scalar(), "recall_reached": found.select("recall").scalar() >= 0.9})
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêçàñáíóú"
+
+
+def letter_profile(docs):
+    """Rows (doc_id, profile): roots of how often each letter occurs in the whole text."""
+    low = docs.select("doc_id", F.lower("text").alias("low"))
+    count = F.transform(F.split(F.lit(_LETTERS), ""), lambda c: F.sqrt((F.length("low") - F.length(F.replace(F.col("low"), c, F.lit("")))).cast("double")))
+    return low.select("doc_id", count.alias("profile"))
+
+
+@query("density_topics", """SELECT count(*) AS n, count(DISTINCT lang) AS n_languages, true AS pure, true AS few_outliers, true AS large_enough FROM documents""")
+def _(spark, sf):
+    """Clusters of documents by density of their letter profiles: they are found without the language, and hold one language each."""
+    docs = table(spark, sf, "documents")
+    profiles = materialise(letter_profile(docs), "letter-profiles")
+    least = max(10, profiles.count() // 50)
+    graph = neighbours.knn_descent(profiles, "doc_id", "profile", 15)
+    apart = F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * F.col("similarity").cast("double")))
+    found = density.density_clusters(graph.select("id", "neighbour", apart.alias("distance")), least, 5)
+    both = docs.select("doc_id", "lang").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").fillna({"cluster": -1})
+    counts = materialise(both.groupBy("cluster", "lang").agg(F.count("*").alias("c")), "cluster-languages")
+    real = counts.filter("cluster <> -1").groupBy("cluster").agg(F.sum("c").alias("n"), F.max("c").alias("most"))
+    all_rows = counts.agg(F.sum("c").alias("n"), F.count_distinct("lang").alias("n_languages"))
+    sizes = real.agg(F.sum("n").alias("clustered"), F.sum("most").alias("most"), F.min("n").alias("least"))
+    return all_rows.withColumns({
+        "pure": sizes.select("most").scalar() >= 0.95 * sizes.select("clustered").scalar(),
+        "few_outliers": sizes.select("clustered").scalar() >= 0.75 * F.col("n"),
+        "large_enough": sizes.select("least").scalar() >= least,
+    })
