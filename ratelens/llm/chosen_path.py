@@ -3,12 +3,17 @@
 A document is the set of its word shingles and has a sketch of minwise tokens. In each of several independent trees, a node
 of documents branches by tokens that the node's own hash selects: documents with the same value go to the same child. On
 average 1 / threshold tokens are selected, so a pair at the threshold is expected to stay together on one path at any
-depth, while documents that are less alike part. A node that is small is compared exhaustively on sketches; a large one
-first meets its most central member and branches on. Sketches only propose pairs: a link is confirmed on the full sets.
+depth, while documents that are less alike part. A node that is small is compared exhaustively; a large one first meets its
+most central member and branches on, up to the depth at which pairs that agree on half of their tokens have parted.
 
 Only the components are wanted, so whatever is in one component already is not compared again: documents with equal sets
 are one from the start, a large group of near copies is linked to its centre, and a node whose members are all in one
-component is done. No pair is a row unless both sketches are alike and the two are not yet connected.
+component is done. So is a large node once all but a few of its members are one component, and any node at the last depth:
+its rest is compared with all its members in blocks of bounded size.
+
+A node is visited twice. First, sketches propose for every member its best partner outside its component, which is confirmed
+on the full sets, and members without any such partner leave. If components are left apart, the full sets of those
+that stayed are compared in the same blocks. No pair is a row unless it is proposed or linked.
 
 A null or empty text has no shingle and is linked with nothing. `doc_id` identifies documents; rows that repeat one are
 returned each. Rows with a null id come back unlinked. Other columns are ignored.
@@ -34,9 +39,10 @@ TOKENS, TREES = 128, 8
 RECALL = 0.99
 #: Nodes of at most so many documents are compared exhaustively, in one task.
 SMALL = 256
-#: Levels that large nodes descend at a time by size alone, how often, and after they have met their centre. Documents that
-#: agree on half of their tokens are 64 times fewer after the first descents, so what is still large holds near copies.
-LEVELS, DESCENTS, MORE_LEVELS = 2, 3, 4
+#: Members of a block of a large node; levels that large nodes descend between two looks at their components.
+BLOCK, LEVELS = 1024, 2
+#: Likeness at which pairs have parted at the last depth.
+FAR = 0.5
 #: Sketches propose a pair if they agree on the threshold less this share: four standard errors of 128 tokens.
 SLACK = 0.14
 
@@ -165,61 +171,126 @@ def _branch(rows: DataFrame, level: int, threshold: float, levels: int) -> DataF
     return rows
 
 
-def _propose(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of small nodes whose sketches are alike and whose components differ.
+def depth_for(n: int, small: int, levels: int = LEVELS) -> int:
+    """Levels after which all but `small` of n documents that are alike by FAR have parted, in whole descents."""
+    return levels * math.ceil(math.log(max(1.0, n / small)) / math.log(1 / FAR) / levels)
 
-    A node that is seen for the first time links each group of alike members to its most central one, which is a; a node
-    that was seen before proposes all such pairs. nodes: rows (node, seen, id, n, comp, sketch).
-    """
-    least = threshold - SLACK
 
-    def run(batches):
-        held: list = []
-
-        def pairs(parts):
-            rows = pa.Table.from_batches(parts)
-            ids, n, comp = (rows.column(c).to_numpy() for c in ("id", "n", "comp"))
-            s = np.array(rows.column("sketch").combine_chunks().flatten()).reshape(-1, TOKENS)
-            same = np.zeros((len(s), len(s)), np.int16)
-            for t in range(TOKENS):
-                same += s[:, t, None] == s[None, :, t]
-            alike = (same >= least * TOKENS) & (np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]))
-            np.fill_diagonal(alike, False)
-            if not rows.column("seen")[0].as_py():
-                weight, open_ = (same * alike).sum(1), alike.any(axis=1)
-                while open_.any():
-                    centre = int(np.lexsort((ids, -weight * open_, ~open_))[0])
-                    open_[centre] = False
-                    others = np.flatnonzero(alike[centre] & open_ & (comp != comp[centre]))
-                    open_[others] = False
-                    for o in others:
-                        yield ids[centre], ids[o]
-            else:
-                for i, j in zip(*np.nonzero(np.triu(alike & (comp[:, None] != comp[None, :])))):
-                    yield ids[i], ids[j]
-
-        def out(parts):
-            got = list(pairs(parts))
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in got], pa.int64()), pa.array([p[1] for p in got], pa.int64())], ["a", "b"])
+def _groups_of(rows: DataFrame, small: int) -> DataFrame:
+    """Rows of open nodes dealt into groups (node, part): those that ask, and those they are compared with if these are others.
 
-        for batch in batches:
-            node = batch.column("node").to_numpy()
-            cuts = [0, *(np.flatnonzero(node[1:] != node[:-1]) + 1), len(node)]
-            for a, b in zip(cuts, cuts[1:]):
-                if held and a == 0 and b > 0 and held[0].column("node")[0].as_py() != node[0]:
-                    yield out(held)
-                    held = []
-                if b == len(node):
-                    if b > a:
-                        held = [*held, batch.slice(a, b - a)]
-                else:
-                    yield out([*held, batch.slice(a, b - a)])
-                    held = []
-        if held:
-            yield out(held)
-
-    ordered = nodes.select("node", "seen", "id", "n", "comp", "sketch").repartition("node").sortWithinPartitions("node", "id")
-    return ordered.mapInArrow(run, "a long, b long")
+    A small node is one group in which all ask each other. In a large one, members outside its largest component ask, in
+    pieces of at most about `small`, and meet all members in blocks.
+    """
+    few = rows.filter(F.col("members") <= small).withColumns({"part": F.lit(0).cast("long"), "asks": F.lit(True)})
+    many = rows.filter(F.col("members") > small)
+    blocks, pieces = F.ceil(F.col("members") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("largest")) / small).cast("int")
+    block, piece = F.pmod(F.xxhash64("id"), blocks), F.pmod(F.xxhash64("id", F.lit(1)), pieces)
+    asked = many.withColumn("part", F.explode(F.transform(F.sequence(F.lit(0), pieces - 1), lambda p: block.cast("long") * pieces + p))).withColumn("asks", F.lit(False))
+    asking = many.filter("comp <> top").withColumn("part", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: b.cast("long") * pieces + piece)))
+    return few.unionByName(asked).unionByName(asking.withColumn("asks", F.lit(True)))
+
+
+def _by_group(batches, work):
+    """Results of `work` on the rows of each group (node, part); rows are sorted by them and come in batches."""
+    held: list[pa.RecordBatch] = []
+
+    def key(batch, i):
+        return batch.column("node")[i].as_py(), batch.column("part")[i].as_py()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node, part = batch.column("node").to_numpy(), batch.column("part").to_numpy()
+        cuts = [0, *(np.flatnonzero((node[1:] != node[:-1]) | (part[1:] != part[:-1])) + 1), len(node)]
+        if held and key(held[0], 0) != key(batch, 0):
+            yield work(pa.Table.from_batches(held))
+            held = []
+        for a, b in zip(cuts, cuts[1:-1]):
+            yield work(pa.Table.from_batches([*held, batch.slice(a, b - a)]))
+            held = []
+        held.append(batch.slice(cuts[-2]))
+    if held:
+        yield work(pa.Table.from_batches(held))
+
+
+def _alike(rows: pa.Table, threshold: float) -> tuple[np.ndarray, ...]:
+    """Rows that ask, rows they are compared with, tokens they agree on, and whether the pair may be a link between components."""
+    asks = rows.column("asks").to_numpy(zero_copy_only=False)
+    a = np.flatnonzero(asks)
+    b = a if asks.all() else np.flatnonzero(~asks)
+    ids, n, comp = (rows.column(c).to_numpy() for c in ("id", "n", "comp"))
+    s = np.array(rows.column("sketch").combine_chunks().flatten()).reshape(-1, TOKENS)
+    same = np.zeros((len(a), len(b)), np.int16)
+    for t in range(TOKENS):
+        same += s[a, t, None] == s[b, t]
+    near = (same >= (threshold - SLACK) * TOKENS) & (np.minimum(n[a, None], n[b]) >= threshold * np.maximum(n[a, None], n[b]))
+    return a, b, same, near & (comp[a, None] != comp[b]) & (ids[a, None] != ids[b])
+
+
+def _propose(groups: DataFrame, threshold: float) -> DataFrame:
+    """Rows (node, a, b): pairs to confirm, and with b null the members that have partners outside their component.
+
+    A small node links each group of alike members to its most central one, which is a; in a block, everyone that asks
+    proposes its best partner.
+    """
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        a, b, same, alike = _alike(rows, threshold)
+        ids, got = rows.column("id").to_numpy(), []
+        if a is b:
+            weight, open_ = (same * alike).sum(1), alike.any(axis=1)
+            stay = a[open_]
+            while open_.any():
+                centre = int(np.lexsort((ids[a], -weight * open_, ~open_))[0])
+                open_[centre] = False
+                others = np.flatnonzero(alike[centre] & open_)
+                open_[others] = False
+                got += [(ids[a[centre]], ids[a[o]]) for o in others]
+        else:
+            stay = np.concatenate([a[alike.any(axis=1)], b[alike.any(axis=0)]])
+            best = np.where(alike, same, -1).argmax(axis=1)
+            got = [(ids[b[best[i]]], ids[a[i]]) for i in np.flatnonzero(alike.any(axis=1))]
+        node = rows.column("node")[0].as_py()
+        first, second = [p[0] for p in got] + ids[stay].tolist(), [p[1] for p in got] + [None] * len(stay)
+        return pa.RecordBatch.from_arrays([pa.array([node] * len(first), pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64())], ["node", "a", "b"])
+
+    ordered = groups.select("node", "part", "asks", "id", "n", "comp", "sketch").repartition("node", "part").sortWithinPartitions("node", "part", "id")
+    return ordered.mapInArrow(lambda batches: _by_group(batches, work), "node long, a long, b long")
+
+
+def _settle(groups: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of a group, by its members' full sets. Pairs that a link has joined are left out."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        a, b, same, alike = _alike(rows, percent / 100)
+        ids, comp = rows.column("id").to_numpy(), rows.column("comp").to_pylist()
+        items = rows.column("items").combine_chunks()
+        ends, flat = items.offsets.to_numpy(), items.values.to_numpy()
+        sets = lambda k: flat[ends[k] : ends[k + 1]]
+        up = {c: c for c in comp}
+
+        def root(c):
+            while up[c] != c:
+                up[c] = c = up[up[c]]
+            return c
+
+        i, j = np.nonzero(alike)
+        got = []
+        for k in np.argsort(-same[i, j], kind="stable"):
+            x, y = int(a[i[k]]), int(b[j[k]])
+            if root(comp[x]) == root(comp[y]):
+                continue
+            both = len(np.intersect1d(sets(x), sets(y), assume_unique=True))
+            if 100 * both >= percent * (len(sets(x)) + len(sets(y)) - both):
+                got.append((ids[x], ids[y]))
+                up[root(comp[x])] = root(comp[y])
+        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in got], pa.int64()), pa.array([p[1] for p in got], pa.int64())], ["a", "b"])
+
+    whose = groups.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    sets = materialise(_sets_of(docs, whose), "group-sets")
+    ordered = groups.join(sets, "id").select("node", "part", "asks", "id", "n", "comp", "sketch", "items").repartition("node", "part").sortWithinPartitions("node", "part", "id")
+    return ordered.mapInArrow(lambda batches: _by_group(batches, work), "a long, b long")
 
 
 def _centres(large: DataFrame, threshold: float) -> DataFrame:
@@ -246,29 +317,6 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return both.filter(common * 100 >= union * percent).select("a", "b")
 
 
-def _descend(nodes: DataFrame, reps: DataFrame, level: int, threshold: float, small: int, deep: list[DataFrame]) -> tuple[DataFrame, int]:
-    """Nodes (id, node) of more than one member; those that are too large have branched a few times. Also the next level.
-
-    Rows (id, depth) of the documents that branched are added to `deep`.
-    """
-    done: list[DataFrame] = []
-    for step in range(DESCENTS + 1):
-        sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-        held = materialise(nodes.join(sizes, "node"), "held-nodes")
-        large = held.filter(F.col("members") > small)
-        if step == DESCENTS or large.isEmpty():
-            done.append(held.select("id", "node"))
-            break
-        done.append(held.filter(F.col("members") <= small).select("id", "node"))
-        nodes = _branch(large.join(reps, "id").select("node", "id", "sketch"), level, threshold, LEVELS).select("id", "node")
-        level += LEVELS
-        deep.append(large.select("id", F.lit(level).alias("depth")))
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out, level
-
-
 def _joined(comp: DataFrame | None, merged: DataFrame) -> DataFrame:
     """Components after some of them, or single documents, were merged."""
     if comp is None:
@@ -279,35 +327,46 @@ def _joined(comp: DataFrame | None, merged: DataFrame) -> DataFrame:
     return materialise(kept.unionByName(alone), "components")
 
 
-def _grow(reps: DataFrame, docs: DataFrame, low: int, high: int, comp: DataFrame | None, percent: int, small: int) -> tuple[DataFrame | None, list[DataFrame]]:
+def _renamed(links: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """Links between documents as links between the components they are in."""
+    if comp is None:
+        return links.select("a", "b")
+    of = links.join(comp.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comp.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b", "left")
+    return of.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+
+
+def _grow(reps: DataFrame, docs: DataFrame, low: int, high: int, depth: int, comp: DataFrame | None, percent: int, small: int) -> tuple[DataFrame | None, list[DataFrame]]:
     """Components after trees low to high - 1 of some documents, and rows (id, depth) of those in nodes that descended."""
-    threshold, deep = percent / 100, []
+    threshold, deep, level = percent / 100, [], 1
     roots = [F.lit(t).cast("long") for t in range(low, high)]
     first = F.flatten(F.array(*[F.transform(_chosen(r, 0, threshold), lambda i, r=r: F.xxhash64(r, i, F.get("sketch", i))) for r in roots]))
-    nodes, level = _descend(reps.select("id", F.explode(first).alias("node")), reps, 1, threshold, small, deep)
-    nodes = nodes.withColumn("seen", F.lit(False))
+    nodes = reps.select("id", F.explode(first).alias("node"), F.lit(False).alias("seen"))
     while True:
-        # Members of nodes that hold more than one component.
+        # Nodes of more than one component, with their members, their largest component and its size.
         rows = nodes.withColumn("comp", F.col("id")) if comp is None else nodes.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        stats = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
-        open_ = materialise(rows.join(stats.select("node", "members"), "node").join(reps, "id"), "open-nodes")
+        per = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"))
+        stats = per.groupBy("node").agg(F.sum("c").alias("members"), F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+        stats = stats.select("node", "members", F.col("m.c").alias("largest"), F.col("m.comp").alias("top"))
+        open_ = materialise(rows.join(stats, "node").join(reps, "id"), "open-nodes")
         if open_.isEmpty():
             break
-        few, many = open_.filter(F.col("members") <= small), open_.filter(F.col("members") > small)
+        descends = (F.col("members") > small) & (F.col("members") - F.col("largest") > small) & ~F.col("seen") & F.lit(level < depth)
+        many, again = open_.filter(descends), open_.filter("seen")
+        visited = materialise(_propose(_groups_of(open_.filter(~descends & ~F.col("seen")), small), threshold), "visited-nodes")
+        proposed = visited.filter("b is not null").select("a", "b")
         more = not many.isEmpty()
-        proposed = _propose(few, threshold).unionByName(_centres(many, threshold)) if more else _propose(few, threshold)
-        proposed = materialise(proposed.distinct(), "proposed")
-        linked = materialise(_confirm(proposed, docs, percent), "confirmed")
-        if comp is not None:
-            of = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
-            linked = linked.join(of, "a", "left").join(comp.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b", "left")
-            linked = linked.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-        comp = _joined(comp, components(linked))
-        # Small nodes are compared in full when they come again, then they are done; large ones branch.
-        nodes = few.filter(~F.col("seen")).select("id", "node", F.lit(True).alias("seen"))
         if more:
-            nodes = nodes.unionByName(_branch(many.select("node", "id", "sketch"), level, threshold, MORE_LEVELS).select("id", "node", F.lit(False).alias("seen")))
-            level += MORE_LEVELS
+            proposed = proposed.unionByName(_centres(many, threshold))
+        linked = _confirm(materialise(proposed.distinct(), "proposed"), docs, percent)
+        if not again.isEmpty():
+            linked = linked.unionByName(_settle(_groups_of(again, small), docs, percent))
+        linked = materialise(_renamed(linked, comp), "confirmed")
+        if comp is None or not linked.isEmpty():
+            comp = _joined(comp, components(linked))
+        nodes = visited.filter("b is null").select(F.col("a").alias("id"), "node", F.lit(True).alias("seen")).distinct()
+        if more:
+            nodes = nodes.unionByName(_branch(many.select("node", "id", "sketch"), level, threshold, LEVELS).select("id", "node", F.lit(False).alias("seen")))
+            level += LEVELS
             deep.append(many.select("id", F.lit(level).alias("depth")))
         nodes = materialise(nodes, "nodes")
     return comp, deep
@@ -328,9 +387,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES, smal
     reps = filled.join(classes, ["x", "y"]).filter(F.col("doc_id") == F.col("id"))
     reps = materialise(reps.select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id"]), "set-sketches")
     comp, reached, some = None, None, reps
+    depth = 1 + depth_for(reps.count(), small)
     done, want = 0, max(trees, trees_for(threshold, 1, recall))
     while want > done:
-        comp, deep = _grow(some, docs, done, want, comp, percent, small)
+        comp, deep = _grow(some, docs, done, want, depth, comp, percent, small)
         done = want
         for d in deep:
             reached = d if reached is None else reached.unionByName(d)
