@@ -43,9 +43,10 @@ def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_CHARS)
     rows = rows.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
     narrow = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"))
     picked = ranked(narrow, ["lang"], "_order", ["doc_id"], "rank").filter(F.col("rank") < docs).select("doc_id", "lang", "rank")
-    picked = rows.join(picked.dropDuplicates(["doc_id", "lang"]), ["doc_id", "lang"])
+    picked = F.broadcast(picked.groupBy("doc_id", "lang").agg(F.min("rank").alias("rank")))  # at most `docs` rows a language
     start = F.greatest(F.lit(1), ((F.length("text") - size) / 2).cast("int"))
-    sample = picked.select("lang", "rank", F.substring(F.col("text"), start, F.lit(size)).alias("text")).orderBy("lang", F.desc("rank")).collect()
+    middle = rows.join(picked, ["doc_id", "lang"]).select("lang", "rank", F.substring(F.col("text"), start, F.lit(size)).alias("text"))
+    sample = middle.groupBy("lang", "rank").agg(F.min("text").alias("text")).orderBy("lang", F.desc("rank")).collect()  # one text a picked id
     model: dict[str, bytes] = {}
     for r in sample:  # at most `docs` short texts a language
         model[r["lang"]] = model.get(r["lang"], b"") + letters(r["text"]).encode("utf-8", "surrogatepass") + b" "

@@ -5,9 +5,12 @@ released at floor(k / w) and due at ceil((k + 1) / w); in every slot, the releas
 any number of slots each source is less than one block away from its target. Windows follow from the weights themselves and
 not from slots of a frame, so no rounding adds up.
 
+Ranks and turns are worked out on a narrow table of row hashes; whole rows cross one exchange, to meet them. Rows that repeat a
+key are told apart by all their columns, and equal rows are placed each.
+
 All rows are kept. When a source runs out, the others go on in their windows and slots in which none is released are empty. A
-null source is a source of its own. Rows that are equal are placed each. An empty table gives no rows. Input columns named
-`block`, `turn` or `place` are replaced.
+null source is a source of its own. An empty table gives no rows. Input columns named `block`, `turn` or `place` are replaced;
+others keep their names and values.
 """
 
 from __future__ import annotations
@@ -18,11 +21,11 @@ from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelens.llm.common import ranked
-from ratelens.session import scratch_path
+from ratelens.session import materialise, scratch_path
 
 #: Documents per block.
 BLOCK = 8
@@ -125,11 +128,21 @@ def mix(docs: DataFrame, weights: DataFrame, source: str = "source", key: str =
     weights: rows (key, weight), key as of source_key; sources that have no weight get the least of the others. Ordering by
     turn and place gives the mixture.
     """
-    rows = docs.drop("block", "turn", "place").withColumn("_source", source_key(F.col(source))).withColumn("_order", F.xxhash64(F.lit(seed), key))
-    present = rows.groupBy(F.col("_source").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    kept = [c for c in docs.columns if c not in ("block", "turn", "place")]
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    own, whole = F.col(f"c{kept.index(key)}"), [F.col(f"c{i}") for i in range(len(kept))]
+    order = F.when(own.isNull(), F.xxhash64(F.lit(seed), *whole)).otherwise(F.xxhash64(F.lit(seed), own))
+    rows = plain.select("*", source_key(F.col(f"c{kept.index(source)}")).alias("_source"), order.alias("_order"), F.xxhash64(F.lit(~seed), *whole).alias("_row"))
+    # One narrow row for all rows that are equal: _source, _order and _row are 128 bits of hash within a source.
+    identity = ["_source", "_order", "_row"]
+    narrow = materialise(rows.groupBy(*identity).agg(F.count(F.lit(1)).alias("_copies")), "mixture-rows")
+    present = narrow.groupBy(F.col("_source").alias("key")).agg(F.sum("_copies").alias("n"))
     known = present.join(weights.select("key", F.col("weight").cast("double").alias("weight")), "key", "left")
     turns = block_turns(known, block, frame).withColumnRenamed("key", "_source")
-    order = ranked(rows, ["_source"], "_order", [key], "_rank").withColumn("block", F.floor(F.col("_rank") / F.lit(block)))
-    out = order.join(turns, ["_source", "block"])
-    columns = [c for c in rows.columns if c not in ("_source", "_order")]
-    return out.select(*columns, "block", "turn", (F.col("_rank") % block).cast("int").alias("place"))
+    starts = ranked(narrow, ["_source"], "_order", ["_row"], "_first", size="_copies")
+    ranks = starts.select(*identity, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_copies") - 1)).alias("_rank"))
+    placed = ranks.withColumn("block", F.floor(F.col("_rank") / F.lit(block))).join(turns, ["_source", "block"])
+    placed = placed.select(*identity, "block", "turn", (F.col("_rank") % block).cast("int").alias("place"))
+    one = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*identity).orderBy(F.lit(0)))).filter("_n = 1").drop("_n")
+    out = one.join(placed, identity)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "block", "turn", "place")
