@@ -1,11 +1,13 @@
 """Corpus preparation from raw documents to packed sequences: stages that each apply one corpus operator.
 
-Every stage gets what the one before it kept, as columns of `documents`, and works on all of it.
+Every stage gets what the one before it kept, as columns of `documents`, and works on all of it. Its result is written before
+the next stage is called; then the scratch tables that the earlier one has left behind are deleted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,20 +15,43 @@ from pyspark.sql import functions as F
 
 from ratelens.llm import chosen_path, langid, mixing, packing, pii
 from ratelens.llm.queries import PII_KEY, word_bpe
-from ratelens.session import materialise
+from ratelens.session import drop_scratch, materialise, noted_scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Columns that all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Scratch tables of the stages called so far, by application.
+_LEFT: dict[str, list[str]] = {}
 
+
+def _tidy(stage: Stage) -> Stage:
+    """A stage that first deletes the scratch tables of earlier ones, unless the rows that it is given still come from them."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        left = _LEFT.setdefault(spark.sparkContext.applicationId, [])
+        read = "\n".join(docs.inputFiles())
+        unused = [p for p in left if p.rsplit("/", 1)[-1] not in read]
+        drop_scratch(spark, unused)
+        left[:] = [p for p in left if p not in unused]
+        with noted_scratch() as notes:
+            out = stage(spark, docs, sf_dir)
+        left.extend(notes)
+        return out
+
+    return run_stage
+
+
+@_tidy
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is certain; `lang` becomes the language found. Rows with a null id stay out of the model only."""
     model = langid.fit(docs)
     return langid.identify(docs.select(*COLUMNS), model).filter(~F.col("rejected")).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+@_tidy
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id. Null ids are kept as they are."""
     found = chosen_path.near_duplicates(docs, percent=80)
@@ -34,18 +59,21 @@ def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
+@_tidy
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; `n_chars` counts the new text."""
     done = pii.pseudonymise(docs.select(*COLUMNS), key=PII_KEY)
     return done.withColumn("n_chars", F.when(F.col("entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
+@_tidy
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of a mixture in which sources weigh as the square root of their size."""
     plain = docs.select(*COLUMNS)
     return mixing.mix(plain, mixing.balanced_weights(plain), seed=2).orderBy("turn", "place").select(*COLUMNS)
 
 
+@_tidy
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens, taken in the order in which the mixture was written."""
     try:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Temporary folders of local sessions, by application: the setting itself cannot be changed in a running session.
 _LOCAL_ROOTS: dict[str, str] = {}
+#: Lists that take note of new scratch paths (see noted_scratch).
+_NOTES: list[list[str]] = []
 
 
 def get_session(app: str = "ratelens", master: str | None = None, partitions: int | None = None) -> SparkSession:
@@ -42,7 +46,29 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the scratch folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    for notes in _NOTES:
+        notes.append(path)
+    return path
+
+
+@contextmanager
+def noted_scratch() -> Iterator[list[str]]:
+    """The scratch paths that are made inside the block, for whoever knows when they are no longer read."""
+    notes: list[str] = []
+    _NOTES.append(notes)
+    try:
+        yield notes
+    finally:
+        _NOTES[:] = [n for n in _NOTES if n is not notes]
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables in the shared folder. Nothing may read them any more."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
