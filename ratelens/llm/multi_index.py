@@ -10,7 +10,8 @@ as one matrix product of which only each query's best rows leave the task. So th
 
 Vectors that are null, zero, of another length than the sample's, or hold a null or non-finite component take no part. Ties
 go to the smaller id; equal vectors are candidates of each other, rows with the query's own id are not. Fewer candidates
-than k are all returned. Other columns are ignored.
+than k are all returned. Rows that repeat a query's id are one query, with the first of their vectors in order. Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -177,7 +178,7 @@ def search(vectors: DataFrame, key: str, vec: str, is_query: Column, k: int = 20
                 kept = b.take(pa.array(owner, pa.int64()))
                 yield pa.RecordBatch.from_arrays([kept.column("id"), kept.column("v"), pa.array(at, pa.int32()), pa.array(marks, pa.binary())], ["id", "v", "block", "marks"])
 
-    asked = index.filter("q").select("id", "v")
+    asked = index.filter("q").groupBy("id").agg(F.min("v").alias("v"))
     batches_of = max(1, -(-asked.count() // batch))
     asked = asked.mapInArrow(walk, "id long, v array<double>, block int, marks binary").withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(batches_of)).cast("int"))
     spread = corpus.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches_of - 1)))) if batches_of > 1 else corpus.withColumn("batch", F.lit(0))

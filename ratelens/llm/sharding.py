@@ -7,6 +7,9 @@ by its line of the matrix, rows are exchanged, and each shard permutes what it g
 
 Rows whose keys are null or equal are placed like any others; equal rows may swap places. An empty table gives no rows.
 Columns named `shard` or `slot` in the input are replaced.
+
+`write_shards` does this for whole documents: a narrow table of row hashes is dealt out, documents meet their shard and slot,
+and the files of a shard hold its documents in order of their slots, so that a shard is written by many tasks.
 """
 
 from __future__ import annotations
@@ -14,15 +17,15 @@ from __future__ import annotations
 import random
 from math import exp, lgamma
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.llm.common import ranked, slice_of
 from ratelens.session import materialise
 
-#: Source partitions; the matrix has as many lines, so it stays small on the driver at any number of rows.
-PARTITIONS = 1024
+#: Source partitions at least, and rows of a source partition; the matrix has a line for each.
+PARTITIONS, PARTITION_ROWS = 1024, 1_000_000
 
 
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
@@ -75,7 +78,7 @@ def shard_sizes(rows: int, shards: int) -> list[int]:
     return [rows // shards + (s < rows % shards) for s in range(shards)]
 
 
-def uniform_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 0, partitions: int = PARTITIONS) -> DataFrame:
+def uniform_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 0, partitions: int | None = None) -> DataFrame:
     """Add `shard` (0 to shards - 1, sizes at most one apart) and `slot` (0-based place in the shard) to every row.
 
     `keys` are the columns that tell rows apart. The input is written once to the shared folder; pass narrow rows.
@@ -84,7 +87,10 @@ def uniform_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 0, p
     rows = materialise(df.drop("shard", "slot"), "shard-rows")
     named = {c: f"c{i}" for i, c in enumerate(rows.columns)}
     plain = rows.select(*[F.col(f"`{c}`").alias(n) for c, n in named.items()])
-    ids = [named[k] for k in keys]
+    partitions = partitions or max(PARTITIONS, -(-rows.count() // PARTITION_ROWS))
+    # Rows are numbered as they lie in the written files, so that many equal keys are spread like others.
+    plain = plain.withColumn("_n", F.monotonically_increasing_id())
+    ids = [*(named[k] for k in keys), "_n"]
     dealt = plain.select("*", slice_of(F.xxhash64(F.lit(seed), *ids), partitions).alias("_part"), F.xxhash64(F.lit(seed + 1), *ids).alias("_first"))
     counts = dict(dealt.groupBy("_part").count().collect())  # at most `partitions` rows
     per_part = [counts.get(p, 0) for p in range(partitions)]
@@ -101,6 +107,23 @@ def uniform_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 0, p
     rank = F.row_number().over(Window.partitionBy("_part").orderBy("_first", *ids)) - 1
     sent = dealt.withColumn("_rank", rank).join(plan, F.col("_part") == F.col("_line"))
     shard = F.size(F.filter("_ends", lambda e: e <= F.col("_rank"))).cast("int")
-    placed = sent.select(*named.values(), shard.alias("shard"), F.xxhash64(F.lit(seed + 2), *ids).alias("_second"))
+    placed = sent.select(*named.values(), "_n", shard.alias("shard"), F.xxhash64(F.lit(seed + 2), *ids).alias("_second"))
     out = ranked(placed, ["shard"], "_second", ids, "slot")
     return out.select(*[F.col(n).alias(c) for c, n in named.items()], "shard", "slot")
+
+
+def write_shards(docs: DataFrame, path: str, shards: int, seed: int = 0) -> None:
+    """Write whole rows by shard: folders shard=0 to shards - 1 under `path`, in them files in order of `slot`."""
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    whole = [F.col(f"c{i}") for i in range(len(kept))]
+    rows = plain.select("*", F.xxhash64(F.lit(seed), *whole).alias("_a"), F.xxhash64(F.lit(~seed), *whole).alias("_b"))
+    dealt = uniform_shards(rows.select("_a", "_b"), ["_a", "_b"], shards, seed)
+    one = rows.withColumn("_i", F.row_number().over(Window.partitionBy("_a", "_b").orderBy(F.lit(0)))).filter("_i = 1").drop("_i")
+    out = one.join(dealt, ["_a", "_b"]).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "shard", "slot")
+    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of written shards with `shard` and `slot`."""
+    return spark.read.parquet(path)

@@ -4,6 +4,8 @@ The tokenizer's words never hold white space, and its normalisation does not rea
 are the ids of its blank-separated chunks in a row, and each chunk needs to be encoded once per worker. Two steps keep
 the chunks few and change no id: ASCII capitals are lowered, as the tokenizer does itself, and a full stop or comma with
 a letter or digit before it and a letter, digit, space or the end after it (always a word of its own) is set apart.
+
+A text that holds the string of one of the tokenizer's added tokens, in capitals or not, goes through the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self._clear()
 
     def _clear(self) -> None:
@@ -79,6 +82,11 @@ class ChunkEncoder:
         """Ids of whole texts in order (None: no ids), worked on in groups of bounded length."""
         group, length = [], 0
         for text in texts:
+            if text and self.added and self.added.search(text):
+                yield from self._encode_group(group)
+                group, length = [], 0
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                continue
             group.append(text or "")
             length += len(group[-1])
             if length > GROUP_CHARS:

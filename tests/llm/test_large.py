@@ -187,6 +187,14 @@ def test_small_tables_are_searched_whole(spark, n):
     assert len(got) == n * min(20, n - 1)
 
 
+def test_repeated_query_rows_are_one_query(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.standard_normal(8)]) for i in range(60)]
+    got = multi_index.search(spark.createDataFrame(rows + rows[:1] * 2, "vec_id long, embedding array<double>"), "vec_id", "embedding", F.col("vec_id") % 20 == 0).collect()
+    by = Counter(r["query_id"] for r in got)
+    assert by == {0: 20, 20: 20, 40: 20} and len({r["vec_id"] for r in got if r["query_id"] == 0}) == 20
+
+
 def test_neighbours_of_odd_vectors(spark):
     same = [1.0, 2.0, 3.0]
     rows = [(i, same, 1) for i in range(60)] + [(100, None, 1), (101, [0.0, 0.0, 0.0], 1), (102, [1.0, None, 2.0], 1), (103, [1.0, float("nan"), 2.0], 1),

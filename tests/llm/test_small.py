@@ -35,7 +35,6 @@ def encode_all(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(queries.word_bpe())
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -54,6 +53,14 @@ def test_token_files_hold_the_ids(spark, docs):
         at += len(ids)
 
 
+def test_ids_are_the_library_s_with_added_tokens_in_the_text():
+    from ratelens.llm.tokens import encoder
+
+    texts = ["a <|endoftext|> b", "glued<|endoftext|>on", "<|ENDOFTEXT|> <|EndOfText|>", "<|startoftext|><|endoftext|>", "x<|startoftext|>.", "<|endoftext", "plain", None, ""]
+    got = [ids.tolist() for ids in encoder(queries.word_bpe()).encode_all(texts * 2)]
+    assert got == encode_all(texts) * 2 and 49407 in got[0] and 49407 not in got[2]
+
+
 def test_token_files_of_odd_rows(spark, odd, empty, tmp_path):
     repair.write_shards(odd, f"{tmp_path}/odd", queries.word_bpe())
     got = repair.read_documents(spark, f"{tmp_path}/odd").collect()
@@ -149,6 +156,29 @@ def test_shards_of_odd_rows(spark, odd, empty):
     assert sharding.uniform_shards(empty, ["doc_id"], 3).collect() == []
 
 
+def test_documents_are_written_by_shard(spark, tmp_path):
+    rows = [(i, f"t{i % 50}") for i in range(300)] + [(7, "same")] * 40 + [(None, None)] * 3
+    df = spark.createDataFrame([(*r, 5, 6) for r in rows], "doc_id long, text string, slot int, c0 int")
+    sharding.write_shards(df, f"{tmp_path}/s", 7, seed=1)
+    got = sharding.read_shards(spark, f"{tmp_path}/s")
+    assert set(got.columns) == {"doc_id", "text", "c0", "slot", "shard"}
+    got = got.collect()
+    check_shards(got, 7)
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows)
+    copies = Counter(r["shard"] for r in got if r["text"] == "same")
+    assert len(copies) >= 4  # equal rows are spread like others
+
+
+def test_shuffle_is_uniform_over_seeds(spark):
+    """Every row lands in every shard about equally often, over many draws."""
+    df = spark.range(12).withColumnRenamed("id", "doc_id").coalesce(1)
+    at, seeds = Counter(), 24
+    for seed in range(seeds):
+        got = {r["doc_id"]: r["shard"] for r in sharding.uniform_shards(df, ["doc_id"], 3, seed, partitions=4).collect()}
+        at.update((d, s) for d, s in got.items())
+    assert all(abs(at[d, s] - seeds / 3) < 4 * (seeds * 2 / 9) ** 0.5 for d in range(12) for s in range(3))
+
+
 def test_hypergeometric_draws_follow_the_law():
     import random
 
