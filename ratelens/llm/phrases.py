@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 from ratelens.session import materialise
 
 #: Words of the longest phrase, least count, tokens between two triggers on average.
-LONGEST, LEAST, CHUNK = 5, 100, 32
+LONGEST, LEAST, CHUNK = 5, 100, 64
 #: 64-bit words of a bitmap of frequent hashes (16 MB). A parameter of memory: counts do not depend on it.
 SLOTS = 1 << 21
+#: Bits of a pair's hash that are added up: two pairs that share them are counted as one, which lets rare pairs through.
+PAIR_BITS = 40
 #: Bytes parsed at a time; longer words are hashed on their own.
 GROUP_BYTES, LONG_WORD = 1 << 20, 1 << 16
 
@@ -176,7 +178,7 @@ def _pair_keys(p: _Parsed, at: np.ndarray) -> np.ndarray:
 
 
 def _bit(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (keys % np.uint64(SLOTS)).astype(np.int64), (keys >> np.uint64(40)) % np.uint64(64)
+    return (keys % np.uint64(SLOTS)).astype(np.int64), (keys >> np.uint64(30)) % np.uint64(64)
 
 
 def _bitmap(keys: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -222,7 +224,7 @@ def _frequent_pairs(chunks: DataFrame, words: tuple[np.ndarray, np.ndarray], ove
             p = _parsed(batch, overlap)
             often = p.word & known(p.hash)
             at = np.flatnonzero(p.pair & p.owned & often & np.append(often[1:], False))
-            keys, n = _pair_keys(p, at), p.weights(batch)[at]
+            keys, n = _pair_keys(p, at) % np.uint64(1 << PAIR_BITS), p.weights(batch)[at]
             order = np.argsort(keys, kind="stable")
             keys, n = keys[order], n[order]
             begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
