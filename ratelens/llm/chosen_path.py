@@ -22,6 +22,7 @@ returned each. Rows with a null id come back unlinked. Other columns are ignored
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,7 +41,7 @@ RECALL = 0.99
 #: Nodes of at most so many documents are compared exhaustively, in one task.
 SMALL = 256
 #: Members of a block of a large node; levels that large nodes descend between two looks at their components.
-BLOCK, LEVELS = 1024, 2
+BLOCK, LEVELS = 1024, 4
 #: Likeness at which pairs have parted at the last depth.
 FAR = 0.5
 #: Sketches propose a pair if they agree on the threshold less this share: four standard errors of 128 tokens.
@@ -298,10 +299,11 @@ def _centres(large: DataFrame, threshold: float) -> DataFrame:
 
     Central is who agrees with most others on a group of twelve tokens.
     """
-    rows = large.select("node", "id", "n", "comp", "sketch", F.xxhash64(F.slice("sketch", 1, 12)).alias("t"))
-    rows = rows.join(rows.groupBy("node", "t").agg(F.count(F.lit(1)).alias("agreeing")), ["node", "t"])
-    best = rows.groupBy("node").agg(F.min(F.struct((-F.col("agreeing")).alias("w"), F.col("id").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"), F.col("sketch").alias("cs"))).alias("m"))
-    met = large.join(best.select("node", "m.*"), "node").filter(F.col("comp") != F.col("cc"))
+    rows = large.select("node", "id", F.xxhash64(F.slice("sketch", 1, 12)).alias("t"))
+    often = rows.groupBy("node", "t").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("c"))
+    best = often.groupBy("node").agg(F.max(F.struct("w", (-F.col("c")).alias("c"))).alias("m")).select("node", (-F.col("m.c")).alias("c"))
+    centre = large.select("node", F.col("id").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"), F.col("sketch").alias("cs")).join(best, ["node", "c"])
+    met = large.join(centre, "node").filter(F.col("comp") != F.col("cc"))
     agree = F.size(F.filter(F.zip_with("sketch", "cs", lambda x, y: x == y), lambda x: x))
     near = met.filter((agree >= F.lit(threshold - SLACK) * TOKENS) & (F.least("n", "cn") >= F.lit(threshold) * F.greatest("n", "cn")))
     return near.select(F.col("c").alias("a"), F.col("id").alias("b"))
@@ -357,12 +359,14 @@ def _grow(reps: DataFrame, docs: DataFrame, low: int, high: int, depth: int, com
         more = not many.isEmpty()
         if more:
             proposed = proposed.unionByName(_centres(many, threshold))
-        linked = _confirm(materialise(proposed.distinct(), "proposed"), docs, percent)
+        proposed = materialise(proposed.distinct(), "proposed")
+        links = [] if proposed.isEmpty() else [_confirm(proposed, docs, percent)]
         if not again.isEmpty():
-            linked = linked.unionByName(_settle(_groups_of(again, small), docs, percent))
-        linked = materialise(_renamed(linked, comp), "confirmed")
-        if comp is None or not linked.isEmpty():
-            comp = _joined(comp, components(linked))
+            links.append(_settle(_groups_of(again, small), docs, percent))
+        if links:
+            linked = materialise(_renamed(reduce(DataFrame.unionByName, links), comp), "confirmed")
+            if not linked.isEmpty():
+                comp = _joined(comp, components(linked))
         nodes = visited.filter("b is null").select(F.col("a").alias("id"), "node", F.lit(True).alias("seen")).distinct()
         if more:
             nodes = nodes.unionByName(_branch(many.select("node", "id", "sketch"), level, threshold, LEVELS).select("id", "node", F.lit(False).alias("seen")))
@@ -388,20 +392,24 @@ def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES, smal
     reps = materialise(reps.select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id"]), "set-sketches")
     comp, reached, some = None, None, reps
     depth = 1 + depth_for(reps.count(), small)
-    done, want = 0, max(trees, trees_for(threshold, 1, recall))
+    # The first tree alone finds the large groups, so that nodes of the others that lie within one are done at once.
+    done, want, least = 0, 1, max(trees, trees_for(threshold, 1, recall))
     while want > done:
         comp, deep = _grow(some, docs, done, want, depth, comp, percent, small)
         done = want
         for d in deep:
             reached = d if reached is None else reached.unionByName(d)
+        if done < least:
+            want = least
+            continue
         if reached is None:
             break
         reached = materialise(reached.groupBy("id").agg(F.max("depth").alias("depth")), "depths")
         top = reached.agg(F.max("depth")).first()[0] or 1
         want = trees_for(threshold, top, recall)
         if want > done:
-            least = next(k for k in range(1, top + 1) if trees_for(threshold, k, recall) > done)
-            some = materialise(reps.join(reached.filter(F.col("depth") >= least).select("id"), "id", "left_semi"), "deep-sketches")
+            lowest = next(k for k in range(1, top + 1) if trees_for(threshold, k, recall) > done)
+            some = materialise(reps.join(reached.filter(F.col("depth") >= lowest).select("id"), "id", "left_semi"), "deep-sketches")
     out = signed.join(classes.withColumnRenamed("id", "rep"), ["x", "y"], "left")
     if comp is not None:
         out = out.join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left")
