@@ -19,7 +19,7 @@ from itertools import repeat
 import numpy as np
 
 #: Chunks kept per Python worker before the table starts anew (memory bound; results do not depend on it).
-MAX_CHUNKS = 1_500_000
+MAX_CHUNKS = 600_000
 #: Texts are worked on in groups of about so many characters.
 GROUP_CHARS = 1_000_000
 #: Longer chunks are encoded but not kept.
