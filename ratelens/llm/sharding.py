@@ -8,8 +8,9 @@ by its line of the matrix, rows are exchanged, and each shard permutes what it g
 Rows whose keys are null or equal are placed like any others; equal rows may swap places. An empty table gives no rows.
 Columns named `shard` or `slot` in the input are replaced.
 
-`write_shards` does this for whole documents: a narrow table of row hashes is dealt out, documents meet their shard and slot,
-and the files of a shard hold its documents in order of their slots, so that a shard is written by many tasks.
+`write_shards` does this for whole documents: a narrow table of row hashes is dealt out, documents cross one exchange to meet
+their shard and slot, and every task writes a file for each shard it has rows of, in order of their slots. So a shard is
+written by many tasks, and its files are to be merged by `slot`.
 """
 
 from __future__ import annotations
@@ -121,7 +122,7 @@ def write_shards(docs: DataFrame, path: str, shards: int, seed: int = 0) -> None
     dealt = uniform_shards(rows.select("_a", "_b"), ["_a", "_b"], shards, seed)
     one = rows.withColumn("_i", F.row_number().over(Window.partitionBy("_a", "_b").orderBy(F.lit(0)))).filter("_i = 1").drop("_i")
     out = one.join(dealt, ["_a", "_b"]).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "shard", "slot")
-    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    out.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
