@@ -1,11 +1,13 @@
 """Token ids in grammar-compressed files (Re-Pair), readable from any document on.
 
-Documents are put in ascending order of `doc_id` and cut into shards of whole documents. In each shard, the most frequent
-pairs of neighbouring ids are replaced by new symbols, again and again; a pair never reaches over the end of a document.
-A round replaces many pairs at once, chosen so that no id is the first of one pair and the second of another: their
-places never overlap, so it is the same as one replacement after the other. A shard's row keeps the rules (left, right,
-length when expanded), the symbols and how many ids and symbols each document has, so that one document is decoded
-without the rest.
+Documents are put in ascending order of `doc_id` and cut into shards of whole documents. In each shard, frequent pairs of
+neighbouring ids are replaced by new symbols, again and again, until no pair repeats or the two-byte symbols are used up; a
+pair never reaches over the end of a document. A round takes the pairs at least a quarter as frequent as the most frequent
+one, chosen so that no id is the first of one pair and the second of another (a pair of equal ids has its id for
+itself and is counted and replaced from the left of a run on): their places never overlap, so it is the same as one
+replacement after the other. A shard's row keeps the rules (left, right, length when expanded), the symbols and how many ids
+and symbols each document has. Lengths tell where every symbol's ids go, so that one document is decoded from its own symbols
+and the rules that they use.
 
 A null text is an empty one: its only id is the end id. Rows with equal or null ids are kept each (null first). An empty
 table gives no rows. Other columns are ignored.
@@ -25,7 +27,12 @@ from ratelens.llm.tokens import crc32_of, encoder
 SHARD_IDS = 1_000_000
 #: First new symbol; ids of the tokenizer are below.
 BASE = 49_408
-ROUNDS, RULES_PER_ROUND, LEAST_COUNT = 4, 1024, 16
+#: Symbols that two bytes can tell apart: rules stop there.
+SYMBOLS = 1 << 16
+#: A round takes pairs at least one part in so many as frequent as the most frequent one.
+NEAR_TOP = 4
+#: A rule as it is stored.
+RULE = np.dtype([("left", "<u2"), ("right", "<u2"), ("length", "<u4")])
 
 SHARDS = "part int, shard int, doc_ids array<long>, doc_tokens array<long>, doc_symbols array<long>, n_tokens long, rules binary, symbols binary"
 _SHARDS = pa.schema([
@@ -34,91 +41,109 @@ _SHARDS = pa.schema([
 ])
 
 
-def frequent_pairs(ids: np.ndarray, last: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Most frequent pairs within documents, none of which can overlap another. Ties go to the smaller ids."""
-    keys = np.sort((ids[:-1].astype(np.uint64) * np.uint64(size) + ids[1:])[~last[:-1]])
-    if not len(keys):
-        return []
-    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    n = np.diff(np.append(at, len(keys)))
-    often = np.flatnonzero(n >= LEAST_COUNT)
-    often = often[np.lexsort((keys[at[often]], -n[often]))][: 4 * RULES_PER_ROUND]
-    firsts, seconds, out = set(), set(), []
-    for key in keys[at[often]].tolist():
-        a, b = divmod(key, size)
-        if a != b and a not in seconds and b not in firsts:
+def pair_places(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Marks the places of all pairs within documents. In a run of equal ids, every second one from its start."""
+    inside = np.ones(len(ids), bool)
+    inside[ends] = False
+    inside = inside[:-1]
+    equal = np.flatnonzero(inside & (ids[:-1] == ids[1:]))
+    if len(equal):
+        k = np.arange(len(equal))
+        begins = np.concatenate([[True], equal[1:] != equal[:-1] + 1])
+        inside[equal[(k - np.maximum.accumulate(np.where(begins, k, 0))) % 2 == 1]] = False
+    return inside
+
+
+def frequent_pairs(keys: np.ndarray, room: int) -> list[tuple[int, int]]:
+    """Pairs (as two bytes and two bytes) that repeat, none of which can overlap another. Ties go to the smaller ids."""
+    ordered = np.sort(keys)
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    n = np.diff(np.append(at, len(ordered)))
+    often = np.flatnonzero(n >= max(2, int(n.max()) // NEAR_TOP))
+    often = often[np.argsort(-n[often], kind="stable")]
+    firsts, seconds, doubles, out = set(), set(), set(), []
+    for key in ordered[at[often]].tolist():
+        a, b = divmod(key, SYMBOLS)
+        if a in seconds or b in firsts or a in doubles or b in doubles or (a == b and (a in firsts or b in seconds)):
+            continue
+        if a == b:
+            doubles.add(a)
+        else:
             firsts.add(a)
             seconds.add(b)
-            out.append((a, b))
-            if len(out) == RULES_PER_ROUND:
-                break
+        out.append((a, b))
+        if len(out) == room:
+            break
     return out
 
 
-def compress(ids: np.ndarray, last: np.ndarray, base: int = BASE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, end marks and rules. last: marks the last id of each document; rules: rows of (left, right, length)."""
+def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, ends and rules (left, right, length). ends: places of the last id of each document, in order."""
     rules: list[tuple[int, int, int]] = []
-    size = base + ROUNDS * RULES_PER_ROUND
-    length = np.ones(size, np.int64)
-    for _ in range(ROUNDS):
-        pairs = frequent_pairs(ids, last, size)
+    length = np.ones(SYMBOLS, np.int64)
+    ids = ids.astype(np.uint16)
+    while base + len(rules) < SYMBOLS:
+        inside = pair_places(ids, ends)
+        keys = (ids[:-1].astype(np.uint32) << 16) | ids[1:]
+        pairs = frequent_pairs(keys[inside], SYMBOLS - base - len(rules)) if inside.any() else []
         if not pairs:
             break
-        first, second = np.full(size, -1, np.int32), np.full(size, -1, np.int32)
-        lefts, rights = sorted({a for a, _ in pairs}), sorted({b for _, b in pairs})
-        first[lefts], second[rights] = np.arange(len(lefts)), np.arange(len(rights))
-        symbol = np.zeros((len(lefts), len(rights)), np.uint32)
+        chosen = np.array(pairs, np.uint32)
+        left, right = np.zeros(SYMBOLS, bool), np.zeros(SYMBOLS, bool)
+        left[chosen[:, 0]], right[chosen[:, 1]] = True, True
+        places = np.flatnonzero(left[ids[:-1]] & right[ids[1:]] & inside)
+        wanted = (chosen[:, 0] << 16) | chosen[:, 1]
+        order = np.argsort(wanted)
+        found = np.minimum(np.searchsorted(wanted[order], keys[places]), len(wanted) - 1)
+        hit = wanted[order][found] == keys[places]
+        places, found = places[hit], found[hit]
+        new = base + len(rules) + order[found]
         for a, b in pairs:
-            new = base + len(rules)
-            length[new] = length[a] + length[b]
-            rules.append((a, b, int(length[new])))
-            symbol[first[a], second[b]] = new
-        at = np.flatnonzero((first[ids[:-1]] >= 0) & (second[ids[1:]] >= 0) & ~last[:-1])
-        new = symbol[first[ids[at]], second[ids[at + 1]]]
-        at, new = at[new > 0], new[new > 0]
-        ids, last = ids.copy(), last.copy()
-        ids[at], last[at] = new, last[at + 1]
-        keep = np.ones(len(ids), bool)
-        keep[at + 1] = False
-        ids, last = ids[keep], last[keep]
-    return ids, last, np.array(rules, np.int64).reshape(-1, 3)
+            k = base + len(rules)
+            length[k] = length[a] + length[b]
+            rules.append((a, b, int(length[k])))
+        ids[places] = new
+        ids = np.delete(ids, places + 1)
+        ends = ends - np.searchsorted(places + 1, ends, "right")
+    return ids, ends, np.array(rules, RULE)
 
 
 class Decoder:
     """Expands symbols of one shard."""
 
     def __init__(self, rules: np.ndarray, base: int = BASE):
-        flat = [np.arange(base, dtype=np.uint32)]
-        whole: list[np.ndarray] = []
-        for a, b, _ in rules:
-            x, y = (whole[k - base] if k >= base else np.array([k], np.uint32) for k in (a, b))
-            whole.append(np.concatenate([x, y]))
-        self.sizes = np.concatenate([np.ones(base, np.int64), rules[:, 2].astype(np.int64)])
-        self.flat = np.concatenate(flat + whole)
-        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.base, self.left, self.right = base, rules["left"], rules["right"]
+        self.sizes = np.concatenate([np.ones(base, np.int64), rules["length"].astype(np.int64)])
 
     def __call__(self, symbols: np.ndarray) -> np.ndarray:
+        """Ids of the symbols. Each symbol's place is known from the lengths; only rules that occur are looked at."""
         sizes = self.sizes[symbols]
-        ends = np.cumsum(sizes)
-        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[symbols] - (ends - sizes), sizes)]
+        at = np.cumsum(sizes) - sizes
+        out = np.zeros(int(sizes.sum()), np.uint32)
+        while len(symbols):
+            rule = symbols >= self.base
+            out[at[~rule]] = symbols[~rule]
+            at, k = at[rule], symbols[rule].astype(np.int64) - self.base
+            left, right = self.left[k], self.right[k]
+            at = np.concatenate([at, at + self.sizes[left]])
+            symbols = np.concatenate([left, right])
+        return out
 
 
 def decode_document(row: dict, k: int) -> np.ndarray:
-    """Ids of document k of a shard's row, from its own symbols only."""
-    rules, symbols = np.frombuffer(row["rules"], "<u4").reshape(-1, 3), np.frombuffer(row["symbols"], "<u2")
+    """Ids of document k of a shard's row, from its own symbols and the rules that they use."""
+    rules, symbols = np.frombuffer(row["rules"], RULE), np.frombuffer(row["symbols"], "<u2")
     start = sum(row["doc_symbols"][:k])
     return Decoder(rules)(symbols[start : start + row["doc_symbols"][k]])
 
 
 def _shard(part: int, shard: int, doc_ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
     tokens = np.array([len(t) for t in texts], np.int64)
-    last = np.zeros(int(tokens.sum()), bool)
-    last[np.cumsum(tokens) - 1] = True
-    symbols, ends, rules = compress(np.concatenate(texts), last)
-    per_doc = np.diff(np.flatnonzero(ends), prepend=-1)
+    symbols, ends, rules = compress(np.concatenate(texts), np.cumsum(tokens) - 1)
+    per_doc = np.diff(ends, prepend=-1)
     return pa.RecordBatch.from_pydict({
         "part": [part], "shard": [shard], "doc_ids": [doc_ids], "doc_tokens": [tokens.tolist()], "doc_symbols": [per_doc.tolist()],
-        "n_tokens": [int(tokens.sum())], "rules": [rules.astype("<u4").tobytes()], "symbols": [symbols.astype("<u2").tobytes()],
+        "n_tokens": [int(tokens.sum())], "rules": [rules.tobytes()], "symbols": [symbols.astype("<u2").tobytes()],
     }, schema=_SHARDS)
 
 
@@ -154,7 +179,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     def decode(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                ids = Decoder(np.frombuffer(row["rules"], "<u4").reshape(-1, 3))(np.frombuffer(row["symbols"], "<u2"))
+                ids = Decoder(np.frombuffer(row["rules"], RULE))(np.frombuffer(row["symbols"], "<u2"))
                 n = np.array(row["doc_tokens"], np.int64)
                 ends = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays([

@@ -79,6 +79,43 @@ def test_one_document_is_decoded_alone():
         assert repair.decode_document(row, k).tolist() == t.tolist()
 
 
+def slow_expand(symbol, rules):
+    if symbol < repair.BASE:
+        return [symbol]
+    left, right, length = rules[symbol - repair.BASE].tolist()
+    out = slow_expand(left, rules) + slow_expand(right, rules)
+    assert len(out) == length
+    return out
+
+
+@pytest.mark.parametrize("texts", [
+    [[5] * 1000], [[5] * n for n in (1, 2, 3, 4, 7, 8)], [[1, 2, 3] * 400, [1, 2, 3] * 399 + [9]], [list(range(3000))] * 9, [[0, 0, 1, 1, 0, 0, 0, 1] * 50], [[7]],
+    [[i % 3, 8, 8, 8, i % 5] for i in range(60)],
+])
+def test_rules_go_on_until_no_pair_repeats(texts):
+    texts = [np.array(t, np.uint32) for t in texts]
+    row = repair._shard(0, 0, list(range(len(texts))), texts).to_pylist()[0]
+    rules, symbols = np.frombuffer(row["rules"], repair.RULE), np.frombuffer(row["symbols"], "<u2").tolist()
+    assert [len(t) for t in texts] == row["doc_tokens"] and len(symbols) == sum(row["doc_symbols"])
+    left, at = Counter(), 0
+    for k, (t, n) in enumerate(zip(texts, row["doc_symbols"])):
+        own, at = symbols[at : at + n], at + n
+        assert sum((slow_expand(s, rules) for s in own), []) == t.tolist() == repair.decode_document(row, k).tolist()
+        i = 0
+        while i + 1 < n:  # occurrences that do not overlap
+            left[own[i], own[i + 1]] += 1
+            i += 2 if i + 2 < n and own[i] == own[i + 1] == own[i + 2] else 1
+    assert max(left.values(), default=1) == 1
+
+
+def test_rules_end_with_the_symbols_of_two_bytes():
+    rng = np.random.default_rng(2)
+    text = np.tile(rng.permutation(40_000), 2).astype(np.uint32)  # 39,999 pairs occur twice
+    row = repair._shard(0, 0, [1], [text]).to_pylist()[0]
+    assert len(row["rules"]) // repair.RULE.itemsize == repair.SYMBOLS - repair.BASE
+    assert repair.decode_document(row, 0).tolist() == text.tolist()
+
+
 def check_packing(rows, capacity):
     by_seq = defaultdict(list)
     for r in rows:
