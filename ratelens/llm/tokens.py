@@ -18,7 +18,7 @@ from itertools import repeat
 
 import numpy as np
 
-#: Chunks kept per Python worker before the table starts anew (memory bound; results do not depend on it).
+#: Chunks kept per Python worker before those seen in one group of texts only leave (memory bound; results do not depend on it).
 MAX_CHUNKS = 600_000
 #: Texts are worked on in groups of about so many characters.
 GROUP_CHARS = 1_000_000
@@ -46,6 +46,24 @@ class ChunkEncoder:
         self.index: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.sizes, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+        self.seen = np.zeros(1 << 14, np.int64)
+
+    def _shrink(self) -> None:
+        """Keep the chunks that more than one group of texts held, the most often seen if they are many."""
+        at = np.fromiter(self.index.values(), np.int64, len(self.index))
+        floor = max(2, int(np.partition(self.seen[at], -(MAX_CHUNKS // 2))[-(MAX_CHUNKS // 2)]) + 1) if len(at) > MAX_CHUNKS // 2 else 2
+        stay = self.seen[at] >= floor
+        words, at = [w for w, s in zip(self.index, stay.tolist()) if s], at[stay]
+        flat, starts, sizes, seen = self.flat, self.starts[at], self.sizes[at], self.seen[at]
+        self._clear()
+        ends = np.cumsum(sizes)
+        self.used, self.n = int(sizes.sum()), len(at)
+        self.flat = flat[np.arange(self.used) + np.repeat(starts - (ends - sizes), sizes)]
+        self.starts, self.sizes, self.seen = ends - sizes, sizes, np.ones_like(seen)
+        self.index = {w: k for k, w in enumerate(words)}
+        room = max(1 << 16, 2 * self.used) - self.used, max(1 << 14, 2 * self.n) - self.n
+        self.flat = np.concatenate([self.flat, np.zeros(room[0], np.uint32)])
+        self.starts, self.sizes, self.seen = (np.concatenate([x, np.zeros(room[1], np.int64)]) for x in (self.starts, self.sizes, self.seen))
 
     def _add(self, chunks: list[bytes]) -> None:
         words = [c.decode("utf-8") for c in chunks]
@@ -57,7 +75,7 @@ class ChunkEncoder:
         while self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.n + len(chunks) > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+            self.starts, self.sizes, self.seen = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.seen))
         ends = np.cumsum(sizes)
         self.flat[self.used : self.used + len(new)] = new
         self.starts[self.n : self.n + len(chunks)] = self.used + ends - sizes
@@ -97,7 +115,7 @@ class ChunkEncoder:
 
     def _encode_group(self, texts: list[str]) -> Iterator[np.ndarray]:
         if self.n > MAX_CHUNKS:
-            self._clear()
+            self._shrink()
         chunks, ends = [], [0]
         for text in texts:
             chunks += _APART.sub(r" \g<0>", text).encode("utf-8").lower().split()  # ASCII case and white space only
@@ -106,6 +124,7 @@ class ChunkEncoder:
             yield from (np.zeros(0, np.uint32) for _ in texts)
             return
         where = self._where(chunks)
+        self.seen[where] += 1
         sizes = self.sizes[where]
         stops = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[np.arange(stops[-1]) + np.repeat(self.starts[where] - stops[:-1], sizes)]

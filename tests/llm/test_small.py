@@ -61,6 +61,17 @@ def test_ids_are_the_library_s_with_added_tokens_in_the_text():
     assert got == encode_all(texts) * 2 and 49407 in got[0] and 49407 not in got[2]
 
 
+def test_ids_stay_the_same_when_the_table_of_words_is_full(docs, monkeypatch):
+    from ratelens.llm import tokens
+
+    monkeypatch.setattr(tokens, "MAX_CHUNKS", 300)
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 2000)
+    texts = [t for t, *_ in docs.values()][:150] * 2
+    codec = tokens.ChunkEncoder(queries.word_bpe())
+    assert [ids.tolist() for ids in codec.encode_all(texts)] == encode_all(texts)
+    assert codec.n < 3000
+
+
 def test_token_files_of_odd_rows(spark, odd, empty, tmp_path):
     repair.write_shards(odd, f"{tmp_path}/odd", queries.word_bpe())
     got = repair.read_documents(spark, f"{tmp_path}/odd").collect()
