@@ -2,7 +2,7 @@
 
 Documents are put in ascending order of `doc_id` and cut into shards of whole documents. In each shard, frequent pairs of
 neighbouring ids are replaced by new symbols, again and again, until no pair repeats or the two-byte symbols are used up; a
-pair never reaches over the end of a document. A round takes the pairs at least a quarter as frequent as the most frequent
+pair never reaches over the end of a document. A round takes the pairs at least a 32nd as frequent as the most frequent
 one, chosen so that no id is the first of one pair and the second of another (a pair of equal ids has its id for
 itself and is counted and replaced from the left of a run on): their places never overlap, so it is the same as one
 replacement after the other. A shard's row keeps the rules (left, right, length when expanded), the symbols and how many ids
@@ -30,7 +30,7 @@ BASE = 49_408
 #: Symbols that two bytes can tell apart: rules stop there.
 SYMBOLS = 1 << 16
 #: A round takes pairs at least one part in so many as frequent as the most frequent one.
-NEAR_TOP = 4
+NEAR_TOP = 32
 #: A rule as it is stored.
 RULE = np.dtype([("left", "<u2"), ("right", "<u2"), ("length", "<u4")])
 
