@@ -2,14 +2,16 @@
 
 Entities are found by one pattern per kind. All spellings of an entity have one canonical form (the digits of a phone
 number, the lower-case address, the name without its title), and each canonical form gets one surrogate from a keyed hash:
-digits for digits, letters for letters of the same script, names of the same gender and script from name parts. A surrogate is refused
+digits for digits, letters for letters of the same script, names of the same gender and script from name parts. A family name
+has one surrogate, alone after a title and in every full name. A surrogate is refused
 if another entity has it or if it is itself an entity of the corpus; refused entities try again with the next hash. So
 entities that differ stay different, and one entity has one surrogate in all documents. Each spelling is then rebuilt
-with its own format: separators, brackets and capitals stay where they were, card numbers keep a valid or invalid check digit.
+with its own format: separators, brackets and capitals stay where they were, card numbers and
+IBANs keep valid or invalid check digits.
 
 Everything is built-in column functions. Entities are distinct rows keyed by their text, so that a frequent one is one row.
 Null and empty texts stay as they are, and so does every text without an entity. Repeated rows get equal answers. Columns other than the text
-are kept; those named `entities` or `kinds` are replaced.
+are kept, whatever their names; those named `entities` or `kinds` are replaced.
 """
 
 from __future__ import annotations
@@ -71,6 +73,8 @@ HINT_NAME = rf"(?=\p{{Lu}})(?<!{_W})(?:(?:{_TITLE})\.?|{_GIVEN}) \p{{Lu}}"
 _DIGIT_KINDS = ("ssn", "phone", "card")
 #: Attempts before an entity is given up, which ends the job. The share of refusals falls with every one.
 ATTEMPTS = 24
+#: Canonical forms that one task makes surrogates for, about.
+FORMS_A_TASK = 2_000
 
 
 def entities(text: Column) -> Column:
@@ -134,8 +138,15 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, d: a + d) % 10
 
 
-def surrogate(kind: Column, canon: Column, gender: Column, key: str, attempt: int) -> Column:
-    """Candidate for the canonical form of an entity."""
+def _iban_rest(iban: Column) -> Column:
+    """The number of an IBAN (first four characters moved to the end, letters as 10 to 35), modulo 97: 1 for a valid one."""
+    moved = F.split(F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, 1, 4)), "")
+    step = lambda a, c: F.when(c.rlike(r"^\d$"), a * 10 + c.cast("int")).otherwise(a * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(moved, F.lit(0), step)
+
+
+def surrogate(kind: Column, canon: Column, gender: Column, key: str, attempt: int, family: Column | None = None) -> Column:
+    """Candidate for the canonical form of an entity. family: the surrogate of a full name's last word, where it has one."""
     digest = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, canon, F.lit(str(attempt))), 512)
     chars = F.split(canon, "")
     by_class = F.array_join(F.transform(chars, lambda c, i: _same_class(c, _byte(digest, i))), "")
@@ -153,7 +164,11 @@ def surrogate(kind: Column, canon: Column, gender: Column, key: str, attempt: in
     right = F.pmod(F.lit(10) - _luhn(F.concat(body, F.lit("0"))), F.lit(10))
     wrong = F.pmod(right + 1 + F.pmod(_byte(digest, F.lit(59)), F.lit(9)), F.lit(10))
     card = F.concat(body, F.when(_luhn(canon) == 0, right).otherwise(wrong).cast("string"))
-    iban = F.concat(F.substring(canon, 1, 2), F.substring(by_class, F.lit(3), F.length(canon)))
+    # The two check digits of an IBAN are set so that it is valid if the original was, and else are one more than that.
+    account = F.substring(by_class, F.lit(5), F.length(canon))
+    valid = F.lit(98) - _iban_rest(F.concat(F.substring(canon, 1, 2), F.lit("00"), account))
+    check = F.when(_iban_rest(canon) == 1, valid).otherwise(F.when(valid == 98, 2).otherwise(valid + 1))
+    iban = F.concat(F.substring(canon, 1, 2), F.lpad(check.cast("string"), 2, "0"), account)
     secret = F.when(canon.rlike("^[0-9A-Fa-f]+$"), as_hex).otherwise(
         F.concat(F.regexp_extract(canon, "^(AKIA|gh[pousr]_|sk-)?", 0), F.substring(by_class, F.length(F.regexp_extract(canon, "^(AKIA|gh[pousr]_|sk-)?", 0)) + 1, F.length(canon))))
 
@@ -161,10 +176,13 @@ def surrogate(kind: Column, canon: Column, gender: Column, key: str, attempt: in
         return F.get(F.array(*map(F.lit, words)), F.pmod(_byte(digest, F.lit(at)), F.lit(len(words))))
 
     def person(female: tuple, male: tuple, starts: tuple, ends: tuple) -> Column:
-        given = F.when(gender == "f", part(female, 1)).when(gender == "m", part(male, 1)).otherwise(part((*female, *male), 1))
+        def first(at: int) -> Column:
+            return F.when(gender == "f", part(female, at)).when(gender == "m", part(male, at)).otherwise(part((*female, *male), at))
+
+        given = F.concat_ws("-", *[first(1 + 2 * i) for i in range(1 + attempt // 3)])  # more given names, more people of one family
         middle = [F.lower(part(starts, 9 + 2 * i)) for i in range(1 + attempt // 4)]  # more syllables, more names
         surname = F.concat(part(starts, 5), *middle, part(ends, 7))
-        return F.when(canon.contains(" "), F.concat(given, F.lit(" "), surname)).otherwise(surname)
+        return surname if family is None else F.concat(given, F.lit(" "), family)
 
     name = person(FEMALE, MALE, SURNAME_STARTS, SURNAME_ENDS)
     for script, parts in OTHER_SCRIPTS.items():
@@ -188,19 +206,36 @@ def spelled(kind: Column, entity: Column, canon: Column, sur: Column) -> Column:
         F.array_join(F.transform(F.split(local, ""), lambda c, i: F.when(c.rlike(r"^\p{Lu}$"), F.upper(F.substring(sur, i + 1, F.lit(1)))).otherwise(F.substring(sur, i + 1, F.lit(1)))), ""),
         F.substring(sur, F.length(local) + 1, F.length(sur)))
     return (
-        F.when(kind.isin(*_DIGIT_KINDS), digits).when(kind == "iban", spaced).when(kind == "name", F.concat(title, F.initcap(sur)))
+        F.when(kind.isin(*_DIGIT_KINDS), digits).when(kind == "iban", spaced).when(kind == "name", F.concat(title, F.replace(F.initcap(F.replace(sur, F.lit("-"), F.lit("- "))), F.lit("- "), F.lit("-"))))
         .when(kind == "email", mail).otherwise(sur)
     )
 
 
 def surrogates(spellings: DataFrame, key: str) -> DataFrame:
-    """kind, canon and surrogate of every canonical form: surrogates are distinct, and none is an entity of the corpus."""
-    forms = spellings.groupBy("kind", "canon").agg(F.min("gender").alias("gender"))
-    left = forms = materialise(forms, "pii-forms")
-    taken = None
+    """kind, canon and surrogate of every canonical form: surrogates are distinct, and none is an entity of the corpus.
+
+    The last words of full names are forms, too. They get their surrogates first, and full names are built from them.
+    """
+    full = (F.col("kind") == "name") & F.col("canon").contains(" ")
+    last = F.substring_index("canon", " ", -1)
+    families = spellings.filter(full).select("kind", last.alias("canon"), F.lit("n").alias("gender"))
+    forms = spellings.select("kind", "canon", "gender").unionByName(families).groupBy("kind", "canon").agg(F.min("gender").alias("gender"))
+    forms = materialise(forms, "pii-forms")
+    forms = materialise(forms.repartition(-(-forms.count() // FORMS_A_TASK) or 1, "kind", "canon"), "pii-forms")
     real = forms.select("kind", F.col("canon").alias("sur"))
+    alone = _distinct(forms.filter(~full).withColumn("family", F.lit(None).cast("string")), real, key)
+    known = alone.filter("kind = 'name'").select(F.col("canon").alias("_last"), F.col("sur").alias("family"))
+    whole = forms.filter(full).withColumn("_last", last).join(known, "_last").select("kind", "canon", "gender", "family")
+    return alone.unionByName(_distinct(whole, real, key, families=True))
+
+
+def _distinct(forms: DataFrame, real: DataFrame, key: str, families: bool = False) -> DataFrame:
+    """Surrogates of some forms in rounds: refused are those that are in `real` or that another form has."""
+    left = forms = materialise(forms, "pii-left")
+    taken = None
     for attempt in range(ATTEMPTS):
-        tried = left.withColumn("sur", surrogate(F.col("kind"), F.col("canon"), F.col("gender"), key, attempt)).join(real, ["kind", "sur"], "left_anti")
+        sur = surrogate(F.col("kind"), F.col("canon"), F.col("gender"), key, attempt, F.col("family") if families else None)
+        tried = left.withColumn("sur", sur).join(real, ["kind", "sur"], "left_anti")
         if taken is not None:
             tried = tried.join(taken.select("kind", "sur"), ["kind", "sur"], "left_anti")
         one = tried.groupBy("kind", "sur").agg(F.min("canon").alias("canon"))
@@ -214,7 +249,15 @@ def surrogates(spellings: DataFrame, key: str) -> DataFrame:
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows with every entity in `text` replaced; `entities` counts them, `kinds` lists their kinds."""
-    rows = docs.drop("entities", "kinds").withColumn("_found", F.coalesce(entities(F.col(text).cast("string")), F.array().cast("array<string>")))
+    names = [c for c in docs.columns if c not in ("entities", "kinds")]
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    done = _pseudonymise(plain, key, f"c{names.index(text)}")
+    order = [c for c in names if c != text] + [text]
+    return done.select(*[F.col(f"c{names.index(c)}").alias(c) for c in order], "entities", "kinds")
+
+
+def _pseudonymise(docs: DataFrame, key: str, text: str) -> DataFrame:
+    rows = docs.withColumn("_found", F.coalesce(entities(F.col(text).cast("string")), F.array().cast("array<string>")))
     rows = materialise(rows, "pii-rows")  # texts are searched once
     # Entities of each text that has some; equal texts are one row.
     per_text = rows.filter(F.size("_found") > 0).select(F.md5(F.col(text)).alias("_md5"), F.array_distinct("_found").alias("found")).dropDuplicates(["_md5"])

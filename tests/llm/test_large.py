@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ratelens.llm import chat, chosen_path, components, mixing, multi_index, pii, queries
+from ratelens.llm import chat, chosen_path, components, given_names, mixing, multi_index, pii, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -247,6 +247,44 @@ def test_surrogates(spark):
     assert pii.pseudonymise(df.limit(0), key="k").collect() == []
 
 
+def test_a_family_name_has_one_surrogate(spark):
+    texts = ["Mr Taylor met Robert Taylor and Mrs Clara Taylor. Dr Taylor and Martin Ford went.", "Robert Taylor; Ms Ford"]
+    got = [r["text"] for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), key="k").orderBy("doc_id").collect()]
+    a, man, b, woman, c, d, other, ford = re.fullmatch(r"Mr (\w+) met (\w+) (\w+) and Mrs (\w+) (\w+)\. Dr (\w+) and (\w+) (\w+) went\.", got[0]).groups()
+    assert a == b == c == d != ford and "Taylor" not in got[0] + got[1] and "Ford" not in got[0] + got[1]
+    assert man in pii.MALE and other in pii.MALE and woman in pii.FEMALE and got[1] == f"{man} {b}; Ms {ford}"
+
+
+def test_a_large_family_keeps_its_members_apart(spark):
+    given = sorted({*given_names.of("f"), *given_names.of("m")})
+    given = [g for g in given if re.fullmatch("[A-Z][a-z]+", g)]
+    rows = [(i, f"then {g} Miller came") for i, g in enumerate(given)]
+    got = [r["text"] for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()]
+    people = [re.fullmatch(r"then ([\w-]+) (\w+) came", t).groups() for t in got]
+    assert len(given) > 200 and len(set(people)) == len(given) and len({f for _, f in people}) == 1
+
+
+def test_account_numbers_keep_their_check(spark):
+    def rest(iban):
+        return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+    known = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606", "DE88370400440532013000", "GB81WEST12345698765432"]
+    rows = [(i, f"to {x}.") for i, x in enumerate(known)]
+    got = [r["text"][3:-1] for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), key="k").orderBy("doc_id").collect()]
+    plain = [x.replace(" ", "") for x in got]
+    assert [rest(x) == 1 for x in plain] == [True, True, True, False, False] and [x[:2] for x in got] == [x[:2] for x in known]
+    assert not set(got) & set(known) and re.fullmatch(r"GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d", got[1])
+
+
+def test_surrogates_with_clashing_column_names(spark):
+    kind = "doc_id long, text string, _md5 string, _map int, _found int, _between int, kind int, c0 int, entity string, `a.b` int"
+    df = spark.createDataFrame([(1, "Mr Weber", "m", 2, 3, 4, 5, 6, "e", 7), (2, None, "n", 2, 3, 4, 5, 6, "e", 7)], kind)
+    got = {r["doc_id"]: r.asDict() for r in pii.pseudonymise(df, key="k").collect()}
+    for i, md5 in ((1, "m"), (2, "n")):
+        assert [got[i][c] for c in ("_md5", "_map", "_found", "_between", "kind", "c0", "entity", "a.b")] == [md5, 2, 3, 4, 5, 6, "e", 7]
+    assert got[1]["text"].startswith("Mr ") and "Weber" not in got[1]["text"] and got[2]["text"] is None
+
+
 def test_surrogates_are_distinct_when_values_are_few(spark):
     rows = [(i, f"dial +{i % 10}-{i // 10 % 10}{i // 100}-55") for i in range(700)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
