@@ -252,8 +252,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     names = [c for c in docs.columns if c not in ("entities", "kinds")]
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     done = _pseudonymise(plain, key, f"c{names.index(text)}")
-    order = [c for c in names if c != text] + [text]
-    return done.select(*[F.col(f"c{names.index(c)}").alias(c) for c in order], "entities", "kinds")
+    return done.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "entities", "kinds")
 
 
 def _pseudonymise(docs: DataFrame, key: str, text: str) -> DataFrame:
