@@ -28,7 +28,7 @@ from ratelens.plans.views import (
     word_lists,
 )
 from ratelens.session import scratch_path
-from ratelens.sources import record_store, reviews, vectors
+from ratelens.sources import record_store, reviews, split_csv, vectors, versions
 
 _CSV_DATE = "M/d/yyyy H:mm"
 
@@ -42,6 +42,33 @@ def _(spark, sf):
     return reviews.load_reviews(spark, path).withColumns({"text_md5": F.md5("text"), "day": day("date")}).drop("text", "date")
 
 
+@query("csv_split_scan", """SELECT review_id, user_id, business_id, stars, useful, md5(chr(10) || text || chr(10) || '"' || business_id || '",' || chr(10) || chr(10) || 'end') AS text_md5,
+  strftime(date, '%Y-%m-%d') AS day FROM rt""", "rt")
+def _(spark, sf):
+    """Quoted text over several lines, read by splits and not by files."""
+    path = scratch_path(spark, "csv-split")
+    said = F.concat(F.lit("\n"), "text", F.lit('\n"'), "business_id", F.lit('",\n\nend'))
+    out = text_reviews(spark, sf).drop("doc_id").withColumns({"text": said, "date": F.date_format("date", _CSV_DATE)})
+    reviews.write_csv(out, path)
+    got = cleaning.typed_reviews(split_csv.read_split_csv(spark, path, reviews.RAW_REVIEWS), _CSV_DATE)
+    return got.select("review_id", "user_id", "business_id", "stars", "useful", F.md5("text").alias("text_md5"), day("date").alias("day"))
+
+
+@query("store_upserts", """SELECT o_custkey AS customer, max(o_orderkey) AS last_order, 3 AS versions, true AS first_kept FROM orders GROUP BY 1""")
+def _(spark, sf):
+    """The last order of each customer in a versioned table: batches in order of keys, one of them replayed, then compacted."""
+    root = scratch_path(spark, "last-orders")
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderkey").alias("last_order"))
+    middle = orders.agg(F.expr("(min(last_order) + max(last_order)) div 2")).scalar()
+    versions.upsert(orders.filter(F.col("last_order") <= middle), root, "customer", mark=("orders", 0))
+    first = versions.read(spark, root, key="customer", version=1).agg(F.max("last_order")).scalar()
+    for batch in (1, 1):
+        versions.upsert(orders.filter(F.col("last_order") > middle), root, "customer", mark=("orders", batch))
+    last = versions.compact(spark, root, "customer")
+    kept = versions.read(spark, root, key="customer", version=1).agg(F.max("last_order") == first).scalar()
+    return versions.read(spark, root, key="customer").withColumns({"versions": F.lit(last), "first_kept": kept})
+
+
 @query("missing_columns", """SELECT c.column_name, (SELECT count(*) FROM documents) AS n_rows
   FROM (VALUES ('cool'), ('date')) AS c(column_name)""")
 def _(spark, sf):

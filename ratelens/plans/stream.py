@@ -9,7 +9,7 @@ from ratelens.plans.aggregates import _TRUST, _TRUST_COLS
 from ratelens.plans.registry import query, view
 from ratelens.plans.views import rounded, scored_numbers, table, trust_sql
 from ratelens.session import scratch_path
-from ratelens.streaming import refresh
+from ratelens.streaming import day_windows, refresh
 
 
 view("strust", trust_sql("(SELECT *, 1 AS is_topic_outlier FROM rns)"), "rns")
@@ -36,3 +36,20 @@ def _(spark, sf):
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
     refresh.run_daily_counts(stream, f"{path}/state", f"{path}/checkpoint")
     return refresh.read_daily_counts(spark, f"{path}/state")
+
+
+@query("stream_day_windows", """+p AS (SELECT user_id, ts, CASE WHEN hash3 < 2 THEN 3 WHEN ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) THEN 1 ELSE 2 END AS part
+    FROM (SELECT user_id, ts, event_id % 10 AS hash3 FROM events)),
+  m AS (SELECT part, max(max(ts)) OVER (ORDER BY part ROWS UNBOUNDED PRECEDING EXCLUDE CURRENT ROW) AS seen FROM p GROUP BY part),
+  l AS (SELECT user_id, ts::DATE AS day, coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= date_trunc('milliseconds', seen) - INTERVAL 2 DAY, false) AS late FROM p JOIN m USING (part))
+  SELECT user_id, day, count(*) AS n, count(*) FILTER (WHERE late) AS n_late FROM l GROUP BY ALL""".replace("+p", "WITH p", 1))
+def _(spark, sf):
+    """Days close under a watermark of two days; a fifth of the events arrives when most days are closed, and counts as late."""
+    path = scratch_path(spark, "day-windows")
+    ev = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    half = ev.agg((F.unix_micros(F.min("ts")) + (F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 2)).scalar()
+    part = F.when(F.col("event_id") % 10 < 2, 3).when(F.unix_micros("ts") < half, 1).otherwise(2)
+    for k in (1, 2, 3):
+        ev.filter(part == k).select("user_id", "ts").write.mode("append").parquet(f"{path}/in")
+        day_windows.run(lambda: spark.readStream.schema("user_id long, ts timestamp").parquet(f"{path}/in"), path, "2 days")
+    return day_windows.read(spark, path).select("user_id", "day", "n", "n_late")
