@@ -1,6 +1,7 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's documents are put in a keyed random order and cut into blocks. Block k of a source of weight w (of a total of 1) is
+A source's documents are put in a keyed random order and cut into blocks. The size of a block grows with the square root of
+all rows, so that the number of blocks does too (24 million blocks of 4096 for 10^11 documents). Block k of a source of weight w (of a total of 1) is
 released at floor(k / w) and due at ceil((k + 1) / w); in every slot, the released block that is due first is taken. So after
 any number of slots each source is less than one block away from its target. Windows follow from the weights themselves and
 not from slots of a frame, so no rounding adds up.
@@ -27,8 +28,10 @@ from pyspark.sql import functions as F
 from ratelens.llm.common import ranked
 from ratelens.session import materialise, scratch_path
 
-#: Documents per block.
+#: Least number of documents in a block.
 BLOCK = 8
+#: Blocks grow with the square root of the rows: a block holds about one document for so many rows of that root.
+ROOT_SHARE = 64
 #: Blocks that the driver schedules before it writes them.
 FRAME = 1_000_000
 #: A window's end this near to a whole slot, as a share, is that slot: weights are doubles.
@@ -87,6 +90,11 @@ def schedule(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int
         turn += 1
 
 
+def block_size(rows: int) -> int:
+    """Documents per block: the largest power of two that is at most the root of the rows over ROOT_SHARE, but not below BLOCK."""
+    return max(BLOCK, 1 << max(0, (math.isqrt(max(rows, 0)) // ROOT_SHARE).bit_length() - 1))
+
+
 def balanced_weights(docs: DataFrame, source: str = "source", power: float = 0.5) -> DataFrame:
     """Weights (key, weight) that flatten the sizes of the sources: rows to the given power."""
     return docs.groupBy(source_key(F.col(source)).alias("key")).agg(F.pow(F.count(F.lit(1)), F.lit(power)).alias("weight"))
@@ -122,11 +130,11 @@ def block_turns(sources: DataFrame, block: int = BLOCK, frame: int = FRAME) -> D
     return spark.read.schema(kind).parquet(path).join(F.broadcast(names), "source").select("key", "block", "turn")
 
 
-def mix(docs: DataFrame, weights: DataFrame, source: str = "source", key: str = "doc_id", seed: int = 0, block: int = BLOCK, frame: int = FRAME) -> DataFrame:
+def mix(docs: DataFrame, weights: DataFrame, source: str = "source", key: str = "doc_id", seed: int = 0, block: int | None = None, frame: int = FRAME) -> DataFrame:
     """Add `block` (number in its source), `turn` (slot from the start, one source each) and `place` (within the block).
 
     weights: rows (key, weight), key as of source_key; sources that have no weight get the least of the others. Ordering by
-    turn and place gives the mixture.
+    turn and place gives the mixture. block: documents per block, by default as block_size says for all rows.
     """
     kept = [c for c in docs.columns if c not in ("block", "turn", "place")]
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
@@ -137,6 +145,8 @@ def mix(docs: DataFrame, weights: DataFrame, source: str = "source", key: str =
     identity = ["_source", "_order", "_row"]
     narrow = materialise(rows.groupBy(*identity).agg(F.count(F.lit(1)).alias("_copies")), "mixture-rows")
     present = narrow.groupBy(F.col("_source").alias("key")).agg(F.sum("_copies").alias("n"))
+    if block is None:
+        block = block_size(narrow.agg(F.coalesce(F.sum("_copies"), F.lit(0))).first()[0])
     known = present.join(weights.select("key", F.col("weight").cast("double").alias("weight")), "key", "left")
     turns = block_turns(known, block, frame).withColumnRenamed("key", "_source")
     starts = ranked(narrow, ["_source"], "_order", ["_row"], "_first", size="_copies")

@@ -153,6 +153,28 @@ def test_mixture_follows_the_target_weights(spark):
         assert abs(done - 0.14 * (turn + 1)) < 1
 
 
+def test_blocks_grow_with_the_root_of_the_rows():
+    """The driver's schedule grows with the root of the rows, and small tables have small blocks."""
+    assert [mixing.block_size(n) for n in (0, 1, 10_000, 2**20 - 1, 2**20, 10**9, 10**11)] == [8, 8, 8, 8, 16, 256, 4096]
+    for n in (2**20, 10**8, 10**9, 10**10, 10**11, 10**12):
+        assert n / mixing.block_size(n) <= 2 * mixing.ROOT_SHARE * n**0.5
+
+
+def test_mixture_with_grown_blocks(spark, monkeypatch):
+    """Blocks of 16 by the rule: whole, one source a turn, and the last block of a source holds the rest."""
+    monkeypatch.setattr(mixing, "ROOT_SHARE", 4)
+    sizes = {"a": 3001, "b": 1500, "c": 77}
+    rows = [(k * 10_000 + i, s) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(docs, mixing.balanced_weights(docs)).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(d for d, _ in rows)
+    held = Counter((r["source"], r["turn"]) for r in got)
+    assert mixing.block_size(len(rows)) == 16
+    for s, n in sizes.items():
+        assert sorted(c for (x, _), c in held.items() if x == s) == sorted([16] * (n // 16) + [n % 16])
+    assert len({t for _, t in held}) == len(held)
+
+
 def test_mixture_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = queries.op2_pfair_mixture(spark, SF).collect()
