@@ -1,9 +1,9 @@
 """k nearest neighbours by cosine: exact as a partitioned block join, and approximate by neighbour descent.
 
 Exact: vectors are grouped around pivots; the k-th distance found inside a vector's own block bounds its
-search, and the triangle inequality rules out whole cells (after Lu et al. 2012). Blocks are bounded in
-size, hot cells are split, queries are salted, and every block comparison is one matrix product that
-keeps only the k best per query: pairs are never rows. Its work grows faster than the table.
+search, and the triangle inequality rules out whole blocks (after Lu et al. 2012). Blocks are bounded in
+size and hot cells are split. A block is one row of a stored table; tasks read the blocks that they compare, so vectors cross
+one exchange, and of a comparison only the k best per query are rows. Its work grows faster than the table.
 
 Descent (after Dong, Moses & Li 2011): a first graph comes from leaves of random hyperplane trees. Then, round by round,
 the neighbours of a vector and the vectors it is a neighbour of are compared with each other, if one of the two is new
@@ -55,65 +55,115 @@ def _closest(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, limit: np.ndar
     return pd.DataFrame({"id": qid[rows], "neighbour": cid[order[rows, cols]], "similarity": best[rows, cols]})
 
 
+#: Vectors of a block at most, if `block_rows` is not larger; queries of a block that are compared with another one at a time.
+BLOCK_ROWS, QUERY_ROWS = 4096, 512
+
+
+def _own_limits(ids: np.ndarray, u: np.ndarray, k: int) -> np.ndarray:
+    """The similarity of every vector's k-th best neighbour within its block; none (-2) if there are fewer."""
+    limit = np.full(len(ids), -2.0)
+    for low in range(0, len(ids), QUERY_ROWS):
+        sim = u[low : low + QUERY_ROWS] @ u.T
+        sim[ids[low : low + QUERY_ROWS, None] == ids] = -2.0
+        if len(ids) > k:
+            limit[low : low + QUERY_ROWS] = np.partition(sim, -k, axis=1)[:, -k]
+    return limit
+
+
+class _Best:
+    """The k best neighbours of the queries of a block, kept while the block meets others.
+
+    Products in single precision, less the most that they can be off, tell who may be near; these get products in double precision.
+    """
+
+    def __init__(self, ids: np.ndarray, u: np.ndarray, limit: np.ndarray, k: int):
+        self.ids, self.u, self.limit, self.k = ids, u, limit.copy(), k
+        self.short, self.off = u.astype(np.float32), (u.shape[1] + 8) * 2.0**-24
+        self.row, self.near, self.sim = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.waiting: list[tuple] = []
+
+    def meet(self, ids: np.ndarray, u: np.ndarray) -> None:
+        short = np.ascontiguousarray(u.astype(np.float32).T)
+        for low in range(0, len(self.ids), QUERY_ROWS):
+            may = self.short[low : low + QUERY_ROWS] @ short >= (self.limit[low : low + QUERY_ROWS, None] - self.off).astype(np.float32)
+            i, j = np.divmod(np.flatnonzero(may), len(ids))
+            i += low
+            sim = np.einsum("ij,ij->i", self.u[i], u[j])
+            keep = (sim >= self.limit[i] - 1e-12) & (self.ids[i] != ids[j])
+            self.waiting.append((i[keep], ids[j[keep]], sim[keep]))
+        if sum(len(w[0]) for w in self.waiting) > self.k * len(self.ids):
+            self.settle()
+
+    def settle(self) -> None:
+        row, near, sim = (np.concatenate(x) for x in zip((self.row, self.near, self.sim), *self.waiting))
+        order = np.lexsort((near, -sim, row))
+        row, near, sim = row[order], near[order], sim[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        keep, last = place < self.k, place == self.k - 1
+        self.limit[row[last]] = np.maximum(self.limit[row[last]], sim[last])
+        self.row, self.near, self.sim, self.waiting = row[keep], near[keep], sim[keep], []
+
+    def result(self) -> pa.RecordBatch:
+        self.settle()
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[self.row]), pa.array(self.near), pa.array(self.sim)], ["id", "neighbour", "similarity"])
+
+
 def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 15, block_rows: int = 4096, pivots: int | None = None) -> DataFrame:
     """The k most similar other vectors of every vector, ranked; ties by neighbour id.
 
-    Vectors without a direction (null, all zero, or with a component that is null or not finite) take no part.
+    Vectors without a direction (null, all zero, or with a component that is null or not finite) take no part. `block_rows` vectors
+    have a pivot, up to MAX_PIVOTS pivots; with more vectors blocks grow to BLOCK_ROWS.
     """
     base = df.select(F.col(key).cast("long").alias("id"), F.col(vec).alias("v")).filter(has_direction(F.col("v")))
     n = base.count()
     n_pivots = max(1, min(MAX_PIVOTS, pivots or math.ceil(n / block_rows)))
     centre = _unit_rows([r["v"] for r in hash_sample(base, "id", n_pivots).collect()])  # at most MAX_PIVOTS vectors
+    most = max(block_rows, min(BLOCK_ROWS, math.ceil(n / MAX_PIVOTS)))
 
     def place(batches):
         for pdf in batches:
             u = _unit_rows(pdf["v"])
-            d = np.sqrt(np.maximum(2.0 - 2.0 * (u @ centre.T), 0.0))
-            yield pd.DataFrame({"id": pdf["id"], "u": list(u), "d": list(d), "cell": d.argmin(axis=1)})
-
-    placed = materialise(base.mapInPandas(place, "id long, u array<double>, d array<double>, cell int"), "placed-vectors")
-    stats = placed.groupBy("cell").agg(F.count("*").alias("c"), F.max(F.array_min("d")).alias("radius"))
-    stats = stats.withColumn("chunks", F.ceil(F.col("c") / F.lit(block_rows)).cast("int"))
-    blocks = placed.join(F.broadcast(stats.select("cell", "chunks")), "cell").withColumn(  # at most MAX_PIVOTS rows
-        "chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    ).select("id", "u", "d", "cell", "chunk")
-
-    def own(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _closest(pdf, pdf, k, np.full(len(pdf), np.inf))
-
-    first = blocks.select("id", "u", "cell", "chunk").groupBy("cell", "chunk").applyInPandas(
-        own, "id long, neighbour long, similarity double"
-    )
-    bound = first.groupBy("id").agg(F.count("*").alias("m"), F.min("similarity").alias("s")).select(
-        "id", F.when(F.col("m") >= k, F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * F.col("s")))).otherwise(F.lit(3.0)).alias("bound")
-    )
-    cells = stats.agg(F.array_sort(F.collect_list(F.struct("cell", "radius", "chunks"))).alias("x")).scalar()
-    queries = blocks.join(bound, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(3.0))).withColumn("_cells", cells)
-    targets = F.flatten(F.transform(
-        F.filter("_cells", lambda s: F.element_at("d", s["cell"] + 1) - s["radius"] <= F.col("bound") + 1e-9),
-        lambda s: F.transform(F.sequence(F.lit(0), s["chunks"] - 1), lambda j: F.struct(s["cell"].alias("t_cell"), j.alias("t_chunk"))),
-    ))
-    salts = max(1, math.ceil(n / (4 * block_rows)))
-    sent = queries.select(
-        "id", "u", "bound", "cell", "chunk", F.pmod(F.xxhash64(F.col("id"), F.lit(7)), F.lit(salts)).cast("int").alias("salt"),
-        F.inline(targets),
-    ).filter((F.col("t_cell") != F.col("cell")) | (F.col("t_chunk") != F.col("chunk"))).select(
-        F.col("id").alias("id"), F.col("u").alias("u"), "bound", "salt", "t_cell", "t_chunk"
-    )
-    corpus = blocks.select(
-        F.col("id").alias("c_id"), F.col("u").alias("c_u"), F.col("cell").alias("t_cell"), F.col("chunk").alias("t_chunk"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
-    )
-
-    def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({"id": [], "neighbour": [], "similarity": []}).astype({"id": "int64", "neighbour": "int64"})
-        return _closest(q, c.rename(columns={"c_id": "id", "c_u": "u"}), k, q["bound"].to_numpy())
-
-    keys = ["t_cell", "t_chunk", "salt"]
-    rest = sent.groupBy(*keys).cogroup(corpus.groupBy(*keys)).applyInPandas(compare, "id long, neighbour long, similarity double")
+            yield pd.DataFrame({"id": pdf["id"], "u": list(u), "cell": (u @ centre.T).argmax(axis=1)})
+
+    placed = materialise(base.mapInPandas(place, "id long, u array<double>, cell int"), "placed-vectors")
+    chunks = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(most)).cast("int").alias("chunks"))
+    dealt = placed.join(F.broadcast(chunks), "cell").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))  # at most MAX_PIVOTS rows
+
+    def pack(rows: pa.Table) -> pa.Table:
+        ids, u, cell = rows.column("id").to_numpy(), _rows_of(rows, "u"), rows.column("cell")[0].as_py()
+        limit = _own_limits(ids, u, k)
+        away = np.sqrt(np.maximum(2.0 - 2.0 * (u @ centre.T), 0.0))
+        reach = (away - np.sqrt(np.maximum(2.0 - 2.0 * limit, 0.0))[:, None]).min(axis=0)
+        return pa.table({
+            "cell": pa.array([cell], pa.int32()), "chunk": rows.column("chunk")[:1].combine_chunks(), "radius": [float(away[:, cell].max())], "reach": [reach.tolist()],
+            "ids": [ids.tobytes()], "u": [u.tobytes()], "limits": [limit.tobytes()],
+        })
+
+    blocks = dealt.select("id", "u", "cell", "chunk").groupBy("cell", "chunk").applyInArrow(
+        pack, "cell int, chunk int, radius double, reach array<double>, ids binary, u binary, limits binary")
+    blocks = materialise(blocks, "vector-blocks")
+    asked = blocks.select(F.struct("cell", "chunk").alias("block"), "reach", "ids", "u", "limits")
+    others = blocks.select(F.col("cell").alias("c_cell"), "radius", F.col("ids").alias("c_ids"), F.col("u").alias("c_u"))
+    # Blocks are read by the tasks that compare them and are not shuffled.
+    met = asked.join(others.hint("shuffle_replicate_nl"), F.element_at("reach", F.col("c_cell") + 1) <= F.col("radius") + 1e-6)
+
+    def compare(batches):
+        best, block = None, None
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["block"] != block:
+                    if best is not None:
+                        yield best.result()
+                    block, ids = r["block"], np.frombuffer(r["ids"], np.int64)
+                    best = _Best(ids, np.frombuffer(r["u"]).reshape(len(ids), -1), np.frombuffer(r["limits"]), k)
+                ids = np.frombuffer(r["c_ids"], np.int64)
+                best.meet(ids, np.frombuffer(r["c_u"]).reshape(len(ids), -1))
+        if best is not None:
+            yield best.result()
+
+    found = met.select("block", "ids", "u", "limits", "c_ids", "c_u").mapInArrow(compare, "id long, neighbour long, similarity double")
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour"))
-    return first.unionByName(rest).withColumn("rank", rank).filter(F.col("rank") <= k)
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
 #: Vectors of a leaf of the first trees, trees, rounds at most, and the share of new entries below which the lists have settled.

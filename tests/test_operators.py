@@ -198,6 +198,24 @@ def test_neighbours_equal_brute_force_with_a_hot_cell(spark):
     assert [r["neighbour"] for r in got] == want.ravel().tolist()
 
 
+def test_exact_neighbours_shuffle_no_vectors_to_compare_them(spark):
+    """Blocks are read where they are compared: only the best of a comparison cross an exchange. Copies, short lists and repeated pivots count."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 6))
+    x[600:] = x[0]  # more copies than neighbours are asked for
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, v array<double>")
+    found = neighbours.knn_cosine(df, "id", "v", k=3, block_rows=50)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and plan.count("Exchange hashpartitioning(") == 1 and "CoGroup" not in plan
+    got = found.orderBy("id", "rank").collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    sim = u @ u.T
+    np.fill_diagonal(sim, -np.inf)
+    assert [r["similarity"] for r in got] == pytest.approx((-np.sort(-sim, axis=1)[:, :3]).ravel().tolist(), abs=1e-12)
+    assert [r["neighbour"] for r in got if r["id"] == 650] == [0, 600, 601]
+    assert neighbours.knn_cosine(df.limit(2), "id", "v", k=3).count() == 2
+
+
 def test_merging_topics_keeps_every_document(spark):
     w = spark.createDataFrame([(t, term, float((t * 7 + i) % 5)) for t in range(6) for i, term in enumerate("abcdefgh")], "t int, term string, weight double")
     docs = spark.createDataFrame([(i, i % 6) for i in range(60)], "d int, t int")
