@@ -5,11 +5,12 @@ search, and the triangle inequality rules out whole blocks (after Lu et al. 2012
 size and hot cells are split. A block is one row of a stored table; tasks read the blocks that they compare, so vectors cross
 one exchange, and of a comparison only the k best per query are rows. Its work grows faster than the table.
 
-Descent (after Dong, Moses & Li 2011): a first graph comes from leaves of random hyperplane trees. Then, round by round,
+Descent (after Dong, Moses & Li 2011): a first graph comes from leaves of random trees. Then, round by round,
 the neighbours of a vector and the vectors it is a neighbour of are compared with each other, if one of the two is new
-on the list, and whoever finds a better neighbour keeps it. A vector's lists have a fixed width, so the work for a row does
-not depend on the number of rows. Which share of the true neighbours is found depends on the data: `recall` measures it
-against the exact products of some of the rows.
+on the list, and whoever finds a better neighbour keeps it. A vector's lists have a fixed width, so the work of a round does
+not depend on the number of rows. Which share of the true neighbours is found depends on the data, so it is measured on some
+rows against their exact products: trees are added until the share is reached, since a tree moves a vector once and a round
+moves it to all its lists. Rounds follow if the trees were not enough, and more trees after them, until it is reached.
 """
 
 from __future__ import annotations
@@ -166,8 +167,11 @@ def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 15, block_rows: int =
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-#: Vectors of a leaf of the first trees, trees, rounds at most, and the share of new entries below which the lists have settled.
-LEAF, TREES, ROUNDS, SETTLED = 256, 4, 12, 0.001
+#: Vectors of a leaf of the trees, trees that are grown at a time and at most before the lists descend, rounds at most, and the share of
+#: new entries below which the lists have settled.
+LEAF, TREES, MOST_TREES, ROUNDS, SETTLED = 4096, 4, 48, 12, 0.001
+#: Share of the nearest neighbours that is to be found, measured on so many rows; rows from which the splits of trees are taken, at most.
+TARGET, ASKED, SPLIT_SAMPLE = 0.93, 256, 65_536
 #: Better neighbours that one list proposes to each of its members in a round, the best ones. A vector is in many lists.
 OFFERS = 8
 
@@ -179,40 +183,118 @@ def _rows_of(batch, name: str) -> np.ndarray:
 
 
 def _leaf_neighbours(rows: pa.Table, width: int) -> pa.Table:
-    """The best neighbours of every vector of a leaf within it."""
+    """The best neighbours of every vector of a leaf within it, as lists."""
     ids, u = rows.column("id").to_numpy(), _rows_of(rows, "u")
-    sim = u @ u.T
-    np.fill_diagonal(sim, -np.inf)
-    sim[ids[:, None] == ids[None, :]] = -np.inf
-    take = min(width, len(ids) - 1)
-    at = np.argpartition(-sim, take - 1, axis=1)[:, :take] if take else np.zeros((len(ids), 0), np.int64)
-    found = np.take_along_axis(sim, at, axis=1)
-    keep = np.isfinite(found).ravel()
-    return pa.table({"id": np.repeat(ids, take)[keep], "neighbour": ids[at].ravel()[keep], "similarity": found.ravel()[keep].astype(np.float32)})
-
-
-def _first_graph(base: DataFrame, n: int, dims: int, width: int, trees: int, leaf: int, seed: int) -> DataFrame:
-    """Neighbours within the leaves of random hyperplane trees. A crowded leaf is dealt over several by a hash of the id."""
-    depth = max(0, math.ceil(math.log2(max(1, n / leaf))))
-    planes = np.random.default_rng(seed).standard_normal((trees, depth, dims)).astype(np.float32)
+    near, sims, sizes = [], [], []
+    for low in range(0, len(ids), QUERY_ROWS):
+        sim = u[low : low + QUERY_ROWS] @ u.T
+        at = np.arange(low, low + len(sim))
+        sim[at - low, at] = -np.inf
+        take = min(width, len(ids) - 1)
+        best = np.argpartition(sim, len(ids) - take, axis=1)[:, len(ids) - take :] if take else np.zeros((len(sim), 0), np.int64)
+        near.append(ids[best].ravel())
+        sims.append(np.take_along_axis(sim, best, axis=1).ravel())
+        sizes.append(np.full(len(sim), take))
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), pa.int32())
+    return pa.table({"id": ids, "near": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(near))), "sims": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sims)))})
+
+
+def _splits(sample: np.ndarray, leaves: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Planes and cuts of a tree, from the root in order of levels: between two rows of a node, at the node's median."""
+    depth = max(0, math.ceil(math.log2(max(1, leaves))))
+    planes, cuts = np.zeros(((1 << depth) - 1, sample.shape[1]), np.float32), np.zeros((1 << depth) - 1, np.float32)
+    nodes = [np.arange(len(sample))]
+    for k in range(len(planes)):
+        rows = nodes[k]
+        plane = np.subtract(*sample[rng.choice(rows, 2, replace=False)]) if len(rows) > 1 else np.zeros(sample.shape[1], np.float32)
+        if not plane.any():  # copies are parted at random from the others
+            plane = rng.standard_normal(sample.shape[1]).astype(np.float32)
+        along = sample[rows] @ plane
+        planes[k], cuts[k] = plane, np.median(along) if len(rows) else 0.0
+        right = along > cuts[k]
+        nodes += [rows[~right], rows[right]]
+    return planes, cuts
+
+
+def _tree_lists(base: DataFrame, n: int, sample: np.ndarray, width: int, trees: range, leaf: int, seed: int) -> DataFrame:
+    """Lists (id, near, sims) of neighbours within the leaves of random trees. A crowded leaf is dealt over several by a hash of the id."""
+    dims = sample.shape[1]
+    grown = [_splits(sample, min(math.ceil(n / leaf), SPLIT_SAMPLE // 16), np.random.default_rng([seed, t])) for t in trees]
 
     def place(batches):
         for b in batches:
             u = _rows_of(b, "u") if b.num_rows else np.zeros((0, dims), np.float32)
-            for t in range(trees):
-                code = ((u @ planes[t].T > 0) << np.arange(depth, dtype=np.int64)).sum(1) if depth else np.zeros(len(u), np.int64)
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("u"), pa.array(np.full(len(u), t), pa.int32()), pa.array(code, pa.int64())], ["id", "u", "tree", "code"])
+            for t, (planes, cuts) in zip(trees, grown):
+                node = np.zeros(len(u), np.int64)
+                while len(planes) and node.size and node[0] < len(planes):
+                    node = 2 * node + 1 + (np.einsum("ij,ij->i", u, planes[node]) > cuts[node])
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("u"), pa.array(np.full(len(u), t), pa.int32()), pa.array(node, pa.int64())], ["id", "u", "tree", "code"])
 
     placed = base.mapInArrow(place, "id long, u array<float>, tree int, code long")
-    parts = placed.groupBy("tree", "code").agg(F.ceil(F.count(F.lit(1)) / leaf).cast("int").alias("parts"))
+    parts = placed.groupBy("tree", "code").agg(F.ceil(F.count(F.lit(1)) / (2 * leaf)).cast("int").alias("parts"))
     dealt = placed.join(parts, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
-    found = dealt.groupBy("tree", "code", "part").applyInArrow(lambda rows: _leaf_neighbours(rows.select(["id", "u"]), width), "id long, neighbour long, similarity float")
-    return _nearest_of(found.withColumn("old", F.lit(0)), width)
+    return dealt.groupBy("tree", "code", "part").applyInArrow(lambda rows: _leaf_neighbours(rows.select(["id", "u"]), width), "id long, near array<long>, sims array<float>")
+
+
+def _merged_lists(lists: DataFrame, width: int) -> DataFrame:
+    """One list of the best neighbours for every id."""
+
+    def run(batches):
+        for batch in _whole_groups(batches, "id"):
+            of = np.repeat(batch.column("id").to_numpy(), np.diff(batch.column("near").offsets.to_numpy()))
+            near, sims = batch.column("near").flatten().to_numpy(), batch.column("sims").flatten().to_numpy()
+            order = np.lexsort((-sims, near, of))
+            of, near, sims = of[order], near[order], sims[order]
+            keep = np.append(True, (of[1:] != of[:-1]) | (near[1:] != near[:-1]))[: len(of)]
+            of, near, sims = of[keep], near[keep], sims[keep]
+            order = np.lexsort((near, -sims, of))
+            of, near, sims = of[order], near[order], sims[order]
+            keep = np.arange(len(of)) - np.searchsorted(of, of, "left") < width
+            of, near, sims = of[keep], near[keep], sims[keep]
+            ids = np.unique(batch.column("id").to_numpy())
+            ends = pa.array(np.append(np.searchsorted(of, ids, "left"), len(of)), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(ends, pa.array(near)), pa.ListArray.from_arrays(ends, pa.array(sims))], ["id", "near", "sims"])
+
+    return lists.select("id", "near", "sims").repartition("id").sortWithinPartitions("id").mapInArrow(run, "id long, near array<long>, sims array<float>")
+
+
+def _edges_of(lists: DataFrame) -> DataFrame:
+    """Lists as rows (id, neighbour, similarity, rank)."""
+    return lists.select("id", F.posexplode(F.arrays_zip("near", "sims")).alias("p", "e")).select(
+        "id", F.col("e.near").alias("neighbour"), F.col("e.sims").alias("similarity"), (F.col("p") + 1).alias("rank"))
+
+
+class _Probe:
+    """Some rows with the similarity of their k-th nearest among all, to measure lists with."""
+
+    def __init__(self, base: DataFrame, k: int, asked: int):
+        rows = hash_sample(base, "id", asked).select("id", "u").collect()  # at most `asked` vectors
+        ids, u, self.k = np.array([r["id"] for r in rows]), np.array([r["u"] for r in rows], np.float32), k
+        self.off = max(1e-6, u.shape[1] * 2.0**-24)  # what products in single precision can be off
+
+        def meet(batches):
+            best = np.full((len(ids), k), -np.inf, np.float32)
+            for b in batches:
+                if b.num_rows:
+                    sim = u @ _rows_of(b, "u").T
+                    sim[ids[:, None] == b.column("id").to_numpy()] = -np.inf
+                    best = -np.partition(-np.concatenate([best, sim], axis=1), k - 1, axis=1)[:, :k]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, k)), pa.array(best.ravel())], ["id", "s"])
+
+        found = base.mapInArrow(meet, "id long, s float").filter(F.col("s") >= -1.5).groupBy("id").agg(F.slice(F.sort_array(F.collect_list("s"), False), 1, k).alias("s"))
+        self.truth = {r["id"]: (len(r["s"]), r["s"][-1]) for r in found.collect()}  # one row for each that is asked
+        self.ids = base.sparkSession.createDataFrame([(i,) for i in self.truth], "id long")
+
+    def share(self, edges: DataFrame) -> float:
+        hits: dict = {}
+        for r in edges.join(F.broadcast(self.ids), "id").filter(F.col("rank") <= self.k).select("id", "similarity").collect():
+            hits[r["id"]] = hits.get(r["id"], 0) + (r["similarity"] >= self.truth[r["id"]][1] - self.off)
+        return sum(min(n, hits.get(i, 0)) for i, (n, _) in self.truth.items()) / max(1, sum(n for n, _ in self.truth.values()))
 
 
 def _nearest_of(edges: DataFrame, width: int) -> DataFrame:
     """The best entries of every list; an entry that was there before is not new."""
-    one = edges.groupBy("id", "neighbour").agg(F.max("similarity").alias("similarity"), F.max("old").alias("old"))
+    one = edges.repartition("id").groupBy("id", "neighbour").agg(F.max("similarity").alias("similarity"), F.max("old").alias("old"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour"))
     return one.withColumn("rank", rank).filter(F.col("rank") <= width)
 
@@ -279,12 +361,12 @@ def _members(graph: DataFrame, width: int) -> DataFrame:
 
 def knn_descent(
     df: DataFrame, key: str, vec: str, k: int = 15, width: int | None = None, trees: int = TREES, leaf: int = LEAF, rounds: int = ROUNDS,
-    settled: float = SETTLED, seed: int = 0,
+    settled: float = SETTLED, seed: int = 0, target: float = TARGET, most_trees: int = MOST_TREES,
 ) -> DataFrame:
     """k similar other vectors of every vector: id, neighbour, similarity (single precision), rank; ties by neighbour id.
 
-    `width` is the length of the lists that are worked on (three times k by default): longer ones find more. Vectors without a
-    direction take no part; rows that repeat an id count once.
+    `width` is the length of the lists that descend (three times k by default): longer ones find more. `target` is the share of the
+    nearest neighbours to be found, as measured on some rows. Vectors without a direction take no part; rows that repeat an id count once.
     """
     width = max(k, width or 3 * k)
     plain = df.select(F.col(key).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter(F.col("id").isNotNull() & has_direction(F.col("v")))
@@ -302,7 +384,23 @@ def knn_descent(
     one = plain.filter(F.size("v") == dims).groupBy("id").agg(F.min("v").alias("v"))
     base = materialise(one.mapInArrow(scale, "id long, u array<float>"), "unit-vectors")
     n = base.count()
-    graph = materialise(_first_graph(base, n, dims, width, trees, leaf, seed), "descent-graph")
+    probe = _Probe(base, k, ASKED)
+    sample = np.array([r["u"] for r in hash_sample(base, "id", min(SPLIT_SAMPLE, 64 * math.ceil(n / leaf))).collect()], np.float32).reshape(-1, dims)
+
+    def planted(lists: DataFrame | None, low: int) -> tuple[DataFrame, bool]:
+        """Lists after further trees, at most `most_trees`, and whether the target is met. A single leaf holds all neighbours there are."""
+        met, end = False, low + max(1, most_trees) if n > leaf else low + 1
+        while low < end and not met:
+            high = min(end, low + trees)
+            grown = _tree_lists(base, n, sample, k, range(low, high), leaf, seed)
+            lists = materialise(_merged_lists(grown if lists is None else grown.unionByName(lists), k), "tree-lists")
+            low, met = high, n <= leaf or probe.share(_edges_of(lists)) >= target
+        return lists, met
+
+    lists, met = planted(None, 0)
+    if met:
+        return _edges_of(lists)
+    graph = _edges_of(lists).withColumn("old", F.lit(0))
     for _ in range(rounds):
         worst = graph.groupBy("id").agg(F.when(F.count(F.lit(1)) >= width, F.min("similarity")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
         members = _members(graph, width).join(worst, "id", "left").join(base, "id").withColumn("worst", F.coalesce("worst", F.lit(-2.0).cast("float")))
@@ -310,8 +408,14 @@ def knn_descent(
         kept = graph.select("id", "neighbour", "similarity", F.lit(1).alias("old"))
         graph = materialise(_nearest_of(kept.unionByName(found), width), "descent-graph")
         new = graph.agg(F.sum(1 - F.col("old"))).first()[0] or 0
-        if new <= settled * n * width:
+        if new <= settled * n * width or probe.share(graph) >= target:
             break
+    done, met = most_trees, probe.share(graph) >= target
+    while not met:  # what settled too early gets more trees; each finds a share of what is missing
+        ordered = F.array_sort(F.collect_list(F.struct("rank", "neighbour", "similarity")))
+        lists = graph.groupBy("id").agg(ordered.alias("e")).select("id", F.col("e.neighbour").alias("near"), F.col("e.similarity").alias("sims"))
+        lists, met = planted(lists, done)
+        graph, done = _edges_of(lists), done + most_trees
     return graph.filter(F.col("rank") <= k).select("id", "neighbour", "similarity", "rank")
 
 

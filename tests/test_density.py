@@ -29,6 +29,29 @@ def test_descent_finds_the_neighbours(spark):
         assert neighbours._members(got.withColumn("old", F.lit(0)), 30).groupBy("list").count().agg(F.max("count")).first()[0] <= 61
 
 
+def test_lists_reach_the_recall_where_descent_alone_does_not(spark):
+    """Evenly spread vectors of many dimensions: lists settle short of the target, so more trees are grown, with or without rounds."""
+    rng = np.random.default_rng(3)
+    df = vectors(spark, rng.standard_normal((3000, 48)))
+    for most, rounds in ((64, 0), (2, 1)):
+        got = neighbours.knn_descent(df, "id", "v", k=5, width=5, trees=2, leaf=256, rounds=rounds, most_trees=most)
+        assert neighbours.recall(got, df, "id", "v", F.col("id") % 10 == 0, k=5).first()["recall"] >= 0.9
+        assert got.groupBy("id").count().filter("count = 5").count() == 3000
+
+
+def test_trees_part_rows_evenly_and_merge_lists(spark):
+    """A tree's leaves stay near their size when all vectors lie in one narrow cone; a vector crosses one exchange a tree, as one list does."""
+    rng = np.random.default_rng(4)
+    x = (10 + rng.standard_normal((2000, 12))).astype(np.float32)
+    planes, cuts = neighbours._splits(x[:500], 8, rng)
+    node = np.zeros(len(x), np.int64)
+    for _ in range(3):
+        node = 2 * node + 1 + (np.einsum("ij,ij->i", x, planes[node]) > cuts[node])
+    assert np.bincount(node, minlength=15)[7:].min() > 150
+    lists = spark.createDataFrame([(1, [2, 3], [0.5, 0.4]), (1, [4, 2], [0.9, 0.5]), (7, [], [])], "id long, near array<long>, sims array<float>")
+    assert {r["id"]: r["near"] for r in neighbours._merged_lists(lists, 2).collect()} == {1: [4, 2], 7: []}
+
+
 def test_descent_equals_exact_on_a_small_table(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((40, 5))
