@@ -1,9 +1,10 @@
 """CSV files with quoted text over several lines, read by as many tasks as a file has splits.
 
 Lines come from Spark's text source, which cuts a file at any line. Whether a line begins inside quotes is the parity of the
-quote characters before it in its file (a doubled quote counts twice and changes nothing). So quotes are counted per split,
-added up over the splits of a file (one row each), and then line by line inside a split. Lines of one record are put together
-inside their split; only the records that cross the border of two splits are joined over an exchange of their own.
+quote characters before it in its file (a doubled quote counts twice and changes nothing). A split is cut again into pieces of
+a bounded number of lines, so that the exchange that orders lines deals pieces and not whole splits. Quotes are counted per piece,
+added up over the pieces of a file (one row each), and then line by line inside a piece. Lines of one record are put together
+inside their piece; only the records that cross the border of two pieces are joined over an exchange of their own.
 """
 
 from __future__ import annotations
@@ -13,12 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SPLIT = ["file", "split"]
+#: Lines of a piece.
+PIECE_LINES = 8192
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (file, split, at, line, quotes): lines of all files; `at` orders those of one split."""
+    """Rows (file, split, at, line, quotes): lines of all files by pieces of their splits; `at` orders those of one piece."""
+    at = F.monotonically_increasing_id()  # the number of a task over that of its line, in 33 bits
+    piece = F.floor(at.bitwiseAND((1 << 33) - 1) / PIECE_LINES).cast("long")
     return spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("start"), piece.alias("piece")).alias("split"), at.alias("at"),
         F.col("value").alias("line"), (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
     )
 
@@ -30,7 +35,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     that is never closed makes the rest of its file one record, as for any reader.
     """
     lines = _lines(spark, path)
-    # Quotes and record starts of a split, the latter for either state at its first line.
+    # Quotes and record starts of a piece, the latter for either state at its first line.
     inside = Window.partitionBy(*_SPLIT).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     odd = F.coalesce(F.sum("quotes").over(inside), F.lit(0)) % 2
     blank = F.col("line").isin("", "\r")
@@ -48,7 +53,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     numbered = placed.withColumn("number", F.col("first") + F.sum(begins.cast("long")).over(upto) - 1)
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n")
     parts = numbered.groupBy(*_SPLIT, "number", "first").agg(whole.alias("text"), F.sum("quotes").alias("quotes"))
-    # A part is a whole record if it begins in its split and its quotes are closed there.
+    # A part is a whole record if it begins in its piece and its quotes are closed there.
     complete = (F.col("number") >= F.col("first")) & (F.col("quotes") % 2 == 0)
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("split", "text"))), lambda x: x["text"]), "\n")
     crossing = parts.filter(~complete).groupBy("file", "number").agg(joined.alias("text"))

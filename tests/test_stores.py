@@ -64,6 +64,17 @@ def test_records_keep_their_order(spark, small_splits, tmp_path):
     assert got == ["h,t", *rows]
 
 
+def test_a_split_is_ordered_in_pieces(spark, tmp_path, monkeypatch):
+    """No group of lines that one task sorts is larger than a piece, however large the split; records cross pieces."""
+    monkeypatch.setattr(split_csv, "PIECE_LINES", 7)
+    rows = [f'{i},"{"y" * (i % 50)}' + "\n" * (i % 19) + f'{i}"' for i in range(300)]
+    folder = one_file(tmp_path, "h,t\n" + "\n".join(rows) + "\n")
+    lines = split_csv._lines(spark, folder)
+    assert lines.rdd.getNumPartitions() < 10 and lines.groupBy("file", "split").count().agg({"count": "max"}).first()[0] == 7
+    got = [r["record"] for r in split_csv.read_records(spark, folder).orderBy("number").collect()]
+    assert got == ["h,t", *rows]
+
+
 def test_versions_replace_add_and_refuse(spark):
     root = scratch_path(spark, "table")
 
