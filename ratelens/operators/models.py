@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.clustering import LDA, BisectingKMeans
-from pyspark.ml.feature import PCA, CountVectorizer, CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import PCA, Bucketizer, CountVectorizer, CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,10 @@ from ratelens.operators.terms import vocabulary
 from ratelens.session import materialise
 
 
+#: Buckets of a feature, as many as boosted trees tell apart.
+BUCKETS = 32
+
+
 def assemble(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     cast = df.withColumns({f"_f_{c}": F.col(c).cast("double") for c in columns})
     return VectorAssembler(inputCols=[f"_f_{c}" for c in columns], outputCol="features").transform(cast).drop(
@@ -33,25 +38,70 @@ def is_degenerate(features: DataFrame, label: str = "suspicious_label") -> bool:
     return low == high
 
 
+@dataclass(frozen=True)
+class SuspicionModel:
+    """Boosted trees over the numbers of the buckets that the features are in."""
+
+    buckets: Bucketizer
+    trees: GBTClassificationModel
+
+    @property
+    def featureImportances(self):
+        return self.trees.featureImportances
+
+
+def feature_buckets(df: DataFrame, columns: Sequence[str] = FEATURES) -> Bucketizer:
+    """Buckets of every feature: one for each value if there are few, else between its quantiles, as boosted trees cut it themselves."""
+    plain = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    sizes = plain.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    few, many = [c for c in columns if sizes[c] <= BUCKETS], [c for c in columns if sizes[c] > BUCKETS]
+    borders = {}
+    if few:  # at most about BUCKETS values each
+        values = plain.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in few]).first()
+        borders |= {c: values[c][1:] for c in few}
+    if many:
+        borders |= dict(zip(many, plain.approxQuantile(many, [k / BUCKETS for k in range(1, BUCKETS)], 0.001)))
+    splits = [[-float("inf"), *(sorted(set(borders[c])) or [0.0]), float("inf")] for c in columns]
+    return Bucketizer(splitsArray=splits, inputCols=[f"_d_{c}" for c in columns], outputCols=[f"_b_{c}" for c in columns])
+
+
+def _in_buckets(df: DataFrame, buckets: Bucketizer, columns: Sequence[str]) -> DataFrame:
+    cast = df.withColumns({f"_d_{c}": F.col(c).cast("double") for c in columns})
+    return buckets.transform(cast).drop(*[f"_d_{c}" for c in columns])
+
+
+def bucketed_rows(features: DataFrame, buckets: Bucketizer, columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Rows whose features are in the same buckets, with one label, as one row with their number as weight."""
+    placed = _in_buckets(features, buckets, columns)
+    return placed.groupBy(*[f"_b_{c}" for c in columns], F.col("suspicious_label").cast("double").alias("label")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
 def fit_suspicion(features: DataFrame, rounds: int = GBT_ROUNDS, depth: int = GBT_DEPTH, step: float = GBT_STEP,
-                  seed: int = SEED) -> GBTClassificationModel:
-    """Boosted trees on the nine features. The label is a function of two of them: accuracy is circular."""
-    data = assemble(features).select("features", F.col("suspicious_label").cast("double").alias("label"))
-    return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed).fit(data)
+                  seed: int = SEED) -> SuspicionModel:
+    """Boosted trees on the nine features. The label is a function of two of them: accuracy is circular.
+
+    Trees see buckets only, so rows that are alike in them are fitted as one with a weight: rounds work on as many rows as there are
+    combinations of buckets, however many there were.
+    """
+    buckets = feature_buckets(features)
+    rows = materialise(bucketed_rows(features, buckets), "bucketed-features")
+    data = VectorAssembler(inputCols=[f"_b_{c}" for c in FEATURES], outputCol="features").transform(rows).select("features", "label", "weight")
+    return SuspicionModel(buckets, GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, weightCol="weight").fit(data))
 
 
-def score_suspicion(features: DataFrame, model: GBTClassificationModel | None) -> DataFrame:
+def score_suspicion(features: DataFrame, model: SuspicionModel | None) -> DataFrame:
     """Add suspicion_score: the model's probability, or the label when there is no model."""
     if model is None:
         return label_as_score(features)
-    scored = model.transform(assemble(features))
-    return scored.withColumn("suspicion_score", F.get(vector_to_array("probability"), F.lit(1))).withColumn(
+    names = [f"_b_{c}" for c in FEATURES]
+    placed = VectorAssembler(inputCols=names, outputCol="features").transform(_in_buckets(features, model.buckets, FEATURES)).drop(*names)
+    return model.trees.transform(placed).withColumn("suspicion_score", F.get(vector_to_array("probability"), F.lit(1))).withColumn(
         "predicted", F.col("prediction").cast("int")
     ).drop("features", "rawPrediction", "probability", "prediction")
 
 
 def fit_and_score(features: DataFrame, rounds: int = GBT_ROUNDS, depth: int = GBT_DEPTH
-                  ) -> tuple[DataFrame, GBTClassificationModel | None, DataFrame | None]:
+                  ) -> tuple[DataFrame, SuspicionModel | None, DataFrame | None]:
     """Fit on the training part, score every row, measure on the test part.
 
     The features are written once first: fitting takes several passes, and none should score text again.
@@ -66,7 +116,7 @@ def fit_and_score(features: DataFrame, rounds: int = GBT_ROUNDS, depth: int = GB
     return scored, model, metrics
 
 
-def feature_importance(scored: DataFrame, model: GBTClassificationModel, columns: Sequence[str] = FEATURES) -> DataFrame:
+def feature_importance(scored: DataFrame, model: SuspicionModel, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Importances as rows, largest first, next to the number of rows they were fitted on."""
     pairs = [F.struct(F.lit(c).alias("feature"), F.lit(float(v)).alias("importance"))
              for c, v in zip(columns, model.featureImportances.toArray())]

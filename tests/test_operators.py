@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratelens.functions.sentiment import Rules
-from ratelens.operators import cleaning, distributions, features, lookups, neighbours, profile, records, sampling, scoring, topics
+from ratelens.operators import cleaning, distributions, features, lookups, models, neighbours, profile, records, sampling, scoring, topics
 from ratelens.session import scratch_path
 from ratelens.sources import record_store, reviews
 from ratelens.streaming import refresh
@@ -216,6 +216,24 @@ def test_exact_neighbours_shuffle_no_vectors_to_compare_them(spark):
     assert neighbours.knn_cosine(df.limit(2), "id", "v", k=3).count() == 2
 
 
+def test_trees_are_fitted_on_weighted_buckets(spark):
+    """More rows of the same kinds are more weight and no more rows, and give the same scores; rare values of a feature are told apart."""
+    rows = spark.range(3000).select(
+        (F.col("id") % 5 + 1).cast("int").alias("stars"), (F.col("id") % 7).cast("int").alias("useful"), F.lit(0).alias("funny"), (F.col("id") % 200 == 0).cast("int").alias("cool"),
+        (F.col("id") % 11).cast("int").alias("review_length_words"), (F.col("id") * 37 % 101 / 50.0 - 1).alias("vader_compound"),
+        (F.col("id") * 13 % 997 / 500.0).alias("sentiment_star_divergence"), (F.col("id") % 3).cast("int").alias("topic_id"), F.lit(0).alias("is_topic_outlier"))
+    rows = rows.withColumn("suspicious_label", ((F.col("sentiment_star_divergence") > 1.0) | (F.col("cool") == 1)).cast("int")).persist()
+    more = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(4)))).drop("copy")
+    once, often = models.feature_buckets(rows), models.feature_buckets(more)
+    a, b = models.bucketed_rows(rows, once), models.bucketed_rows(more, once)
+    assert once.getSplitsArray()[3][1:-1] == [1.0] and len(often.getSplitsArray()[6]) <= models.BUCKETS + 1
+    assert b.count() == a.count() <= 3000 and b.agg(F.sum("weight")).first()[0] == 4 * a.agg(F.sum("weight")).first()[0] == 12000
+    model = models.fit_suspicion(more, rounds=10, depth=3)
+    scored = models.score_suspicion(rows, model)
+    assert set(scored.columns) == {*rows.columns, "suspicion_score", "predicted"} and scored.filter(F.col("predicted") != F.col("suspicious_label")).count() <= 90
+    assert scored.filter("cool = 1 and predicted = 1").count() == 15 and abs(sum(model.featureImportances.toArray()) - 1) < 1e-9
+
+
 def test_merging_topics_keeps_every_document(spark):
     w = spark.createDataFrame([(t, term, float((t * 7 + i) % 5)) for t in range(6) for i, term in enumerate("abcdefgh")], "t int, term string, weight double")
     docs = spark.createDataFrame([(i, i % 6) for i in range(60)], "d int, t int")
