@@ -17,11 +17,15 @@ from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks kept per Python worker before those seen in one group of texts only leave (memory bound; results do not depend on it).
 MAX_CHUNKS = 600_000
 #: Texts are worked on in groups of about so many characters.
 GROUP_CHARS = 1_000_000
+#: New chunks that the tokenizer gets at a time: long strings cost it more a word.
+ADD_CHUNKS = 1000
 #: Longer chunks are encoded but not kept.
 LONG_CHUNK = 64
 
@@ -80,20 +84,17 @@ class ChunkEncoder:
         self.flat[self.used : self.used + len(new)] = new
         self.starts[self.n : self.n + len(chunks)] = self.used + ends - sizes
         self.sizes[self.n : self.n + len(chunks)] = sizes
-        for k, c in enumerate(chunks):
-            self.index[c] = self.n + k
+        self.index.update((c, k) for k, c in enumerate(chunks, self.n) if len(c) <= LONG_CHUNK)
         self.used, self.n = self.used + len(new), self.n + len(chunks)
 
     def _where(self, chunks: list[bytes]) -> np.ndarray:
-        """Table position of every chunk; unknown ones are encoded first."""
+        """Table position of distinct chunks; unknown ones are encoded first."""
         at = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
         missed = np.flatnonzero(at < 0)
-        if len(missed):
-            self._add(list(dict.fromkeys(chunks[i] for i in missed)))
-            at[missed] = [self.index[chunks[i]] for i in missed]
-            for c in {chunks[i] for i in missed}:
-                if len(c) > LONG_CHUNK:
-                    del self.index[c]
+        for low in range(0, len(missed), ADD_CHUNKS):
+            some, n = missed[low : low + ADD_CHUNKS], self.n
+            self._add([chunks[i] for i in some.tolist()])
+            at[some] = np.arange(n, self.n)
         return at
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
@@ -116,20 +117,18 @@ class ChunkEncoder:
     def _encode_group(self, texts: list[str]) -> Iterator[np.ndarray]:
         if self.n > MAX_CHUNKS:
             self._shrink()
-        chunks, ends = [], [0]
-        for text in texts:
-            chunks += _APART.sub(r" \g<0>", text).encode("utf-8").lower().split()  # ASCII case and white space only
-            ends.append(len(chunks))
-        if not chunks:
-            yield from (np.zeros(0, np.uint32) for _ in texts)
-            return
-        where = self._where(chunks)
-        self.seen[where] += 1
+        lowered = [_APART.sub(r" \g<0>", text).encode("utf-8").lower() for text in texts]  # ASCII case and white space only
+        chunks = pc.ascii_split_whitespace(pa.array(lowered, pa.large_binary()).cast(pa.large_string()))
+        ends, named = chunks.offsets.to_numpy(), chunks.flatten().dictionary_encode()
+        known = self._where(named.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist())
+        self.seen[known] += 1
+        where = known[named.indices.to_numpy()]
         sizes = self.sizes[where]
         stops = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[np.arange(stops[-1]) + np.repeat(self.starts[where] - stops[:-1], sizes)]
-        for a, b in zip(ends, ends[1:]):
-            yield ids[stops[a] : stops[b]]
+        borders = stops[ends].tolist()
+        for a, b in zip(borders, borders[1:]):
+            yield ids[a:b]
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -139,6 +138,11 @@ def encoder(path: str) -> ChunkEncoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Drop what this Python worker has kept: other work calls it, as workers are shared and a full table is large."""
+    _ENCODERS.clear()
+
+
 def crc32_of(ids: np.ndarray) -> int:
     """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(ids.astype("<u4", copy=False).tobytes())

@@ -72,6 +72,27 @@ def test_ids_stay_the_same_when_the_table_of_words_is_full(docs, monkeypatch):
     assert codec.n < 3000
 
 
+def test_new_words_go_to_the_tokenizer_once_and_in_small_pieces(docs, monkeypatch):
+    from ratelens.llm import tokens
+
+    monkeypatch.setattr(tokens, "ADD_CHUNKS", 40, raising=False)
+    codec, sent = tokens.ChunkEncoder(queries.word_bpe()), []
+    monkeypatch.setattr(codec, "_add", lambda chunks, add=codec._add: (sent.append(list(chunks)), add(chunks)))
+    texts = ["", None, " \t\n ", " a  b\x0b", "a\x1cb c\u00a0d", "x" * 300, *[t for t, *_ in docs.values()][:60]]
+    assert [ids.tolist() for ids in codec.encode_all(texts)] == encode_all(texts)
+    words = [w for some in sent for w in some]
+    assert max(map(len, sent)) <= 40 < len(words) == len(set(words))
+
+
+def test_other_work_drops_the_table_of_words():
+    from ratelens.llm import chosen_path, langid, tokens
+
+    for operator in (chosen_path, langid):
+        assert tokens.encoder(queries.word_bpe()) is tokens.encoder(queries.word_bpe())
+        operator.forget()
+        assert not tokens._ENCODERS
+
+
 def test_token_files_of_odd_rows(spark, odd, empty, tmp_path):
     repair.write_shards(odd, f"{tmp_path}/odd", queries.word_bpe())
     got = repair.read_documents(spark, f"{tmp_path}/odd").collect()
