@@ -27,10 +27,12 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.llm.components import components
+from ratelens.llm.tokens import forget
 from ratelens.session import materialise
 
 WORDS = 5
@@ -44,6 +46,8 @@ SMALL = 256
 BLOCK, LEVELS = 1024, 4
 #: Likeness at which pairs have parted at the last depth.
 FAR = 0.5
+#: At most so many ids are sent to the rows they select, which then stay where they are.
+FEW_IDS = 1_000_000
 #: Sketches propose a pair if they agree on the threshold less this share: four standard errors of 128 tokens.
 SLACK = 0.14
 
@@ -110,23 +114,25 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return (_mix(out) >> np.uint64(33)).astype(np.int32)
 
 
-def _groups(texts: list, chars: int = 2_000_000):
+def _groups(texts: pa.Array, size: int = 2_000_000):
+    """Texts of a batch in groups of about so many bytes: where a group starts, and its texts."""
     low, total = 0, 0
-    for i, t in enumerate(texts):
-        total += len(t or "")
-        if total >= chars:
-            yield low, texts[low : i + 1]
+    for i, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
+        total += n
+        if total >= size:
+            yield low, texts.slice(low, i + 1 - low).to_pylist()
             low, total = i + 1, 0
     if low < len(texts):
-        yield low, texts[low:]
+        yield low, texts.slice(low).to_pylist()
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, a digest of the set (two numbers) and its sketch (null for an empty set)."""
 
     def run(batches):
+        forget()
         for batch in batches:
-            for low, texts in _groups(batch.column("text").to_pylist()):
+            for low, texts in _groups(batch.column("text")):
                 sets = shingle_sets(texts)
                 ones = [(len(s), *((_mix(s).sum(), _mix(s * _M[1]).sum()) if len(s) else (0, 0))) for s in sets]
                 n, x, y = zip(*ones)
@@ -140,18 +146,24 @@ def signatures(docs: DataFrame) -> DataFrame:
     return plain.mapInArrow(run, "doc_id long, n_shingles long, x long, y long, sketch array<int>")
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Full sets (id, items) of the documents of some pairs."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows with one of the ids. Few ids are sent to the rows, so that texts and sketches of the others are not moved."""
+    ids = materialise(ids.select("id").distinct(), "wanted-ids")
+    few = ids.count() <= FEW_IDS
+    return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Full sets (id, items) of some documents."""
 
     def run(batches):
         for batch in batches:
-            for low, texts in _groups(batch.column("text").to_pylist()):
+            for low, texts in _groups(batch.column("text")):
                 sets = [s.view(np.int64) for s in shingle_sets(texts)]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(low, len(texts)), pa.array(sets, pa.list_(pa.int64()))], ["id", "items"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return plain.join(ids, "id", "left_semi").mapInArrow(run, "id long, items array<long>")
+    return _only(plain, ids).mapInArrow(run, "id long, items array<long>")
 
 
 def _chosen(node: Column, level: int, threshold: float) -> Column:
@@ -288,8 +300,7 @@ def _settle(groups: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                 up[root(comp[x])] = root(comp[y])
         return pa.RecordBatch.from_arrays([pa.array([p[0] for p in got], pa.int64()), pa.array([p[1] for p in got], pa.int64())], ["a", "b"])
 
-    whose = groups.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    sets = materialise(_sets_of(docs, whose), "group-sets")
+    sets = materialise(_sets_of(docs, groups), "group-sets")
     ordered = groups.join(sets, "id").select("node", "part", "asks", "id", "n", "comp", "sketch", "items").repartition("node", "part").sortWithinPartitions("node", "part", "id")
     return ordered.mapInArrow(lambda batches: _by_group(batches, work), "a long, b long")
 
@@ -311,7 +322,7 @@ def _centres(large: DataFrame, threshold: float) -> DataFrame:
 
 def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the threshold: 100 * intersection >= percent * union."""
-    sets = materialise(_sets_of(docs, pairs), "full-sets")
+    sets = materialise(_sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id"))), "full-sets")
     left = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("right")), "b")
     both = left.join(sets.select(F.col("id").alias("a"), F.col("items").alias("left")), "a")
     common = F.size(F.array_intersect("left", "right"))
@@ -349,9 +360,10 @@ def _grow(reps: DataFrame, docs: DataFrame, low: int, high: int, depth: int, com
         per = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"))
         stats = per.groupBy("node").agg(F.sum("c").alias("members"), F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
         stats = stats.select("node", "members", F.col("m.c").alias("largest"), F.col("m.comp").alias("top"))
-        open_ = materialise(rows.join(stats, "node").join(reps, "id"), "open-nodes")
+        open_ = materialise(rows.join(stats, "node"), "open-ids")
         if open_.isEmpty():
             break
+        open_ = materialise(open_.join(_only(reps, open_), "id"), "open-nodes")
         descends = (F.col("members") > small) & (F.col("members") - F.col("largest") > small) & ~F.col("seen") & F.lit(level < depth)
         many, again = open_.filter(descends), open_.filter("seen")
         visited = materialise(_propose(_groups_of(open_.filter(~descends & ~F.col("seen")), small), threshold), "visited-nodes")

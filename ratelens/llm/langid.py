@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.llm.common import ranked
+from ratelens.llm.tokens import forget
 
 #: The model's sample: so many documents per language (those with the smallest hash of their id), and of each of them at
 #: most so many characters, from its middle. The only bound in this operator; prediction reads whole texts.
@@ -64,6 +65,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], margin: float = MARGIN) -
     def run(batches):
         import zstandard
 
+        forget()
         codecs = []
         for name in names:
             words = zstandard.ZstdCompressionDict(model[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
