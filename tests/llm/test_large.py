@@ -84,15 +84,18 @@ def test_large_nodes_branch_and_lose_no_component(spark):
 def test_texts_and_sketches_stay_where_they_are(spark, monkeypatch):
     texts = near_copies(60, 5) + [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(40)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = []
-    for few in (1_000_000, 0):
-        monkeypatch.setattr(chosen_path, "FEW_IDS", few, raising=False)
-        sets = chosen_path._sets_of(docs, docs.filter("doc_id < 5").select(F.col("doc_id").alias("id")))
-        plan = sets._jdf.queryExecution().executedPlan().toString()
-        assert ("Exchange hashpartitioning" in plan) == (few == 0)
-        assert sorted(r["id"] for r in sets.collect()) == [0, 1, 2, 3, 4]
-        got.append({r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(docs, small=12).collect()})
-    assert got[0] == got[1] == {d: c for d, (_, c) in slow_components(dict(enumerate(texts)), 80).items()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for few in (1_000_000, 0):
+            monkeypatch.setattr(chosen_path, "FEW_IDS", few, raising=False)
+            sets = chosen_path._sets_of(docs, docs.filter("doc_id < 5").select(F.col("doc_id").alias("id")))
+            plan = sets._jdf.queryExecution().executedPlan().toString()
+            assert ("Exchange hashpartitioning" in plan) == (few == 0)
+            assert sorted(r["id"] for r in sets.collect()) == [0, 1, 2, 3, 4]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(docs, small=12).collect()}  # no id is sent
+    assert got == {d: c for d, (_, c) in slow_components(dict(enumerate(texts)), 80).items()}
 
 
 def test_threshold_pairs_in_a_hot_passage_group_are_found(spark):
