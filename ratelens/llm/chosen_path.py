@@ -3,13 +3,15 @@
 A document is the set of its word shingles and has a sketch of minwise tokens. In each of several independent trees, a node
 of documents branches by tokens that the node's own hash selects: documents with the same value go to the same child. On
 average 1 / threshold tokens are selected, so a pair at the threshold is expected to stay together on one path at any
-depth, while documents that are less alike part. A node that is small is compared exhaustively; a large one first meets its
-most central member and branches on, up to the depth at which pairs that agree on half of their tokens have parted.
+depth, while documents that are less alike part. A node that is small is compared exhaustively in one task, one of up to
+sixteen times as many in blocks; a larger one first meets its most central member and branches on, up to the depth at which
+pairs that agree on half of their tokens have parted.
 
 Only the components are wanted, so whatever is in one component already is not compared again: documents with equal sets
 are one from the start, a large group of near copies is linked to its centre, and a node whose members are all in one
 component is done. So is a large node once all but a few of its members are one component, and any node at the last depth:
-its rest is compared with all its members in blocks of bounded size.
+its rest is compared with all its members in blocks of bounded size. A node that was compared in blocks is remembered by its
+members: later trees compare them with others, but not with each other once more.
 
 A node is visited twice. First, sketches propose for every member its best partner outside its component, which is confirmed
 on the full sets, and members without any such partner leave. If components are left apart, the full sets of those
@@ -40,8 +42,8 @@ WORDS = 5
 TOKENS, TREES = 128, 8
 #: Share of the pairs at the threshold that are to meet in a node that is compared.
 RECALL = 0.99
-#: Nodes of at most so many documents are compared exhaustively, in one task.
-SMALL = 256
+#: Nodes of at most so many documents are compared exhaustively, in one task; those of at most so many times as many in blocks.
+SMALL, IN_BLOCKS = 256, 16
 #: Members of a block of a large node; levels that large nodes descend between two looks at their components.
 BLOCK, LEVELS = 1024, 4
 #: Likeness at which pairs have parted at the last depth.
@@ -184,23 +186,23 @@ def _branch(rows: DataFrame, level: int, threshold: float, levels: int) -> DataF
     return rows
 
 
-def depth_for(n: int, small: int, levels: int = LEVELS) -> int:
-    """Levels after which all but `small` of n documents that are alike by FAR have parted, in whole descents."""
-    return levels * math.ceil(math.log(max(1.0, n / small)) / math.log(1 / FAR) / levels)
+def depth_for(n: int, rest: int, levels: int = LEVELS) -> int:
+    """Levels after which all but `rest` of n documents that are alike by FAR have parted, in whole descents."""
+    return levels * math.ceil(math.log(max(1.0, n / rest)) / math.log(1 / FAR) / levels)
 
 
 def _groups_of(rows: DataFrame, small: int) -> DataFrame:
     """Rows of open nodes dealt into groups (node, part): those that ask, and those they are compared with if these are others.
 
-    A small node is one group in which all ask each other. In a large one, members outside its largest component ask, in
-    pieces of at most about `small`, and meet all members in blocks.
+    A small node is one group in which all ask each other. In a large one, members outside its largest settled part ask, in
+    pieces of at most about four times `small`, and meet all members in blocks.
     """
     few = rows.filter(F.col("members") <= small).withColumns({"part": F.lit(0).cast("long"), "asks": F.lit(True)})
     many = rows.filter(F.col("members") > small)
-    blocks, pieces = F.ceil(F.col("members") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("largest")) / small).cast("int")
+    blocks, pieces = F.ceil(F.col("members") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("largest")) / (4 * small)).cast("int")
     block, piece = F.pmod(F.xxhash64("id"), blocks), F.pmod(F.xxhash64("id", F.lit(1)), pieces)
     asked = many.withColumn("part", F.explode(F.transform(F.sequence(F.lit(0), pieces - 1), lambda p: block.cast("long") * pieces + p))).withColumn("asks", F.lit(False))
-    asking = many.filter("comp <> top").withColumn("part", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: b.cast("long") * pieces + piece)))
+    asking = many.filter("part_of <> top").withColumn("part", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: b.cast("long") * pieces + piece)))
     return few.unionByName(asked).unionByName(asking.withColumn("asks", F.lit(True)))
 
 
@@ -227,6 +229,16 @@ def _by_group(batches, work):
         yield work(pa.Table.from_batches(held))
 
 
+def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Tokens on which each sketch of x agrees with each of y."""
+    if len(x) * len(y) <= 1024:
+        return (x[:, None] == y).sum(2, dtype=np.int16)
+    same, x, y = np.zeros((len(x), len(y)), np.int16), np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    for t in range(TOKENS):
+        same += x[t][:, None] == y[t]
+    return same
+
+
 def _alike(rows: pa.Table, threshold: float) -> tuple[np.ndarray, ...]:
     """Rows that ask, rows they are compared with, tokens they agree on, and whether the pair may be a link between components."""
     asks = rows.column("asks").to_numpy(zero_copy_only=False)
@@ -234,9 +246,7 @@ def _alike(rows: pa.Table, threshold: float) -> tuple[np.ndarray, ...]:
     b = a if asks.all() else np.flatnonzero(~asks)
     ids, n, comp = (rows.column(c).to_numpy() for c in ("id", "n", "comp"))
     s = np.array(rows.column("sketch").combine_chunks().flatten()).reshape(-1, TOKENS)
-    same = np.zeros((len(a), len(b)), np.int16)
-    for t in range(TOKENS):
-        same += s[a, t, None] == s[b, t]
+    same = _agreement(s[a], s[b])
     near = (same >= (threshold - SLACK) * TOKENS) & (np.minimum(n[a, None], n[b]) >= threshold * np.maximum(n[a, None], n[b]))
     return a, b, same, near & (comp[a, None] != comp[b]) & (ids[a, None] != ids[b])
 
@@ -272,32 +282,57 @@ def _propose(groups: DataFrame, threshold: float) -> DataFrame:
     return ordered.mapInArrow(lambda batches: _by_group(batches, work), "node long, a long, b long")
 
 
+def _in_common(items: pa.ListArray, a: np.ndarray, b: np.ndarray, most: int = 2_000_000) -> np.ndarray:
+    """Items that the sets of rows a share with those of rows b, at most about `most` items of either looked up at a time."""
+    ends, flat = items.offsets.to_numpy(), items.values.to_numpy()
+    out = np.zeros((len(a), len(b)), np.int64)
+    filled = np.cumsum([ends[k + 1] - ends[k] for k in b])
+    low = 0
+    while low < len(b):
+        high = max(low + 1, int(np.searchsorted(filled, most + (filled[low - 1] if low else 0), "right")))
+        of = np.repeat(np.arange(high - low), [ends[k + 1] - ends[k] for k in b[low:high]])
+        held = np.concatenate([flat[ends[k] : ends[k + 1]] for k in b[low:high]])
+        order = np.argsort(held, kind="stable")
+        held, of = held[order], of[order]
+        for i, k in enumerate(a):
+            asked = flat[ends[k] : ends[k + 1]]
+            first = np.searchsorted(held, asked, "left")
+            n = np.searchsorted(held, asked, "right") - first
+            first, n = first[n > 0], n[n > 0]
+            for x, y in _runs(n, most):
+                at = np.repeat(first[x:y] - np.append(0, np.cumsum(n[x:y])[:-1]), n[x:y]) + np.arange(n[x:y].sum())
+                out[i, low:high] += np.bincount(of[at], minlength=high - low)
+        low = high
+    return out
+
+
+def _runs(n: np.ndarray, most: int):
+    """Cuts of numbers into runs that add up to at most about `most`."""
+    low, total = 0, np.cumsum(n)
+    while low < len(n):
+        high = max(low + 1, int(np.searchsorted(total, most + (total[low - 1] if low else 0), "right")))
+        yield low, high
+        low = high
+
+
 def _settle(groups: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the components of a group, by its members' full sets. Pairs that a link has joined are left out."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
-        a, b, same, alike = _alike(rows, percent / 100)
-        ids, comp = rows.column("id").to_numpy(), rows.column("comp").to_pylist()
-        items = rows.column("items").combine_chunks()
-        ends, flat = items.offsets.to_numpy(), items.values.to_numpy()
-        sets = lambda k: flat[ends[k] : ends[k + 1]]
-        up = {c: c for c in comp}
-
-        def root(c):
-            while up[c] != c:
-                up[c] = c = up[up[c]]
-            return c
-
-        i, j = np.nonzero(alike)
-        got = []
-        for k in np.argsort(-same[i, j], kind="stable"):
-            x, y = int(a[i[k]]), int(b[j[k]])
-            if root(comp[x]) == root(comp[y]):
-                continue
-            both = len(np.intersect1d(sets(x), sets(y), assume_unique=True))
-            if 100 * both >= percent * (len(sets(x)) + len(sets(y)) - both):
-                got.append((ids[x], ids[y]))
-                up[root(comp[x])] = root(comp[y])
+        a, b, _, alike = _alike(rows, percent / 100)
+        ids, n, comp = (rows.column(c).to_numpy() for c in ("id", "n", "comp"))
+        i, j = np.flatnonzero(alike.any(axis=1)), np.flatnonzero(alike.any(axis=0))
+        a, b, alike = a[i], b[j], alike[np.ix_(i, j)]
+        both = _in_common(rows.column("items").combine_chunks(), a, b)
+        linked = alike & (100 * both >= percent * (n[a, None] + n[b] - both))
+        comp, got = np.unique(comp, return_inverse=True)[1], []
+        for x, row in zip(a, linked):
+            near = b[row]
+            _, first = np.unique(comp[near], return_index=True)
+            for y in near[first]:  # one for each component that is not yet joined
+                if comp[x] != comp[y]:
+                    got.append((ids[x], ids[y]))
+                    comp[comp == comp[y]] = comp[x]
         return pa.RecordBatch.from_arrays([pa.array([p[0] for p in got], pa.int64()), pa.array([p[1] for p in got], pa.int64())], ["a", "b"])
 
     sets = materialise(_sets_of(docs, groups), "group-sets")
@@ -348,24 +383,39 @@ def _renamed(links: DataFrame, comp: DataFrame | None) -> DataFrame:
     return of.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
 
 
-def _grow(reps: DataFrame, docs: DataFrame, low: int, high: int, depth: int, comp: DataFrame | None, percent: int, small: int) -> tuple[DataFrame | None, list[DataFrame]]:
-    """Components after trees low to high - 1 of some documents, and rows (id, depth) of those in nodes that descended."""
-    threshold, deep, level = percent / 100, [], 1
+def _parts(settled: list[DataFrame]) -> DataFrame:
+    """The largest node (id, part_of) in which a document was compared with all others, of rows (id, node, members)."""
+    rows = reduce(DataFrame.unionByName, settled).groupBy("id").agg(F.max(F.struct("members", "node")).alias("m"))
+    return materialise(rows.select("id", F.col("m.node").alias("part_of")), "settled-parts")
+
+
+def _grow(
+    reps: DataFrame, docs: DataFrame, low: int, high: int, depth: int, comp: DataFrame | None, percent: int, small: int, parts: DataFrame | None = None,
+) -> tuple[DataFrame | None, list[DataFrame], list[DataFrame]]:
+    """Components after trees low to high - 1 of some documents, rows (id, depth) of those in nodes that descended, and rows
+    (id, node, members) of those in nodes that were compared in blocks.
+
+    parts: rows (id, part_of); documents of one part have been compared with each other.
+    """
+    threshold, deep, settled, level = percent / 100, [], [], 1
     roots = [F.lit(t).cast("long") for t in range(low, high)]
     first = F.flatten(F.array(*[F.transform(_chosen(r, 0, threshold), lambda i, r=r: F.xxhash64(r, i, F.get("sketch", i))) for r in roots]))
     nodes = reps.select("id", F.explode(first).alias("node"), F.lit(False).alias("seen"))
     while True:
-        # Nodes of more than one component, with their members, their largest component and its size.
+        # Nodes of more than one component, and not of one part, with their members, their largest part and its size. A
+        # document of no part counts as one of its component's.
         rows = nodes.withColumn("comp", F.col("id")) if comp is None else nodes.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        per = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"))
-        stats = per.groupBy("node").agg(F.sum("c").alias("members"), F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-        stats = stats.select("node", "members", F.col("m.c").alias("largest"), F.col("m.comp").alias("top"))
+        rows = rows.withColumn("part_of", F.col("comp")) if parts is None else rows.join(parts, "id", "left").withColumn("part_of", F.coalesce("part_of", "comp"))
+        per = rows.groupBy("node", "part_of").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        stats = per.groupBy("node").agg(F.sum("c").alias("members"), F.max(F.struct("c", "part_of")).alias("m"), F.count(F.lit(1)).alias("several"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        stats = stats.filter("several > 1 and lo < hi").select("node", "members", F.col("m.c").alias("largest"), F.col("m.part_of").alias("top"))
         open_ = materialise(rows.join(stats, "node"), "open-ids")
         if open_.isEmpty():
             break
         open_ = materialise(open_.join(_only(reps, open_), "id"), "open-nodes")
-        descends = (F.col("members") > small) & (F.col("members") - F.col("largest") > small) & ~F.col("seen") & F.lit(level < depth)
+        descends = (F.col("members") > IN_BLOCKS * small) & (F.col("members") - F.col("largest") > small) & ~F.col("seen") & F.lit(level < depth)
         many, again = open_.filter(descends), open_.filter("seen")
+        settled.append(open_.filter(~descends & ~F.col("seen") & (F.col("members") > small)).select("id", "node", "members"))
         visited = materialise(_propose(_groups_of(open_.filter(~descends & ~F.col("seen")), small), threshold), "visited-nodes")
         proposed = visited.filter("b is not null").select("a", "b")
         more = not many.isEmpty()
@@ -385,7 +435,7 @@ def _grow(reps: DataFrame, docs: DataFrame, low: int, high: int, depth: int, com
             level += LEVELS
             deep.append(many.select("id", F.lit(level).alias("depth")))
         nodes = materialise(nodes, "nodes")
-    return comp, deep
+    return comp, deep, settled
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES, small: int = SMALL, recall: float = RECALL) -> DataFrame:
@@ -402,13 +452,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES, smal
     classes = materialise(filled.groupBy("x", "y").agg(F.min("doc_id").alias("id")), "set-classes")
     reps = filled.join(classes, ["x", "y"]).filter(F.col("doc_id") == F.col("id"))
     reps = materialise(reps.select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id"]), "set-sketches")
-    comp, reached, some = None, None, reps
-    depth = 1 + depth_for(reps.count(), small)
+    comp, reached, settled, some = None, None, [], reps
+    depth = 1 + depth_for(reps.count(), IN_BLOCKS * small)
     # The first tree alone finds the large groups, so that nodes of the others that lie within one are done at once.
     done, want, least = 0, 1, max(trees, trees_for(threshold, 1, recall))
     while want > done:
-        comp, deep = _grow(some, docs, done, want, depth, comp, percent, small)
-        done = want
+        comp, deep, compared = _grow(some, docs, done, want, depth, comp, percent, small, _parts(settled) if settled else None)
+        done, settled = want, settled + compared
         for d in deep:
             reached = d if reached is None else reached.unionByName(d)
         if done < least:

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +99,30 @@ def test_texts_and_sketches_stay_where_they_are(spark, monkeypatch):
     assert got == {d: c for d, (_, c) in slow_components(dict(enumerate(texts)), 80).items()}
 
 
+def test_a_group_below_the_threshold_is_compared_once_and_not_branched(spark, monkeypatch):
+    texts = near_copies(150, 7, words=60, edits=5) + [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    branched, settled, plain = [], [], chosen_path._settle
+    monkeypatch.setattr(chosen_path, "_branch", lambda rows, *more: branched.append(rows) or rows.limit(0))
+    monkeypatch.setattr(chosen_path, "_settle", lambda groups, *more: settled.append(groups.select("id").distinct().count()) or plain(groups, *more))
+    got = {r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(df, percent=85, small=16).collect()}
+    assert got == {d: c for d, (_, c) in slow_components(dict(enumerate(texts)), 85).items()}
+    assert not branched and max(settled[1:], default=0) < settled[0] / 2  # later trees have the rest
+
+
+def test_sets_and_sketches_are_compared_as_pair_by_pair():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, n)) for n in (0, 5, 40, 200, 1, 30)]
+    items = pa.array([[7], *sets]).slice(1)
+    a, b = np.array([1, 2, 5]), np.arange(6)
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in b] for i in a]
+    for most in (1, 30, 2_000_000):
+        assert chosen_path._in_common(items, a, b, most).tolist() == want
+    for n in (3, 40):
+        x, y = rng.integers(0, 3, (n, 128)), rng.integers(0, 3, (n + 1, 128))
+        assert chosen_path._agreement(x, y).tolist() == [[int((p == q).sum()) for q in y] for p in x]
+
+
 def test_threshold_pairs_in_a_hot_passage_group_are_found(spark):
     rng = random.Random(3)
     hot, docs = [f"h{k}" for k in range(60)], []
