@@ -22,6 +22,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Columns that all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Rows of a batch between Spark and Python. Rows are whole texts: 10,000 of them, as by default, fill buffers that an executor keeps.
+BATCH_ROWS = 1000
+
 #: Scratch tables of the stages called so far, by application.
 _LEFT: dict[str, list[str]] = {}
 
@@ -36,6 +39,7 @@ def _tidy(stage: Stage) -> Stage:
         unused = [p for p in left if p.rsplit("/", 1)[-1] not in read]
         drop_scratch(spark, unused)
         left[:] = [p for p in left if p not in unused]
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)  # stays set, as the result is worked out later
         with noted_scratch() as notes:
             out = stage(spark, docs, sf_dir)
         left.extend(notes)
@@ -55,8 +59,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id. Null ids are kept as they are."""
     found = chosen_path.near_duplicates(docs, percent=80)
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return chosen_path.only(docs.select(*COLUMNS), found.filter(~F.col("kept")), "doc_id", "left_anti").select(*COLUMNS)
 
 
 @_tidy

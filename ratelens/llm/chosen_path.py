@@ -148,11 +148,11 @@ def signatures(docs: DataFrame) -> DataFrame:
     return plain.mapInArrow(run, "doc_id long, n_shingles long, x long, y long, sketch array<int>")
 
 
-def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows with one of the ids. Few ids are sent to the rows, so that texts and sketches of the others are not moved."""
-    ids = materialise(ids.select("id").distinct(), "wanted-ids")
+def only(rows: DataFrame, ids: DataFrame, key: str = "id", how: str = "left_semi") -> DataFrame:
+    """Rows with one of the ids, or without (`left_anti`). Few ids are sent to the rows, so that texts and sketches are not moved."""
+    ids = materialise(ids.select(key).distinct(), "wanted-ids")
     few = ids.count() <= FEW_IDS
-    return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    return rows.join(F.broadcast(ids) if few else ids, key, how)
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -165,7 +165,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(low, len(texts)), pa.array(sets, pa.list_(pa.int64()))], ["id", "items"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return _only(plain, ids).mapInArrow(run, "id long, items array<long>")
+    return only(plain, ids).mapInArrow(run, "id long, items array<long>")
 
 
 def _chosen(node: Column, level: int, threshold: float) -> Column:
@@ -412,7 +412,7 @@ def _grow(
         open_ = materialise(rows.join(stats, "node"), "open-ids")
         if open_.isEmpty():
             break
-        open_ = materialise(open_.join(_only(reps, open_), "id"), "open-nodes")
+        open_ = materialise(open_.join(only(reps, open_), "id"), "open-nodes")
         descends = (F.col("members") > IN_BLOCKS * small) & (F.col("members") - F.col("largest") > small) & ~F.col("seen") & F.lit(level < depth)
         many, again = open_.filter(descends), open_.filter("seen")
         settled.append(open_.filter(~descends & ~F.col("seen") & (F.col("members") > small)).select("id", "node", "members"))

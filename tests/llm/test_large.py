@@ -449,6 +449,20 @@ def test_sequences_follow_the_mixture(spark, tmp_path, monkeypatch):
     assert got[0] != got[1] and got[0] != got[2] and got[1] != got[2]
 
 
+def test_duplicates_move_no_text_and_batches_are_short(spark):
+    texts = near_copies(20, 5) + ["one two", "one two"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = corpus_pipeline.duplicates(spark, docs, SF)
+        assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+        want = slow_components(dict(enumerate(texts)), 80)
+        assert {r["doc_id"] for r in got.collect()} == {d for d, (_, c) in want.items() if c == d}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == corpus_pipeline.BATCH_ROWS
+
+
 def test_pipeline_stages_of_odd_rows(spark):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "das ist ein text und der ist gut", "de", "s", 5), (4, "das ist ein text und der ist gut", "de", None, 5),
             (5, "the text is good and that is it " * 3000, "en", "s", 9), (5, "the text is good and that is it " * 3000, "en", "s", 9)]
