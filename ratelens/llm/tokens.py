@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 #: Chunks kept per Python worker before those seen in one group of texts only leave (memory bound; results do not depend on it).
 MAX_CHUNKS = 600_000
 #: Texts are worked on in groups of about so many characters.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 4_000_000
 #: New chunks that the tokenizer gets at a time: long strings cost it more a word.
 ADD_CHUNKS = 1000
 #: Longer chunks are encoded but not kept.
@@ -31,6 +31,10 @@ LONG_CHUNK = 64
 
 _APART = re.compile(r"[.,](?<=[^\W_][.,])(?=[^\W_]|\s|\Z)")
 
+#: Letters of plain words, as the tokenizer lowers them: each stands for itself and joins with no other.
+_PLAIN = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_WORD = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
+
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
@@ -44,8 +48,18 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        self.letters = self._letters()
         self._clear()
 
+    def _letters(self) -> dict[int, str] | None:
+        """How the tokenizer's model spells each letter of plain words, if it takes such words whole; else none."""
+        if self.tokenizer.pre_tokenizer is None or self.tokenizer.normalizer is None:
+            return None
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        spelt = {ord(c): "".join(piece for piece, _ in split(c)) for c in _PLAIN}
+        whole = [piece for piece, _ in split(_PLAIN)] == [_PLAIN.translate(spelt)]
+        return spelt if whole and self.tokenizer.normalizer.normalize_str(_PLAIN) == _PLAIN else None
+
     def _clear(self) -> None:
         self.index: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
@@ -69,20 +83,41 @@ class ChunkEncoder:
         self.flat = np.concatenate([self.flat, np.zeros(room[0], np.uint32)])
         self.starts, self.sizes, self.seen = (np.concatenate([x, np.zeros(room[1], np.int64)]) for x in (self.starts, self.sizes, self.seen))
 
-    def _add(self, chunks: list[bytes]) -> None:
-        words = [c.decode("utf-8") for c in chunks]
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has."""
         found = self.tokenizer.encode("\n".join(words), add_special_tokens=False)
-        new = np.array(found.ids, np.uint32)
+        ids = np.array(found.ids, np.uint32)
         begins = np.cumsum([0, *(len(w) + 1 for w in words)])
-        at = np.fromiter((o[0] for o in found.offsets), np.int64, len(new))
-        sizes = np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(chunks))
+        at = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
+        return ids, np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(words))
+
+    def _of_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of plain letters: they go straight to the tokenizer's model."""
+        model = self.tokenizer.model
+        found = [model.tokenize(w if w.isascii() else w.lower().translate(self.letters)) for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(words))
+        return np.array([t.id for one in found for t in one], np.uint32), sizes
+
+    def _add(self, chunks: list[bytes]) -> None:
+        """Put new chunks into the table, in this order."""
+        words = [c.decode("utf-8") for c in chunks]
+        plain = np.array([bool(self.letters and _WORD.fullmatch(w)) for w in words])
+        sizes = np.empty(len(chunks), np.int64)
+        parts = []
+        for which, encode in ((plain, self._of_plain), (~plain, self._of_words)):
+            some = np.flatnonzero(which)
+            if len(some):
+                ids, sizes[some] = encode([words[i] for i in some.tolist()])
+                parts.append(ids)
+        order = np.argsort(~plain, kind="stable")  # the chunks in the order in which their ids came
+        new = np.concatenate(parts)
         while self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.n + len(chunks) > len(self.starts):
             self.starts, self.sizes, self.seen = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.seen))
-        ends = np.cumsum(sizes)
+        came = sizes[order]
         self.flat[self.used : self.used + len(new)] = new
-        self.starts[self.n : self.n + len(chunks)] = self.used + ends - sizes
+        self.starts[self.n + order] = self.used + np.cumsum(came) - came
         self.sizes[self.n : self.n + len(chunks)] = sizes
         self.index.update((c, k) for k, c in enumerate(chunks, self.n) if len(c) <= LONG_CHUNK)
         self.used, self.n = self.used + len(new), self.n + len(chunks)

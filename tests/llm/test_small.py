@@ -84,6 +84,17 @@ def test_new_words_go_to_the_tokenizer_once_and_in_small_pieces(docs, monkeypatc
     assert max(map(len, sent)) <= 40 < len(words) == len(set(words))
 
 
+def test_plain_words_go_straight_to_the_model(docs, monkeypatch):
+    from ratelens.llm import tokens
+
+    codec, whole = tokens.ChunkEncoder(queries.word_bpe()), []
+    monkeypatch.setattr(codec, "_of_words", lambda words, encode=codec._of_words: (whole.extend(words), encode(words))[1])
+    odd = ["e\u0301t\u00e9 \u00c9T\u00c9 \u00df \u1e9e \u00aa \u00b5 \u00ff\u0178 \u0130 \u00d7\u00f7", "o'neil's 's don't \u00e9's a1 x$$$ \u00c5\u00e5\u030a", "\u00de\u00fe\u00d0\u00f0", "z" * 300]
+    texts = [*odd, *[t for t, *_ in docs.values()][:100], *odd]
+    assert [ids.tolist() for ids in codec.encode_all(texts)] == encode_all(texts)
+    assert "x$$$" in whole and not [w for w in whole if w.isascii() and w.isalpha()]
+
+
 def test_other_work_drops_the_table_of_words():
     from ratelens.llm import chosen_path, langid, tokens
 
