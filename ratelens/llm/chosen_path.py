@@ -409,32 +409,40 @@ def _grow(
         per = rows.groupBy("node", "part_of").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         stats = per.groupBy("node").agg(F.sum("c").alias("members"), F.max(F.struct("c", "part_of")).alias("m"), F.count(F.lit(1)).alias("several"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         stats = stats.filter("several > 1 and lo < hi").select("node", "members", F.col("m.c").alias("largest"), F.col("m.part_of").alias("top"))
-        open_ = materialise(rows.join(stats, "node"), "open-ids")
-        if open_.isEmpty():
+        descends = (F.col("members") > IN_BLOCKS * small) & (F.col("members") - F.col("largest") > small) & ~F.col("seen") & F.lit(level < depth)
+        open_ = materialise(rows.join(stats, "node").withColumn("descends", descends), "open-ids")
+        # One look tells which kinds of nodes there are; no job is run for a kind that there is not.
+        fresh_ones, more, last = open_.agg(F.bool_or(~F.col("seen") & ~F.col("descends")), F.bool_or("descends"), F.bool_or("seen")).first()
+        if not (fresh_ones or more or last):
             break
         open_ = materialise(open_.join(only(reps, open_), "id"), "open-nodes")
-        descends = (F.col("members") > IN_BLOCKS * small) & (F.col("members") - F.col("largest") > small) & ~F.col("seen") & F.lit(level < depth)
-        many, again = open_.filter(descends), open_.filter("seen")
-        settled.append(open_.filter(~descends & ~F.col("seen") & (F.col("members") > small)).select("id", "node", "members"))
-        visited = materialise(_propose(_groups_of(open_.filter(~descends & ~F.col("seen")), small), threshold), "visited-nodes")
-        proposed = visited.filter("b is not null").select("a", "b")
-        more = not many.isEmpty()
+        many, again, fresh = open_.filter("descends"), open_.filter("seen"), open_.filter("not descends and not seen")
+        proposed, links = [], []
+        if fresh_ones:
+            settled.append(fresh.filter(F.col("members") > small).select("id", "node", "members"))
+            visited = materialise(_propose(_groups_of(fresh, small), threshold), "visited-nodes")
+            proposed.append(visited.filter("b is not null").select("a", "b"))
         if more:
-            proposed = proposed.unionByName(_centres(many, threshold))
-        proposed = materialise(proposed.distinct(), "proposed")
-        links = [] if proposed.isEmpty() else [_confirm(proposed, docs, percent)]
-        if not again.isEmpty():
+            proposed.append(_centres(many, threshold))
+        if proposed:
+            pairs = materialise(reduce(DataFrame.unionByName, proposed).distinct(), "proposed")
+            links += [] if pairs.isEmpty() else [_confirm(pairs, docs, percent)]
+        if last:
             links.append(_settle(_groups_of(again, small), docs, percent))
         if links:
             linked = materialise(_renamed(reduce(DataFrame.unionByName, links), comp), "confirmed")
             if not linked.isEmpty():
                 comp = _joined(comp, components(linked))
-        nodes = visited.filter("b is null").select(F.col("a").alias("id"), "node", F.lit(True).alias("seen")).distinct()
+        if not (fresh_ones or more):
+            break  # nothing is left to visit
+        later = []
+        if fresh_ones:
+            later.append(visited.filter("b is null").select(F.col("a").alias("id"), "node", F.lit(True).alias("seen")).distinct())
         if more:
-            nodes = nodes.unionByName(_branch(many.select("node", "id", "sketch"), level, threshold, LEVELS).select("id", "node", F.lit(False).alias("seen")))
+            later.append(_branch(many.select("node", "id", "sketch"), level, threshold, LEVELS).select("id", "node", F.lit(False).alias("seen")))
             level += LEVELS
             deep.append(many.select("id", F.lit(level).alias("depth")))
-        nodes = materialise(nodes, "nodes")
+        nodes = materialise(reduce(DataFrame.unionByName, later), "nodes")
     return comp, deep, settled
 
 

@@ -99,6 +99,17 @@ def test_texts_and_sketches_stay_where_they_are(spark, monkeypatch):
     assert got == {d: c for d, (_, c) in slow_components(dict(enumerate(texts)), 80).items()}
 
 
+def test_no_job_is_run_for_nodes_that_there_are_not(spark, monkeypatch):
+    texts = near_copies(30, 3) + [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    empty, propose, settle = [], chosen_path._propose, chosen_path._settle
+    monkeypatch.setattr(chosen_path, "_propose", lambda groups, *more: empty.append(groups.isEmpty()) or propose(groups, *more))
+    monkeypatch.setattr(chosen_path, "_settle", lambda groups, *more: empty.append(groups.isEmpty()) or settle(groups, *more))
+    got = {r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(df, small=12).collect()}
+    assert got == {d: c for d, (_, c) in slow_components(dict(enumerate(texts)), 80).items()}
+    assert empty and not any(empty)
+
+
 def test_a_group_below_the_threshold_is_compared_once_and_not_branched(spark, monkeypatch):
     texts = near_copies(150, 7, words=60, edits=5) + [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(20)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
