@@ -5,7 +5,7 @@ search, and the triangle inequality rules out whole blocks (after Lu et al. 2012
 size and hot cells are split. A block is one row of a stored table; tasks read the blocks that they compare, so vectors cross
 one exchange, and of a comparison only the k best per query are rows. Its work grows faster than the table.
 
-Descent (after Dong, Moses & Li 2011): a first graph comes from leaves of random trees. Then, round by round,
+Descent (after Dong, Moses & Li 2011): a first graph comes from leaves of random trees; leaves grow with the root of the rows. Then, round by round,
 the neighbours of a vector and the vectors it is a neighbour of are compared with each other, if one of the two is new
 on the list, and whoever finds a better neighbour keeps it. A vector's lists have a fixed width, so the work of a round does
 not depend on the number of rows. Which share of the true neighbours is found depends on the data, so it is measured on some
@@ -42,22 +42,10 @@ def _unit_rows(vectors) -> np.ndarray:
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
 
 
-def _closest(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, limit: np.ndarray) -> pd.DataFrame:
-    """k best corpus rows per query (not itself), dropping those farther than the query's limit."""
-    q, c = np.stack(queries["u"].to_numpy()), np.stack(corpus["u"].to_numpy())
-    qid, cid = queries["id"].to_numpy(), corpus["id"].to_numpy()
-    sim = q @ c.T
-    sim[qid[:, None] == cid[None, :]] = -np.inf
-    order = np.lexsort((np.broadcast_to(cid, sim.shape), -sim), axis=1)[:, :k]
-    best = np.take_along_axis(sim, order, axis=1)
-    dist = np.sqrt(np.maximum(2.0 - 2.0 * best, 0.0))
-    keep = np.isfinite(best) & (dist <= limit[:, None] + 1e-9)
-    rows, cols = np.nonzero(keep)
-    return pd.DataFrame({"id": qid[rows], "neighbour": cid[order[rows, cols]], "similarity": best[rows, cols]})
-
-
 #: Vectors of a block at most, if `block_rows` is not larger; queries of a block that are compared with another one at a time.
 BLOCK_ROWS, QUERY_ROWS = 4096, 512
+#: Pairs whose products are taken in double precision at a time.
+PAIRS = 65_536
 
 
 def _own_limits(ids: np.ndarray, u: np.ndarray, k: int) -> np.ndarray:
@@ -71,6 +59,20 @@ def _own_limits(ids: np.ndarray, u: np.ndarray, k: int) -> np.ndarray:
     return limit
 
 
+def _reached(ids: np.ndarray, u: np.ndarray, c_ids: np.ndarray, c_u: np.ndarray, k: int) -> np.ndarray:
+    """What the k-th best similarity of every query with the rows of a block reaches at least; -2 without k rows of other ids."""
+    limit, off = np.full(len(ids), -2.0), (u.shape[1] + 8) * 2.0**-24
+    order = np.argsort(c_ids, kind="stable")
+    first, last = (np.searchsorted(c_ids, ids, side, sorter=order) for side in ("left", "right"))
+    columns = np.ascontiguousarray(c_u.astype(np.float32).T)
+    for low in range(0, len(ids), QUERY_ROWS):
+        sim = u[low : low + QUERY_ROWS].astype(np.float32) @ columns
+        for i in np.flatnonzero(first[low : low + QUERY_ROWS] < last[low : low + QUERY_ROWS]):
+            sim[i, order[first[low + i] : last[low + i]]] = -np.inf
+        limit[low : low + QUERY_ROWS] = np.maximum(_bound(_maxima(sim, k), k) - off, -2.0)
+    return limit
+
+
 class _Best:
     """The k best neighbours of the queries of a block, kept while the block meets others.
 
@@ -89,11 +91,15 @@ class _Best:
             may = self.short[low : low + QUERY_ROWS] @ short >= (self.limit[low : low + QUERY_ROWS, None] - self.off).astype(np.float32)
             i, j = np.divmod(np.flatnonzero(may), len(ids))
             i += low
-            sim = np.einsum("ij,ij->i", self.u[i], u[j])
-            keep = (sim >= self.limit[i] - 1e-12) & (self.ids[i] != ids[j])
+            other = self.ids[i] != ids[j]
+            i, j = i[other], j[other]
+            sim = np.zeros(len(i))
+            for at in range(0, len(i), PAIRS):
+                sim[at : at + PAIRS] = np.einsum("ij,ij->i", self.u[i[at : at + PAIRS]], u[j[at : at + PAIRS]])
+            keep = sim >= self.limit[i] - 1e-12
             self.waiting.append((i[keep], ids[j[keep]], sim[keep]))
-        if sum(len(w[0]) for w in self.waiting) > self.k * len(self.ids):
-            self.settle()
+            if sum(len(w[0]) for w in self.waiting) > self.k * len(self.ids):
+                self.settle()
 
     def settle(self) -> None:
         row, near, sim = (np.concatenate(x) for x in zip((self.row, self.near, self.sim), *self.waiting))
@@ -167,13 +173,15 @@ def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 15, block_rows: int =
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-#: Vectors of a leaf of the trees, trees that are grown at a time and at most before the lists descend, rounds at most, and the share of
-#: new entries below which the lists have settled.
-LEAF, TREES, MOST_TREES, ROUNDS, SETTLED = 4096, 4, 48, 12, 0.001
+#: Vectors of a leaf of the trees, up to LEAVES of them; trees that are grown first and at most before the lists descend, rounds at most, and the
+#: share of new entries below which the lists have settled.
+LEAF, LEAVES, TREES, MOST_TREES, ROUNDS, SETTLED = 4096, 25, 4, 48, 12, 0.001
 #: Share of the nearest neighbours that is to be found, measured on so many rows; rows from which the splits of trees are taken, at most.
 TARGET, ASKED, SPLIT_SAMPLE = 0.93, 256, 65_536
 #: Better neighbours that one list proposes to each of its members in a round, the best ones. A vector is in many lists.
 OFFERS = 8
+#: Columns of a group whose best entry stands for it at first; bytes of vectors that a task packs at a time.
+COLUMNS, PACKED = 32, 16 << 20
 
 
 def _rows_of(batch, name: str) -> np.ndarray:
@@ -182,21 +190,87 @@ def _rows_of(batch, name: str) -> np.ndarray:
     return np.asarray(col.flatten()).reshape(len(col), -1)
 
 
-def _leaf_neighbours(rows: pa.Table, width: int) -> pa.Table:
+def _tasks(df: DataFrame) -> int:
+    """Tasks for work that is long by the row: some for every core, so that none waits for the last."""
+    return 4 * df.sparkSession.sparkContext.defaultParallelism
+
+
+def _held(batches: Iterator[pa.RecordBatch], key: str, vec: str, dims: int, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of batches, up to PACKED bytes at a time."""
+    most, ids, u = max(1, PACKED // (max(1, dims) * np.dtype(kind).itemsize)), [], []
+    for b in batches:
+        if b.num_rows:
+            ids.append(b.column(key).to_numpy())
+            u.append(_rows_of(b, vec).astype(kind, copy=False))
+        if sum(map(len, ids)) >= most:
+            yield np.concatenate(ids), np.concatenate(u)
+            ids, u = [], []
+    if ids:
+        yield np.concatenate(ids), np.concatenate(u)
+
+
+def _maxima(sim: np.ndarray, k: int) -> np.ndarray:
+    """The maxima of groups of COLUMNS columns, which lie apart; the entries themselves if there are fewer than k groups."""
+    parts = sim.shape[1] // COLUMNS
+    return sim if parts < k else sim[:, : parts * COLUMNS].reshape(len(sim), COLUMNS, parts).max(axis=1)
+
+
+def _bound(most: np.ndarray, k: int) -> np.ndarray:
+    """What the k-th best entry of every row reaches, by its maxima; -inf without k of them."""
+    return np.partition(most, -k, axis=1)[:, -k] if most.shape[1] >= k else np.full(len(most), -np.inf, most.dtype)
+
+
+def _may_be_best(sim: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns, in order of rows, of the k best entries of every row and few more. Entries of -inf are none.
+
+    Only groups of columns whose maximum reaches the bound are looked at.
+    """
+    most = _maxima(sim, k)
+    least = _bound(most, k)[:, None]
+    if most is sim:
+        return np.nonzero((sim >= least) & (sim > -np.inf))
+    parts = most.shape[1]
+    r, p = np.nonzero((most >= least) & (most > -np.inf))
+    found = sim[:, : parts * COLUMNS].reshape(len(sim), COLUMNS, parts)[r, :, p]
+    i, c = np.nonzero((found >= least[r]) & (found > -np.inf))
+    rest = sim[:, parts * COLUMNS :]
+    row, col = np.nonzero((rest >= least) & (rest > -np.inf))
+    row, col = np.append(r[i], row), np.append(c * parts + p[i], col + parts * COLUMNS)
+    order = np.argsort(row, kind="stable")
+    return row[order], col[order]
+
+
+def _dense(at: np.ndarray, rows: int, near: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries in order of their rows as matrices; what a row lacks to the longest one has similarity -inf."""
+    starts = np.searchsorted(at, np.arange(rows + 1))
+    shape, place = (rows, int(np.diff(starts).max(initial=0))), np.arange(len(at)) - starts[at]
+    wide_near, wide_sims = np.full(shape, -1, np.int64), np.full(shape, -np.inf, np.float32)
+    wide_near[at, place], wide_sims[at, place] = near, sims
+    return wide_near, wide_sims
+
+
+def _lists(ids: np.ndarray, near: np.ndarray, sims: np.ndarray) -> pa.RecordBatch:
+    """Matrices as lists; entries of similarity -inf are none."""
+    there = np.isfinite(sims)
+    ends = pa.array(np.append(0, np.cumsum(there.sum(axis=1))), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(ends, pa.array(near[there])), pa.ListArray.from_arrays(ends, pa.array(sims[there]))], ["id", "near", "sims"])
+
+
+def _leaf_neighbours(ids: np.ndarray, u: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
     """The best neighbours of every vector of a leaf within it, as lists."""
-    ids, u = rows.column("id").to_numpy(), _rows_of(rows, "u")
-    near, sims, sizes = [], [], []
+    columns, odd = np.ascontiguousarray(u.T), ~np.isfinite(u).all(axis=1)
     for low in range(0, len(ids), QUERY_ROWS):
-        sim = u[low : low + QUERY_ROWS] @ u.T
+        sim = u[low : low + QUERY_ROWS] @ columns
         at = np.arange(low, low + len(sim))
         sim[at - low, at] = -np.inf
-        take = min(width, len(ids) - 1)
-        best = np.argpartition(sim, len(ids) - take, axis=1)[:, len(ids) - take :] if take else np.zeros((len(sim), 0), np.int64)
-        near.append(ids[best].ravel())
-        sims.append(np.take_along_axis(sim, best, axis=1).ravel())
-        sizes.append(np.full(len(sim), take))
-    ends = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), pa.int32())
-    return pa.table({"id": ids, "near": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(near))), "sims": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sims)))})
+        if odd.any():
+            sim[:, odd] = -np.inf
+        row, col = _may_be_best(sim, width)
+        near, best = _dense(row, len(sim), ids[col], sim[row, col])
+        if near.shape[1] > width:
+            order = np.argpartition(-best, width - 1, axis=1)[:, :width]
+            near, best = np.take_along_axis(near, order, axis=1), np.take_along_axis(best, order, axis=1)
+        yield _lists(ids[at], near, best)
 
 
 def _splits(sample: np.ndarray, leaves: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -216,24 +290,52 @@ def _splits(sample: np.ndarray, leaves: int, rng: np.random.Generator) -> tuple[
     return planes, cuts
 
 
+def _leaves(u: np.ndarray, planes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The leaf of every row, counted from 0."""
+    node = np.zeros(len(u), np.int64)
+    while len(planes) and node.size and node[0] < len(planes):
+        node = 2 * node + 1 + (np.einsum("ij,ij->i", u, planes[node]) > cuts[node])
+    return node - len(planes)
+
+
 def _tree_lists(base: DataFrame, n: int, sample: np.ndarray, width: int, trees: range, leaf: int, seed: int) -> DataFrame:
-    """Lists (id, near, sims) of neighbours within the leaves of random trees. A crowded leaf is dealt over several by a hash of the id."""
+    """Lists (id, near, sims) of neighbours within the leaves of random trees.
+
+    A leaf that is crowded, as its share of the sample tells, is dealt over several by a hash of the id. The vectors of a leaf cross the
+    exchange packed, so that of a tree only rows of leaves and lists are handled one by one.
+    """
     dims = sample.shape[1]
-    grown = [_splits(sample, min(math.ceil(n / leaf), SPLIT_SAMPLE // 16), np.random.default_rng([seed, t])) for t in trees]
+    grown = []
+    for t in trees:
+        planes, cuts = _splits(sample, min(math.ceil(n / leaf), SPLIT_SAMPLE // 16), np.random.default_rng([seed, t]))
+        held = np.bincount(_leaves(sample, planes, cuts), minlength=len(planes) + 1) * (n / max(1, len(sample)))
+        grown.append((t, planes, cuts, np.maximum(1, np.ceil(held / (2 * leaf))).astype(np.int64)))
+
+    def packed(ids: np.ndarray, u: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for t, planes, cuts, parts in grown:
+            code = _leaves(u, planes, cuts)
+            mixed = (ids.astype(np.uint64) + np.uint64(t)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            part = ((mixed >> np.uint64(33)).astype(np.int64)) % parts[code]
+            order = np.lexsort((part, code))
+            code, part = code[order], part[order]
+            starts = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (part[1:] != part[:-1])))
+            ends = np.append(starts[1:], len(code))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(starts), t), pa.int32()), pa.array(code[starts]), pa.array(part[starts]),
+                pa.array([ids[order[a:b]].tobytes() for a, b in zip(starts, ends)], pa.binary()), pa.array([u[order[a:b]].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+            ], ["tree", "code", "part", "ids", "u"])
 
     def place(batches):
-        for b in batches:
-            u = _rows_of(b, "u") if b.num_rows else np.zeros((0, dims), np.float32)
-            for t, (planes, cuts) in zip(trees, grown):
-                node = np.zeros(len(u), np.int64)
-                while len(planes) and node.size and node[0] < len(planes):
-                    node = 2 * node + 1 + (np.einsum("ij,ij->i", u, planes[node]) > cuts[node])
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("u"), pa.array(np.full(len(u), t), pa.int32()), pa.array(node, pa.int64())], ["id", "u", "tree", "code"])
+        for ids, u in _held(batches, "id", "u", dims, np.float32):
+            yield from packed(ids, u)
 
-    placed = base.mapInArrow(place, "id long, u array<float>, tree int, code long")
-    parts = placed.groupBy("tree", "code").agg(F.ceil(F.count(F.lit(1)) / (2 * leaf)).cast("int").alias("parts"))
-    dealt = placed.join(parts, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
-    return dealt.groupBy("tree", "code", "part").applyInArrow(lambda rows: _leaf_neighbours(rows.select(["id", "u"]), width), "id long, near array<long>, sims array<float>")
+    def compare(rows: pa.Table) -> pa.Table:
+        ids, u = (b"".join(rows.column(c).to_pylist()) for c in ("ids", "u"))
+        return pa.Table.from_batches(_leaf_neighbours(np.frombuffer(ids, np.int64), np.frombuffer(u, np.float32).reshape(-1, dims), width))
+
+    placed = base.mapInArrow(place, "tree int, code long, part long, ids binary, u binary").repartition(_tasks(base), "tree", "code", "part")
+    return placed.groupBy("tree", "code", "part").applyInArrow(compare, "id long, near array<long>, sims array<float>")
 
 
 def _merged_lists(lists: DataFrame, width: int) -> DataFrame:
@@ -241,19 +343,16 @@ def _merged_lists(lists: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         for batch in _whole_groups(batches, "id"):
-            of = np.repeat(batch.column("id").to_numpy(), np.diff(batch.column("near").offsets.to_numpy()))
-            near, sims = batch.column("near").flatten().to_numpy(), batch.column("sims").flatten().to_numpy()
-            order = np.lexsort((-sims, near, of))
-            of, near, sims = of[order], near[order], sims[order]
-            keep = np.append(True, (of[1:] != of[:-1]) | (near[1:] != near[:-1]))[: len(of)]
-            of, near, sims = of[keep], near[keep], sims[keep]
-            order = np.lexsort((near, -sims, of))
-            of, near, sims = of[order], near[order], sims[order]
-            keep = np.arange(len(of)) - np.searchsorted(of, of, "left") < width
-            of, near, sims = of[keep], near[keep], sims[keep]
-            ids = np.unique(batch.column("id").to_numpy())
-            ends = pa.array(np.append(np.searchsorted(of, ids, "left"), len(of)), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(ends, pa.array(near)), pa.ListArray.from_arrays(ends, pa.array(sims))], ["id", "near", "sims"])
+            ids, at = np.unique(batch.column("id").to_numpy(), return_inverse=True)
+            at = np.repeat(at, np.diff(batch.column("near").offsets.to_numpy()))
+            near, sims = _dense(at, len(ids), batch.column("near").flatten().to_numpy(), batch.column("sims").flatten().to_numpy())
+            order = np.argsort(-sims, axis=1, kind="stable")
+            near, sims = np.take_along_axis(near, order, axis=1), np.take_along_axis(sims, order, axis=1)
+            order = np.argsort(near, axis=1, kind="stable")  # copies of an entry, the best one first
+            near, sims = np.take_along_axis(near, order, axis=1), np.take_along_axis(sims, order, axis=1)
+            sims[:, 1:][near[:, 1:] == near[:, :-1]] = -np.inf
+            order = np.argsort(-sims, axis=1, kind="stable")[:, :width]
+            yield _lists(ids, np.take_along_axis(near, order, axis=1), np.take_along_axis(sims, order, axis=1))
 
     return lists.select("id", "near", "sims").repartition("id").sortWithinPartitions("id").mapInArrow(run, "id long, near array<long>, sims array<float>")
 
@@ -360,13 +459,15 @@ def _members(graph: DataFrame, width: int) -> DataFrame:
 
 
 def knn_descent(
-    df: DataFrame, key: str, vec: str, k: int = 15, width: int | None = None, trees: int = TREES, leaf: int = LEAF, rounds: int = ROUNDS,
+    df: DataFrame, key: str, vec: str, k: int = 15, width: int | None = None, trees: int = TREES, leaf: int | None = None, rounds: int = ROUNDS,
     settled: float = SETTLED, seed: int = 0, target: float = TARGET, most_trees: int = MOST_TREES,
 ) -> DataFrame:
     """k similar other vectors of every vector: id, neighbour, similarity (single precision), rank; ties by neighbour id.
 
     `width` is the length of the lists that descend (three times k by default): longer ones find more. `target` is the share of the
-    nearest neighbours to be found, as measured on some rows. Vectors without a direction take no part; rows that repeat an id count once.
+    nearest neighbours to be found, as measured on some rows. `leaf` is LEAF by default, and from LEAVES of them on
+    grows with the root of the rows: every level of a tree parts neighbours, so deep trees find few of them. Vectors without a direction take
+    no part; rows that repeat an id count once.
     """
     width = max(k, width or 3 * k)
     plain = df.select(F.col(key).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter(F.col("id").isNotNull() & has_direction(F.col("v")))
@@ -381,20 +482,25 @@ def knn_descent(
             u = (u / np.sqrt((u * u).sum(axis=1, keepdims=True))).astype(np.float32)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.FixedSizeListArray.from_arrays(pa.array(u.ravel()), dims).cast(pa.list_(pa.float32()))], ["id", "u"])
 
-    one = plain.filter(F.size("v") == dims).groupBy("id").agg(F.min("v").alias("v"))
+    one = plain.filter(F.size("v") == dims).repartition(_tasks(df), "id").groupBy("id").agg(F.min("v").alias("v"))
     base = materialise(one.mapInArrow(scale, "id long, u array<float>"), "unit-vectors")
     n = base.count()
+    leaf = leaf or max(LEAF, math.ceil(math.sqrt(LEAF * n / LEAVES)))
     probe = _Probe(base, k, ASKED)
     sample = np.array([r["u"] for r in hash_sample(base, "id", min(SPLIT_SAMPLE, 64 * math.ceil(n / leaf))).collect()], np.float32).reshape(-1, dims)
 
     def planted(lists: DataFrame | None, low: int) -> tuple[DataFrame, bool]:
         """Lists after further trees, at most `most_trees`, and whether the target is met. A single leaf holds all neighbours there are."""
-        met, end = False, low + max(1, most_trees) if n > leaf else low + 1
+        met, end, more = False, low + max(1, most_trees) if n > leaf else low + 1, trees
+        missed = 1.0 if lists is None else max(1e-9, 1 - probe.share(_edges_of(lists)))
         while low < end and not met:
-            high = min(end, low + trees)
+            high = min(end, low + more)
             grown = _tree_lists(base, n, sample, k, range(low, high), leaf, seed)
             lists = materialise(_merged_lists(grown if lists is None else grown.unionByName(lists), k), "tree-lists")
-            low, met = high, n <= leaf or probe.share(_edges_of(lists)) >= target
+            share = 1.0 if n <= leaf else probe.share(_edges_of(lists))
+            pace, missed, low, met = math.log(max(1e-9, 1 - share) / missed) / (high - low), max(1e-9, 1 - share), high, n <= leaf or share >= target
+            # Each tree finds a share of what is missing, so that tells how many are needed yet.
+            more = min(4 * trees, max(1, math.ceil(math.log((1 - target) / missed) / pace))) if pace < 0 and target < 1 else trees
         return lists, met
 
     lists, met = planted(None, 0)
@@ -422,25 +528,55 @@ def knn_descent(
 def recall(found: DataFrame, df: DataFrame, key: str, vec: str, asked: Column, k: int = 15) -> DataFrame:
     """One row (queries, recall): the share of the k nearest vectors of the rows marked by `asked` that `found` has for them.
 
-    The truth comes from products with all rows, in blocks, for a stated set of queries; a neighbour as near as the k-th counts.
+    The truth comes from products with all rows, for a stated set of queries, so its work grows with their product; a neighbour as near as
+    the k-th counts. Blocks of queries and of all rows are stored tables that the tasks which compare them read, and a task keeps the k
+    best of a block's queries while it meets blocks.
     """
     usable = df.select(F.col(key).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v"), asked.alias("asked")).filter(has_direction(F.col("v")))
-    usable = materialise(usable, "recall-vectors")
-    queries = materialise(usable.filter("asked").select(F.col("id").alias("q"), F.col("v").alias("qv")), "recall-queries")
-    slices, parts = max(1, math.ceil(queries.count() / 512)), max(1, math.ceil(usable.count() / 8192))
-    sent = queries.select("q", "qv", F.pmod(F.xxhash64("q"), F.lit(slices)).cast("int").alias("slice"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    spread = usable.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("c_part"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("c_slice"))
-
-    def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({"id": [], "neighbour": [], "similarity": []}).astype({"id": "int64", "neighbour": "int64"})
-        left = pd.DataFrame({"id": q["q"], "u": list(_unit_rows(q["qv"]))})
-        right = pd.DataFrame({"id": c["id"], "u": list(_unit_rows(c["v"]))})
-        return _closest(left, right, k, np.full(len(left), np.inf))
-
-    best = sent.groupBy("slice", "part").cogroup(spread.groupBy("c_slice", "c_part")).applyInPandas(compare, "id long, neighbour long, similarity double")
+    usable = materialise(usable.repartition(_tasks(df), "id"), "recall-vectors")
+    first = usable.select(F.size("v")).first()
+    dims = first[0] if first else 1
+
+    def pack(batches):
+        for ids, v in _held(batches, "id", "v", dims, np.float64):
+            for low in range(0, len(ids), BLOCK_ROWS):
+                u = v[low : low + BLOCK_ROWS]
+                u = u / np.sqrt((u * u).sum(axis=1, keepdims=True))
+                fine = np.isfinite(u).all(axis=1)  # squares of tiny numbers are zero
+                yield pa.RecordBatch.from_arrays([pa.array([ids[low : low + BLOCK_ROWS][fine].tobytes()]), pa.array([u[fine].tobytes()])], ["ids", "u"])
+
+    def blocks(rows: DataFrame, without: int, name: str) -> DataFrame:
+        same_size = F.when(F.size("v") == dims, F.col("v")).otherwise(F.raise_error(F.lit("vectors of several sizes")))
+        whole = rows.select(F.coalesce("id", F.lit(without)).alias("id"), same_size.alias("v"))
+        return materialise(whole.mapInArrow(pack, "ids binary, u binary"), name)
+
+    # Rows without an id are unlike all others, so they have other ids as queries than as neighbours.
+    no_query, no_other = -(2**63), -(2**63) + 1
+    queries = blocks(usable.filter("asked"), no_query, "recall-queries").withColumn("block", F.monotonically_increasing_id())
+    others = blocks(usable.select("id", "v"), no_other, "recall-blocks").select(F.col("ids").alias("c_ids"), F.col("u").alias("c_u"))
+
+    def compare(batches):
+        best, block = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, u, at, c_ids, c_u = (batch.column(c)[i].as_py() for c in ("ids", "u", "block", "c_ids", "c_u"))
+                c_ids, c_u = np.frombuffer(c_ids, np.int64), np.frombuffer(c_u).reshape(-1, dims)
+                if at != block:
+                    if best is not None:
+                        yield best.result()
+                    ids, block = np.frombuffer(ids, np.int64), at
+                    best = _Best(ids, np.frombuffer(u).reshape(-1, dims), np.full(len(ids), -2.0), k)
+                if (best.limit <= -2.0).any():
+                    best.limit = np.maximum(best.limit, _reached(ids, best.u, c_ids, c_u, k))
+                best.meet(c_ids, c_u)
+        if best is not None:
+            yield best.result()
+
+    met = queries.join(others.hint("shuffle_replicate_nl")).select("ids", "u", "block", "c_ids", "c_u")
+    best = met.mapInArrow(compare, "id long, neighbour long, similarity double").withColumn("id", F.nullif("id", F.lit(no_query)))
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour"))
     truth = best.withColumn("rank", rank).filter(F.col("rank") <= k).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("least"))
+    truth = materialise(truth, "recall-truth")
     near = found.join(truth, "id").groupBy("id", "n").agg(F.count_if(F.col("similarity") >= F.col("least") - 1e-6).alias("hits"))
     hits = truth.select("id", "n").join(near.select("id", "hits"), "id", "left")
     return hits.agg(F.count(F.lit(1)).alias("queries"), (F.sum(F.least("n", F.coalesce("hits", F.lit(0)))) / F.sum("n")).alias("recall"))

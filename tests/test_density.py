@@ -78,6 +78,72 @@ def test_recall_counts_what_is_missed(spark):
     assert neighbours.recall(exact.filter("id < 1"), df, "id", "v", F.lit(True), 1).first()["recall"] == 0.25
 
 
+@pytest.mark.parametrize("n", [1, 3, 100, 700, 2011])
+def test_leaves_give_the_best_of_every_row(n):
+    """Whole lists with any number of columns, also where many vectors are copies; ids are not places."""
+    rng = np.random.default_rng(n)
+    u = rng.standard_normal((n, 8)).astype(np.float32)
+    u[5:40] = u[min(5, n - 1)]
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    sim = u @ u.T
+    np.fill_diagonal(sim, -9)
+    got = [r for b in neighbours._leaf_neighbours(np.arange(n) * 3, u, 15) for r in b.to_pylist()]
+    assert [r["id"] for r in got] == [3 * i for i in range(n)]
+    for i, r in enumerate(got):
+        assert r["id"] not in r["near"] and len(set(r["near"])) == len(r["near"]) == min(15, n - 1)
+        assert sorted(r["sims"], reverse=True) == pytest.approx(sorted(sim[i], reverse=True)[: min(15, n - 1)], abs=1e-6)
+
+
+def test_recall_makes_products_once_and_counts_every_row(spark):
+    """What is read of the result afterwards holds no products; rows that repeat an id or have none are neighbours as before."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((900, 6))
+    ids = [None if i % 90 == 7 else i - i % 50 % 2 for i in range(len(x))]
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in zip(ids, x)], "id long, v array<double>")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    truth = defaultdict(list)
+    for i, row in zip(ids, u @ u.T):
+        if i is not None and i % 3 == 0:
+            truth[i] += [s for j, s in zip(ids, row) if i != j]
+    found = neighbours.knn_descent(df, "id", "v", k=4)
+    near = defaultdict(list)
+    for r in found.collect():
+        near[r["id"]].append(r["similarity"])
+    want = sum(min(4, sum(s >= sorted(t)[-4] - 1e-6 for s in near[i])) for i, t in truth.items()) / (4 * len(truth))
+    row = neighbours.recall(found, df, "id", "v", F.col("id") % 3 == 0, 4)
+    assert tuple(row.first()) == (len(truth), pytest.approx(want))
+    stored = neighbours.recall(neighbours.materialise(found, "found"), df, "id", "v", F.col("id") % 3 == 0, 4)
+    assert not any(word in stored._jdf.queryExecution().toString() for word in ("Python", "Arrow", "Pandas", "Cartesian"))
+
+
+def test_trees_follow_the_pace_and_leaves_the_rows(spark, monkeypatch):
+    """Trees come in as many groups as their pace asks for, and with small leaves the table's size sets the leaf."""
+    calls, lists = [], neighbours._tree_lists
+
+    def noted(base, n, sample, width, trees, leaf, seed):
+        calls.append((len(trees), leaf))
+        return lists(base, n, sample, width, trees, leaf, seed)
+
+    monkeypatch.setattr(neighbours, "_tree_lists", noted)
+    monkeypatch.setattr(neighbours, "LEAF", 64)
+    df = vectors(spark, np.random.default_rng(6).standard_normal((6400, 32)))
+    got = neighbours.knn_descent(df, "id", "v", k=5, trees=2)
+    assert neighbours.recall(got, df, "id", "v", F.col("id") % 10 == 0, k=5).first()["recall"] >= 0.9
+    assert {leaf for _, leaf in calls} == {128} and len(calls) <= 1 + sum(c for c, _ in calls) // 4
+
+
+def test_crowded_leaves_are_dealt(spark):
+    """Most rows are one vector: they share leaves, which are dealt by the sample; all lists are full and hold copies."""
+    x = np.random.default_rng(7).standard_normal((2000, 8))
+    x[500:] = x[500]
+    got = neighbours.knn_descent(vectors(spark, x), "id", "v", k=5, leaf=64).collect()
+    per = defaultdict(list)
+    for r in got:
+        per[r["id"]].append(r["similarity"])
+    assert len(per) == 2000 and all(len(s) == 5 for s in per.values())
+    assert all(min(per[i]) > 0.9999 for i in range(500, 2000))
+
+
 def graph(spark, x, k):
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
